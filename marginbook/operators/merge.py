@@ -61,11 +61,10 @@ def merge_many(target: DataFrame, updates: Sequence[tuple[DataFrame, Sequence[st
     if len(set(names)) != len(names):
         raise ValueError("each column may come from one frame only")
     stacked = None
-    for df, cols in updates:
+    for mine, (df, cols) in enumerate(updates):
         part = df.select(*keys, *[F.col(c) if c in cols else F.lit(None).cast(types[c]).alias(c)
                                   for c in names],
-                         *[F.lit(1 if u is cols else 0).alias(f"__n{i}")
-                           for i, (_, u) in enumerate(updates)])
+                         *[F.lit(int(i == mine)).alias(f"__n{i}") for i in range(len(updates))])
         stacked = part if stacked is None else stacked.unionByName(part)
     repeats = F.greatest(*[F.col(f"__n{i}") for i in range(len(updates))], F.lit(0))
     clash = F.raise_error(F.lit("duplicate merge key")).cast("boolean")
