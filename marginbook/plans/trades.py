@@ -15,6 +15,9 @@ KEYS = ["period", "client_id", "branch_id", "fund_account_id", "money_type", "tr
         "trade_prop", "security_id"]
 OPTION_TYPES = ("12", "21")
 EXCHANGE_WITHOUT_PERFORMANCE = "CFFEX"
+EXERCISE_MEASURES = ["strikefee", "market_strikefee", "execute_transfee", "market_execute_transfee",
+                     "performfee", "market_performfee", "strike_qty", "optstrike_profit",
+                     "strikefrozenmargin", "exchstrikefrozenmargin"]
 
 
 def _period(df: DataFrame, calendar: DataFrame, grain: str, date_col: str = "busi_date") -> DataFrame:
@@ -104,7 +107,11 @@ def exercises(execute: DataFrame, securities: DataFrame, calendar: DataFrame, gr
     dims = securities.select("security_id", F.col("market_id").alias("__market"),
                              F.col("delivery_date").alias("__delivery"))
     kind = F.col("trade_type")
+    # Summed per key, day and side before any join, so a busy contract joins as a few rows.
     df = (execute.filter((kind == "21") | ((kind == "12") & (F.col("strike_type") == "0")))
+          .groupBy("busi_date", *KEYS[1:], "bs_direction").agg(
+              *sums(EXERCISE_MEASURES),
+              money_sum(F.col("strike_qty") * F.col("strike_price") * F.col("hand_amount")).alias("strike_money"))
           .join(nxt, "busi_date").join(dims, "security_id"))
     df = _period(df.withColumn("__day", F.when(kind == "21", F.col("__next")).otherwise(F.col("busi_date"))),
                  calendar, grain, "__day")
@@ -128,7 +135,7 @@ def exercises(execute: DataFrame, securities: DataFrame, calendar: DataFrame, gr
         cond_sum(F.when(split, performs).otherwise(F.col("bs_direction") == "1"), "strike_qty").alias("strike_qty_ly"),
         *sums(["optstrike_profit"]),
         cond_sum(expiring, "strike_qty").alias("strike_qty_dq"),
-        cond_sum(expiring, F.col("strike_qty") * F.col("strike_price") * F.col("hand_amount")).alias("strike_money_dq"),
+        cond_sum(expiring, "strike_money").alias("strike_money_dq"),
         cond_sum(split & (F.col("__day") == F.col("last_trade")), "strikefrozenmargin").alias("strikefrozenmargin"),
         cond_sum(split & (F.col("__day") == F.col("last_trade")), "exchstrikefrozenmargin").alias("exchstrikefrozenmargin"))
 
