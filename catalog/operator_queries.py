@@ -36,18 +36,18 @@ def _scratch(spark) -> str:
 
 
 @query("schema_aligned_load", """
-SELECT CAST(isoyear(o_orderdate) AS VARCHAR) AS busi_year, CAST(week(o_orderdate) AS VARCHAR) AS busi_week,
+SELECT CAST(year(o_orderdate) AS VARCHAR) AS busi_year, CAST(quarter(o_orderdate) AS VARCHAR) AS busi_quarter,
        o_orderstatus AS status, round(sum(o_totalprice), 2) AS total, CAST(NULL AS VARCHAR) AS note
 FROM orders GROUP BY 1, 2, 3""")
 def schema_aligned_load(spark, sf):
-    target = schemas.text_and_double("status total note busi_year busi_week", doubles="total")
-    week = table(spark, sf, "orders").groupBy(
-        F.extract(F.lit("YEAROFWEEK"), F.col("o_orderdate")).cast("string").alias("BUSI_YEAR"),
-        D.iso_week("o_orderdate").cast("string").alias("BUSI_WEEK"), F.col("o_orderstatus").alias("STATUS")
+    target = schemas.text_and_double("status total note busi_year busi_quarter", doubles="total")
+    totals = table(spark, sf, "orders").groupBy(
+        D.year_key("o_orderdate").alias("BUSI_YEAR"),
+        D.quarter_of("o_orderdate").alias("BUSI_QUARTER"), F.col("o_orderstatus").alias("STATUS")
     ).agg(M.money_sum("o_totalprice").alias("TOTAL"), F.lit("unused").alias("SURPLUS_COLUMN"))
     path = _scratch(spark)
-    sink.load_aligned(week, target, path, "overwrite", ["busi_year", "busi_week"])
-    return spark.read.schema(target).parquet(path).select("busi_year", "busi_week", "status", "total", "note")
+    sink.load_aligned(totals, target, path, "overwrite", ["busi_year", "busi_quarter"])
+    return spark.read.schema(target).parquet(path).select("busi_year", "busi_quarter", "status", "total", "note")
 
 
 # ---- calendar -------------------------------------------------------------------------------

@@ -37,6 +37,11 @@ def quarter_of(value: Column | str) -> Column:
     return F.quarter(_c(value)).cast("string")
 
 
+def quarter_of_month(month: Column | str) -> Column:
+    """Quarter ``"1"`` to ``"4"`` of a ``yyyyMM`` key."""
+    return F.ceil(F.substring(_c(month), 5, 2).cast("int") / 3).cast("string")
+
+
 def iso_week(value: Column | str) -> Column:
     return F.weekofyear(_c(value))
 
