@@ -25,6 +25,7 @@ INDICATORS = [
     ("005", "考核利润"), ("006", "成交额"), ("007", "成交额市占率"), ("008", "成交量"), ("009", "成交量市占率"),
     ("010", "新增直接开发有效客户数量"), ("011", "新增有效客户数量"), ("012", "产品销售额"),
 ]
+SHARES = ("002", "004", "007", "009")
 BROKERED = "301"
 INDUSTRY_UNIT = 100_000_000
 
@@ -85,7 +86,7 @@ def indicator_actuals(src: TargetSources, grain: str) -> DataFrame:
     days = cal.filter("trade_flag = 1").select("busi_date", period_key(grain).alias("period"))
     counts = days.groupBy("period").agg(F.count(F.lit(1)).alias("days"))
     market = src.industry.groupBy(_of_month(grain, F.col("busi_month")).alias("period")).agg(
-        *[(money_sum(c) * INDUSTRY_UNIT).alias(f"all_{c}") for c in ("fee", "rights", "turnover", "volume")])
+        *[(money_sum(c, 6) * INDUSTRY_UNIT).alias(f"all_{c}") for c in ("fee", "rights", "turnover", "volume")])
 
     lines = (book_lines(src.statement, src.book_units, ["f5", "f6", "f8", "f18"])
              .groupBy(_of_month(grain, F.col("month_id")).alias("period"), F.col("oa_branch_id").alias("org_id"))
@@ -214,11 +215,12 @@ def assessment(book: DataFrame, quarterly: DataFrame) -> DataFrame:
         "get_score", capped_score("complet_achievement_rate", "weight_rate", "upper_limit_score"))
 
 
-def completion_by_indicator(assessed: DataFrame, units: DataFrame, level: str = "unit", grain: str = "quarter",
-                            indicators: Sequence[tuple] = INDICATORS) -> DataFrame:
+def completion_by_indicator(assessed: DataFrame, units: DataFrame, periods: DataFrame, level: str = "unit",
+                            grain: str = "quarter", indicators: Sequence[tuple] = INDICATORS) -> DataFrame:
     """Completed value and rate of every indicator per organisation and year (and quarter).
 
-    Organisations without a value keep an empty row, as does every indicator.
+    Every organisation and indicator has a row for each of ``periods`` (``year_id`` and, by
+    quarter, ``quarter_id``: a short frame taken from the calendar), empty where nothing is known.
     """
     key = LEVELS[level]
     dates = ["year_id"] + (["quarter_id"] if grain == "quarter" else [])
@@ -229,9 +231,10 @@ def completion_by_indicator(assessed: DataFrame, units: DataFrame, level: str =
         members = units.filter(F.col(key).isNotNull()).select(F.col("departmentid").alias("oa_branch_id"), F.col(key).alias("org_id"))
         orgs = members.select("org_id").distinct()
         rows = assessed.join(members, "oa_branch_id")
+    # Shares are far below one: they keep more places than amounts.
+    total = lambda c: F.when(F.col("busi_type").isin(*SHARES), money_sum(c, 12)).otherwise(money_sum(c, 4))
     done = rows.groupBy(*dates, "org_id", "busi_type").agg(
-        money_sum("target_value", 4).alias("target"), money_sum("completed", 4).alias("complete_value"))
+        total("target_value").alias("target"), total("completed").alias("complete_value"))
     done = done.select(*dates, "org_id", "busi_type", "complete_value", share_pct("complete_value", "target").alias("complete_value_rate"))
-    # Years and quarters come from the assessment; with units and indicators they form the scaffold.
-    spots = scaffold(scaffold(orgs, indicators, ["busi_type", "busi_type_name"]), rows.select(*dates).distinct())
+    spots = scaffold(scaffold(orgs, indicators, ["busi_type", "busi_type_name"]), periods.select(*dates))
     return spots.join(done, [*dates, "org_id", "busi_type"], "left")
