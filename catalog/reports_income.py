@@ -137,7 +137,7 @@ def journal(spark, sf):
 
 RETAINED_SQL = "transfee + delivery_transfee + strikefee - (market_transfee + market_delivery_transfee + market_strikefee)"
 NET_INTEREST_SQL = """
-  SELECT month, fund_account_id, round(sum(base * interest_rate * natural_days / calint_days - paid), 8) AS interest FROM (
+  SELECT month, fund_account_id, round(sum(base * interest_rate * natural_days / calint_days - paid), 2) AS interest FROM (
     SELECT m.month, fund_account_id, calint_days, interest_rate, round(sum(margin), 2) AS base, round(sum(transfee), 2) AS paid,
            max(natural_days) AS natural_days
     FROM (SELECT *, CASE WHEN fund_account_id % 2 = 0 THEN 360 ELSE 365 END AS calint_days FROM client_sett) s
@@ -253,15 +253,15 @@ def fund_of_funds_shares(spark, sf):
 BROKERAGE_PARTS = dict(rebate_rows=REBATE_ROWS, reb=_rebate_sql(True, "kind = 'p'"), base="""
   SELECT busi_date, fund_account_id, round(sum(rights - greatest(impawn_money, margin)), 2) AS base FROM client_sett GROUP BY 1, 2""", carried="""
   SELECT trade_date AS busi_date, count(*) AS carried FROM daymap WHERE trade_date IS NOT NULL GROUP BY 1""", intr="""
-  SELECT strftime(busi_date, '%Y%m') AS month, fund_account_id, round(sum(base * carried * interest_rate / 36000), 9) AS interest
+  SELECT strftime(busi_date, '%Y%m') AS month, fund_account_id, round(sum(base * carried * interest_rate / 36000), 2) AS interest
   FROM base JOIN carried USING (busi_date) JOIN rates ON busi_date BETWEEN begin_date AND end_date GROUP BY 1, 2""", fee=f"""
   SELECT month, fund_account_id, round(sum({RETAINED_SQL}), 2) AS fee FROM client_sett JOIN tradedays USING (busi_date) GROUP BY 1, 2""", brok="""
-  SELECT month AS busi_month, fund_account_id, round(coalesce(sum(fee), 0), 9) AS remain_transfee, round(coalesce(sum(interest), 0), 9) AS interest_income,
-         round(coalesce(sum(market_reduct), 0), 9) AS market_reduct
+  SELECT month AS busi_month, fund_account_id, round(coalesce(sum(fee), 0), 4) AS remain_transfee, round(coalesce(sum(interest), 0), 4) AS interest_income,
+         round(coalesce(sum(market_reduct), 0), 4) AS market_reduct
   FROM (SELECT month, fund_account_id, fee FROM fee UNION ALL BY NAME SELECT month, fund_account_id, interest FROM intr
         UNION ALL BY NAME SELECT month, fund_account_id, market_reduct FROM reb) GROUP BY 1, 2""", brokerage="""
-  SELECT b.*, a.branch_id, round(remain_transfee + interest_income + market_reduct, 9) AS feature_income_total
-  FROM brok b JOIN accounts a USING (fund_account_id) WHERE round(remain_transfee + interest_income + market_reduct, 9) <> 0""")
+  SELECT b.*, a.branch_id, round(remain_transfee + interest_income + market_reduct, 4) AS feature_income_total
+  FROM brok b JOIN accounts a USING (fund_account_id) WHERE round(remain_transfee + interest_income + market_reduct, 4) <> 0""")
 BROKERAGE_NEEDS = ("client_sett", "daymap", "tradedays", "rates", "accounts")
 
 
@@ -278,7 +278,7 @@ COOP_PARTS = dict(rebate_rows=REBATE_ROWS, reb=_rebate_sql(False, "TRUE"), intr=
   SELECT fund_account_id, min(regist_date) AS start FROM agreements WHERE service_type = '1' GROUP BY 1""", fee=f"""
   SELECT strftime(busi_date, '%Y%m') AS month, fund_account_id, round(sum({RETAINED_SQL}), 2) AS fee
   FROM client_sett JOIN starts USING (fund_account_id) WHERE busi_date >= start GROUP BY 1, 2""") + """
-SELECT f.month AS month_id, a.branch_id, round(sum((fee + coalesce(interest, 0) + coalesce(market_reduct, 0) - coalesce(occur, 0)) * coope_income_reate), 6) AS xt_income
+SELECT f.month AS month_id, a.branch_id, round(sum((fee + coalesce(interest, 0) + coalesce(market_reduct, 0) - coalesce(occur, 0)) * coope_income_reate), 4) AS xt_income
 FROM fee f LEFT JOIN intr i ON i.month = f.month AND i.fund_account_id = f.fund_account_id
 LEFT JOIN reb r ON r.month = f.month AND r.fund_account_id = f.fund_account_id
 LEFT JOIN pay p ON p.month = f.month AND p.fund_account_id = f.fund_account_id
@@ -294,7 +294,7 @@ def cooperation_income(spark, sf):
   SELECT fund_account_id, min(st_dt) AS start, sum(coalesce(data_pct, 0)) AS pct, count(*) AS n FROM served GROUP BY 1""", f=FEE_DAY, fee="""
   SELECT strftime(busi_date, '%Y%m') AS month, fund_account_id, round(sum(net_fee), 2) AS fee
   FROM f JOIN starts USING (fund_account_id) WHERE busi_date >= start GROUP BY 1, 2""") + """
-SELECT f.month AS month_id, a.branch_id, round(sum(coalesce(interest, 0) * pct + (coalesce(market_reduct, 0) - coalesce(occur, 0) + fee) * n), 6) AS zd_income
+SELECT f.month AS month_id, a.branch_id, round(sum(coalesce(interest, 0) * pct + (coalesce(market_reduct, 0) - coalesce(occur, 0) + fee) * n), 4) AS zd_income
 FROM fee f LEFT JOIN intr i ON i.month = f.month AND i.fund_account_id = f.fund_account_id
 LEFT JOIN reb r ON r.month = f.month AND r.fund_account_id = f.fund_account_id
 LEFT JOIN pay p ON p.month = f.month AND p.fund_account_id = f.fund_account_id

@@ -209,13 +209,13 @@ def rates(spark: SparkSession, sf: str) -> DataFrame:
     begin = F.date_add(F.lit(date(1995, 1, 1)), r * 500)
     return table(spark, sf, "region").select(
         begin.alias("begin_date"), F.date_add(begin, 499).alias("end_date"),
-        (F.lit(1.5) + r * 0.25).alias("interest_rate"))
+        (F.lit(1.5371) + r * 0.2513).alias("interest_rate"))
 
 
 cte("rates", """
 SELECT DATE '1995-01-01' + r_regionkey * 500 AS begin_date,
        DATE '1995-01-01' + r_regionkey * 500 + 499 AS end_date,
-       1.5::DOUBLE + r_regionkey * 0.25::DOUBLE AS interest_rate FROM region""")
+       1.5371::DOUBLE + r_regionkey * 0.2513::DOUBLE AS interest_rate FROM region""")
 
 
 def relations(spark: SparkSession, sf: str) -> DataFrame:

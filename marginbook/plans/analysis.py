@@ -16,6 +16,7 @@ from ..functions.codes import BIRTH_EDGES, birth_from_id
 from ..functions.dates import month_key, prev_year, shift_month, year_key
 from ..functions.measures import cond_count, cond_sums, growth, money_sum, nz, safe_ratio, share_pct, sums
 from ..operators.calendar import one_market, period_calendar, period_key, trading_day_map
+from ..operators.joins import scaffold
 from ..operators.merge import merge_many
 from ..operators.orgs import LEVELS, attach_org
 from ..operators.ranking import rank_within, top_n
@@ -174,7 +175,7 @@ def client_counts(trades: DataFrame, org: Organisation, calendar: DataFrame) ->
     months = one_market(calendar).select(month_key("busi_date").alias("period")).distinct()
     active = (org.place(trades.select("fund_account_id", month_key("busi_date").alias("period")).distinct())
               .groupBy("org_id", "period").agg(F.count(F.lit(1)).alias("active")))
-    spots = opened.select("org_id").distinct().join(months)
+    spots = scaffold(opened.select("org_id").distinct(), months)
     history = Window.partitionBy("org_id").orderBy("period")  # one row per month
     m = (spots.join(by_month, ["org_id", "period"], "left").join(active, ["org_id", "period"], "left").fillna(0, ["opened", "active"])
          .withColumn("total", F.sum("opened").over(history)))
@@ -194,9 +195,9 @@ def income_mix(brokerage: DataFrame, org: Organisation) -> DataFrame:
     new = F.coalesce(_new_in_month(), F.lit(False))
     cols = [*INCOME_PARTS, "feature_income_total"]
     m = placed.groupBy("org_id", "period").agg(
-        *sums(cols, 6), *cond_sums({f"{c}_new": (new, c) for c in INCOME_PARTS}, 6), *cond_sums({f"{c}_stock": (~new, c) for c in INCOME_PARTS}, 6))
+        *sums(cols, 4), *cond_sums({f"{c}_new": (new, c) for c in INCOME_PARTS}, 4), *cond_sums({f"{c}_stock": (~new, c) for c in INCOME_PARTS}, 4))
     year = Window.partitionBy("org_id", F.substring("period", 1, 4)).orderBy("period")  # twelve rows
-    m = m.select("org_id", "period", *[F.round(F.sum(c).over(year), 6).alias(c) for c in m.columns if c not in ("org_id", "period")])
+    m = m.select("org_id", "period", *[F.round(F.sum(c).over(year), 4).alias(c) for c in m.columns if c not in ("org_id", "period")])
 
     def prop(n: str, d: str) -> Column:
         return F.when(F.col(d) > 0, F.col(n) / F.col(d) * 100).otherwise(0.0)
@@ -233,7 +234,7 @@ def market_share(sett: DataFrame, trades: DataFrame, industry: DataFrame, org: O
                     (safe_ratio("done_amt", "all_volume") * 10000).alias("done_amount_market_rate"))
 
 
-def year_to_date(df: DataFrame, value: Column, name: str, org: Organisation, scale: int = 4) -> DataFrame:
+def year_to_date(df: DataFrame, value: Column, name: str, org: Organisation, scale: int = 6) -> DataFrame:
     """``name`` per organisation and month, summed since January; ``df`` has period and unit."""
     m = org.of_unit(df).groupBy("org_id", "period").agg(money_sum(value, scale).alias("__v"))
     year = Window.partitionBy("org_id", F.substring("period", 1, 4)).orderBy("period")  # twelve rows
@@ -312,7 +313,7 @@ def client_type_mix(per: DataFrame, org: Organisation, measure: str, prefix: str
     placed = org.place(per, ["client_type"])
     kinds = {t: F.col("client_type").isin(*codes) for t, codes in CLIENT_TYPES.items()}
     m = placed.groupBy("org_id", "period").agg(
-        money_sum(measure, 6).alias("__all"), *cond_sums({f"__{t}": (cond, measure) for t, cond in kinds.items()}, 6))
+        money_sum(measure, 4).alias("__all"), *cond_sums({f"__{t}": (cond, measure) for t, cond in kinds.items()}, 4))
     m = m.select("org_id", "period", *[share_pct(f"__{t}", "__all").alias(f"{prefix}_{t}") for t in kinds])
     y = _last_year(m, [f"{prefix}_{t}" for t in kinds])
     return y.select("org_id", "period", *[x for t in kinds for x in (
@@ -324,7 +325,7 @@ def new_client_type_mix(per: DataFrame, org: Organisation, measure: str, prefix:
     placed = org.place(per, ["client_type", "open_date"]).filter(_new_in_month())
     kinds = {t: F.col("client_type").isin(*codes) for t, codes in CLIENT_TYPES.items()}
     m = placed.groupBy("org_id", "period").agg(
-        money_sum(measure, 6).alias("__all"), *cond_sums({f"__{t}": (cond, measure) for t, cond in kinds.items()}, 6))
+        money_sum(measure, 4).alias("__all"), *cond_sums({f"__{t}": (cond, measure) for t, cond in kinds.items()}, 4))
     return m.select("org_id", "period", *[share_pct(f"__{t}", "__all").alias(f"{prefix}_{t}") for t in kinds])
 
 

@@ -170,7 +170,7 @@ def spread_interest(sett: DataFrame, rates: DataFrame, calendar: DataFrame) -> D
     per_day = carried.join(daily_rates(rates, one_market(calendar), "interest_rate", "begin_date", "end_date"), "busi_date")
     earned = F.col("base") * F.col("carried") * F.col("interest_rate") / 36000
     return (base.join(per_day, "busi_date").groupBy(month_key("busi_date").alias("period"), "fund_account_id")
-            .agg(money_sum(earned, 9).alias("interest_income")))
+            .agg(money_sum(earned).alias("interest_income")))
 
 
 def monthly_retained_fees(sett: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -186,8 +186,8 @@ def brokerage_income(sett: DataFrame, rates: DataFrame, rebates: DataFrame, acco
     merged = spine_merge({"a": (monthly_retained_fees(sett, calendar), ["remain_transfee"]),
                           "b": (spread_interest(sett, rates, calendar), ["interest_income"]),
                           "c": (exchange_rebate(rebates, calendar), ["market_reduct"])},
-                         ["period", "fund_account_id"], 9)
-    total = F.round(F.col("a_remain_transfee") + F.col("b_interest_income") + F.col("c_market_reduct"), 9)
+                         ["period", "fund_account_id"], 4)
+    total = F.round(F.col("a_remain_transfee") + F.col("b_interest_income") + F.col("c_market_reduct"), 4)
     return (merged.withColumn("feature_income_total", total).filter(F.col("feature_income_total") != 0)
             .join(accounts.select("fund_account_id", "branch_id"), "fund_account_id")
             .select(F.col("period").alias("busi_month"), "fund_account_id", "branch_id",
@@ -211,7 +211,7 @@ def net_interest(interest: DataFrame, rates: DataFrame, calendar: DataFrame) ->
     grouped = per_day.join(dated, "busi_date").groupBy("period", "fund_account_id", "calint_days", "interest_rate").agg(
         *sums(["base", "paid"]), F.max("natural_days").alias("days"))
     due = F.col("base") * F.col("interest_rate") * F.col("days") / F.col("calint_days") - F.col("paid")
-    return grouped.groupBy("period", "fund_account_id").agg(money_sum(due, 8).alias("interest_clear_income"))
+    return grouped.groupBy("period", "fund_account_id").agg(money_sum(due).alias("interest_clear_income"))
 
 
 def rebate_payouts(journal: DataFrame) -> DataFrame:
@@ -241,13 +241,13 @@ def cooperation_income(agreements: DataFrame, sett: DataFrame, interest: DataFra
     keys = ["period", "fund_account_id"]
     extra = spine_merge({"i": (net_interest(interest, rates, calendar), ["interest_clear_income"]),
                          "r": (exchange_rebate(rebates, calendar, COOPERATION_WINDOWS, False), ["market_reduct"]),
-                         "p": (rebate_payouts(journal), ["occur_money"])}, keys, 8)
+                         "p": (rebate_payouts(journal), ["occur_money"])}, keys, 4)
     shares = served.select("fund_account_id", "coope_income_reate").distinct()
     earned = (F.col("remain_transfee") + nz("i_interest_clear_income") + nz("r_market_reduct") - nz("p_occur_money"))
     return (fees.join(extra, keys, "left").join(shares, "fund_account_id")
             .join(accounts.select("fund_account_id", "branch_id"), "fund_account_id", "left")
             .groupBy(F.col("period").alias("month_id"), "branch_id")
-            .agg(money_sum(earned * F.col("coope_income_reate"), 6).alias("xt_income")))
+            .agg(money_sum(earned * F.col("coope_income_reate"), 4).alias("xt_income")))
 
 
 def active_relations(relations: DataFrame, prefix: str | None = "ZD") -> DataFrame:
@@ -270,13 +270,13 @@ def resident_income(relations: DataFrame, recon: DataFrame, interest: DataFrame,
     keys = ["period", "fund_account_id"]
     extra = spine_merge({"i": (net_interest(interest, rates, calendar), ["interest_clear_income"]),
                          "r": (exchange_rebate(rebates, calendar, COOPERATION_WINDOWS, False), ["market_reduct"]),
-                         "p": (rebate_payouts(journal), ["occur_money"])}, keys, 8)
+                         "p": (rebate_payouts(journal), ["occur_money"])}, keys, 4)
     shares = served.groupBy("fund_account_id").agg(F.sum(nz("data_pct")).alias("pct"), F.count(F.lit(1)).alias("rows"))
     earned = (nz("i_interest_clear_income") * F.col("pct")
               + (nz("r_market_reduct") - nz("p_occur_money") + F.col("clear_remain_transfee")) * F.col("rows"))
     return (fees.join(extra, keys, "left").join(shares, "fund_account_id")
             .join(accounts.select("fund_account_id", "branch_id"), "fund_account_id", "left")
-            .groupBy(F.col("period").alias("month_id"), "branch_id").agg(money_sum(earned, 6).alias("zd_income")))
+            .groupBy(F.col("period").alias("month_id"), "branch_id").agg(money_sum(earned, 4).alias("zd_income")))
 
 
 def cooperation_summary(agreements: DataFrame, sett: DataFrame, calendar: DataFrame) -> DataFrame:
