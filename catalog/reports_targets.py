@@ -222,7 +222,7 @@ def _completion(level: str, grain: str):
     names = ", ".join(f"('{c}', '{n}')" for c, n in T.INDICATORS)
     sql = with_(*NEEDS, "targets", "units", **actual_parts("quarter"), **ASSESS, members=orgs, done=f"""
   SELECT {d}, org_id, code AS busi_type, CASE WHEN code IN ('002', '004', '007', '009') THEN round(sum(target), 12) ELSE round(sum(target), 4) END AS t,
-         CASE WHEN code IN ('002', '004', '007', '009') THEN round(sum(completed), 12) ELSE round(sum(completed), 4) END AS v FROM scored JOIN members USING (oa_branch_id) GROUP BY ALL""",
+         CASE WHEN code IN ('002', '004', '007', '009') THEN round(sum(completed), 12) ELSE round(sum(completed), 4) END AS v FROM scored JOIN members USING (oa_branch_id) GROUP BY {d}, org_id, code""",
                 periods=f"SELECT DISTINCT {d} FROM (SELECT strftime(busi_date, '%Y') AS year_id, CAST(quarter(busi_date) AS VARCHAR) AS quarter_id FROM daymap)") + f"""
 SELECT {d}, org_id, busi_type, busi_type_name, v AS complete_value, CASE WHEN t IS NULL THEN NULL WHEN t <> 0 THEN v / t * 100 ELSE 0 END AS complete_value_rate
 FROM periods CROSS JOIN (SELECT DISTINCT org_id FROM members) CROSS JOIN (VALUES {names}) v(busi_type, busi_type_name) LEFT JOIN done USING ({d}, org_id, busi_type)"""

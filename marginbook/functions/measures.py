@@ -19,34 +19,53 @@ def _c(value: Column | str) -> Column:
 
 def nz(value: Column | str) -> Column:
     """NULL as zero."""
-    return F.coalesce(_c(value), F.lit(0))
+    return F.expr(f"coalesce({value}, 0)") if isinstance(value, str) else F.coalesce(value, F.lit(0))
+
+
+def money_sql(value: str, scale: int = 2) -> str:
+    """`money_sum` of an SQL expression, as SQL.
+
+    Reports hold hundreds of measures. As SQL text a measure is one call into the JVM instead of
+    one per function, which is what building such plans costs most.
+    """
+    return f"round(coalesce(sum({value}), 0D), {scale})"
 
 
 def money_sum(value: Column | str, scale: int = 2) -> Column:
-    """Sum with NULLs as nothing, zero for an empty group, rounded to ``scale``."""
-    return F.round(F.coalesce(F.sum(_c(value)), F.lit(0.0)), scale)
+    """Sum with NULLs as nothing, zero for an empty group, rounded to ``scale``.
+
+    ``value`` is a Column or an SQL expression (usually a column name).
+    """
+    if isinstance(value, str):
+        return F.expr(money_sql(value, scale))
+    return F.round(F.coalesce(F.sum(value), F.lit(0.0)), scale)
 
 
-def cond_sum(cond: Column, value: Column | str, scale: int = 2) -> Column:
+def cond_sum(cond: Column | str, value: Column | str, scale: int = 2) -> Column:
     """Conditional sum; rows that fail the condition add nothing."""
-    return money_sum(F.when(cond, _c(value)), scale)
+    if isinstance(cond, str) and isinstance(value, str):
+        return F.expr(money_sql(f"CASE WHEN {cond} THEN {value} END", scale))
+    return money_sum(F.when(F.expr(cond) if isinstance(cond, str) else cond, _c(value)), scale)
 
 
-def cond_count(cond: Column) -> Column:
-    return F.count(F.when(cond, F.lit(1)))
+def cond_count(cond: Column | str) -> Column:
+    return F.expr(f"count_if({cond})") if isinstance(cond, str) else F.count_if(cond)
 
 
-def cond_sums(spec: Mapping[str, tuple[Column, Column | str]], scale: int = 2) -> list[Column]:
+def cond_sums(spec: Mapping[str, tuple[Column | str, Column | str]], scale: int = 2) -> list[Column]:
     """``{name: (condition, value)}`` as a list of aggregate Columns."""
     return [cond_sum(cond, value, scale).alias(name) for name, (cond, value) in spec.items()]
 
 
 def sums(names: Iterable[str], scale: int = 2) -> list[Column]:
-    return [money_sum(n, scale).alias(n) for n in names]
+    return [F.expr(f"{money_sql(n, scale)} AS {n}") for n in names]
 
 
 def safe_ratio(n: Column | str, d: Column | str, scale: float = 1) -> Column:
     """``n / d * scale``; 0 when ``d`` is 0 or NULL, and a NULL ``n`` counts as 0."""
+    if isinstance(n, str) and isinstance(d, str):
+        times = "" if scale == 1 else f" * {scale}"
+        return F.expr(f"CASE WHEN {d} <> 0 THEN coalesce({n}, 0) / {d}{times} ELSE 0D END")
     num, den = _c(n), _c(d)
     ratio = nz(num) / den
     return F.when(den != 0, ratio if scale == 1 else ratio * scale).otherwise(F.lit(0.0))
@@ -54,6 +73,8 @@ def safe_ratio(n: Column | str, d: Column | str, scale: float = 1) -> Column:
 
 def growth(now: Column | str, base: Column | str) -> Column:
     """Percentage change against ``base``; 0 when there is no base."""
+    if isinstance(now, str) and isinstance(base, str):
+        return F.expr(f"CASE WHEN {base} <> 0 THEN (coalesce({now}, 0) / {base} - 1) * 100 ELSE 0D END")
     n, b = _c(now), _c(base)
     return F.when(b != 0, (nz(n) / b - 1) * 100).otherwise(F.lit(0.0))
 

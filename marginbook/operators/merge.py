@@ -57,21 +57,20 @@ def merge_many(target: DataFrame, updates: Sequence[tuple[DataFrame, Sequence[st
     ten joins with a write in between. Two rows for one key and indicator are an error.
     """
     names = [c for _, cols in updates for c in cols]
-    types = {c: df.schema[c].dataType for df, cols in updates for c in cols}
+    types = {c: df.schema[c].dataType.simpleString() for df, cols in updates for c in cols}
     if len(set(names)) != len(names):
         raise ValueError("each column may come from one frame only")
     stacked = None
     for mine, (df, cols) in enumerate(updates):
-        part = df.select(*keys, *[F.col(c) if c in cols else F.lit(None).cast(types[c]).alias(c)
-                                  for c in names],
-                         *[F.lit(int(i == mine)).alias(f"__n{i}") for i in range(len(updates))])
-        stacked = part if stacked is None else stacked.unionByName(part)
-    repeats = F.greatest(*[F.col(f"__n{i}") for i in range(len(updates))], F.lit(0))
-    clash = F.raise_error(F.lit("duplicate merge key")).cast("boolean")
+        part = df.selectExpr(*keys, *[c if c in cols else f"CAST(NULL AS {types[c]}) AS {c}" for c in names],
+                             f"{mine} AS __from")
+        stacked = part if stacked is None else stacked.unionAll(part)
     grouped = stacked.groupBy(*keys).agg(
-        *[F.max(c).alias(c) for c in names],
-        *[F.sum(f"__n{i}").alias(f"__n{i}") for i in range(len(updates))])
-    checked = grouped.filter(F.when(repeats > 1, clash).otherwise(F.lit(True)))
+        *[F.expr(f"max({c}) AS {c}") for c in names],
+        *[F.expr(f"count_if(__from = {i}) AS __n{i}") for i in range(len(updates))])
+    repeats = " OR ".join(f"__n{i} > 1" for i in range(len(updates)))
+    checked = grouped.filter(
+        f"CASE WHEN {repeats} THEN CAST(raise_error('duplicate merge key') AS BOOLEAN) ELSE true END")
     out = target.join(checked.select(*keys, *names), list(keys), "left")
     if default is not None:
         out = out.fillna(default, subset=names)

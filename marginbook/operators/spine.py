@@ -5,9 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from ..functions.measures import money_sum
+from ..functions.measures import sums
 
 
 def key_spine(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -15,7 +13,7 @@ def key_spine(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     out = None
     for df in frames:
         part = df.select(*keys)
-        out = part if out is None else out.unionByName(part)
+        out = part if out is None else out.unionAll(part)
     return out.distinct()
 
 
@@ -31,10 +29,9 @@ def spine_merge(frames: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Seq
     stacked = None
     for prefix, (df, measures) in frames.items():
         mine = {f"{prefix}_{m}": m for m in measures}
-        part = df.select(*keys, *[(F.col(mine[n]).cast("double") if n in mine
-                                   else F.lit(None).cast("double")).alias(n) for n in names])
-        stacked = part if stacked is None else stacked.unionByName(part)
-    return stacked.groupBy(*keys).agg(*[money_sum(n, scale).alias(n) for n in names])
+        part = df.selectExpr(*keys, *[f"CAST({mine.get(n, 'NULL')} AS DOUBLE) AS {n}" for n in names])
+        stacked = part if stacked is None else stacked.unionAll(part)
+    return stacked.groupBy(*keys).agg(*sums(names, scale))
 
 
 def union_all(frames: Sequence[DataFrame], by_position: bool = False) -> DataFrame:

@@ -123,10 +123,9 @@ def product_ranking(trades: DataFrame, securities: DataFrame, org: Organisation,
 
 # ---- monthly families ------------------------------------------------------------------------------
 
-def _new_in_month() -> Column:
-    """Opened in the year of ``period`` up to the month's end."""
-    opened = month_key("open_date")
-    return (F.substring("period", 1, 4) == F.substring(opened, 1, 4)) & (opened <= F.col("period"))
+# Opened in the year of ``period`` (a month) up to the month's end; never NULL.
+NEW_IN_MONTH = ("coalesce(year(open_date) = CAST(substring(period, 1, 4) AS INT) "
+                "AND year(open_date) * 100 + month(open_date) <= CAST(period AS INT), false)")
 
 
 def equity_analysis(sett: DataFrame, org: Organisation, calendar: DataFrame, deductions: DataFrame | None = None) -> DataFrame:
@@ -135,9 +134,9 @@ def equity_analysis(sett: DataFrame, org: Organisation, calendar: DataFrame, ded
     ``deductions`` has ``period, oa_branch_id, deduction``.
     """
     placed = org.place(per_account(sett, ["rights"], calendar), ["open_date"])
-    new = F.coalesce(_new_in_month(), F.lit(False))
+    new, old = NEW_IN_MONTH, f"NOT {NEW_IN_MONTH}"
     m = placed.groupBy("org_id", "period").agg(
-        money_sum("rights").alias("rights"), *cond_sums({"new": (new, "rights"), "stock": (~new, "rights")}),
+        money_sum("rights").alias("rights"), *cond_sums({"new": (new, "rights"), "stock": (old, "rights")}),
         F.max("trade_days").alias("days"))
     if deductions is None:
         m = m.withColumn("cut", F.lit(0.0))
@@ -155,10 +154,10 @@ def equity_analysis(sett: DataFrame, org: Organisation, calendar: DataFrame, ded
 def turnover_analysis(trades: DataFrame, org: Organisation, calendar: DataFrame) -> DataFrame:
     """Volume and turnover with year on year, split by new and existing clients."""
     placed = org.place(per_account(trades, ["done_amt", "done_sum"], calendar), ["open_date"])
-    new = F.coalesce(_new_in_month(), F.lit(False))
+    new, old = NEW_IN_MONTH, f"NOT {NEW_IN_MONTH}"
     m = placed.groupBy("org_id", "period").agg(
         *sums(["done_amt", "done_sum"]),
-        *cond_sums({"amt_new": (new, "done_amt"), "amt_stock": (~new, "done_amt"), "sum_new": (new, "done_sum"), "sum_stock": (~new, "done_sum")}))
+        *cond_sums({"amt_new": (new, "done_amt"), "amt_stock": (old, "done_amt"), "sum_new": (new, "done_sum"), "sum_stock": (old, "done_sum")}))
     y = _last_year(m, ["done_amt", "done_sum"])
     return y.select("org_id", "period", (F.col("done_amt") / WAN).alias("done_amount"), growth("done_amt", "last_done_amt").alias("done_amount_yoy"),
                     (F.col("done_sum") / YI).alias("done_money"), growth("done_sum", "last_done_sum").alias("done_money_yoy"),
@@ -192,10 +191,10 @@ def income_mix(brokerage: DataFrame, org: Organisation) -> DataFrame:
     """Brokerage income since January and its parts, each split by new and existing clients."""
     rows = brokerage.select("fund_account_id", F.col("busi_month").alias("period"), *INCOME_PARTS, "feature_income_total")
     placed = org.place(rows, ["open_date"])
-    new = F.coalesce(_new_in_month(), F.lit(False))
+    new, old = NEW_IN_MONTH, f"NOT {NEW_IN_MONTH}"
     cols = [*INCOME_PARTS, "feature_income_total"]
     m = placed.groupBy("org_id", "period").agg(
-        *sums(cols, 4), *cond_sums({f"{c}_new": (new, c) for c in INCOME_PARTS}, 4), *cond_sums({f"{c}_stock": (~new, c) for c in INCOME_PARTS}, 4))
+        *sums(cols, 4), *cond_sums({f"{c}_new": (new, c) for c in INCOME_PARTS}, 4), *cond_sums({f"{c}_stock": (old, c) for c in INCOME_PARTS}, 4))
     year = Window.partitionBy("org_id", F.substring("period", 1, 4)).orderBy("period")  # twelve rows
     m = m.select("org_id", "period", *[F.round(F.sum(c).over(year), 4).alias(c) for c in m.columns if c not in ("org_id", "period")])
 
@@ -311,7 +310,7 @@ def client_type_mix(per: DataFrame, org: Organisation, measure: str, prefix: str
     shares, so plain sums are enough.
     """
     placed = org.place(per, ["client_type"])
-    kinds = {t: F.col("client_type").isin(*codes) for t, codes in CLIENT_TYPES.items()}
+    kinds = {t: f"client_type IN ({', '.join(repr(c) for c in codes)})" for t, codes in CLIENT_TYPES.items()}
     m = placed.groupBy("org_id", "period").agg(
         money_sum(measure, 4).alias("__all"), *cond_sums({f"__{t}": (cond, measure) for t, cond in kinds.items()}, 4))
     m = m.select("org_id", "period", *[share_pct(f"__{t}", "__all").alias(f"{prefix}_{t}") for t in kinds])
@@ -322,8 +321,8 @@ def client_type_mix(per: DataFrame, org: Organisation, measure: str, prefix: str
 
 def new_client_type_mix(per: DataFrame, org: Organisation, measure: str, prefix: str) -> DataFrame:
     """The same shares among clients opened this year."""
-    placed = org.place(per, ["client_type", "open_date"]).filter(_new_in_month())
-    kinds = {t: F.col("client_type").isin(*codes) for t, codes in CLIENT_TYPES.items()}
+    placed = org.place(per, ["client_type", "open_date"]).filter(F.expr(NEW_IN_MONTH))
+    kinds = {t: f"client_type IN ({', '.join(repr(c) for c in codes)})" for t, codes in CLIENT_TYPES.items()}
     m = placed.groupBy("org_id", "period").agg(
         money_sum(measure, 4).alias("__all"), *cond_sums({f"__{t}": (cond, measure) for t, cond in kinds.items()}, 4))
     return m.select("org_id", "period", *[share_pct(f"__{t}", "__all").alias(f"{prefix}_{t}") for t in kinds])
@@ -360,7 +359,7 @@ def age_structure(trades: DataFrame, org: Organisation, calendar: DataFrame) ->
     monthly = placed.groupBy("org_id", "period").agg(*[cond_count(c).alias(f"age_{n}") for n, c in bands.items()])
     # A new client counts from its first traded month of the opening year on.
     opened = year_key("open_date")
-    first = (placed.filter((F.substring("period", 1, 4) == opened) & _new_in_month())
+    first = (placed.filter((F.substring("period", 1, 4) == opened) & F.expr(NEW_IN_MONTH))
              .groupBy("org_id", "fund_account_id", "birth").agg(F.min("period").alias("period"))
              .groupBy("org_id", "period").agg(*[cond_count(c).alias(f"__{n}") for n, c in bands.items()]))
     year = Window.partitionBy("org_id", F.substring("period", 1, 4)).orderBy("period")  # twelve rows

@@ -68,12 +68,12 @@ def key_client_programme(members: DataFrame, sett: DataFrame, contributions: Dat
     rows = (marks.join(jgx, acct, "left").join(last, acct, "left").join(flows, acct, "left").fillna(0.0, ["jgx", "last_jgx", "rights", "fee"]))
     placed = org.place(rows, ["client_type", "open_date"]).join(counts, "period")
 
-    now, was = F.col("now") == 1, F.col("was") == 1
-    kept, fresh, lost = now & was, now & ~was, ~now & was
-    opened = year_key("open_date") >= F.col("period")
-    this_year = year_key("open_date") == F.col("period")
-    groups = {"1": kept, "2": kept & this_year, "3": fresh & ~opened, "4": fresh & opened}
-    types = {t: now & F.col("client_type").isin(*codes) for t, codes in CLIENT_TYPES.items()}
+    now, was = "now = 1", "was = 1"
+    kept, fresh, lost = "now = 1 AND was = 1", "now = 1 AND was = 0", "now = 0 AND was = 1"
+    year = "CAST(period AS INT)"
+    groups = {"1": kept, "2": f"{kept} AND year(open_date) = {year}", "3": f"{fresh} AND NOT year(open_date) >= {year}",
+              "4": f"{fresh} AND year(open_date) >= {year}"}
+    types = {t: f"now = 1 AND client_type IN ({', '.join(repr(c) for c in codes)})" for t, codes in CLIENT_TYPES.items()}
     g = placed.groupBy("org_id", "period").agg(
         cond_count(now).alias("num_all"), cond_sum(now, "jgx").alias("jgx_all"),
         *[cond_count(c).alias(f"client_num_{n}") for n, c in types.items()],

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import money_sum, nz
+from ..functions.measures import cond_sum, money_sum, sums
 from ..operators.joins import scaffold
 from ..operators.merge import insert_missing
 
@@ -70,13 +70,21 @@ def indicator_results(balance: DataFrame, indicators: DataFrame, excluded_books:
                     (F.col("__v") * F.col("cal_direction")).alias("index_value")))
 
 
-def _totals(df: DataFrame, p: str) -> DataFrame:
-    """Subtotals of one column family, in the order in which they depend on each other."""
-    c = lambda i: F.col(f"{p}{i}")
-    total = lambda lines: F.round(sum((c(i) for i in lines[1:]), c(lines[0])), 2)
-    return (df.withColumn(f"{p}5", total(range(6, 12))).withColumn(f"{p}12", total(range(13, 18)))
-            .withColumn(f"{p}18", F.round(c(5) - c(12), 2)).withColumn(f"{p}21", F.round(c(18) + c(19) - c(20), 2))
-            .withColumn(f"{p}23", F.round(c(21) - c(22), 2)))
+def _subtotals(df: DataFrame, families: str) -> DataFrame:
+    """Subtotals of the column families, in the order in which they depend on each other."""
+    steps = (
+        lambda p: [f"round({'+'.join(f'{p}{i}' for i in range(6, 12))}, 2) AS {p}5",
+                   f"round({'+'.join(f'{p}{i}' for i in range(13, 18))}, 2) AS {p}12"],
+        lambda p: [f"round({p}5 - {p}12, 2) AS {p}18"],
+        lambda p: [f"round({p}18 + {p}19 - {p}20, 2) AS {p}21"],
+        lambda p: [f"round({p}21 - {p}22, 2) AS {p}23"])
+    for step in steps:
+        df = df.selectExpr("*", *[e for p in families for e in step(p)])
+    return df
+
+
+def _texts(values: Sequence[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
 def profit_statement(results: DataFrame, balance: DataFrame, excluded_books: DataFrame, books: DataFrame,
@@ -87,29 +95,25 @@ def profit_statement(results: DataFrame, balance: DataFrame, excluded_books: Dat
     ``e`` their sum, ``f`` actual (b + e), ``g`` actual since January. Line numbers: 5 revenue
     (6-11), 12 costs (13-17), 18 operating profit, 21 profit before tax, 23 net profit.
     """
-    group, code = F.col("index_para_name"), F.col("index_id")
-
-    def line(cond: Column) -> Column:
-        return money_sum(F.when(cond, F.col("index_value")))
+    def line(groups: Sequence[str], codes: Sequence[str], name: str) -> Column:
+        return cond_sum(f"index_para_name IN ({_texts(groups)}) AND index_id IN ({_texts(codes)})", "index_value").alias(name)
 
-    sums_ = [line((group == g) & code.isin(*ids)).alias(f"b{n}") for n, (g, ids) in OWN_LINES.items()]
+    lines_ = [line((g,), ids, f"b{n}") for n, (g, ids) in OWN_LINES.items()]
     for p, groups in (("c", MOVED_OUT), ("d", MOVED_IN)):
-        sums_ += [line(group.isin(*groups) & code.isin(*ids)).alias(f"{p}{n}") for n, ids in MOVED_LINES.items()]
-    by_book = results.groupBy(F.col("busi_month").alias("month_id"), "book_id").agg(*sums_)
+        lines_ += [line(groups, ids, f"{p}{n}") for n, ids in MOVED_LINES.items()]
+    by_book = results.groupBy(F.col("busi_month").alias("month_id"), "book_id").agg(*lines_)
     tax = (account_activity(balance, excluded_books, INCOME_TAX_ACCOUNT)
-           .select(F.col("account_period").alias("month_id"), "book_id", F.col("index_value").alias("b22")))
+           .selectExpr("account_period AS month_id", "book_id", "index_value AS b22"))
     keys = ["month_id", "book_id"]
     df = scaffold(books.select("book_id"), months.select("month_id")).join(by_book, keys, "left").join(tax, keys, "left")
-    df = df.fillna(0.0).withColumns({"b13": F.lit(0.0), "b14": F.round(F.col("b6") * SURCHARGE, 2)})
-    for p in "bcd":
-        df = _totals(df, p)
+    df = df.fillna(0.0).selectExpr("*", "0D AS b13", f"round(b6 * {SURCHARGE}D, 2) AS b14")
+    df = _subtotals(df, "bcd")
     lines = range(5, 24)
-    df = df.select(*keys, *[f"{p}{i}" for p in "bcd" for i in lines],
-                   *[F.round(F.col(f"c{i}") + F.col(f"d{i}"), 2).alias(f"e{i}") for i in lines],
-                   *[F.round(F.col(f"b{i}") + F.col(f"c{i}") + F.col(f"d{i}"), 2).alias(f"f{i}") for i in lines])
+    df = df.selectExpr(*keys, *[f"{p}{i}" for p in "bcd" for i in lines],
+                       *[f"round(c{i} + d{i}, 2) AS e{i}" for i in lines], *[f"round(b{i} + c{i} + d{i}, 2) AS f{i}" for i in lines])
     # Twelve rows at most per book and year.
-    year = Window.partitionBy("book_id", F.substring("month_id", 1, 4)).orderBy("month_id")
-    return df.select("*", *[F.round(F.sum(f"f{i}").over(year), 2).alias(f"g{i}") for i in lines])
+    year = "(PARTITION BY book_id, substring(month_id, 1, 4) ORDER BY month_id)"
+    return df.selectExpr("*", *[f"round(sum(f{i}) OVER {year}, 2) AS g{i}" for i in lines])
 
 
 def levy_adjustment_rows(existing: DataFrame, branches: DataFrame, months: DataFrame) -> DataFrame:
@@ -126,4 +130,4 @@ def resident_staff(existing: DataFrame, brokers: DataFrame, prefix: str = "ZD")
 def book_lines(statement: DataFrame, book_units: DataFrame, lines: Sequence[str]) -> DataFrame:
     """Statement lines per month and unit."""
     return (statement.join(book_units, "book_id").groupBy("month_id", "oa_branch_id")
-            .agg(*[money_sum(nz(c)).alias(c) for c in lines]))
+            .agg(*sums(lines)))

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # Call-site capture costs milliseconds per Column; plans here hold thousands of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
