@@ -41,7 +41,9 @@ def with_(*names: str, **extra: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A given table; the frame (a plan, not data) is kept so that it is resolved once."""
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -55,6 +57,10 @@ def weekday_only(ts: Column) -> Column:
     return F.date_sub(d, F.greatest(F.weekday(d) - 4, F.lit(0)))
 
 
+# The same as Spark SQL text.
+ROLLED = "date_sub(CAST({c} AS DATE), greatest(weekday({c}) - 4, 0))"
+
+
 def _rolled(c: str) -> str:
     return f"CAST({c} AS DATE) - CAST(greatest(isodow({c}) - 5, 0) AS INTEGER)"
 
@@ -67,6 +73,7 @@ def _year_span(spark: SparkSession, sf: str) -> tuple[date, date]:
     return date(low.year, 1, 1) - timedelta(days=15), date(high.year, 12, 31)
 
 
+@lru_cache(maxsize=64)
 def calendar(spark: SparkSession, sf: str) -> DataFrame:
     """Every natural day of the orders' years (and 15 before); weekends and holidays closed."""
     d = F.col("busi_date")
@@ -97,6 +104,7 @@ FROM daymap GROUP BY month""", "daymap")
 
 # ---- dimensions ---------------------------------------------------------------------------
 
+@lru_cache(maxsize=64)
 def accounts(spark: SparkSession, sf: str) -> DataFrame:
     k, seg = F.col("c_custkey"), F.col("c_mktsegment")
     birth = F.date_add(F.lit(date(1955, 1, 1)), (k * 13 % 18250).cast("int"))
@@ -127,6 +135,7 @@ SELECT c_custkey AS fund_account_id, c_custkey AS client_id, c_name AS client_na
 FROM (SELECT *, DATE '1955-01-01' + CAST(c_custkey * 13 % 18250 AS INTEGER) AS birth FROM customer)""")
 
 
+@lru_cache(maxsize=64)
 def branch_map(spark: SparkSession, sf: str) -> DataFrame:
     """Branch to unit; the last nation has no unit."""
     return table(spark, sf, "nation").select(
@@ -139,6 +148,7 @@ SELECT n_nationkey AS ctp_branch_id, CASE WHEN n_nationkey <> 24 THEN n_name END
 FROM nation""")
 
 
+@lru_cache(maxsize=64)
 def units(spark: SparkSession, sf: str) -> DataFrame:
     n = F.col("n_nationkey")
     return (table(spark, sf, "nation")
@@ -166,6 +176,7 @@ FROM branch_map JOIN units ON oa_branch_id = departmentid WHERE respons_line_id
     "branch_map", "units")
 
 
+@lru_cache(maxsize=64)
 def securities(spark: SparkSession, sf: str) -> DataFrame:
     k, size, kind = F.col("p_partkey"), F.col("p_size"), F.col("p_type")
     first = F.date_add(F.lit(date(1996, 1, 1)), (k * 31 % 2000).cast("int"))
@@ -203,6 +214,7 @@ SELECT *, CASE WHEN length(delivery_year) = 4 THEN substr(delivery_year, 3, 2) |
 FROM securities""", "securities")
 
 
+@lru_cache(maxsize=64)
 def rates(spark: SparkSession, sf: str) -> DataFrame:
     """Interest rate by interval, in percent: five intervals of 500 days."""
     r = F.col("r_regionkey")
@@ -218,6 +230,7 @@ SELECT DATE '1995-01-01' + r_regionkey * 500 AS begin_date,
        1.5371::DOUBLE + r_regionkey * 0.2513::DOUBLE AS interest_rate FROM region""")
 
 
+@lru_cache(maxsize=64)
 def relations(spark: SparkSession, sf: str) -> DataFrame:
     """Staff-client relations: customers served by a broker for a while."""
     k, seg = F.col("c_custkey"), F.col("c_mktsegment")
@@ -249,107 +262,83 @@ FROM customer)""")
 
 # ---- facts --------------------------------------------------------------------------------
 
+# Row-level settlement measures, in the SQL both engines share; {d} marks a double literal.
+SETT_COLUMNS = """
+o_totalprice AS rights | floor(o_totalprice * 0.9{d} * 100) / 100 AS yes_rights
+CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice ELSE 0 END AS fund_in
+CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice ELSE 0 END AS fund_out
+CASE WHEN o_orderpriority = '2-HIGH' THEN floor(o_totalprice * 0.4{d} * 100) / 100 ELSE 0 END AS impawn_money
+floor(o_totalprice * 0.3{d} * 100) / 100 AS margin | floor(o_totalprice * 0.25{d} * 100) / 100 AS market_margin
+floor(o_totalprice * 0.6{d} * 100) / 100 AS open_pre_money
+floor(o_totalprice * (o_orderkey % 21 - 10) / 100 * 100) / 100 AS today_profit
+floor(o_totalprice * 0.02{d} * 100) / 100 AS transfee | floor(o_totalprice * 0.01{d} * 100) / 100 AS market_transfee
+CASE WHEN o_orderstatus = 'P' THEN floor(o_totalprice * 0.005{d} * 100) / 100 ELSE 0 END AS delivery_transfee
+CASE WHEN o_orderstatus = 'P' THEN floor(o_totalprice * 0.002{d} * 100) / 100 ELSE 0 END AS market_delivery_transfee
+CASE WHEN o_orderstatus = 'O' THEN floor(o_totalprice * 0.004{d} * 100) / 100 ELSE 0 END AS strikefee
+CASE WHEN o_orderstatus = 'O' THEN floor(o_totalprice * 0.001{d} * 100) / 100 ELSE 0 END AS market_strikefee
+"""
+
+
+def _list(listing: str, **names: str) -> list[str]:
+    """Column expressions separated by line ends or bars."""
+    return [e.strip().format(**names) for line in listing.strip().splitlines() for e in line.split("|")]
+
+
+@lru_cache(maxsize=64)
 def client_sett(spark: SparkSession, sf: str) -> DataFrame:
     """Settlement rows from orders: balances, flows and fees per account and weekday."""
-    p, pri, st, k = F.col("o_totalprice"), F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_orderkey")
-    zero = F.lit(0.0)
-    return table(spark, sf, "orders").select(
-        weekday_only(F.col("o_orderdate")).alias("busi_date"),
-        F.col("o_custkey").alias("fund_account_id"), F.col("o_custkey").alias("client_id"),
-        (F.col("o_custkey") % 25).cast("int").alias("branch_id"),
-        F.lit("1").alias("money_type"), st.alias("sett_type"),
-        p.alias("rights"), cents(p * 0.9).alias("yes_rights"),
-        F.when(pri == "1-URGENT", p).otherwise(zero).alias("fund_in"),
-        F.when(pri == "5-LOW", p).otherwise(zero).alias("fund_out"),
-        F.when(pri == "2-HIGH", cents(p * 0.4)).otherwise(zero).alias("impawn_money"),
-        cents(p * 0.3).alias("margin"), cents(p * 0.25).alias("market_margin"),
-        cents(p * 0.6).alias("open_pre_money"),
-        cents(p * (k % 21 - 10) / 100).alias("today_profit"),
-        cents(p * 0.02).alias("transfee"), cents(p * 0.01).alias("market_transfee"),
-        F.when(st == "P", cents(p * 0.005)).otherwise(zero).alias("delivery_transfee"),
-        F.when(st == "P", cents(p * 0.002)).otherwise(zero).alias("market_delivery_transfee"),
-        F.when(st == "O", cents(p * 0.004)).otherwise(zero).alias("strikefee"),
-        F.when(st == "O", cents(p * 0.001)).otherwise(zero).alias("market_strikefee"))
+    return table(spark, sf, "orders").selectExpr(
+        f"{ROLLED.format(c='o_orderdate')} AS busi_date", "o_custkey AS fund_account_id", "o_custkey AS client_id",
+        "CAST(o_custkey % 25 AS INT) AS branch_id", "'1' AS money_type", "o_orderstatus AS sett_type",
+        *_list(SETT_COLUMNS, d="D"))
 
 
 cte("client_sett", f"""
 SELECT {_rolled('o_orderdate')} AS busi_date, o_custkey AS fund_account_id, o_custkey AS client_id,
        CAST(o_custkey % 25 AS INTEGER) AS branch_id, '1' AS money_type, o_orderstatus AS sett_type,
-       o_totalprice AS rights, floor(o_totalprice * 0.9::DOUBLE * 100) / 100 AS yes_rights,
-       CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice ELSE 0 END AS fund_in,
-       CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice ELSE 0 END AS fund_out,
-       CASE WHEN o_orderpriority = '2-HIGH' THEN floor(o_totalprice * 0.4::DOUBLE * 100) / 100 ELSE 0 END AS impawn_money,
-       floor(o_totalprice * 0.3::DOUBLE * 100) / 100 AS margin,
-       floor(o_totalprice * 0.25::DOUBLE * 100) / 100 AS market_margin,
-       floor(o_totalprice * 0.6::DOUBLE * 100) / 100 AS open_pre_money,
-       floor(o_totalprice * (o_orderkey % 21 - 10) / 100 * 100) / 100 AS today_profit,
-       floor(o_totalprice * 0.02::DOUBLE * 100) / 100 AS transfee,
-       floor(o_totalprice * 0.01::DOUBLE * 100) / 100 AS market_transfee,
-       CASE WHEN o_orderstatus = 'P' THEN floor(o_totalprice * 0.005::DOUBLE * 100) / 100 ELSE 0 END AS delivery_transfee,
-       CASE WHEN o_orderstatus = 'P' THEN floor(o_totalprice * 0.002::DOUBLE * 100) / 100 ELSE 0 END AS market_delivery_transfee,
-       CASE WHEN o_orderstatus = 'O' THEN floor(o_totalprice * 0.004::DOUBLE * 100) / 100 ELSE 0 END AS strikefee,
-       CASE WHEN o_orderstatus = 'O' THEN floor(o_totalprice * 0.001::DOUBLE * 100) / 100 ELSE 0 END AS market_strikefee
-FROM orders""")
-
-
-def _trade_columns(account: Column) -> list[Column]:
-    q, p, flag, line = F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_returnflag"), F.col("l_linenumber")
-    closing = F.col("l_returnflag") == "R"
-    return [
-        weekday_only(F.col("l_shipdate")).alias("busi_date"), account.alias("fund_account_id"),
-        account.alias("client_id"), (account % 25).cast("int").alias("branch_id"),
-        F.lit("1").alias("money_type"), F.col("l_partkey").alias("security_id"),
-        F.when(flag == "A", "11").when(flag == "N", "12").otherwise("21").alias("trade_type"),
-        F.when(line == 7, "3").when(F.col("l_linestatus") == "F", "1").otherwise("2").alias("trade_prop"),
-        (line % 2).cast("string").alias("bs_direction"),
-        F.when(line % 3 == 0, "3").otherwise("1").alias("trade_order"),
-        F.when(q >= 48, "1").otherwise("0").alias("force_flag"),
-        q.alias("done_amt"), p.alias("done_sum"),
-        F.when(closing, q).otherwise(0.0).alias("close_amount_today"),
-        F.when(closing, p).otherwise(0.0).alias("close_money_today"),
-        cents(p * F.col("l_tax")).alias("transfee"), cents(p * F.col("l_tax") / 2).alias("market_transfee"),
-        cents(p * F.col("l_discount")).alias("margin"), cents(p * F.col("l_discount") / 2).alias("market_margin"),
-        cents(p * (line - 4) / 50).alias("today_profit"), cents(p / q).alias("sett_price")]
-
-
-def _trade_sql(account: str) -> str:
-    return f"""{_rolled('l_shipdate')} AS busi_date, {account} AS fund_account_id, {account} AS client_id,
-       CAST({account} % 25 AS INTEGER) AS branch_id, '1' AS money_type, l_partkey AS security_id,
-       CASE l_returnflag WHEN 'A' THEN '11' WHEN 'N' THEN '12' ELSE '21' END AS trade_type,
-       CASE WHEN l_linenumber = 7 THEN '3' WHEN l_linestatus = 'F' THEN '1' ELSE '2' END AS trade_prop,
-       CAST(l_linenumber % 2 AS VARCHAR) AS bs_direction,
-       CASE WHEN l_linenumber % 3 = 0 THEN '3' ELSE '1' END AS trade_order,
-       CASE WHEN l_quantity >= 48 THEN '1' ELSE '0' END AS force_flag,
-       l_quantity AS done_amt, l_extendedprice AS done_sum,
-       CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END AS close_amount_today,
-       CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0 END AS close_money_today,
-       floor(l_extendedprice * l_tax * 100) / 100 AS transfee,
-       floor(l_extendedprice * l_tax / 2 * 100) / 100 AS market_transfee,
-       floor(l_extendedprice * l_discount * 100) / 100 AS margin,
-       floor(l_extendedprice * l_discount / 2 * 100) / 100 AS market_margin,
-       floor(l_extendedprice * (l_linenumber - 4) / 50 * 100) / 100 AS today_profit,
-       floor(l_extendedprice / l_quantity * 100) / 100 AS sett_price"""
+       {", ".join(_list(SETT_COLUMNS, d="::DOUBLE"))} FROM orders""")
+
+# Row-level trade measures by account column {a}.
+TRADE_COLUMNS = """
+{a} AS fund_account_id | {a} AS client_id | CAST({a} % 25 AS INT) AS branch_id | '1' AS money_type | l_partkey AS security_id
+CASE l_returnflag WHEN 'A' THEN '11' WHEN 'N' THEN '12' ELSE '21' END AS trade_type
+CASE WHEN l_linenumber = 7 THEN '3' WHEN l_linestatus = 'F' THEN '1' ELSE '2' END AS trade_prop
+CAST(l_linenumber % 2 AS {text}) AS bs_direction | CASE WHEN l_linenumber % 3 = 0 THEN '3' ELSE '1' END AS trade_order
+CASE WHEN l_quantity >= 48 THEN '1' ELSE '0' END AS force_flag | l_quantity AS done_amt | l_extendedprice AS done_sum
+CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END AS close_amount_today
+CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0 END AS close_money_today
+floor(l_extendedprice * l_tax * 100) / 100 AS transfee | floor(l_extendedprice * l_tax / 2 * 100) / 100 AS market_transfee
+floor(l_extendedprice * l_discount * 100) / 100 AS margin | floor(l_extendedprice * l_discount / 2 * 100) / 100 AS market_margin
+floor(l_extendedprice * (l_linenumber - 4) / 50 * 100) / 100 AS today_profit
+floor(l_extendedprice / l_quantity * 100) / 100 AS sett_price
+"""
 
 
+@lru_cache(maxsize=64)
 def fills(spark: SparkSession, sf: str) -> DataFrame:
     """Fills by client account: items, with the account of their order."""
     return (table(spark, sf, "lineitem")
             .join(table(spark, sf, "orders").select("o_orderkey", "o_custkey"),
                   F.col("l_orderkey") == F.col("o_orderkey"))
-            .select(*_trade_columns(F.col("o_custkey"))))
+            .selectExpr(f"{ROLLED.format(c='l_shipdate')} AS busi_date", *_list(TRADE_COLUMNS, a="o_custkey", text="STRING")))
 
 
-cte("fills", f"SELECT {_trade_sql('o_custkey')} FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+cte("fills", f"""SELECT {_rolled('l_shipdate')} AS busi_date, {", ".join(_list(TRADE_COLUMNS, a="o_custkey", text="VARCHAR"))}
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 
 
+@lru_cache(maxsize=64)
 def house_fills(spark: SparkSession, sf: str) -> DataFrame:
     """Fills by house account (the supplier), which the item itself names."""
-    return table(spark, sf, "lineitem").select(*_trade_columns(F.col("l_suppkey")))
+    return table(spark, sf, "lineitem").selectExpr(
+        f"{ROLLED.format(c='l_shipdate')} AS busi_date", *_list(TRADE_COLUMNS, a="l_suppkey", text="STRING"))
 
 
-cte("house_fills", f"SELECT {_trade_sql('l_suppkey')} FROM lineitem")
+cte("house_fills", f"""SELECT {_rolled('l_shipdate')} AS busi_date, {", ".join(_list(TRADE_COLUMNS, a="l_suppkey", text="VARCHAR"))}
+FROM lineitem""")
 
 
+@lru_cache(maxsize=64)
 def house_accounts(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("s_suppkey")
     return table(spark, sf, "supplier").select(
@@ -369,6 +358,7 @@ LEDGER_CODES = ("602101", "642101", "601102", "641103", "6111", "6101", "606101"
                 "6404", "6701", "6402", "6301", "671101", "6801", "660143", "6403")
 
 
+@lru_cache(maxsize=64)
 def ledger(spark: SparkSession, sf: str) -> DataFrame:
     """General-ledger lines from items: period, account code, book, summary text, amount."""
     flag = F.col("l_returnflag")
@@ -389,6 +379,7 @@ SELECT strftime(l_shipdate, '%Y%m') AS account_period,
        l_extendedprice AS local_credit_sum FROM lineitem""")
 
 
+@lru_cache(maxsize=64)
 def excluded_books(spark: SparkSession, sf: str) -> DataFrame:
     return (table(spark, sf, "supplier").filter(F.col("s_acctbal") < -900)
             .select(F.concat(F.lit("B"), (F.col("s_suppkey") % 30).cast("string")).alias("book_code")).distinct())
@@ -398,6 +389,7 @@ cte("excluded_books", """
 SELECT DISTINCT 'B' || CAST(s_suppkey % 30 AS VARCHAR) AS book_code FROM supplier WHERE s_acctbal < -900""")
 
 
+@lru_cache(maxsize=64)
 def books(spark: SparkSession, sf: str) -> DataFrame:
     """Books with the unit that owns each."""
     return (table(spark, sf, "supplier").groupBy(

@@ -97,9 +97,9 @@ def bucketize(value: Column | str, edges: Sequence, labels: Sequence[str]) -> Co
     return out.when(v.isNotNull(), F.lit(labels[-1]))
 
 
-def col_or(df: DataFrame, name: str, default: float = 0.0) -> Column:
-    """The column if the frame has it, else a literal: lets sources carry fewer measures."""
-    return F.coalesce(F.col(name), F.lit(default)) if name in df.columns else F.lit(default)
+def col_or_zero(df: DataFrame, name: str) -> str:
+    """The column, NULL as zero, or zero if the frame lacks it: sources may carry fewer measures."""
+    return f"coalesce({name}, 0D) AS {name}" if name in df.columns else f"0D AS {name}"
 
 
 def group_concat(value: Column | str, sep: str = "/") -> Column:

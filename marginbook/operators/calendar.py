@@ -149,6 +149,5 @@ def expand_natural_days(facts: DataFrame, calendar: DataFrame, flows: list[str],
     """
     days = trading_day_map(calendar, 0, market).select(
         F.col("busi_date").alias(natural), F.col("trade_date").alias(date_col), "trade_flag")
-    return facts.join(days, date_col).select(
-        natural, "trade_flag", date_col, *keep,
-        *[(F.col(c) * F.col("trade_flag")).alias(c) for c in flows], *stocks)
+    return facts.join(days, date_col).selectExpr(
+        natural, "trade_flag", date_col, *keep, *[f"{c} * trade_flag AS {c}" for c in flows], *stocks)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.measures import col_or, money_sum, nz, safe_ratio, sums
+from ..functions.measures import col_or_zero, cond_sums, money_sum, nz, safe_ratio, sums
 from ..operators.calendar import expand_natural_days, period_calendar
 
 # Settlement measures. Flows belong to a trading day and are zero on the days
@@ -53,7 +53,7 @@ def net_retained_fees(values: DataFrame, day: str = "tx_dt", investor: str = "in
 
 def _per_day(sett: DataFrame, trades: DataFrame, fees: DataFrame | None) -> DataFrame:
     """Settlement summed to its key, with that day's trades and net fees beside it."""
-    base = sett.select("busi_date", *KEYS, *[col_or(sett, m).alias(m) for m in [*FLOWS, *STOCKS]])
+    base = sett.selectExpr("busi_date", *KEYS, *[col_or_zero(sett, m) for m in [*FLOWS, *STOCKS]])
     day = base.groupBy("busi_date", *KEYS).agg(*sums([*FLOWS, *STOCKS]))
     day = day.join(trades, ["busi_date", "fund_account_id", "money_type"], "left")
     if fees is not None:
@@ -136,30 +136,23 @@ def monthly_fund_reconciliation(sett: DataFrame, calendar: DataFrame, trades: Da
         F.max("natural_days").alias("nd"),
         F.max(F.when(F.col("busi_date") == F.col("trade_date"), 1).otherwise(0)).alias("own"))
     j = day.join(per_date, "busi_date")
-    own = F.col("own") == 1
-    opening = own & (F.col("busi_date") == F.col("first_trade"))
-    closing = own & (F.col("busi_date") == F.col("last_trade"))
-
-    def over(value, cond=own):
-        return money_sum(F.when(cond, value))
-
-    r, z = F.col("rights"), F.col
+    own, opening, closing = "own = 1", "own = 1 AND busi_date = first_trade", "own = 1 AND busi_date = last_trade"
+    fee = "{0}transfee + {0}delivery_transfee + {0}strikefee"
+    z = F.col
     agg = j.groupBy("period", *KEYS).agg(
-        over(z("yes_rights"), opening).alias("yes_rights"), over(r, closing).alias("end_rights"),
-        F.max("rights").alias("max_rights"), over(r).alias("__rt"), money_sum(r * z("w")).alias("__rn"),
-        over(z("open_pre_money")).alias("__ot"), money_sum(z("open_pre_money") * z("w")).alias("total_open_pre_money"),
-        over(z("impawn_money")).alias("__it"), money_sum(z("impawn_money") * z("w")).alias("total_impawn_money"),
-        over(z("market_deposit")).alias("__md"), over(z("socrt_openfee")).alias("jingshoufei"),
-        over(z("settlementfee")).alias("jiesuanfei"), over(z("yes_impawn_money"), opening).alias("begin_yes_impawn_money"),
-        over(z("lastfundmortgagein"), opening).alias("fund_impawn_in_yes"),
-        over(z("lastfundmortgageout"), opening).alias("fund_impawn_out_yes"),
-        over(z("fund_in") + z("strikeactreceivsum")).alias("fund_in"),
-        over(z("fund_out") + z("strikeactpaysum")).alias("fund_out"),
-        over(_fees("")).alias("transfee"), over(_fees("market_")).alias("market_transfee"),
-        over(z("transfee")).alias("trade_transfee"), over(z("market_transfee")).alias("market_trade_transfee"),
-        *[over(z(c), closing).alias(f"end_{c}") for c in AT_CLOSE],
-        *[over(z(c)).alias(c) for c in OVER_PERIOD],
-        F.max("td").alias("trade_days"), F.max("nd").alias("natural_days"))
+        *cond_sums({
+            "yes_rights": (opening, "yes_rights"), "end_rights": (closing, "rights"), "__rt": (own, "rights"),
+            "__ot": (own, "open_pre_money"), "__it": (own, "impawn_money"), "__md": (own, "market_deposit"),
+            "jingshoufei": (own, "socrt_openfee"), "jiesuanfei": (own, "settlementfee"),
+            "begin_yes_impawn_money": (opening, "yes_impawn_money"), "fund_impawn_in_yes": (opening, "lastfundmortgagein"),
+            "fund_impawn_out_yes": (opening, "lastfundmortgageout"), "fund_in": (own, "fund_in + strikeactreceivsum"),
+            "fund_out": (own, "fund_out + strikeactpaysum"), "transfee": (own, fee.format("")),
+            "market_transfee": (own, fee.format("market_")), "trade_transfee": (own, "transfee"),
+            "market_trade_transfee": (own, "market_transfee"),
+            **{f"end_{c}": (closing, c) for c in AT_CLOSE}, **{c: (own, c) for c in OVER_PERIOD}}),
+        money_sum("rights * w").alias("__rn"), money_sum("open_pre_money * w").alias("total_open_pre_money"),
+        money_sum("impawn_money * w").alias("total_impawn_money"),
+        F.max("rights").alias("max_rights"), F.max("td").alias("trade_days"), F.max("nd").alias("natural_days"))
     return agg.select(
         "period", *KEYS, "yes_rights", "end_rights", "max_rights",
         safe_ratio("__rt", "trade_days").alias("avg_trade_rights"),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import delivery_month
-from ..functions.measures import cond_sum, money_sum, nz, sums
+from ..functions.measures import cond_sum, cond_sums, money_sql, money_sum, sums
 from ..operators.calendar import period_calendar, trading_day_map
 from ..operators.spine import spine_merge
 from .settlement import DEFAULT_LEVY
@@ -30,56 +30,50 @@ def _period(df: DataFrame, calendar: DataFrame, grain: str, date_col: str = "bus
 def open_positions(hold_detail: DataFrame, calendar: DataFrame, grain: str) -> DataFrame:
     """Positions at the period's last trading day, and their daily average."""
     df = _period(hold_detail, calendar, grain)
-    last = F.col("busi_date") == F.col("last_trade")
-    money = F.col("amount") * F.col("sett_price") * F.col("hand_amount")
-    option = last & F.col("trade_type").isin(*OPTION_TYPES)
-    at_end = {"hold_amount": F.col("amount"), "hold_money": money,
-              "hold_profit_bydate": F.col("hold_profit_bydate"), "hold_profit_bytrade": F.col("hold_profit_bytrade"),
-              "margin": F.col("margin"), "market_margin": F.col("market_margin")}
+    last, money = "busi_date = last_trade", "amount * sett_price * hand_amount"
+    option = f"{last} AND trade_type IN {OPTION_TYPES}"
+    at_end = {"hold_amount": "amount", "hold_money": money, **{c: c for c in (
+        "hold_profit_bydate", "hold_profit_bytrade", "margin", "market_margin")}}
     return df.groupBy(*KEYS).agg(
-        *[cond_sum(last, v).alias(n) for n, v in at_end.items()],
-        cond_sum(option & (F.col("bs_direction") == "0"), money).alias("buy_hold_money_qq"),
-        cond_sum(option & (F.col("bs_direction") == "1"), money).alias("sell_hold_money_qq"),
-        money_sum("amount").alias("__amount"), F.max("trade_days").alias("__days")
-    ).withColumn("hold_amount_avg", F.round(F.col("__amount") / F.col("__days"), 8)).drop("__amount", "__days")
+        *cond_sums({n: (last, v) for n, v in at_end.items()}),
+        cond_sum(f"{option} AND bs_direction = '0'", money).alias("buy_hold_money_qq"),
+        cond_sum(f"{option} AND bs_direction = '1'", money).alias("sell_hold_money_qq"),
+        F.expr(f"round({money_sql('amount')} / max(trade_days), 8) AS hold_amount_avg"))
+
+
+MARGINS = (("margin_tj", "1"), ("margin_tl", "2"), ("margin_tb", "3"))
 
 
 def position_fees(hold_balance: DataFrame, calendar: DataFrame, grain: str) -> DataFrame:
     df = _period(hold_balance, calendar, grain)
-    option = F.col("trade_type").isin(*OPTION_TYPES)
-    fee = nz("transfee") + nz("settfee") + nz("holdmovefee")
-    market_fee = nz("market_transfee") + nz("market_settfee") + nz("market_holdmovefee")
+    fee = "coalesce({0}transfee, 0) + coalesce({0}settfee, 0) + coalesce({0}holdmovefee, 0)"
+    option = f"trade_type IN {OPTION_TYPES}"
     return df.groupBy(*KEYS).agg(
-        money_sum(fee).alias("transfee"), money_sum(market_fee).alias("market_transfee"),
+        money_sum(fee.format("")).alias("transfee"), money_sum(fee.format("market_")).alias("market_transfee"),
         money_sum("today_profit").alias("total_profit"),
         *sums(["close_profit_bydate", "close_profit_bytrade", "hold_profit_bytrade"]),
-        cond_sum(option & (F.col("bs_direction") == "0"), "market_value").alias("buy_hold_money_qq"),
-        cond_sum(option & (F.col("bs_direction") == "1"), "market_value").alias("sell_hold_money_qq"),
-        *[cond_sum(F.col("trade_prop") == p, "margin").alias(n)
-          for n, p in (("margin_tj", "1"), ("margin_tl", "2"), ("margin_tb", "3"))],
-        cond_sum(F.col("bs_direction") == "0", "hold_amount").alias("hold_amount_buy"),
-        cond_sum(F.col("bs_direction") == "1", "hold_amount").alias("hold_amount_sell"),
+        *cond_sums({
+            "buy_hold_money_qq": (f"{option} AND bs_direction = '0'", "market_value"),
+            "sell_hold_money_qq": (f"{option} AND bs_direction = '1'", "market_value"),
+            **{n: (f"trade_prop = '{p}'", "margin") for n, p in MARGINS},
+            "hold_amount_buy": ("bs_direction = '0'", "hold_amount"), "hold_amount_sell": ("bs_direction = '1'", "hold_amount")}),
         money_sum("done_amt").alias("done_amount"), money_sum("done_sum").alias("done_money"),
-        money_sum("close_amount_today").alias("done_amount_pj"),
-        money_sum("close_money_today").alias("done_money_pj"))
+        money_sum("close_amount_today").alias("done_amount_pj"), money_sum("close_money_today").alias("done_money_pj"))
 
 
 def fill_activity(done: DataFrame, calendar: DataFrame, grain: str) -> DataFrame:
     df = _period(done, calendar, grain)
-    same_day, forced = F.col("trade_order") == "3", F.col("force_flag") == "1"
-    premium = F.col("trade_type") != "11"
-    remain = F.col("transfee") - F.col("market_transfee")
+    same_day, forced, premium = "trade_order = '3'", "force_flag = '1'", "trade_type <> '11'"
     return df.groupBy(*KEYS).agg(
-        F.countDistinct("busi_date").cast("double").alias("have_trade_num"),
-        cond_sum(same_day, "transfee").alias("transfee_pj"),
-        cond_sum(same_day, "market_transfee").alias("market_transfee_pj"),
-        cond_sum(same_day, remain).alias("remain_transfee_pj"),
+        F.expr("CAST(count(DISTINCT busi_date) AS DOUBLE) AS have_trade_num"),
         *sums(["socrt_openfee", "settlementfee", "add_fee1", "add_fee2"]),
-        cond_sum(premium & (F.col("bs_direction") == "0"), "done_money").alias("opt_premium_pay"),
-        cond_sum(premium & (F.col("bs_direction") == "1"), "done_money").alias("opt_premium_income"),
-        cond_sum(forced, "done_amount").alias("done_amount_qp"),
-        cond_sum(forced, "done_money").alias("done_money_qp"),
-        F.count(F.when(forced, 1)).cast("double").alias("force_number"))
+        *cond_sums({
+            "transfee_pj": (same_day, "transfee"), "market_transfee_pj": (same_day, "market_transfee"),
+            "remain_transfee_pj": (same_day, "transfee - market_transfee"),
+            "opt_premium_pay": (f"{premium} AND bs_direction = '0'", "done_money"),
+            "opt_premium_income": (f"{premium} AND bs_direction = '1'", "done_money"),
+            "done_amount_qp": (forced, "done_amount"), "done_money_qp": (forced, "done_money")}),
+        F.expr(f"CAST(count_if({forced}) AS DOUBLE) AS force_number"))
 
 
 def deliveries(delivery: DataFrame, calendar: DataFrame, grain: str) -> DataFrame:
@@ -87,14 +81,12 @@ def deliveries(delivery: DataFrame, calendar: DataFrame, grain: str) -> DataFram
     newer = delivery.agg(F.coalesce(F.max(F.col("data_source") == "CTP2"), F.lit(False))).scalar()
     dated = delivery.withColumn("__day", F.when(newer, F.col("sett_date")).otherwise(F.col("busi_date")))
     df = _period(dated, calendar, grain, "__day")
-    last = F.col("busi_date") == F.col("last_trade")
+    last = "busi_date = last_trade"
     return df.groupBy(*KEYS).agg(
-        *sums(["transfee", "market_transfee"]),
-        money_sum(F.col("transfee") - F.col("market_transfee")).alias("remain_transfee"),
-        money_sum("pay_amount").alias("delivery_amount"), *sums(["done_amt"]),
-        cond_sum(last, "margin").alias("margin"), cond_sum(last, "market_margin").alias("market_margin"),
-        *[cond_sum(last & (F.col("trade_prop") == p), "margin").alias(n)
-          for n, p in (("margin_tj", "1"), ("margin_tl", "2"), ("margin_tb", "3"))])
+        *sums(["transfee", "market_transfee", "done_amt"]), money_sum("transfee - market_transfee").alias("remain_transfee"),
+        money_sum("pay_amount").alias("delivery_amount"),
+        *cond_sums({"margin": (last, "margin"), "market_margin": (last, "market_margin"),
+                    **{n: (f"{last} AND trade_prop = '{p}'", "margin") for n, p in MARGINS}}))
 
 
 def exercises(execute: DataFrame, securities: DataFrame, calendar: DataFrame, grain: str) -> DataFrame:
@@ -115,29 +107,28 @@ def exercises(execute: DataFrame, securities: DataFrame, calendar: DataFrame, gr
           .join(nxt, "busi_date").join(dims, "security_id"))
     df = _period(df.withColumn("__day", F.when(kind == "21", F.col("__next")).otherwise(F.col("busi_date"))),
                  calendar, grain, "__day")
-    split = kind == "21"
-    buyer = F.col("bs_direction") == "0"
-    as_exercise = buyer | ((F.col("bs_direction") == "1") & (F.col("__market") == EXCHANGE_WITHOUT_PERFORMANCE))
-    performs = (F.col("bs_direction") == "1") & (F.col("__market") != EXCHANGE_WITHOUT_PERFORMANCE)
+    split, buyer, seller = "trade_type = '21'", "bs_direction = '0'", "bs_direction = '1'"
+    as_exercise = f"({buyer} OR ({seller} AND __market = '{EXCHANGE_WITHOUT_PERFORMANCE}'))"
+    performs = f"({seller} AND __market <> '{EXCHANGE_WITHOUT_PERFORMANCE}')"
 
-    def side(own: str, cond: Column, shared: str = "strikefee") -> Column:
-        return F.when(split, F.when(cond, F.col(shared))).otherwise(F.col(own))
+    def side(own: str, cond: str, shared: str = "strikefee") -> str:
+        return f"CASE WHEN {split} THEN CASE WHEN {cond} THEN {shared} END ELSE {own} END"
 
-    expiring = (~split) & (F.date_format("busi_date", "yyyyMMdd") == F.col("__delivery"))
+    expiring = f"NOT {split} AND date_format(busi_date, 'yyyyMMdd') = __delivery"
+    frozen = f"{split} AND __day = last_trade"
     return df.groupBy(*KEYS).agg(
         money_sum("strikefee").alias("transfee"), money_sum("market_strikefee").alias("market_transfee"),
-        money_sum(F.col("strikefee") - F.col("market_strikefee")).alias("remain_transfee"),
+        money_sum("strikefee - market_strikefee").alias("remain_transfee"),
         money_sum(side("execute_transfee", as_exercise)).alias("transfee_xq"),
         money_sum(side("market_execute_transfee", as_exercise, "market_strikefee")).alias("market_transfee_xq"),
         money_sum(side("performfee", performs)).alias("transfee_ly"),
         money_sum(side("market_performfee", performs, "market_strikefee")).alias("market_transfee_ly"),
-        cond_sum(F.when(split, as_exercise).otherwise(buyer), "strike_qty").alias("strike_qty_xq"),
-        cond_sum(F.when(split, performs).otherwise(F.col("bs_direction") == "1"), "strike_qty").alias("strike_qty_ly"),
         *sums(["optstrike_profit"]),
-        cond_sum(expiring, "strike_qty").alias("strike_qty_dq"),
-        cond_sum(expiring, "strike_money").alias("strike_money_dq"),
-        cond_sum(split & (F.col("__day") == F.col("last_trade")), "strikefrozenmargin").alias("strikefrozenmargin"),
-        cond_sum(split & (F.col("__day") == F.col("last_trade")), "exchstrikefrozenmargin").alias("exchstrikefrozenmargin"))
+        *cond_sums({
+            "strike_qty_xq": (f"CASE WHEN {split} THEN {as_exercise} ELSE {buyer} END", "strike_qty"),
+            "strike_qty_ly": (f"CASE WHEN {split} THEN {performs} ELSE {seller} END", "strike_qty"),
+            "strike_qty_dq": (expiring, "strike_qty"), "strike_money_dq": (expiring, "strike_money"),
+            "strikefrozenmargin": (frozen, "strikefrozenmargin"), "exchstrikefrozenmargin": (frozen, "exchstrikefrozenmargin")}))
 
 
 def trade_statistics(hold_detail: DataFrame, hold_balance: DataFrame, done: DataFrame, delivery: DataFrame,
@@ -151,39 +142,40 @@ def trade_statistics(hold_detail: DataFrame, hold_balance: DataFrame, done: Data
              "d": fill_activity(done, calendar, grain), "v": deliveries(delivery, calendar, grain),
              "x": exercises(execute, securities, calendar, grain)}
     merged = spine_merge({p: (df, [c for c in df.columns if c not in KEYS]) for p, df in parts.items()}, KEYS, 8)
-    c, kind = F.col, F.col("trade_type")
     month = delivery_month("contract_code", "delivery_year", "delivery_month", "delivery_date", "end_delivery_date")
     dims = securities.select("security_id", "market_id", "product_id", month.alias("deliv_date"))
     own = accounts.select("fund_account_id", "client_type", "open_date")
-    money = lambda e: F.round(e, 2)
-    fee_total = money(c("f_transfee") + c("v_transfee") + c("x_transfee"))
-    return (merged.join(dims, "security_id").join(own, "fund_account_id", "left").select(
+
+    def same(prefix: str, *names: str) -> list[str]:
+        return [f"{prefix}_{n} AS {n}" for n in names]
+
+    def by_kind(name: str) -> str:
+        return f"CASE trade_type WHEN '21' THEN f_{name} WHEN '12' THEN h_{name} ELSE 0D END AS {name}"
+
+    fees = "f_{0} + v_{0} + x_{0}"
+    return (merged.join(dims, "security_id").join(own, "fund_account_id", "left").selectExpr(
         *KEYS, "market_id", "product_id", "deliv_date", "client_type", "open_date",
-        *[c(f"h_{n}").alias(n) for n in ("hold_amount", "hold_money", "hold_amount_avg", "hold_profit_bydate", "hold_profit_bytrade")],
-        F.when(kind == "21", c("f_buy_hold_money_qq")).when(kind == "12", c("h_buy_hold_money_qq")).otherwise(0.0).alias("buy_hold_money_qq"),
-        F.when(kind == "21", c("f_sell_hold_money_qq")).when(kind == "12", c("h_sell_hold_money_qq")).otherwise(0.0).alias("sell_hold_money_qq"),
-        money(c("h_margin") + c("v_margin")).alias("margin"), money(c("h_market_margin") + c("v_market_margin")).alias("market_margin"),
-        *[money(c(f"f_{n}") + c(f"v_{n}")).alias(n) for n in ("margin_tj", "margin_tl", "margin_tb")],
-        *[c(f"d_{n}").alias(n) for n in ("have_trade_num", "transfee_pj", "market_transfee_pj", "remain_transfee_pj",
-                                         "opt_premium_income", "opt_premium_pay", "add_fee1", "add_fee2",
-                                         "done_amount_qp", "done_money_qp", "force_number")],
-        c("d_socrt_openfee").alias("jingshoufei"), c("d_settlementfee").alias("jiesuanfei"),
-        money(c("d_opt_premium_income") - c("d_opt_premium_pay")).alias("opt_premium_income_pay"),
-        *[c(f"f_{n}").alias(n) for n in ("done_amount", "done_amount_pj", "done_money", "done_money_pj",
-                                         "close_profit_bydate", "close_profit_bytrade", "hold_amount_buy",
-                                         "hold_amount_sell", "total_profit")],
-        money(c("f_hold_profit_bytrade") + c("f_close_profit_bytrade")).alias("float_profit"),
-        c("v_transfee").alias("deliv_transfee"), c("v_market_transfee").alias("deliv_market_transfee"),
-        c("v_remain_transfee").alias("deliv_remain_transfee"), c("v_delivery_amount").alias("delivery_amount"),
-        c("v_done_amt").alias("done_amt"), c("v_margin").alias("deliv_margin"), c("v_market_margin").alias("deliv_market_margin"),
-        *[c(f"x_{n}").alias(n) for n in ("transfee_xq", "transfee_ly", "market_transfee_xq", "market_transfee_ly",
-                                         "strike_qty_xq", "strike_qty_ly", "strike_qty_dq", "strike_money_dq",
-                                         "optstrike_profit", "strikefrozenmargin", "exchstrikefrozenmargin")],
-        money(c("x_transfee_xq") - c("x_market_transfee_xq")).alias("remain_transfee_xq"),
-        c("f_transfee").alias("trade_transfee"), c("f_market_transfee").alias("market_trade_transfee"),
-        money(c("f_transfee") - c("f_market_transfee")).alias("trade_remain_transfee"),
-        fee_total.alias("total_transfee"),
-        money(c("f_market_transfee") + c("v_market_transfee") + c("x_market_transfee")).alias("total_market_transfee"),
-        money(c("f_transfee") - c("f_market_transfee") + c("v_remain_transfee") + c("x_remain_transfee")).alias("total_remain_transfee"),
-        (c("f_done_money") * levy).alias("bzjj"),
-        money(c("f_total_profit") - fee_total).alias("clear_profit")))
+        *same("h", "hold_amount", "hold_money", "hold_amount_avg", "hold_profit_bydate", "hold_profit_bytrade"),
+        by_kind("buy_hold_money_qq"), by_kind("sell_hold_money_qq"),
+        *[f"round(h_{n} + v_{n}, 2) AS {n}" for n in ("margin", "market_margin")],
+        *[f"round(f_{n} + v_{n}, 2) AS {n}" for n, _ in MARGINS],
+        *same("d", "have_trade_num", "transfee_pj", "market_transfee_pj", "remain_transfee_pj", "opt_premium_income",
+              "opt_premium_pay", "add_fee1", "add_fee2", "done_amount_qp", "done_money_qp", "force_number"),
+        "d_socrt_openfee AS jingshoufei", "d_settlementfee AS jiesuanfei",
+        "round(d_opt_premium_income - d_opt_premium_pay, 2) AS opt_premium_income_pay",
+        *same("f", "done_amount", "done_amount_pj", "done_money", "done_money_pj", "close_profit_bydate",
+              "close_profit_bytrade", "hold_amount_buy", "hold_amount_sell", "total_profit"),
+        "round(f_hold_profit_bytrade + f_close_profit_bytrade, 2) AS float_profit",
+        *[f"v_{n} AS deliv_{n}" for n in ("transfee", "market_transfee", "remain_transfee", "margin", "market_margin")],
+        *same("v", "delivery_amount", "done_amt"),
+        *same("x", "transfee_xq", "transfee_ly", "market_transfee_xq", "market_transfee_ly", "strike_qty_xq",
+              "strike_qty_ly", "strike_qty_dq", "strike_money_dq", "optstrike_profit", "strikefrozenmargin",
+              "exchstrikefrozenmargin"),
+        "round(x_transfee_xq - x_market_transfee_xq, 2) AS remain_transfee_xq",
+        "f_transfee AS trade_transfee", "f_market_transfee AS market_trade_transfee",
+        "round(f_transfee - f_market_transfee, 2) AS trade_remain_transfee",
+        f"round({fees.format('transfee')}, 2) AS total_transfee",
+        f"round({fees.format('market_transfee')}, 2) AS total_market_transfee",
+        "round(f_transfee - f_market_transfee + v_remain_transfee + x_remain_transfee, 2) AS total_remain_transfee",
+        f"f_done_money * {levy!r}D AS bzjj",
+        f"round(f_total_profit - round({fees.format('transfee')}, 2), 2) AS clear_profit"))
