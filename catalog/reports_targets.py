@@ -96,7 +96,7 @@ NEEDS = ("statement", "books", "client_sett", "fills", "accounts", "org_unit", "
 def actual_parts(grain: str) -> dict[str, str]:
     def fresh(extra: str) -> str:
         return f"""SELECT {_p(grain, 'a.open_date')} AS period, o.org_id, CAST(count(*) AS DOUBLE) AS v FROM accounts a JOIN org_unit o USING (branch_id)
-  JOIN spans s ON s.period = {_p(grain, 'a.open_date')}
+  JOIN spans s ON s.period = {_p(grain, "a.open_date")}
   WHERE EXISTS (SELECT 1 FROM fills f JOIN daymap d ON d.busi_date = f.busi_date WHERE f.fund_account_id = a.fund_account_id AND f.transfee <> 0 AND {_p(grain, 'f.busi_date')} = s.period)
     AND NOT EXISTS (SELECT 1 FROM relations r WHERE r.fund_account_id = a.fund_account_id AND rela_sts = 'A' AND approve_sts = '0' {extra}
                     AND greatest(st_dt, b) <= least(end_dt, e)) GROUP BY 1, 2"""

@@ -19,7 +19,7 @@ from ..operators.calendar import one_market, period_calendar, period_key, tradin
 from ..operators.joins import scaffold
 from ..operators.merge import merge_many
 from ..operators.orgs import LEVELS, attach_org
-from ..operators.ranking import rank_within, top_n
+from ..operators.ranking import top_n
 from .income import retained_fee
 
 WAN, YI = 10_000, 100_000_000
@@ -52,9 +52,11 @@ def _days(calendar: DataFrame, grain: str = "month") -> DataFrame:
 
 
 def per_account(facts: DataFrame, measures: Sequence[str], calendar: DataFrame, grain: str = "month") -> DataFrame:
-    """Facts per account and period, with the period's trading days."""
-    per_day = facts.groupBy("fund_account_id", "busi_date").agg(*sums(measures))
-    return per_day.join(_days(calendar, grain), "busi_date").groupBy("fund_account_id", "period").agg(
+    """Facts per account and period, with the period's trading days.
+
+    The calendar is small enough to be broadcast, so the facts are shuffled once, after partial sums.
+    """
+    return facts.join(_days(calendar, grain), "busi_date").groupBy("fund_account_id", "period").agg(
         *sums(measures), F.max("trade_days").alias("trade_days"))
 
 
@@ -115,10 +117,11 @@ def product_ranking(trades: DataFrame, securities: DataFrame, org: Organisation,
     by_product = (per.join(securities.select("security_id", "product_id"), "security_id")
                   .groupBy("fund_account_id", "period", "product_id").agg(*sums(["done_amt", "done_sum"])))
     rows = org.place(by_product).groupBy("period", "org_id", "product_id").agg(*sums(["done_amt", "done_sum"]))
-    ranked = rank_within(rows, ["period", "org_id"], "done_amt", "rank_done_amount", buckets=8)
-    ranked = rank_within(ranked, ["period", "org_id"], "done_sum", "rank_done_money", buckets=8)
-    return ranked.select("period", "org_id", "product_id", (F.col("done_amt") / WAN).alias("done_amount"),
-                         (F.col("done_sum") / YI).alias("done_money"), "rank_done_amount", "rank_done_money")
+    # A window here holds one row per listed product, a few hundred at most.
+    return rows.selectExpr(
+        "period", "org_id", "product_id", f"done_amt / {WAN} AS done_amount", f"done_sum / {YI} AS done_money",
+        *[f"rank() OVER (PARTITION BY period, org_id ORDER BY {c} DESC) AS {n}"
+          for c, n in (("done_amt", "rank_done_amount"), ("done_sum", "rank_done_money"))])
 
 
 # ---- monthly families ------------------------------------------------------------------------------

@@ -63,8 +63,7 @@ def key_client_programme(members: DataFrame, sett: DataFrame, contributions: Dat
     days = (one_market(calendar).filter("trade_flag = 1").select("busi_date", year_key("busi_date").alias("period")))
     counts = days.groupBy("period").agg(F.count(F.lit(1)).alias("days"))
     fee = nz("transfee") + nz("delivery_transfee") + nz("strikefee")
-    per_day = sett.groupBy("fund_account_id", "busi_date").agg(*sums(["rights"]), money_sum(fee).alias("fee"))
-    flows = per_day.join(days, "busi_date").groupBy(*acct).agg(*sums(["rights", "fee"]))
+    flows = sett.join(days, "busi_date").groupBy(*acct).agg(*sums(["rights"]), money_sum(fee).alias("fee"))
     rows = (marks.join(jgx, acct, "left").join(last, acct, "left").join(flows, acct, "left").fillna(0.0, ["jgx", "last_jgx", "rights", "fee"]))
     placed = org.place(rows, ["client_type", "open_date"]).join(counts, "period")
 

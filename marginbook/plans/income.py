@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_key
-from ..functions.measures import group_concat, money_sum, nz, safe_ratio, sums
+from ..functions.measures import cond_sums, group_concat, money_sum, nz, safe_ratio, sums
 from ..operators.calendar import one_market, period_calendar, trading_day_map
 from ..operators.joins import daily_rates
 from ..operators.ranking import latest_per_key
@@ -147,13 +147,12 @@ def exchange_rebate(rebates: DataFrame, calendar: DataFrame, rules: Mapping[str,
                     trading: bool = True) -> DataFrame:
     """Exchange rebates per account and month, each column counted in its own window."""
     cols = {c: r for c, r in rules.items() if c in rebates.columns}
-    per_day = rebates.groupBy("fund_account_id", "tx_dt").agg(*[money_sum(c, 4).alias(c) for c in cols])
     w = F.col("window")
     early = F.col("tx_dt") < F.lit(REBATE_CUTOFF).cast("date")
     cond = {"current": w == "current", "previous": w == "previous",
             "before_cutoff": (w == "previous") & early, "both": F.lit(True)}
     total = sum((F.when(cond[r], nz(c)).otherwise(0.0) for c, r in cols.items()), F.lit(0.0))
-    return (per_day.join(rebate_days(calendar, trading), "tx_dt").groupBy("period", "fund_account_id")
+    return (rebates.join(rebate_days(calendar, trading), "tx_dt").groupBy("period", "fund_account_id")
             .agg(money_sum(total, 4).alias("market_reduct")))
 
 
@@ -163,21 +162,19 @@ def spread_interest(sett: DataFrame, rates: DataFrame, calendar: DataFrame) -> D
     The base is rights less the larger of pledge and margin, once for every natural day until
     the next trading day, at the rate in force (percent a year of 360 days).
     """
-    base = sett.groupBy("busi_date", "fund_account_id").agg(
-        money_sum(F.col("rights") - F.greatest("impawn_money", "margin")).alias("base"))
     carried = (trading_day_map(calendar).filter(F.col("trade_date").isNotNull())
                .groupBy(F.col("trade_date").alias("busi_date")).agg(F.count(F.lit(1)).alias("carried")))
     per_day = carried.join(daily_rates(rates, one_market(calendar), "interest_rate", "begin_date", "end_date"), "busi_date")
-    earned = F.col("base") * F.col("carried") * F.col("interest_rate") / 36000
-    return (base.join(per_day, "busi_date").groupBy(month_key("busi_date").alias("period"), "fund_account_id")
+    # One factor per day, broadcast: the settlements are shuffled once, after partial sums.
+    earned = "(rights - greatest(impawn_money, margin)) * carried * interest_rate / 36000"
+    return (sett.join(per_day, "busi_date").groupBy(month_key("busi_date").alias("period"), "fund_account_id")
             .agg(money_sum(earned).alias("interest_income")))
 
 
 def monthly_retained_fees(sett: DataFrame, calendar: DataFrame) -> DataFrame:
     days = one_market(calendar).filter("trade_flag = 1").select("busi_date")
-    per_day = sett.groupBy("busi_date", "fund_account_id").agg(money_sum(retained_fee()).alias("remain_transfee"))
-    return per_day.join(days, "busi_date").groupBy(month_key("busi_date").alias("period"), "fund_account_id").agg(
-        *sums(["remain_transfee"]))
+    return sett.join(days, "busi_date").groupBy(month_key("busi_date").alias("period"), "fund_account_id").agg(
+        money_sum(retained_fee()).alias("remain_transfee"))
 
 
 def brokerage_income(sett: DataFrame, rates: DataFrame, rebates: DataFrame, accounts: DataFrame,
@@ -203,13 +200,11 @@ def net_interest(interest: DataFrame, rates: DataFrame, calendar: DataFrame) ->
 
     Rows whose balance and accrual base cancel out carry no interest.
     """
-    per_day = (interest.filter(F.col("today_ri_amt") != -F.col("calint_amt"))
-               .groupBy("fund_account_id", "calint_days", "busi_date")
-               .agg(money_sum("calint_amt").alias("base"), money_sum("int_amt_d").alias("paid")))
+    rows = interest.filter(F.col("today_ri_amt") != -F.col("calint_amt"))
     days = period_calendar(calendar, "month").select("busi_date", "period", "natural_days")
     dated = days.join(daily_rates(rates, one_market(calendar), "interest_rate", "begin_date", "end_date"), "busi_date")
-    grouped = per_day.join(dated, "busi_date").groupBy("period", "fund_account_id", "calint_days", "interest_rate").agg(
-        *sums(["base", "paid"]), F.max("natural_days").alias("days"))
+    grouped = rows.join(dated, "busi_date").groupBy("period", "fund_account_id", "calint_days", "interest_rate").agg(
+        money_sum("calint_amt").alias("base"), money_sum("int_amt_d").alias("paid"), F.max("natural_days").alias("days"))
     due = F.col("base") * F.col("interest_rate") * F.col("days") / F.col("calint_days") - F.col("paid")
     return grouped.groupBy("period", "fund_account_id").agg(money_sum(due).alias("interest_clear_income"))
 
@@ -282,13 +277,9 @@ def resident_income(relations: DataFrame, recon: DataFrame, interest: DataFrame,
 def cooperation_summary(agreements: DataFrame, sett: DataFrame, calendar: DataFrame) -> DataFrame:
     """Opening, closing and average equity, retained fees and shared income per branch and month."""
     served = agreements.filter(F.col("service_type") == "1")
-    per_day = sett.groupBy("fund_account_id", "busi_date").agg(
-        *sums(["yes_rights", "rights"]), money_sum(retained_fee()).alias("fee"))
-    first, last = F.col("busi_date") == F.col("first_trade"), F.col("busi_date") == F.col("last_trade")
-    monthly = per_day.join(trading_months(calendar), "busi_date").groupBy("period", "fund_account_id").agg(
-        money_sum(F.when(first, F.col("yes_rights"))).alias("yes_rights"),
-        money_sum(F.when(last, F.col("rights"))).alias("end_rights"),
-        money_sum("rights").alias("sum_rights"), *sums(["fee"]), F.max("trade_days").alias("days"))
+    monthly = sett.join(trading_months(calendar), "busi_date").groupBy("period", "fund_account_id").agg(
+        *cond_sums({"yes_rights": ("busi_date = first_trade", "yes_rights"), "end_rights": ("busi_date = last_trade", "rights")}),
+        money_sum("rights").alias("sum_rights"), money_sum(retained_fee()).alias("fee"), F.max("trade_days").alias("days"))
     members = served.select("fund_account_id", "regist_date", "branch_id").distinct()
     totals = monthly.join(members, "fund_account_id").groupBy("period", "branch_id").agg(
         *sums(["yes_rights", "end_rights", "sum_rights"]), money_sum("fee").alias("remain_transfee"), F.max("days").alias("days"))

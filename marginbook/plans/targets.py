@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import indicator_code
 from ..functions.dates import quarter_of_month
-from ..functions.measures import money_sum, nz, safe_ratio, share_pct
+from ..functions.measures import cond_count, money_sum, nz, safe_ratio, share_pct, sums
 from ..operators.calendar import one_market, period_key
 from ..operators.joins import scaffold
 from ..operators.merge import insert_missing, merge_update
@@ -55,26 +55,27 @@ def _of_month(grain: str, month: Column) -> Column:
     return {"month": month, "year": year, "quarter": F.concat(year, quarter_of_month(month))}[grain]
 
 
-def new_clients(src: TargetSources, grain: str, brokered_only: bool) -> DataFrame:
-    """Accounts opened in a period that paid a fee in it and had no (brokered) relation in it.
+def new_clients(src: TargetSources, grain: str) -> DataFrame:
+    """Accounts opened in a period that paid a fee in it, per unit.
 
-    Counted per unit; relations count when in force, approved and overlapping the period.
+    ``direct`` counts those without a brokered relation in the period, ``free`` those without any.
+    Relations count when in force, approved and overlapping the period.
     """
     days = one_market(src.calendar).select("busi_date", period_key(grain).alias("period"))
     spans = days.groupBy("period").agg(F.min("busi_date").alias("b"), F.max("busi_date").alias("e"))
-    opened = src.accounts.join(days, F.col("open_date") == F.col("busi_date")).select("period", "fund_account_id", "branch_id")
-    rel = active_relations(src.relations, None)
-    if brokered_only:
-        rel = rel.filter(F.col("broker_rela_typ") == BROKERED)
-    # Account by account: an equi-join whose range test sees one account's few relations.
-    tied = (opened.join(spans, "period").join(rel.select("fund_account_id", "st_dt", "end_dt"), "fund_account_id")
-            .filter((F.greatest("st_dt", "b") <= F.least("end_dt", "e"))).select("period", "fund_account_id"))
-    traded = (src.trades.filter(F.col("transfee") != 0).select("fund_account_id", "busi_date").distinct()
-              .join(days, "busi_date").select("period", "fund_account_id").distinct())
     keys = ["period", "fund_account_id"]
-    free = opened.join(tied, keys, "left_anti").join(traded, keys, "left_semi")
-    return attach_org(free, None, src.branch_map).groupBy("period", "org_id").agg(
-        F.count(F.lit(1)).cast("double").alias("value"))
+    paid = (src.trades.filter(F.col("transfee") != 0).join(days, "busi_date").select(*keys).distinct())
+    opened = (src.accounts.join(days, F.col("open_date") == F.col("busi_date")).select(*keys, "branch_id")
+              .join(paid, keys, "left_semi"))
+    rel = active_relations(src.relations, None).select("fund_account_id", "broker_rela_typ", "st_dt", "end_dt")
+    # Account by account: the range test sees one account's few relations.
+    tied = (opened.select(*keys).join(spans, "period").join(rel, "fund_account_id")
+            .filter(F.greatest("st_dt", "b") <= F.least("end_dt", "e"))
+            .groupBy(*keys).agg(F.max(F.col("broker_rela_typ") == BROKERED).alias("brokered")))
+    j = opened.join(tied, keys, "left")
+    return attach_org(j, None, src.branch_map).groupBy("period", "org_id").agg(
+        cond_count("NOT coalesce(brokered, false)").cast("double").alias("direct"),
+        cond_count("brokered IS NULL").cast("double").alias("free"))
 
 
 def indicator_actuals(src: TargetSources, grain: str) -> DataFrame:
@@ -93,11 +94,9 @@ def indicator_actuals(src: TargetSources, grain: str) -> DataFrame:
              .agg(*[money_sum(c).alias(c) for c in ("f5", "f6", "f8", "f18")]))
 
     def per_unit(facts: DataFrame, measures: Sequence[str]) -> DataFrame:
-        per_day = facts.groupBy("fund_account_id", "busi_date").agg(*[money_sum(m).alias(m) for m in measures])
-        per_account = per_day.join(days, "busi_date").groupBy("period", "fund_account_id").agg(
-            *[money_sum(m).alias(m) for m in measures])
-        return attach_org(per_account, src.accounts, src.branch_map).groupBy("period", "org_id").agg(
-            *[money_sum(m).alias(m) for m in measures])
+        # The calendar is broadcast, so the facts are shuffled once, after partial sums.
+        per_account = facts.join(days, "busi_date").groupBy("period", "fund_account_id").agg(*sums(measures))
+        return attach_org(per_account, src.accounts, src.branch_map).groupBy("period", "org_id").agg(*sums(measures))
 
     equity = per_unit(src.sett, ["rights"]).join(counts, "period").withColumn("avg", safe_ratio("rights", "days"))
     activity = per_unit(src.trades, ["done_sum", "done_amt"])
@@ -113,6 +112,7 @@ def indicator_actuals(src: TargetSources, grain: str) -> DataFrame:
         return df.withColumn("__r", F.explode(rows)).select("period", "org_id", "__r.*")
 
     none, c = F.lit(None), F.col
+    fresh = new_clients(src, grain)
     lines, equity, activity = (d.join(market, "period", "left") for d in (lines, equity, activity))
     equity = equity.withColumn("all_avg", safe_ratio("all_rights", "days"))
     two_sided = {m: c(f"all_{m}") * 2 for m in ("turnover", "volume")}
@@ -122,8 +122,8 @@ def indicator_actuals(src: TargetSources, grain: str) -> DataFrame:
             .unionByName(long(activity, _006=(c("done_sum"), none), _008=(c("done_amt"), none),
                               _007=(safe_ratio("done_sum", two_sided["turnover"]), two_sided["turnover"]),
                               _009=(safe_ratio("done_amt", two_sided["volume"]), two_sided["volume"])))
-            .unionByName(long(new_clients(src, grain, True), _010=(c("value"), none)))
-            .unionByName(long(new_clients(src, grain, False), _011=(c("value"), none)))
+            .unionByName(long(fresh.filter("direct > 0"), _010=(c("direct"), none)))
+            .unionByName(long(fresh.filter("free > 0"), _011=(c("free"), none)))
             .unionByName(long(sold, _012=(c("value"), none))))
 
 
