@@ -374,7 +374,7 @@ INVEST = dict(item="""
 SELECT account_period AS busi_month, project_id, c.project_name, strategy_type, recommend_department,
        CAST(least(e, last_day(strptime(account_period || '01', '%Y%m%d'))) - b + 1 AS INTEGER) AS investment_days, year_begin_net_investment,
        ev AS month_end_net_investment, initial_investment_money, month_end_market, comprehensive_income, investment_income, cost,
-       CASE WHEN cost <> 0 THEN investment_income / cost / (least(e, last_day(strptime(account_period || '01', '%Y%m%d'))) - b + 1) END AS year_composite_rate
+       CASE WHEN cost <> 0 AND least(e, last_day(strptime(account_period || '01', '%Y%m%d'))) - b + 1 > 0 THEN investment_income / cost / (least(e, last_day(strptime(account_period || '01', '%Y%m%d'))) - b + 1) END AS year_composite_rate
 FROM calc2 c JOIN proj USING (project_name)""")
 def investment_tracking(spark, sf):
     return income.investment_tracking(*investment_inputs(spark, sf))

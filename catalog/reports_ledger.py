@@ -54,7 +54,7 @@ cte("book_months", "SELECT DISTINCT account_period AS month_id FROM ledger", "le
 cte("statement_lines", f"""
 SELECT *, {_totals_sql('b')}, {_totals_sql('c')}, {_totals_sql('d')} FROM (
   SELECT m.month_id, k.book_id, {", ".join(f"coalesce(r.{c}, 0) AS {c}" for c in _HAVE)}, 0.0::DOUBLE AS b13,
-         round(coalesce(r.b6, 0) * 0.0072::DOUBLE, 2) AS b14, coalesce(t.v, 0) AS b22
+         CAST(round(CAST(coalesce(r.b6, 0) AS DECIMAL(18, 2)) * 0.0072, 2) AS DOUBLE) AS b14, coalesce(t.v, 0) AS b22
   FROM books k CROSS JOIN book_months m
   LEFT JOIN (SELECT busi_month, book_id, {_BOOK} FROM results GROUP BY 1, 2) r ON r.busi_month = m.month_id AND r.book_id = k.book_id
   LEFT JOIN (SELECT account_period, book_code, round(sum(local_credit_sum), 2) AS v FROM ledger WHERE account_code LIKE '6801%'

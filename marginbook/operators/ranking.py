@@ -1,8 +1,8 @@
 """Ranking inside groups that may be very uneven.
 
-A plain ``rank()`` sorts a whole group in one task. These operators rank the *distinct
-values* with their row counts instead, so repeats are merged before any shuffle, and split
-a group's values over many tasks where all ranks are wanted.
+A plain ``rank()`` sorts a whole group in one task. `top_n` finds the few values that can
+qualify first and looks the rows up in them; `rank_within` merges repeated values before any
+shuffle and splits a group's values over many tasks.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ def _long(df: DataFrame, group: Sequence[str], keep: Sequence[str],
     """One row per input row and metric; ``sort_value`` is larger for the better-ranked."""
     options = F.array(*[
         F.struct(F.lit(code).alias("index_type"), F.col(name).cast("double").alias("value"),
-                 (-F.col(name) if order == "asc" else F.col(name)).cast("double").alias("sort_value"))
+                 F.expr(f"CAST({'-' if order == 'asc' else ''}{name} AS DOUBLE) + 0D").alias("sort_value"))
         for code, (name, order) in metrics.items()])
     wide = df.select(*group, *keep, F.explode(options).alias("__m"))
     return (wide.select(*group, *keep, "__m.index_type", "__m.value", "__m.sort_value")
@@ -40,15 +40,17 @@ def top_n(df: DataFrame, group: Sequence[str], metrics: Mapping[str, tuple[str,
         order = Window.partitionBy(*keys).orderBy(F.col("sort_value").desc(), *[F.col(k) for k in keep])
         return (rows.withColumn("rank_no", F.row_number().over(order))
                 .filter(F.col("rank_no") <= n).drop("sort_value"))
-    # Rank n or better can only fall on the n best distinct values. Spark limits each map
-    # task to its own n best before the shuffle by group, so no task holds a whole group.
+    # A row ranks n or better exactly when its value is one of the n best rows' values, and its
+    # rank is that value's rank among them. Spark cuts each map task to its own n best rows before
+    # the shuffle by group, so no task holds a whole group, however the ties fall.
     best = Window.partitionBy(*keys).orderBy(F.col("sort_value").desc())
-    values = rows.groupBy(*keys, "sort_value").agg(F.count(F.lit(1)).alias("__rows"))
-    kept = values.withColumn("__d", F.row_number().over(best)).filter(F.col("__d") <= n)
-    above = F.coalesce(F.sum("__rows").over(best.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cut = (kept.withColumn("rank_no", above + 1).filter(F.col("rank_no") <= n)
-           .select(*keys, "sort_value", F.col("rank_no").cast("int").alias("rank_no")))
-    return rows.join(cut, [*keys, "sort_value"]).drop("sort_value")
+    leaders = (rows.withColumn("__n", F.row_number().over(best)).withColumn("rank_no", F.rank().over(best))
+               .filter(F.col("__n") <= n))
+    # At most n values per group: one small row each, broadcast when its measured size allows.
+    cut = leaders.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_set(F.struct("sort_value", "rank_no"))).alias("__ranks"))
+    ranked = rows.join(cut, keys).withColumn("rank_no", F.expr("__ranks[sort_value]"))
+    return ranked.filter(F.col("rank_no").isNotNull()).drop("sort_value", "__ranks")
 
 
 def rank_within(df: DataFrame, group: Sequence[str], value: str, name: str = "rank_no",

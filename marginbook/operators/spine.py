@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from ..functions.measures import sums
 
 
@@ -18,20 +19,23 @@ def key_spine(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
 
 
 def spine_merge(frames: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Sequence[str],
-                scale: int = 2) -> DataFrame:
+                scale: int = 2, masks: Sequence[str] = ()) -> DataFrame:
     """Sum every component's measures on the union of all keys.
 
-    ``frames`` maps a prefix to ``(frame, measures)``; output columns are ``prefix_measure``.
-    The components are stacked and grouped once, so there is one shuffle instead of a distinct
-    and one join per component, partial sums run before it, and NULL key parts match.
+    ``frames`` maps a prefix to ``(frame, measures)``; output columns are ``prefix_measure``. The
+    frames may be rows or already summed. They are stacked and grouped once, so there is one
+    shuffle instead of a distinct and one join per component, partial sums run before it, and NULL
+    key parts match. Columns named in ``masks`` are bit masks, merged by OR.
     """
     names = [f"{p}_{m}" for p, (_, ms) in frames.items() for m in ms]
     stacked = None
     for prefix, (df, measures) in frames.items():
         mine = {f"{prefix}_{m}": m for m in measures}
-        part = df.selectExpr(*keys, *[f"CAST({mine.get(n, 'NULL')} AS DOUBLE) AS {n}" for n in names])
+        part = df.selectExpr(*keys, *[f"CAST({mine.get(n, 'NULL')} AS {'BIGINT' if n in masks else 'DOUBLE'}) AS {n}"
+                                      for n in names])
         stacked = part if stacked is None else stacked.unionAll(part)
-    return stacked.groupBy(*keys).agg(*sums(names, scale))
+    return stacked.groupBy(*keys).agg(
+        *sums([n for n in names if n not in masks], scale), *[F.expr(f"coalesce(bit_or({n}), 0) AS {n}") for n in masks])
 
 
 def union_all(frames: Sequence[DataFrame], by_position: bool = False) -> DataFrame:

@@ -205,7 +205,7 @@ def net_interest(interest: DataFrame, rates: DataFrame, calendar: DataFrame) ->
     dated = days.join(daily_rates(rates, one_market(calendar), "interest_rate", "begin_date", "end_date"), "busi_date")
     grouped = rows.join(dated, "busi_date").groupBy("period", "fund_account_id", "calint_days", "interest_rate").agg(
         money_sum("calint_amt").alias("base"), money_sum("int_amt_d").alias("paid"), F.max("natural_days").alias("days"))
-    due = F.col("base") * F.col("interest_rate") * F.col("days") / F.col("calint_days") - F.col("paid")
+    due = F.col("base") * F.col("interest_rate") * F.col("days") / F.nullif("calint_days", F.lit(0)) - F.col("paid")
     return grouped.groupBy("period", "fund_account_id").agg(money_sum(due).alias("interest_clear_income"))
 
 
@@ -338,7 +338,7 @@ def investment_tracking(projects: DataFrame, results: DataFrame, balances: DataF
             .select(F.col("account_period").alias("busi_month"), "project_id", "project_name", "strategy_type", "recommend_department",
                     held.alias("investment_days"), "year_begin_net_investment", "month_end_net_investment",
                     "initial_investment_money", "month_end_market", "comprehensive_income", "investment_income", "cost",
-                    F.when(F.col("cost") != 0, F.col("investment_income") / F.col("cost") / held).alias("year_composite_rate")))
+                    F.when((F.col("cost") != 0) & (held > 0), F.col("investment_income") / F.col("cost") / held).alias("year_composite_rate")))
 
 
 # ---- staff -------------------------------------------------------------------------------------

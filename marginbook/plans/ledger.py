@@ -106,7 +106,8 @@ def profit_statement(results: DataFrame, balance: DataFrame, excluded_books: Dat
            .selectExpr("account_period AS month_id", "book_id", "index_value AS b22"))
     keys = ["month_id", "book_id"]
     df = scaffold(books.select("book_id"), months.select("month_id")).join(by_book, keys, "left").join(tax, keys, "left")
-    df = df.fillna(0.0).selectExpr("*", "0D AS b13", f"round(b6 * {SURCHARGE}D, 2) AS b14")
+    # The surcharge is rounded as a decimal: half cents go up whatever the binary fraction.
+    df = df.fillna(0.0).selectExpr("*", "0D AS b13", f"CAST(round(CAST(b6 AS DECIMAL(18, 2)) * {SURCHARGE}BD, 2) AS DOUBLE) AS b14")
     df = _subtotals(df, "bcd")
     lines = range(5, 24)
     df = df.selectExpr(*keys, *[f"{p}{i}" for p in "bcd" for i in lines],

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import delivery_month
-from ..functions.measures import cond_sum, cond_sums, money_sql, money_sum, sums
 from ..operators.calendar import period_calendar, trading_day_map
 from ..operators.spine import spine_merge
 from .settlement import DEFAULT_LEVY
@@ -15,9 +14,6 @@ KEYS = ["period", "client_id", "branch_id", "fund_account_id", "money_type", "tr
         "trade_prop", "security_id"]
 OPTION_TYPES = ("12", "21")
 EXCHANGE_WITHOUT_PERFORMANCE = "CFFEX"
-EXERCISE_MEASURES = ["strikefee", "market_strikefee", "execute_transfee", "market_execute_transfee",
-                     "performfee", "market_performfee", "strike_qty", "optstrike_profit",
-                     "strikefrozenmargin", "exchstrikefrozenmargin"]
 
 
 def _period(df: DataFrame, calendar: DataFrame, grain: str, date_col: str = "busi_date") -> DataFrame:
@@ -27,108 +23,102 @@ def _period(df: DataFrame, calendar: DataFrame, grain: str, date_col: str = "bus
     return df.join(days, date_col)
 
 
-def open_positions(hold_detail: DataFrame, calendar: DataFrame, grain: str) -> DataFrame:
-    """Positions at the period's last trading day, and their daily average."""
-    df = _period(hold_detail, calendar, grain)
+# Each component is a projection: a row's key and what it adds to each measure. Nothing is
+# summed here; the spine sums all components in a single shuffle.
+
+def _rows(df: DataFrame, measures: dict[str, str]) -> tuple[DataFrame, list[str]]:
+    return df.selectExpr(*KEYS, *[f"{e} AS {n}" for n, e in measures.items()]), list(measures)
+
+
+def _when(cond: str, value: str) -> str:
+    return f"CASE WHEN {cond} THEN {value} END"
+
+
+MARGINS = (("margin_tj", "1"), ("margin_tl", "2"), ("margin_tb", "3"))
+
+
+def open_positions(hold_detail: DataFrame, calendar: DataFrame, grain: str) -> tuple[DataFrame, list[str]]:
+    """Positions at the period's last trading day, and every day's amount for the average."""
     last, money = "busi_date = last_trade", "amount * sett_price * hand_amount"
     option = f"{last} AND trade_type IN {OPTION_TYPES}"
     at_end = {"hold_amount": "amount", "hold_money": money, **{c: c for c in (
         "hold_profit_bydate", "hold_profit_bytrade", "margin", "market_margin")}}
-    return df.groupBy(*KEYS).agg(
-        *cond_sums({n: (last, v) for n, v in at_end.items()}),
-        cond_sum(f"{option} AND bs_direction = '0'", money).alias("buy_hold_money_qq"),
-        cond_sum(f"{option} AND bs_direction = '1'", money).alias("sell_hold_money_qq"),
-        F.expr(f"round({money_sql('amount')} / max(trade_days), 8) AS hold_amount_avg"))
+    return _rows(_period(hold_detail, calendar, grain), {
+        **{n: _when(last, v) for n, v in at_end.items()}, "amount_all": "amount",
+        "buy_hold_money_qq": _when(f"{option} AND bs_direction = '0'", money),
+        "sell_hold_money_qq": _when(f"{option} AND bs_direction = '1'", money)})
 
 
-MARGINS = (("margin_tj", "1"), ("margin_tl", "2"), ("margin_tb", "3"))
-
-
-def position_fees(hold_balance: DataFrame, calendar: DataFrame, grain: str) -> DataFrame:
-    df = _period(hold_balance, calendar, grain)
+def position_fees(hold_balance: DataFrame, calendar: DataFrame, grain: str) -> tuple[DataFrame, list[str]]:
     fee = "coalesce({0}transfee, 0) + coalesce({0}settfee, 0) + coalesce({0}holdmovefee, 0)"
     option = f"trade_type IN {OPTION_TYPES}"
-    return df.groupBy(*KEYS).agg(
-        money_sum(fee.format("")).alias("transfee"), money_sum(fee.format("market_")).alias("market_transfee"),
-        money_sum("today_profit").alias("total_profit"),
-        *sums(["close_profit_bydate", "close_profit_bytrade", "hold_profit_bytrade"]),
-        *cond_sums({
-            "buy_hold_money_qq": (f"{option} AND bs_direction = '0'", "market_value"),
-            "sell_hold_money_qq": (f"{option} AND bs_direction = '1'", "market_value"),
-            **{n: (f"trade_prop = '{p}'", "margin") for n, p in MARGINS},
-            "hold_amount_buy": ("bs_direction = '0'", "hold_amount"), "hold_amount_sell": ("bs_direction = '1'", "hold_amount")}),
-        money_sum("done_amt").alias("done_amount"), money_sum("done_sum").alias("done_money"),
-        money_sum("close_amount_today").alias("done_amount_pj"), money_sum("close_money_today").alias("done_money_pj"))
-
-
-def fill_activity(done: DataFrame, calendar: DataFrame, grain: str) -> DataFrame:
-    df = _period(done, calendar, grain)
+    return _rows(_period(hold_balance, calendar, grain), {
+        "transfee": fee.format(""), "market_transfee": fee.format("market_"), "total_profit": "today_profit",
+        **{c: c for c in ("close_profit_bydate", "close_profit_bytrade", "hold_profit_bytrade")},
+        "buy_hold_money_qq": _when(f"{option} AND bs_direction = '0'", "market_value"),
+        "sell_hold_money_qq": _when(f"{option} AND bs_direction = '1'", "market_value"),
+        **{n: _when(f"trade_prop = '{p}'", "margin") for n, p in MARGINS},
+        "hold_amount_buy": _when("bs_direction = '0'", "hold_amount"),
+        "hold_amount_sell": _when("bs_direction = '1'", "hold_amount"),
+        "done_amount": "done_amt", "done_money": "done_sum", "done_amount_pj": "close_amount_today",
+        "done_money_pj": "close_money_today"})
+
+
+def fill_activity(done: DataFrame, calendar: DataFrame, grain: str) -> tuple[DataFrame, list[str]]:
+    """Fills. Traded days are kept as a bit per day of the month, counted after the merge."""
     same_day, forced, premium = "trade_order = '3'", "force_flag = '1'", "trade_type <> '11'"
-    return df.groupBy(*KEYS).agg(
-        F.expr("CAST(count(DISTINCT busi_date) AS DOUBLE) AS have_trade_num"),
-        *sums(["socrt_openfee", "settlementfee", "add_fee1", "add_fee2"]),
-        *cond_sums({
-            "transfee_pj": (same_day, "transfee"), "market_transfee_pj": (same_day, "market_transfee"),
-            "remain_transfee_pj": (same_day, "transfee - market_transfee"),
-            "opt_premium_pay": (f"{premium} AND bs_direction = '0'", "done_money"),
-            "opt_premium_income": (f"{premium} AND bs_direction = '1'", "done_money"),
-            "done_amount_qp": (forced, "done_amount"), "done_money_qp": (forced, "done_money")}),
-        F.expr(f"CAST(count_if({forced}) AS DOUBLE) AS force_number"))
-
-
-def deliveries(delivery: DataFrame, calendar: DataFrame, grain: str) -> DataFrame:
+    return _rows(_period(done, calendar, grain), {
+        "days": "shiftleft(1L, dayofmonth(busi_date))",
+        **{c: c for c in ("socrt_openfee", "settlementfee", "add_fee1", "add_fee2")},
+        "transfee_pj": _when(same_day, "transfee"), "market_transfee_pj": _when(same_day, "market_transfee"),
+        "remain_transfee_pj": _when(same_day, "transfee - market_transfee"),
+        "opt_premium_pay": _when(f"{premium} AND bs_direction = '0'", "done_money"),
+        "opt_premium_income": _when(f"{premium} AND bs_direction = '1'", "done_money"),
+        "done_amount_qp": _when(forced, "done_amount"), "done_money_qp": _when(forced, "done_money"),
+        "force_number": _when(forced, "1")})
+
+
+def deliveries(delivery: DataFrame, calendar: DataFrame, grain: str) -> tuple[DataFrame, list[str]]:
     """Deliveries, dated by settlement when the newer clearing system supplied any row."""
     newer = delivery.agg(F.coalesce(F.max(F.col("data_source") == "CTP2"), F.lit(False))).scalar()
     dated = delivery.withColumn("__day", F.when(newer, F.col("sett_date")).otherwise(F.col("busi_date")))
-    df = _period(dated, calendar, grain, "__day")
     last = "busi_date = last_trade"
-    return df.groupBy(*KEYS).agg(
-        *sums(["transfee", "market_transfee", "done_amt"]), money_sum("transfee - market_transfee").alias("remain_transfee"),
-        money_sum("pay_amount").alias("delivery_amount"),
-        *cond_sums({"margin": (last, "margin"), "market_margin": (last, "market_margin"),
-                    **{n: (f"{last} AND trade_prop = '{p}'", "margin") for n, p in MARGINS}}))
+    return _rows(_period(dated, calendar, grain, "__day"), {
+        **{c: c for c in ("transfee", "market_transfee", "done_amt")}, "remain_transfee": "transfee - market_transfee",
+        "delivery_amount": "pay_amount", "margin": _when(last, "margin"), "market_margin": _when(last, "market_margin"),
+        **{n: _when(f"{last} AND trade_prop = '{p}'", "margin") for n, p in MARGINS}})
+
 
+SIDES = {"strikefee": "fee", "market_strikefee": "market_fee", "strike_qty": "qty"}
 
-def exercises(execute: DataFrame, securities: DataFrame, calendar: DataFrame, grain: str) -> DataFrame:
-    """Option exercise (buyer) and performance (seller).
 
-    Exchange options (type 21) are booked on the next trading day and one exchange books the
-    seller's side as exercise too; commodity options (type 12) come with both fees.
+def exercises(execute: DataFrame, calendar: DataFrame, grain: str) -> tuple[DataFrame, list[str]]:
+    """Option exercise and performance, by side.
+
+    Exchange options (type 21) are booked on the next trading day; commodity options (type 12)
+    come with separate exercise and performance fees. Which side counts as exercise depends on
+    the contract's exchange and is settled after the merge.
     """
-    nxt = trading_day_map(calendar, 1).select("busi_date", F.col("trade_date").alias("__next"))
-    dims = securities.select("security_id", F.col("market_id").alias("__market"),
-                             F.col("delivery_date").alias("__delivery"))
-    kind = F.col("trade_type")
-    # Summed per key, day and side before any join, so a busy contract joins as a few rows.
-    df = (execute.filter((kind == "21") | ((kind == "12") & (F.col("strike_type") == "0")))
-          .groupBy("busi_date", *KEYS[1:], "bs_direction").agg(
-              *sums(EXERCISE_MEASURES),
-              money_sum(F.col("strike_qty") * F.col("strike_price") * F.col("hand_amount")).alias("strike_money"))
-          .join(nxt, "busi_date").join(dims, "security_id"))
-    df = _period(df.withColumn("__day", F.when(kind == "21", F.col("__next")).otherwise(F.col("busi_date"))),
-                 calendar, grain, "__day")
-    split, buyer, seller = "trade_type = '21'", "bs_direction = '0'", "bs_direction = '1'"
-    as_exercise = f"({buyer} OR ({seller} AND __market = '{EXCHANGE_WITHOUT_PERFORMANCE}'))"
-    performs = f"({seller} AND __market <> '{EXCHANGE_WITHOUT_PERFORMANCE}')"
-
-    def side(own: str, cond: str, shared: str = "strikefee") -> str:
-        return f"CASE WHEN {split} THEN CASE WHEN {cond} THEN {shared} END ELSE {own} END"
-
-    expiring = f"NOT {split} AND date_format(busi_date, 'yyyyMMdd') = __delivery"
-    frozen = f"{split} AND __day = last_trade"
-    return df.groupBy(*KEYS).agg(
-        money_sum("strikefee").alias("transfee"), money_sum("market_strikefee").alias("market_transfee"),
-        money_sum("strikefee - market_strikefee").alias("remain_transfee"),
-        money_sum(side("execute_transfee", as_exercise)).alias("transfee_xq"),
-        money_sum(side("market_execute_transfee", as_exercise, "market_strikefee")).alias("market_transfee_xq"),
-        money_sum(side("performfee", performs)).alias("transfee_ly"),
-        money_sum(side("market_performfee", performs, "market_strikefee")).alias("market_transfee_ly"),
-        *sums(["optstrike_profit"]),
-        *cond_sums({
-            "strike_qty_xq": (f"CASE WHEN {split} THEN {as_exercise} ELSE {buyer} END", "strike_qty"),
-            "strike_qty_ly": (f"CASE WHEN {split} THEN {performs} ELSE {seller} END", "strike_qty"),
-            "strike_qty_dq": (expiring, "strike_qty"), "strike_money_dq": (expiring, "strike_money"),
-            "strikefrozenmargin": (frozen, "strikefrozenmargin"), "exchstrikefrozenmargin": (frozen, "exchstrikefrozenmargin")}))
+    nxt = trading_day_map(calendar, 1).selectExpr("busi_date", "trade_date AS __next")
+    rows = (execute.filter("trade_type = '21' OR (trade_type = '12' AND strike_type = '0')").join(nxt, "busi_date")
+            .withColumn("__day", F.expr("CASE WHEN trade_type = '21' THEN __next ELSE busi_date END")))
+    frozen = "trade_type = '21' AND __day = last_trade"
+    return _rows(_period(rows, calendar, grain, "__day"), {
+        "transfee": "strikefee", "market_transfee": "market_strikefee", "remain_transfee": "strikefee - market_strikefee",
+        **{f"{n}_{side}": _when(f"bs_direction = '{d}'", c) for c, n in SIDES.items() for side, d in (("buy", "0"), ("sell", "1"))},
+        "execute": "execute_transfee", "market_execute": "market_execute_transfee", "perform": "performfee",
+        "market_perform": "market_performfee", "optstrike_profit": "optstrike_profit",
+        "strikefrozenmargin": _when(frozen, "strikefrozenmargin"),
+        "exchstrikefrozenmargin": _when(frozen, "exchstrikefrozenmargin")})
+
+
+def expiries(execute: DataFrame, securities: DataFrame, calendar: DataFrame, grain: str) -> tuple[DataFrame, list[str]]:
+    """Commodity options exercised on their contract's delivery date: an equi-join on both."""
+    ends = (securities.filter("delivery_date IS NOT NULL")
+            .selectExpr("security_id", "to_date(delivery_date, 'yyyyMMdd') AS busi_date"))
+    rows = execute.filter("trade_type = '12' AND strike_type = '0'").join(ends, ["security_id", "busi_date"])
+    return _rows(_period(rows, calendar, grain), {
+        "strike_qty_dq": "strike_qty", "strike_money_dq": "strike_qty * strike_price * hand_amount"})
 
 
 def trade_statistics(hold_detail: DataFrame, hold_balance: DataFrame, done: DataFrame, delivery: DataFrame,
@@ -136,12 +126,18 @@ def trade_statistics(hold_detail: DataFrame, hold_balance: DataFrame, done: Data
                      grain: str = "day", levy: float = DEFAULT_LEVY) -> DataFrame:
     """All five components on their common key, with totals, contract month and account columns.
 
-    Contracts and accounts are joined after the merge, once, on rows already summed.
+    The components are stacked and summed in one shuffle; contracts and accounts are joined once,
+    to the sums. ``grain`` is ``day``, ``week`` or ``month``.
     """
-    parts = {"h": open_positions(hold_detail, calendar, grain), "f": position_fees(hold_balance, calendar, grain),
-             "d": fill_activity(done, calendar, grain), "v": deliveries(delivery, calendar, grain),
-             "x": exercises(execute, securities, calendar, grain)}
-    merged = spine_merge({p: (df, [c for c in df.columns if c not in KEYS]) for p, df in parts.items()}, KEYS, 8)
+    if grain not in ("day", "week", "month"):
+        raise ValueError("trade statistics are by day, week or month")
+    merged = spine_merge({
+        "h": open_positions(hold_detail, calendar, grain), "f": position_fees(hold_balance, calendar, grain),
+        "d": fill_activity(done, calendar, grain), "v": deliveries(delivery, calendar, grain),
+        "x": exercises(execute, calendar, grain), "e": expiries(execute, securities, calendar, grain)},
+        KEYS, masks=["d_days"])
+    periods = period_calendar(calendar, grain).select("period", "trade_days").distinct()
+    merged = merged.join(periods, "period")
     month = delivery_month("contract_code", "delivery_year", "delivery_month", "delivery_date", "end_delivery_date")
     dims = securities.select("security_id", "market_id", "product_id", month.alias("deliv_date"))
     own = accounts.select("fund_account_id", "client_type", "open_date")
@@ -152,14 +148,25 @@ def trade_statistics(hold_detail: DataFrame, hold_balance: DataFrame, done: Data
     def by_kind(name: str) -> str:
         return f"CASE trade_type WHEN '21' THEN f_{name} WHEN '12' THEN h_{name} ELSE 0D END AS {name}"
 
+    one_book = f"market_id = '{EXCHANGE_WITHOUT_PERFORMANCE}'"
+
+    def xq(own: str, shared: str, name: str = "") -> str:
+        """Exercise: type 21 takes the buyer's side, and the seller's where it is not performance."""
+        e = f"CASE WHEN trade_type = '21' THEN round(x_{shared}_buy + CASE WHEN {one_book} THEN x_{shared}_sell ELSE 0D END, 2) ELSE x_{own} END"
+        return f"{e} AS {name}" if name else e
+
+    def ly(own: str, shared: str, name: str) -> str:
+        return f"CASE WHEN trade_type = '21' THEN CASE WHEN {one_book} THEN 0D ELSE x_{shared}_sell END ELSE x_{own} END AS {name}"
+
     fees = "f_{0} + v_{0} + x_{0}"
     return (merged.join(dims, "security_id").join(own, "fund_account_id", "left").selectExpr(
         *KEYS, "market_id", "product_id", "deliv_date", "client_type", "open_date",
-        *same("h", "hold_amount", "hold_money", "hold_amount_avg", "hold_profit_bydate", "hold_profit_bytrade"),
+        *same("h", "hold_amount", "hold_money", "hold_profit_bydate", "hold_profit_bytrade"),
+        "round(h_amount_all / trade_days, 8) AS hold_amount_avg", "CAST(bit_count(d_days) AS DOUBLE) AS have_trade_num",
         by_kind("buy_hold_money_qq"), by_kind("sell_hold_money_qq"),
         *[f"round(h_{n} + v_{n}, 2) AS {n}" for n in ("margin", "market_margin")],
         *[f"round(f_{n} + v_{n}, 2) AS {n}" for n, _ in MARGINS],
-        *same("d", "have_trade_num", "transfee_pj", "market_transfee_pj", "remain_transfee_pj", "opt_premium_income",
+        *same("d", "transfee_pj", "market_transfee_pj", "remain_transfee_pj", "opt_premium_income",
               "opt_premium_pay", "add_fee1", "add_fee2", "done_amount_qp", "done_money_qp", "force_number"),
         "d_socrt_openfee AS jingshoufei", "d_settlementfee AS jiesuanfei",
         "round(d_opt_premium_income - d_opt_premium_pay, 2) AS opt_premium_income_pay",
@@ -168,10 +175,12 @@ def trade_statistics(hold_detail: DataFrame, hold_balance: DataFrame, done: Data
         "round(f_hold_profit_bytrade + f_close_profit_bytrade, 2) AS float_profit",
         *[f"v_{n} AS deliv_{n}" for n in ("transfee", "market_transfee", "remain_transfee", "margin", "market_margin")],
         *same("v", "delivery_amount", "done_amt"),
-        *same("x", "transfee_xq", "transfee_ly", "market_transfee_xq", "market_transfee_ly", "strike_qty_xq",
-              "strike_qty_ly", "strike_qty_dq", "strike_money_dq", "optstrike_profit", "strikefrozenmargin",
-              "exchstrikefrozenmargin"),
-        "round(x_transfee_xq - x_market_transfee_xq, 2) AS remain_transfee_xq",
+        xq("execute", "fee", "transfee_xq"), xq("market_execute", "market_fee", "market_transfee_xq"),
+        ly("perform", "fee", "transfee_ly"), ly("market_perform", "market_fee", "market_transfee_ly"),
+        xq("qty_buy", "qty", "strike_qty_xq"), ly("qty_sell", "qty", "strike_qty_ly"),
+        *same("e", "strike_qty_dq", "strike_money_dq"),
+        *same("x", "optstrike_profit", "strikefrozenmargin", "exchstrikefrozenmargin"),
+        f"round({xq('execute', 'fee')} - {xq('market_execute', 'market_fee')}, 2) AS remain_transfee_xq",
         "f_transfee AS trade_transfee", "f_market_transfee AS market_trade_transfee",
         "round(f_transfee - f_market_transfee, 2) AS trade_remain_transfee",
         f"round({fees.format('transfee')}, 2) AS total_transfee",
