@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import month_key
 from ..functions.measures import money_sum
 
 SMALL_SIDE_ROWS = 10_000
@@ -39,16 +40,32 @@ def scaffold(units: DataFrame, indicators: DataFrame | Sequence[tuple], names: S
         *units.columns, *[F.col(f"__i.{n}").alias(n) for n in names])
 
 
+def spread_over_days(spans: DataFrame, calendar: DataFrame, begin: str, end: str,
+                     date_col: str = "busi_date", step: str = "INTERVAL 1 DAY") -> DataFrame:
+    """Intervals (bounds inclusive) as one row per day or month, cut to the calendar's range.
+
+    An effective-dated lookup then is an equality join on the date; nothing is compared row by row.
+    """
+    bounds = calendar.agg(F.min("busi_date").alias("__lo"), F.max("busi_date").alias("__hi"))
+    # Steps start at the interval's own begin, so a monthly step keeps to its day of the month.
+    clipped = against_total(spans, bounds).filter(f"{begin} <= least({end}, __hi) AND {end} >= __lo")
+    return (clipped.withColumn(date_col, F.explode(F.expr(f"sequence({begin}, least({end}, __hi), {step})")))
+            .filter(f"{date_col} >= date_trunc('month', __lo)")
+            .select(date_col, *[c for c in spans.columns if c not in (begin, end)]))
+
+
 def daily_rates(rates: DataFrame, calendar: DataFrame, rate: str, begin: str, end: str,
                 date_col: str = "busi_date") -> DataFrame:
-    """Effective-dated rates as one row per calendar day.
+    """Effective-dated rates as one row per day of the calendar's range."""
+    return spread_over_days(rates.select(begin, end, rate), calendar, begin, end, date_col).select(date_col, rate)
 
-    The range condition meets only the rate table and the calendar, so the facts join on plain
-    equality of dates.
-    """
-    days = calendar.select(F.col("busi_date").alias(date_col)).distinct()
-    spans = rates.select(F.col(begin).alias("__b"), F.col(end).alias("__e"), F.col(rate).alias(rate))
-    return days.join(spans, F.col(date_col).between(F.col("__b"), F.col("__e"))).select(date_col, rate)
+
+def monthly_parameters(parameters: DataFrame, calendar: DataFrame, begin: str = "begin_month", end: str = "end_month",
+                       month: str = "busi_month") -> DataFrame:
+    """Parameters valid for a range of ``yyyyMM`` months as one row per month."""
+    spans = parameters.withColumns({k: F.to_date(F.concat(F.col(k), F.lit("01")), "yyyyMMdd") for k in (begin, end)})
+    rows = spread_over_days(spans, calendar, begin, end, "__day", "INTERVAL 1 MONTH")
+    return rows.withColumn(month, month_key("__day")).drop("__day")
 
 
 def effective_rate(facts: DataFrame, rates: DataFrame, calendar: DataFrame, rate: str = "interest_rate",

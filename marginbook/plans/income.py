@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_key
 from ..functions.measures import cond_sums, group_concat, money_sum, nz, safe_ratio, sums
 from ..operators.calendar import one_market, period_calendar, trading_day_map
-from ..operators.joins import daily_rates
+from ..operators.joins import daily_rates, monthly_parameters
 from ..operators.ranking import latest_per_key
 from ..operators.spine import spine_merge
 
@@ -65,10 +65,7 @@ def product_income(values: DataFrame, product_accounts: DataFrame, products: Dat
     elif product_fees is not None:
         out = out.join(product_fees.select("busi_month", "filing_code", "manage_fee_income", "sales_incentives"),
                        ["busi_month", "filing_code"], "left")
-    # The parameter table has a row per range of months: matched to the few months, not to facts.
-    months = days.select(F.col("period").alias("busi_month")).distinct()
-    rates = months.join(parameters, F.col("busi_month").between(F.col("begin_month"), F.col("end_month"))).select(
-        "busi_month", "tax_rate", "interest_rate")
+    rates = monthly_parameters(parameters, one_market(calendar)).select("busi_month", "tax_rate", "interest_rate")
     out = out.join(rates, "busi_month", "left")
     tax, interest = F.coalesce("tax_rate", F.lit(1.0)), F.coalesce("interest_rate", F.lit(1.0))
     net = {f"{c}_extax": F.col(c) / (1 + tax) for c in
