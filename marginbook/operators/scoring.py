@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import nz, safe_ratio
+from ..functions.measures import safe_ratio
 
 
 def carry_over(df: DataFrame, keys: Sequence[str], quarter: str = "quarter_id",
@@ -16,25 +16,19 @@ def carry_over(df: DataFrame, keys: Sequence[str], quarter: str = "quarter_id",
 
     Adds ``adjust_1..3`` (surplus taken from quarters 1 to 3), ``adjust_quarter_1..3`` (which
     quarter, ``-`` when none) and ``completed``. A quarter above its target takes nothing.
-    All four quarters of a key are summed into one row first, so no self-join is needed.
+    A window over the key's quarters, four rows at most, supplies the surpluses; the facts behind
+    the frame are computed once.
     """
-    surplus = F.when(F.col(actual) > F.col(target), F.col(actual) - F.col(target)).otherwise(0.0)
-    q = F.col(quarter).cast("int")
-    earned = df.groupBy(*keys).agg(*[
-        F.round(nz(F.sum(F.when(q == i, surplus))), 6).alias(f"__s{i}") for i in (1, 2, 3)])
-    # The surpluses come from the same frame, so every key has its row; null-safe for NULL parts.
-    j = df.alias("a").join(earned.alias("b"), [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
-    short = F.col(f"a.{actual}") <= F.col(f"a.{target}")
-    qa = F.col(f"a.{quarter}").cast("int")
-
-    def taken(i: int) -> Column:
-        return F.when(short & (qa > i), F.col(f"b.__s{i}")).otherwise(0.0)
-
-    return j.select(
-        *[F.col(f"a.{c}") for c in df.columns],
-        *[taken(i).alias(f"adjust_{i}") for i in (1, 2, 3)],
-        *[F.when(taken(i) > 0, f"{i}季度").otherwise("-").alias(f"adjust_quarter_{i}") for i in (1, 2, 3)],
-        (F.col(f"a.{actual}") + taken(1) + taken(2) + taken(3)).alias("completed"))
+    q = f"CAST({quarter} AS INT)"
+    over = f"OVER (PARTITION BY {', '.join(keys)})"
+    earned = df.selectExpr("*", *[
+        f"round(coalesce(sum(CASE WHEN {q} = {i} AND {actual} > {target} THEN {actual} - {target} END) {over}, 0D), 6) AS __s{i}"
+        for i in (1, 2, 3)])
+    taken = {i: f"CASE WHEN {actual} <= {target} AND {q} > {i} THEN __s{i} ELSE 0D END" for i in (1, 2, 3)}
+    return earned.selectExpr(
+        *df.columns, *[f"{e} AS adjust_{i}" for i, e in taken.items()],
+        *[f"CASE WHEN {e} > 0 THEN '{i}季度' ELSE '-' END AS adjust_quarter_{i}" for i, e in taken.items()],
+        f"{actual} + {' + '.join(f'({e})' for e in taken.values())} AS completed")
 
 
 def capped_score(rate: Column | str, weight: Column | str, cap: Column | str) -> Column:
