@@ -59,3 +59,40 @@ def leaks(docs, items, width=10):
                     hit.update(range(i, i + n))
         out[doc] = (len(w), len(hit), len(found), sha(",".join(sorted(map(str, found)))))
     return out
+
+
+def classes(docs, width, percent):
+    """doc_id: (set size, smallest reachable id), by all pairs that share a gram."""
+    sets = {}
+    for doc, text in docs:
+        w = words(lower(text))
+        sets[doc] = frozenset(tuple(w[i:i + width]) for i in range(len(w) - width + 1)) if len(w) >= width else (
+            frozenset([tuple(w)]) if w else frozenset())
+    first = {}
+    root = {}
+    for doc in sorted(sets):
+        root[doc] = first.setdefault(sets[doc], doc) if sets[doc] else doc
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+    holders = defaultdict(list)
+    for s, doc in first.items():
+        n = len(s)
+        for gram in sorted(s, key=lambda g: hashlib.md5(repr(g).encode()).digest())[:n - -(-percent * n // 100) + 1]:
+            holders[gram].append(doc)
+    seen = set()
+    for docs_ in holders.values():
+        for i, a in enumerate(docs_):
+            for b in docs_[i + 1:]:
+                n, m = len(sets[a]), len(sets[b])
+                if 100 * min(n, m) < percent * max(n, m) or (a, b) in seen:
+                    continue
+                seen.add((a, b))
+                shared = len(sets[a] & sets[b])
+                if 100 * shared >= percent * (n + m - shared):
+                    x, y = sorted((find(a), find(b)))
+                    root[y] = x
+    return {d: (len(sets[d]), find(d)) for d in sets}
