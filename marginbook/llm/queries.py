@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginbook.llm import chat, decontaminate, jaccard, mixing, substrings, urls
+from marginbook.llm import chat, decontaminate, jaccard, mixing, neardup, quality, substrings, toxicity, urls
 
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
              ("block", "net/fr/"))
@@ -37,6 +37,11 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+@query
+def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -53,6 +58,18 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(listed, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+def remainder(parts: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(remainder(5) != 0)
+    return quality.score_quality(docs, labels).select(
+        "doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,6 +78,14 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(remainder(3) != 1)
+    return toxicity.score_toxicity(docs, labels).select(
+        "doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
