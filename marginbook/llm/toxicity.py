@@ -1,8 +1,10 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax.
 
-A word is the mean of the vectors of its character n-grams (hashed into buckets), a text the mean of its words. Vectors and
-softmax are trained jointly, so words that were never seen, misspellings among them, share the vectors of their n-grams.
-Since both means and the softmax's inputs are linear, a fitted model is one number per bucket.
+A word is the mean of the vectors of its character n-grams (hashed into buckets), a text the mean of its distinct words,
+each with the weight 1 + log of its count, so that a word said a thousand times is not the whole text. Vectors and softmax
+are trained jointly, so words that were never seen, misspellings among them, share the vectors of their n-grams. A group
+penalty holds the vectors of n-grams that tell nothing at zero. Since both means and the softmax's inputs are linear, a
+fitted model is one number per bucket. A fifth of the labelled texts is kept back to turn its evidence into a probability.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +23,16 @@ from pyspark.sql import functions as F
 from marginbook.llm.frames import LOWER, raw
 
 BUCKETS = 1 << 17
-GRAMS = (3, 4, 5, 6)
+#: Lengths in bytes of the n-grams anywhere in a word with its ends marked, and of those at its start only.
+GRAMS, STARTS = (4, 5, 6), (7, 8, 9, 10)
+#: Added to the weight of a text's words: a single word says less in a short text.
+SHRINK = 10.0
+#: Buckets in fewer training texts are not learnt from.
+LEAST_TEXTS = 3
 #: Most labelled rows of each class that a fit takes to the driver; those with the smallest hashes of the id.
-ROWS_PER_CLASS = 2_500
+ROWS_PER_CLASS = 3_000
 #: Most bytes of their texts; whole texts are taken in the order of the hashes until it is reached.
-BYTES_PER_CLASS = 24 << 20
+BYTES_PER_CLASS = 16 << 20
 KNOWN_WORDS = 300_000
 #: Bytes that are no part of a word become spaces, A-Z lower case: marks stuck to a word don't hide it.
 LETTERS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in LOWER)
@@ -35,27 +43,44 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def grams_of(word: bytes) -> np.ndarray:
-    """Buckets of a word: the word itself and its n-grams with marked ends."""
+    """Buckets of a word: the word itself, its n-grams with marked ends, and its longer beginnings."""
     marked = b"<" + word + b">"
     found = {xxhash.xxh3_64_intdigest(marked)}
     for n in GRAMS:
         found.update(xxhash.xxh3_64_intdigest(marked[i:i + n], n) for i in range(len(marked) - n + 1))
-    return np.array(sorted(h % BUCKETS for h in found), np.int64)
+    found.update(xxhash.xxh3_64_intdigest(marked[:n], n) for n in STARTS if n < len(marked))
+    return np.array(sorted({h % BUCKETS for h in found}), np.int32)
 
 
 def _bag(text: bytes, known: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of a text and their weights, which add up to 1."""
+    """Distinct buckets of a text and their weights."""
     counts = Counter(words_of(text))
     if not counts:
-        return np.empty(0, np.int64), np.empty(0)
-    at, weights = [], []
+        return np.empty(0, np.int32), np.empty(0, np.float32)
+    at, weights, total = [], [], SHRINK
     for word, n in counts.items():
         if (grams := known.get(word)) is None:
+            if len(known) >= KNOWN_WORDS:
+                known.clear()
             grams = known[word] = grams_of(word)
+        weight = 1 + np.log(n)
+        total += weight
         at.append(grams)
-        weights.append(np.full(len(grams), n / len(grams)))
+        weights.append(np.full(len(grams), weight / len(grams)))
     at, place = np.unique(np.concatenate(at), return_inverse=True)
-    return at, np.bincount(place, np.concatenate(weights)) / sum(counts.values())
+    return at, (np.bincount(place, np.concatenate(weights)) / total).astype(np.float32)
+
+
+def _logistic(z: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Slope and constant of a logistic curve through evidence and labels, by damped Newton steps."""
+    x = np.stack([z, np.ones(len(z))], axis=1)
+    w = np.zeros(2)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (p - labels) + 1e-2 * w * [1, 0]
+        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2)
+        w -= np.linalg.solve(curve, slope)
+    return max(float(w[0]), 1e-6), float(w[1])
 
 
 @dataclass
@@ -66,64 +91,77 @@ class SubwordModel:
     constant: float
 
     @classmethod
-    def fit(cls, texts: list[bytes], labels: np.ndarray, dim: int = 8, epochs: int = 12, rate: float = 0.3,
-            batch: int = 32, prior: float | None = None, seed: int = 11) -> SubwordModel:
-        """Adagrad on the cross entropy, classes weighted alike; ``prior`` is the share of class 1 to expect."""
+    def fit(cls, texts: list[bytes], labels: np.ndarray, weights: np.ndarray, dim: int = 8, epochs: int = 8,
+            rate: float = 0.1, penalty: float = 3e-4, batch: int = 32, scale: float = 100.0, seed: int = 11) -> SubwordModel:
+        """Adagrad on the cross entropy with classes weighted alike. ``weights`` says how many rows of the population a row
+        of each class stands for, for the probabilities."""
         known: dict[bytes, np.ndarray] = {}
         bags = [_bag(t, known) for t in texts]
+        known.clear()
         rng = np.random.default_rng(seed)
-        vectors = rng.uniform(-1 / dim, 1 / dim, (BUCKETS, dim))
-        soft, bias = np.zeros((dim, 2)), np.zeros(2)
-        soft[:, 0], soft[:, 1] = -1 / dim, 1 / dim
-        squares = [np.full(BUCKETS, 1e-6), np.full(soft.shape, 1e-6), np.full(2, 1e-6)]
-        balance = 0.5 / np.maximum(1e-9, np.bincount(labels, minlength=2) / len(labels))
-        scale = 40.0  # texts are means of many words: without it the few telling ones move too slowly
+        order = rng.permutation(len(bags))
+        back = set(order[:len(order) // 5].tolist()) if min(np.bincount(labels, minlength=2)) >= 20 else set()
+        own = np.array([i for i in order if i not in back])
+        seen = np.zeros(BUCKETS, np.int32)
+        for i in own:
+            seen[bags[i][0]] += 1
+        bags = [(at[seen[at] >= LEAST_TEXTS], w[seen[at] >= LEAST_TEXTS]) for at, w in bags]
+        vectors = rng.uniform(-0.05 / dim, 0.05 / dim, (BUCKETS, dim))
+        soft = np.array([-0.5, 0.5]) + rng.normal(0, 0.1, (dim, 2))
+        bias = np.zeros(2)
+        squares = [np.full(BUCKETS, 1e-4), np.full(soft.shape, 1e-2), np.full(2, 1e-2)]
+        balance = 0.5 / np.maximum(1e-9, np.bincount(labels[own], minlength=2) / len(own))
         for _ in range(epochs):
-            order = rng.permutation(len(bags))
-            for start in range(0, len(order), batch):
-                own = [i for i in order[start:start + batch] if len(bags[i][0])]
-                if not own:
+            rng.shuffle(own)
+            for start in range(0, len(own), batch):
+                rows = [i for i in own[start:start + batch] if len(bags[i][0])]
+                if not rows:
                     continue
-                at = np.concatenate([bags[i][0] for i in own])
-                weight = np.concatenate([bags[i][1] for i in own]) * scale
-                row = np.repeat(np.arange(len(own)), [len(bags[i][0]) for i in own])
-                hidden = np.zeros((len(own), dim))
-                for k in range(dim):
-                    hidden[:, k] = np.bincount(row, vectors[at, k] * weight, len(own))
+                at = np.concatenate([bags[i][0] for i in rows])
+                weight = np.concatenate([bags[i][1] for i in rows]) * scale
+                row = np.repeat(np.arange(len(rows)), [len(bags[i][0]) for i in rows])
+                hidden = np.stack([np.bincount(row, vectors[at, k] * weight, len(rows)) for k in range(dim)], axis=1)
                 logits = hidden @ soft + bias
-                chance = np.exp(logits - logits.max(axis=1, keepdims=True))
-                chance /= chance.sum(axis=1, keepdims=True)
-                error = chance.copy()
-                error[np.arange(len(own)), labels[own]] -= 1
-                error *= balance[labels[own]][:, None] / len(own)
+                error = np.exp(logits - logits.max(axis=1, keepdims=True))
+                error /= error.sum(axis=1, keepdims=True)
+                error[np.arange(len(rows)), labels[rows]] -= 1
+                error *= balance[labels[rows]][:, None] / len(rows)
                 down = error @ soft.T
                 buckets, place = np.unique(at, return_inverse=True)
                 step = np.stack([np.bincount(place, down[row, k] * weight) for k in range(dim)], axis=1)
                 squares[0][buckets] += (step**2).mean(axis=1)
-                vectors[buckets] -= rate * step / np.sqrt(squares[0][buckets])[:, None] * 0.2
+                pace = rate / np.sqrt(squares[0][buckets])[:, None]
+                moved = vectors[buckets] - pace * step
+                norm = np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-12)
+                vectors[buckets] = moved * np.maximum(0, 1 - pace * penalty / norm)
                 for value, grad, square in ((soft, hidden.T @ error, squares[1]), (bias, error.sum(axis=0), squares[2])):
                     square += grad**2
-                    value -= rate * grad / np.sqrt(square) * 0.2
-        share = prior if prior is not None else float(labels.mean())
-        shift = float(np.log(share / (1 - share))) if 0 < share < 1 else 0.0
-        return cls(vectors @ (soft[:, 1] - soft[:, 0]) * scale, float(bias[1] - bias[0]) + shift)
+                    value -= 0.2 * rate * grad / np.sqrt(square)
+        evidence = vectors @ (soft[:, 1] - soft[:, 0]) * scale
+        evidence[seen < LEAST_TEXTS] = 0
+        z = np.array([evidence[at] @ w if len(at) else 0.0 for at, w in bags])
+        check = np.array(sorted(back)) if back else np.arange(len(bags))
+        slope, constant = _logistic(z[check], labels[check])
+        ratio = np.bincount(labels[check], minlength=2)
+        shift = np.log(weights[1] / weights[0]) - np.log(ratio[1] / ratio[0]) if ratio.min() else 0.0
+        return cls(evidence * slope, constant + float(shift))
 
     def scorer(self):
         """A function from a text to its score; it keeps the evidence of the words met lately."""
         known: dict[bytes, float] = {}
 
         def score(text: bytes | None) -> float:
-            words = words_of(text)
-            total = 0.0
-            for word in words:
+            total, weight = 0.0, SHRINK
+            for word, n in Counter(words_of(text)).items():
                 value = known.get(word)
                 if value is None:
                     if len(known) >= KNOWN_WORDS:
                         known.clear()
                     value = known[word] = float(self.evidence[grams_of(word)].mean())
-                total += value
-            logit = self.constant + (total / len(words) if words else 0.0)
-            return float(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
+                share = 1 + log(n)
+                total += share * value
+                weight += share
+            return 1 / (1 + exp(-max(-500.0, min(500.0, self.constant + total / weight))))
         return score
 
 
@@ -151,7 +189,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS,
     known = np.array(given_labels, np.int64)
     if len(set(given_labels)) < 2:
         return None
-    return SubwordModel.fit(texts, known, prior=counts[1] / (counts[0] + counts[1]), seed=seed)
+    return SubwordModel.fit(texts, known, np.array([counts[0], counts[1]], float), seed=seed)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
