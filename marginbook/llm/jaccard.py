@@ -197,14 +197,12 @@ def _cells(rule: Rule):
         """Links between two cells, or inside one: rows of side 0 and 1 with their packed sets."""
         table = table.combine_chunks()
         sids, sides = table.column("sid").to_numpy(), table.column("side").to_numpy()
-        poor = table.column("poor").to_numpy(zero_copy_only=False)
         sets = [np.frombuffer(t, np.int64) for t in table.column("tokens").to_pylist()]
         left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
         right = right if len(right) else left
         shared = _overlaps([sets[i] for i in left], [sets[i] for i in right])
         sizes = np.array([len(s) for s in sets])
         found = rule.holds(shared, sizes[left][:, None], sizes[right][None, :])
-        found &= poor[left][:, None] | poor[right][None, :]
         links = np.zeros((len(sets), len(sets)), bool)
         links[np.ix_(left, right)] = found
         edges = _spanning(links | links.T)
@@ -257,25 +255,28 @@ def _group_members(tokens: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _cell_rows(members: DataFrame, rule: Rule) -> DataFrame:
-    """(task, side, sid, poor): cells of a group that must meet."""
+    """(task, side, sid): cells of a group that must meet."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / rule.percent)))).cast("long")
+    # Groups of one poor set alone have nothing to compare.
     several = members.groupBy("grp").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("grp")
     banded = members.join(several, "grp").withColumn("band", band)
-    sizes = banded.groupBy("grp", "band").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"))
-    placed = (banded.join(sizes, ["grp", "band"])
+    sizes = banded.groupBy("grp", "poor", "band").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"))
+    placed = (banded.join(sizes, ["grp", "poor", "band"])
               .withColumn("cell", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")))
-    # Cells meet inside a band and with the next band: similar sets are never further apart.
-    # Rounding could put lengths at the border of a band one band off, so the band after that is met as well.
-    here = sizes.select("grp", "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("cell"))
-    other = sizes.select("grp", F.col("band").alias("band2"),
-                         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("cell2"))
-    meets = (here.join(other, "grp").where("band2 BETWEEN band AND band + 2")
-             .where("band2 > band OR cell2 >= cell")
-             .withColumn("task", F.xxhash64("grp", "band", "cell", "band2", "cell2")))
-    left = placed.join(meets, ["grp", "band", "cell"]).select("task", F.lit(0).alias("side"), "sid", "poor")
-    right = (placed.join(meets.where("band2 <> band OR cell2 <> cell")
-                         .select("grp", F.col("band2").alias("band"), F.col("cell2").alias("cell"), "task"),
-                         ["grp", "band", "cell"]).select("task", F.lit(1).alias("side"), "sid", "poor"))
+    # A cell of poor sets meets the poor cells of its band and the next one, and all others of its group in reach. Rounding
+    # could put lengths at the border of a band one band off, so a band further is met as well.
+    cells = sizes.select("grp", "poor", "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("cell"))
+    here = cells.where("poor").drop("poor")
+    other = cells.select("grp", F.col("poor").alias("poor2"), F.col("band").alias("band2"), F.col("cell").alias("cell2"))
+    meets = (here.join(other, "grp").where("abs(band2 - band) <= 2")
+             .where("NOT poor2 OR band2 > band OR (band2 = band AND cell2 >= cell)")
+             .withColumn("task", F.xxhash64("grp", "band", "cell", "poor2", "band2", "cell2")))
+    left = (placed.where("poor").join(meets.select("grp", "band", "cell", "task"), ["grp", "band", "cell"])
+            .select("task", F.lit(0).alias("side"), "sid"))
+    right = (placed.join(meets.where("NOT poor2 OR band2 <> band OR cell2 <> cell")
+                         .select("grp", F.col("poor2").alias("poor"), F.col("band2").alias("band"),
+                                 F.col("cell2").alias("cell"), "task"),
+                         ["grp", "poor", "band", "cell"]).select("task", F.lit(1).alias("side"), "sid"))
     return left.unionByName(right)
 
 
