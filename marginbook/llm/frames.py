@@ -13,18 +13,23 @@ ASCII_SPACE = r"\x20\x09-\x0D"
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` through the shared folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, or the one that ``setCheckpointDir`` was given.
 
-    A session without that setting must have called ``setCheckpointDir``; no folder is made up here, because
-    one of the driver's own disk would be missing on the executors.
+    No folder is made up here: one of the driver's own disk would be missing on the executors.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` through the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginbook.llm import chat, decontaminate, jaccard, mixing, neardup, quality, substrings, toxicity, urls
+from marginbook.llm import chat, decontaminate, jaccard, mixing, neardup, quality, substrings, suffix_model, toxicity, urls
 
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
              ("block", "net/fr/"))
@@ -25,6 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(parts: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
 @query
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -58,8 +62,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(listed, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
-def remainder(parts: int):
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+@query
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_model.score_texts(docs, remainder(10) != 0).select(
+        "doc_id", (remainder(10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 @query
