@@ -11,19 +11,21 @@ from marginbook.llm.frames import checkpoint
 def components(edges: DataFrame) -> DataFrame:
     """(``node``, ``root``) for every node of ``edges`` (``a``, ``b``: longs); nodes of one component share a root.
 
-    In each round every node moves to the neighbour (or itself) with the smallest of that round's pseudo-random numbers;
-    links between the places moved to remain. A round takes away a constant share of the nodes, whatever the shape of
-    the graph, so the rounds grow with the logarithm of its size. Nulls and loops are dropped; an empty graph has no nodes.
+    In each round every node moves to the neighbour (or itself) that is smallest, in even rounds by id and in odd ones by
+    pseudo-random numbers; links between the places moved to remain. Rounds by id finish stars around their smallest node
+    at once; the others take away a constant share of the nodes whatever the shape of the graph, so the rounds grow with
+    the logarithm of its size at most. Nulls and loops are dropped; an empty graph has no nodes.
     """
     spark = edges.sparkSession
     left = checkpoint(edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b").distinct())
     moves: list[DataFrame] = []
     while not left.isEmpty():
-        seed = F.lit(len(moves))
+        turn = len(moves)
+        draw = (lambda node, n=turn: F.xxhash64(node, F.lit(n))) if turn % 2 else F.col
         both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        best = F.min(F.struct(F.xxhash64("b", seed).alias("draw"), F.col("b").alias("node")))
+        best = F.min(F.struct(draw("b").alias("draw"), F.col("b").alias("node")))
         near = both.groupBy("a").agg(best.alias("best"))
-        own = F.struct(F.xxhash64("a", seed).alias("draw"), F.col("a").alias("node"))
+        own = F.struct(draw("a").alias("draw"), F.col("a").alias("node"))
         move = checkpoint(near.select(F.col("a").alias("node"), F.least("best", own)["node"].alias("root")))
         moves.append(move)
         left = checkpoint(left.join(move.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a")

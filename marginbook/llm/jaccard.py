@@ -174,20 +174,18 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _spanning(links: np.ndarray) -> list[tuple[int, int]]:
-    """Edges that span the components of a boolean matrix of links."""
-    n, edges = len(links), []
-    fresh = np.ones(n, bool)
-    for root in range(n):
+def _spanning(links: np.ndarray, names: np.ndarray) -> list[tuple[int, int]]:
+    """Edges from the smallest name of each component of a boolean matrix of links to the others."""
+    edges, fresh = [], np.ones(len(links), bool)
+    for root in np.argsort(names).tolist():
         if not fresh[root]:
             continue
         fresh[root] = False
         ahead = [root]
         while ahead:
-            at = ahead.pop()
-            for next_ in np.flatnonzero(links[at] & fresh).tolist():
+            for next_ in np.flatnonzero(links[ahead.pop()] & fresh).tolist():
                 fresh[next_] = False
-                edges.append((at, next_))
+                edges.append((int(names[root]), int(names[next_])))
                 ahead.append(next_)
     return edges
 
@@ -205,9 +203,8 @@ def _cells(rule: Rule):
         found = rule.holds(shared, sizes[left][:, None], sizes[right][None, :])
         links = np.zeros((len(sets), len(sets)), bool)
         links[np.ix_(left, right)] = found
-        edges = _spanning(links | links.T)
-        return pa.table({"a": pa.array([int(sids[i]) for i, _ in edges], pa.int64()),
-                         "b": pa.array([int(sids[j]) for _, j in edges], pa.int64())})
+        edges = _spanning(links | links.T, sids)
+        return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
     return run
 
 
