@@ -30,9 +30,9 @@ SHRINK = 10.0
 #: Buckets in fewer training texts are not learnt from.
 LEAST_TEXTS = 3
 #: Most labelled rows of each class that a fit takes to the driver; those with the smallest hashes of the id.
-ROWS_PER_CLASS = 3_000
+ROWS_PER_CLASS = 2_000
 #: Most bytes of their texts; whole texts are taken in the order of the hashes until it is reached.
-BYTES_PER_CLASS = 16 << 20
+BYTES_PER_CLASS = 12 << 20
 KNOWN_WORDS = 300_000
 #: Bytes that are no part of a word become spaces, A-Z lower case: marks stuck to a word don't hide it.
 LETTERS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in LOWER)
@@ -91,7 +91,7 @@ class SubwordModel:
     constant: float
 
     @classmethod
-    def fit(cls, texts: list[bytes], labels: np.ndarray, weights: np.ndarray, dim: int = 8, epochs: int = 8,
+    def fit(cls, texts: list[bytes], labels: np.ndarray, weights: np.ndarray, dim: int = 4, epochs: int = 6,
             rate: float = 0.1, penalty: float = 3e-4, batch: int = 32, scale: float = 100.0, seed: int = 11) -> SubwordModel:
         """Adagrad on the cross entropy with classes weighted alike. ``weights`` says how many rows of the population a row
         of each class stands for, for the probabilities."""
