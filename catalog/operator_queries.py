@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from datetime import date
 
@@ -30,9 +28,11 @@ def table_scan(spark, sf):
 
 
 def _scratch(spark) -> str:
-    """A new folder in the shared area the cluster names; a local one only when it names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return os.path.join(base, f"marginbook-{uuid.uuid4().hex}")
+    """A new folder in the shared area the cluster names."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{base}/marginbook-{uuid.uuid4().hex}"
 
 
 @query("schema_aligned_load", """
@@ -196,8 +196,8 @@ LEFT JOIN orders ON CAST(o_orderdate AS DATE) = d GROUP BY 1""")
 def date_list(spark, sf):
     orders = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("busi_date")).agg(
         F.count(F.lit(1)).alias("orders"))
-    low, high = orders.agg(F.min("busi_date"), F.max("busi_date")).first()
-    return (D.date_spine(spark, low, high).join(orders, "busi_date", "left")
+    days = orders.agg(F.explode(F.sequence(F.min("busi_date"), F.max("busi_date"))).alias("busi_date"))
+    return (days.join(orders, "busi_date", "left")
             .select(D.day_key("busi_date").alias("busi_date"), M.nz("orders").alias("orders")))
 
 

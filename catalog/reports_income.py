@@ -31,11 +31,15 @@ def values(spark, sf):
 
 
 def product_accounts(spark, sf):
-    k = F.col("c_custkey")
-    return table(spark, sf, "customer").filter(k % 3 == 0).select(k.alias("fund_account_id"), product_code(k).alias("filing_code"))
+    """An account trades for one product in even years and for another in odd ones."""
+    k, day = F.col("o_custkey"), F.col("o_orderdate")
+    return table(spark, sf, "orders").select(
+        k.alias("fund_account_id"), D.month_key(day).alias("busi_month"), product_code(k + 20 * (F.year(day) % 2)).alias("filing_code")).distinct()
 
 
-cte("product_accounts", "SELECT c_custkey AS fund_account_id, 'P' || CAST(c_custkey % 40 AS VARCHAR) AS filing_code FROM customer WHERE c_custkey % 3 = 0")
+cte("product_accounts", """
+SELECT DISTINCT o_custkey AS fund_account_id, strftime(o_orderdate, '%Y%m') AS busi_month,
+       'P' || CAST((o_custkey + 20 * (year(o_orderdate) % 2)) % 40 AS VARCHAR) AS filing_code FROM orders""")
 
 
 def products(spark, sf):
@@ -159,7 +163,7 @@ PRODUCT_PARTS = dict(acc="""
          round(sum(base), 2) AS interest_base, round(sum(fee), 2) AS clear_remain_transfee, round(sum(reduct), 2) AS market_reduct,
          round(sum(ret_reduct), 2) AS client_ret_marreduct, round(sum(ret_interest), 2) AS client_ret_interest,
          round(sum(sum_rights), 2) / max(days) AS avg_rights
-  FROM acc JOIN product_accounts USING (fund_account_id) GROUP BY 1, 2""")
+  FROM acc JOIN product_accounts USING (fund_account_id, busi_month) GROUP BY 1, 2""")
 PRODUCT_TAIL = """
   clear_remain_transfee / (1 + tax) AS clear_remain_transfee_extax, market_reduct / (1 + tax) AS market_reduct_extax,
   client_ret_marreduct / (1 + tax) AS client_ret_marreduct_extax, interest_base * (1 + intr) / 360 AS interest_income,
@@ -235,7 +239,7 @@ FOF_SHARES = dict(held="""
          CASE WHEN max(product_total_share) <> 0 THEN round(sum(client_share * rate), 4) / max(product_total_share) ELSE 0 END AS prop
   FROM held JOIN sellers USING (filing_code, client_name) LEFT JOIN lastshare USING (filing_code) GROUP BY 1, 2, 3, 4""", equity="""
   SELECT month AS period, filing_code, round(sum(rights), 2) / max(trade_days) AS avg_rights
-  FROM client_sett JOIN tradedays USING (busi_date) JOIN product_accounts USING (fund_account_id) GROUP BY 1, 2""", fofshare="""
+  FROM client_sett s JOIN tradedays USING (busi_date) JOIN product_accounts p ON p.fund_account_id = s.fund_account_id AND p.busi_month = month GROUP BY 1, 2""", fofshare="""
   SELECT e.period, e.filing_code, a.oa_branch_id, a.oa_broker_name,
          avg_rights * (1 - 0.3::DOUBLE) * coalesce(prop, 0) AS sales_product_avg_rights, avg_rights * 0.3::DOUBLE * 0.5::DOUBLE AS advisor_avg_rights,
          avg_rights * (1 - 0.3::DOUBLE) * coalesce(prop, 0) + avg_rights * 0.3::DOUBLE * 0.5::DOUBLE AS sum_avg_rights,

@@ -112,7 +112,8 @@ def _components(spark, sf):
     done = rows.select("*", F.col("done_amt").alias("done_amount"), F.col("done_sum").alias("done_money"),
                        zero.alias("socrt_openfee"), zero.alias("settlementfee"), zero.alias("add_fee1"), zero.alias("add_fee2"))
     delivery = rows.filter("trade_prop = '3'").select(
-        "*", F.col("busi_date").alias("sett_date"), F.lit("CTP2").alias("data_source"), F.col("done_amt").alias("pay_amount"))
+        "*", F.expr("CASE WHEN weekday(busi_date) < 4 THEN date_add(busi_date, 1) ELSE busi_date END AS sett_date"),
+        F.expr("CASE WHEN month(busi_date) % 2 = 0 THEN 'CTP2' ELSE 'CTP1' END AS data_source"), F.col("done_amt").alias("pay_amount"))
     execute = rows.filter("trade_type IN ('12', '21') AND trade_order = '3'").select(
         "*", F.lit("0").alias("strike_type"), F.col("transfee").alias("strikefee"), F.col("market_transfee").alias("market_strikefee"),
         F.col("transfee").alias("execute_transfee"), F.col("market_transfee").alias("market_execute_transfee"),
@@ -133,7 +134,11 @@ def _trade_sql(grain: str) -> str:
          CAST(count(*) OVER (PARTITION BY {period}) AS BIGINT) AS days FROM daymap WHERE trade_flag = 1""", nxt="""
   SELECT a.busi_date, min(b.busi_date) AS next_day FROM daymap a JOIN daymap b ON b.trade_flag = 1 AND b.busi_date > a.busi_date
   AND b.busi_date <= a.busi_date + 15 GROUP BY 1""", r="""
-  SELECT * FROM house_fills JOIN cal USING (busi_date)""", x="""
+  SELECT * FROM house_fills JOIN cal USING (busi_date)""", settles=f"""
+  SELECT *, CASE WHEN isodow(busi_date) < 5 THEN busi_date + 1 ELSE busi_date END AS sett_date FROM house_fills WHERE trade_prop = '3'""", dated=f"""
+  SELECT *, CASE WHEN {period.replace('busi_date', 'sett_date')} IN (SELECT {period} FROM settles WHERE month(busi_date) % 2 = 0)
+              THEN sett_date ELSE busi_date END AS dated_day FROM settles""", v="""
+  SELECT dated.*, c.period, c.last_trade FROM dated JOIN cal c ON c.busi_date = dated_day""", x="""
   SELECT f.*, c.period, c.last_trade, n.next_day, s.market_id, s.delivery_date AS contract_end,
          CASE WHEN trade_type = '21' THEN next_day ELSE f.busi_date END AS book_day
   FROM house_fills f JOIN nxt n ON n.busi_date = f.busi_date JOIN securities s USING (security_id)
@@ -153,7 +158,7 @@ def _trade_sql(grain: str) -> str:
          NULL::DOUBLE AS ly, NULL::DOUBLE AS qty_dq, NULL::DOUBLE AS frozen FROM r
   UNION ALL BY NAME
   SELECT {TRADE_KEYS}, CASE WHEN busi_date = last_trade THEN margin END AS v_margin, transfee AS v_fee, market_transfee AS v_mfee,
-         done_amt AS pay FROM r WHERE trade_prop = '3'
+         done_amt AS pay FROM v
   UNION ALL BY NAME
   SELECT {TRADE_KEYS}, transfee AS x_fee, market_transfee AS x_mfee,
          CASE WHEN trade_type = '12' OR bs_direction = '0' OR market_id = 'CFFEX' THEN transfee END AS xq,

@@ -169,9 +169,14 @@ def target_book(spark, sf):
     return T.target_book(book, checked_targets(spark, sf)).select("year_id", "oa_branch_id", "index_id", "year_target_value", "quarter_target_1")
 
 
-@query("target_completion", with_(*NEEDS, "targets", **actual_parts("month"), j="""
+PASSED = with_(*NEEDS, "targets", **actual_parts("year"), **CHECK) + """
+SELECT year_id, oa_branch_id, code FROM checked WHERE check_result = '1' AND n % 6 <> 5"""
+
+
+@query("target_completion", with_(*NEEDS, "targets", **actual_parts("month"), passed=PASSED, j="""
   SELECT t.*, a.period AS busi_month, CAST((CAST(substr(period, 5, 2) AS INTEGER) + 2) // 3 AS VARCHAR) AS quarter_id, value, industry
-  FROM targets t JOIN actuals a ON a.org_id = oa_branch_id AND a.busi_type = code AND substr(period, 1, 4) = year_id""", k="""
+  FROM targets t JOIN passed p ON p.year_id = t.year_id AND p.oa_branch_id = t.oa_branch_id AND p.code = t.code
+  JOIN actuals a ON a.org_id = t.oa_branch_id AND a.busi_type = t.code AND substr(period, 1, 4) = t.year_id""", k="""
   SELECT *, CASE WHEN index_type = '1' THEN round(avg(value) OVER q, 12) ELSE round(sum(value) OVER q, 4) END AS quarter_value,
          CASE WHEN index_type = '1' THEN round(avg(value) OVER z, 12) ELSE round(sum(value) OVER z, 4) END AS year_value,
          CASE quarter_id WHEN '1' THEN q1 WHEN '2' THEN q2 WHEN '3' THEN q3 ELSE q4 END AS quarter_target
@@ -180,7 +185,9 @@ SELECT year_id, oa_branch_id, code AS index_id, busi_month, value AS index_value
        CASE WHEN quarter_target <> 0 THEN quarter_value / quarter_target * 100 ELSE 0 END AS quarter_rate,
        CASE WHEN y <> 0 THEN year_value / y * 100 ELSE 0 END AS year_rate FROM k""")
 def target_completion(spark, sf):
-    return T.target_completion(target_rows(spark, sf), T.indicator_actuals(sources(spark, sf), "month")).select(
+    keys = ["year_id", "oa_branch_id", "index_id"]
+    passed = checked_targets(spark, sf).filter("check_result = '1' AND index_status = '1'").select(*keys)
+    return T.target_completion(target_rows(spark, sf).join(passed, keys, "left_semi"), T.indicator_actuals(sources(spark, sf), "month")).select(
         "year_id", "oa_branch_id", "index_id", "busi_month", "index_value_branch", "index_value_indust", "quarter_value", "year_value", "quarter_rate", "year_rate")
 
 

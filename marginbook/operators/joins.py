@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_key
 from ..functions.measures import money_sum
 
-SMALL_SIDE_ROWS = 10_000
-
 
 def against_total(df: DataFrame, total: DataFrame) -> DataFrame:
     """Add a one-row frame's columns to every row, as scalar subqueries: no join, no shuffle."""
@@ -23,21 +21,14 @@ def against_total(df: DataFrame, total: DataFrame) -> DataFrame:
 def scaffold(units: DataFrame, indicators: DataFrame | Sequence[tuple], names: Sequence[str] = ()) -> DataFrame:
     """Every unit with every indicator.
 
-    The indicator list is a short configuration table. Given as rows, or read as a frame whose
-    row count is checked, it is exploded from a literal on each unit row. A longer frame falls
-    back to Spark's own cartesian plan.
+    One side is a short configuration table, given as a frame or as rows. Spark chooses the plan by the measured sizes; nothing
+    runs while the plan is built, and the columns keep their types whatever the number of rows.
     """
-    if isinstance(indicators, DataFrame):
-        names = indicators.columns
-        rows = indicators.limit(SMALL_SIDE_ROWS + 1).collect()
-        if len(rows) > SMALL_SIDE_ROWS:
-            return units.crossJoin(indicators)
-        indicators = [tuple(r) for r in rows]
-    if not indicators:
-        return units.select("*", *[F.lit(None).cast("string").alias(n) for n in names]).limit(0)
-    options = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in indicators])
-    return units.withColumn("__i", F.explode(options)).select(
-        *units.columns, *[F.col(f"__i.{n}").alias(n) for n in names])
+    if not isinstance(indicators, DataFrame):
+        spark = units.sparkSession
+        indicators = (spark.createDataFrame(list(indicators), list(names)) if indicators else
+                      spark.createDataFrame([], ", ".join(f"{n} string" for n in names)))
+    return units.crossJoin(indicators)
 
 
 def spread_over_days(spans: DataFrame, calendar: DataFrame, begin: str, end: str,

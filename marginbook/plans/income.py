@@ -82,7 +82,7 @@ def fund_of_funds_shares(confirms: DataFrame, products: DataFrame, sellers: Data
     """Average equity of each fund of funds credited to the staff who sell or advise it.
 
     ``sellers`` gives staff rates per product and client, ``advisers`` the adviser shares per
-    product, unit and staff member. A seller's share is client shares times rate over the
+    product, unit and staff member; ``product_accounts`` lists a product's accounts by month. A seller's share is client shares times rate over the
     product's latest total shares.
     """
     days = trading_months(calendar)
@@ -95,7 +95,8 @@ def fund_of_funds_shares(confirms: DataFrame, products: DataFrame, sellers: Data
     sold = sold.join(total, "filing_code", "left").withColumn("prop", safe_ratio("weighted", "product_total_share"))
     equity = (sett.join(days, "busi_date").groupBy("fund_account_id", "period").agg(
         money_sum("rights").alias("rights"), F.max("trade_days").alias("days"))
-        .join(product_accounts.select("fund_account_id", "filing_code"), "fund_account_id")
+        .join(product_accounts.select("fund_account_id", F.col("busi_month").alias("period"), "filing_code"),
+              ["fund_account_id", "period"])
         .groupBy("period", "filing_code").agg(money_sum("rights").alias("rights"), F.max("days").alias("days"))
         .select("period", "filing_code", safe_ratio("rights", "days").alias("fof_avg_rights")))
     out = equity.join(advisers, "filing_code").join(

@@ -79,9 +79,15 @@ def fill_activity(done: DataFrame, calendar: DataFrame, grain: str) -> tuple[Dat
 
 
 def deliveries(delivery: DataFrame, calendar: DataFrame, grain: str) -> tuple[DataFrame, list[str]]:
-    """Deliveries, dated by settlement when the newer clearing system supplied any row."""
-    newer = delivery.agg(F.coalesce(F.max(F.col("data_source") == "CTP2"), F.lit(False))).scalar()
-    dated = delivery.withColumn("__day", F.when(newer, F.col("sett_date")).otherwise(F.col("busi_date")))
+    """Deliveries. A period for which the newer clearing system supplied any row is dated by settlement, others by business day.
+
+    The period that decides is the one a delivery settles in; the rows that decide it are those of its business days.
+    """
+    periods = period_calendar(calendar, grain).select("busi_date", F.col("period").alias("__period"))
+    newer = (delivery.filter("data_source = 'CTP2'").join(periods, "busi_date").select("__period").distinct()
+             .withColumn("__newer", F.lit(True)))
+    settled = delivery.join(periods.withColumnRenamed("busi_date", "sett_date"), "sett_date", "left").join(newer, "__period", "left")
+    dated = settled.withColumn("__day", F.expr("CASE WHEN __newer THEN sett_date ELSE busi_date END"))
     last = "busi_date = last_trade"
     return _rows(_period(dated, calendar, grain, "__day"), {
         **{c: c for c in ("transfee", "market_transfee", "done_amt")}, "remain_transfee": "transfee - market_transfee",

@@ -36,20 +36,3 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def cut_lineage(df, eager: bool = True):
-    """Checkpoint ``df`` into the folder named by ``spark.checkpoint.dir``.
-
-    The folder is shared storage chosen by the cluster; a local fallback is set only
-    where the session names none (tests).
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir() is None:
-        if shared is None:
-            import tempfile
-            shared = tempfile.mkdtemp(prefix="marginbook-checkpoint-")
-        context.setCheckpointDir(shared)
-    return df.checkpoint(eager)

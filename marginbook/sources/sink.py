@@ -50,9 +50,15 @@ def load_aligned(df: DataFrame, schema: T.StructType, path: str, mode: str = "ov
 
 def insert_aligned(df: DataFrame, table: str, mode: str = "append",
                    partitions: Mapping[str, str] | None = None) -> None:
-    """The same into a catalog table, whose own schema decides columns and order."""
-    target = df.sparkSession.table(table).schema
-    align_to_schema(df, target, partitions).write.insertInto(table, overwrite=mode == "overwrite")
+    """The same into a catalog table, whose own schema decides columns and order; ``overwrite`` replaces only the
+    partitions the frame contains, whatever the session's mode."""
+    spark, key = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    rows, before = align_to_schema(df, spark.table(table).schema, partitions), spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        rows.write.insertInto(table, overwrite=mode == "overwrite")
+    finally:
+        spark.conf.set(key, before)
 
 
 def purge_partition(spark: SparkSession, table: str, spec: Mapping[str, str]) -> None:
