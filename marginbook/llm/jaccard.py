@@ -12,7 +12,7 @@ the two share one (the shorter prefix ends first; its tokens that the other has
   combinations that poor sets have. Long sets have too many combinations and use single tokens there; by length, both sides
   of a pair always use one scheme in common.
 * Poor sets that combinations connect form a group. A group is cut into cells by length and hash; cells whose lengths
-  fit meet in one task, which compares all their sets at once and returns links that span their components.
+  fit meet in one task, first with sketches, then with the sets that these leave, and return links that span components.
 
 Equal sets are one set throughout, and components are those of the graph of links, so a group of copies is never expanded.
 """
@@ -208,6 +208,26 @@ def _cells(rule: Rule):
     return run
 
 
+def _cells_could(rule: Rule):
+    def run(table: pa.Table) -> pa.Table:
+        """The rows of two cells, or of one, whose sketches allow a link to any set they would meet."""
+        sides, sizes = table.column("side").to_numpy(), table.column("n").to_numpy()
+        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u2").reshape(-1, SKETCH)
+        left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
+        own = not len(right)
+        right = left if own else right
+        keep = np.zeros(len(sides), bool)
+        for i in left.tolist():
+            shared = np.minimum(sketches[i], sketches[right]).sum(axis=1, dtype=np.int64)
+            fits = rule.holds(shared, sizes[i], sizes[right])
+            if own:
+                fits &= right != i
+            keep[right[fits]] = True
+            keep[i] |= bool(fits.any())
+        return table.select(["task", "side", "sid"]).filter(pa.array(keep))
+    return run
+
+
 def _lengths_fit(rule: Rule, a: str, b: str) -> Column:
     return F.expr(f"100 * least({a}, {b}) >= {rule.percent} * greatest({a}, {b})")
 
@@ -290,11 +310,13 @@ def jaccard_links(docs: DataFrame, width: int, percent: int, doc_id: str, text:
     counts = emitted.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
     tokens = checkpoint(emitted.join(counts, "token"))
     pairs = checkpoint(_rare_links(tokens, sets, rule))
-    cells = checkpoint(_cell_rows(_group_members(tokens, rule), rule))
+    met = _cell_rows(_group_members(tokens, rule), rule).join(sets.select("sid", "n", "sketch"), "sid")
+    cells = checkpoint(met.groupBy("task").applyInArrow(_cells_could(rule), "task long, side int, sid long"))
     wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(cells.select("sid")).distinct()
     chosen = sets.select("sid", "doc").join(wanted, "sid")
-    full = checkpoint(texts.join(chosen, "doc").select("sid", "text")
-                      .mapInArrow(_full_sets(width), "sid long, tokens binary").dropDuplicates(["sid"]))
+    found = (texts.join(chosen, "doc").withColumn("_key", F.xxhash64("text"))
+             .dropDuplicates(["doc", "sid", "_key"]).select("sid", "text"))
+    full = checkpoint(found.mapInArrow(_full_sets(width), "sid long, tokens binary"))
     compared = (pairs.join(full.select(F.col("sid").alias("a"), F.col("tokens").alias("ta")), "a")
                 .join(full.select(F.col("sid").alias("b"), F.col("tokens").alias("tb")), "b"))
     linked = compared.select("a", "b", "ta", "tb").mapInArrow(_hold(rule), "a long, b long")
