@@ -11,7 +11,7 @@ the two share one (the shorter prefix ends first; its tokens that the other has
   in large groups) index combinations of two frequent tokens of a prefix longer by one; the rest of the sets only look up
   combinations that poor sets have. Long sets have too many combinations and use single tokens there; by length, both sides
   of a pair always use one scheme in common.
-* Poor sets that combinations connect form a group. A group is cut into cells by length and hash; cells whose lengths
+* Poor sets whose combinations lead to one set form a group. A group is cut into cells by length and hash; cells whose lengths
   fit meet in one task, first with sketches, then with the sets that these leave, and return links that span components.
 
 Equal sets are one set throughout, and components are those of the graph of links, so a group of copies is never expanded.
@@ -264,10 +264,11 @@ def _group_members(tokens: DataFrame, rule: Rule) -> DataFrame:
                     F.when(F.col("n") >= border * rule.percent / 100, F.col("at")).otherwise(F.array().cast("array<bigint>")))
     keyed = checkpoint(marked.select("sid", "n", "poor", F.explode(F.array_distinct(keys)).alias("key")))
     poor = keyed.where("poor").select("sid", "key")
+    # A key's group is the smallest set it leads to over two steps: nearly always one for a whole group of near copies,
+    # and always one for all sets of the key.
     hubs = poor.groupBy("key").agg(F.min("sid").alias("hub"))
-    roots = components(poor.join(hubs, "key").select(F.col("sid").alias("a"), F.col("hub").alias("b")))
-    grouped = (hubs.join(roots.withColumnRenamed("node", "hub"), "hub", "left")
-               .select("key", F.coalesce("root", "hub").alias("grp")))
+    reached = poor.join(hubs, "key").groupBy("sid").agg(F.min("hub").alias("hub"))
+    grouped = poor.join(reached, "sid").groupBy("key").agg(F.min("hub").alias("grp"))
     return keyed.join(grouped, "key").groupBy("grp", "sid").agg(F.max("n").alias("n"), F.max("poor").alias("poor"))
 
 
