@@ -33,7 +33,7 @@ LEAST_TEXTS = 3
 ROWS_PER_CLASS = 2_000
 #: Most bytes of their texts; whole texts are taken in the order of the hashes until it is reached.
 BYTES_PER_CLASS = 12 << 20
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 100_000
 #: Bytes that are no part of a word become spaces, A-Z lower case: marks stuck to a word don't hide it.
 LETTERS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in LOWER)
 
@@ -105,7 +105,9 @@ class SubwordModel:
         seen = np.zeros(BUCKETS, np.int32)
         for i in own:
             seen[bags[i][0]] += 1
-        bags = [(at[seen[at] >= LEAST_TEXTS], w[seen[at] >= LEAST_TEXTS]) for at, w in bags]
+        for i, (at, w) in enumerate(bags):
+            kept = seen[at] >= LEAST_TEXTS
+            bags[i] = at[kept], w[kept]
         vectors = rng.uniform(-0.05 / dim, 0.05 / dim, (BUCKETS, dim))
         soft = np.array([-0.5, 0.5]) + rng.normal(0, 0.1, (dim, 2))
         bias = np.zeros(2)
