@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import reports_income as I, reports_ledger as L, reports_targets as T, standins as S
 from catalog.operator_queries import BIRTH_SQL
-from catalog.registry import query
+from catalog.registry import QUERIES, SQL, query
 from catalog.standins import cents, cte, table, with_
 from marginbook.functions import dates as D
 from marginbook.functions import measures as M
@@ -110,18 +110,32 @@ for _lv, _key in (("unit", "departmentid"), ("line", "business_line_id"), ("resp
     cte(f"of_{_lv}", f"SELECT departmentid AS oa_branch_id, {_key} AS org_id FROM units WHERE {_key} IS NOT NULL", "units")
 
 
+def _since_january(lv: str, fact: str, measures: dict[str, str]) -> dict[str, str]:
+    """Sums since January by the rule itself: every month looks at all rows of its year so far."""
+    new = NEW.format(p="k.period")
+    cols = ", ".join(f"round(sum({m}), 2) AS {n}" for n, m in measures.items())
+    ytd = ", ".join(f"round(sum(r.{n}), 2) AS y_{n}, round(coalesce(sum(CASE WHEN {new} THEN r.{n} END), 0), 2) AS y_{n}_new" for n in measures)
+    return dict(r=f"""
+  SELECT org_id, month AS period, open_date, {cols} FROM {fact} s JOIN tradedays t USING (busi_date)
+  JOIN accounts a ON a.fund_account_id = s.fund_account_id JOIN org_{lv} o ON o.branch_id = a.branch_id GROUP BY 1, 2, 3""", y=f"""
+  SELECT k.org_id, k.period, {ytd} FROM (SELECT DISTINCT org_id, period FROM r) k
+  JOIN r ON r.org_id = k.org_id AND substr(r.period, 1, 4) = substr(k.period, 1, 4) AND r.period <= k.period GROUP BY 1, 2""", yd="""
+  SELECT k.month AS period, sum(d.trade_days) AS y_days FROM (SELECT DISTINCT month FROM tradedays) k
+  JOIN (SELECT DISTINCT month, trade_days FROM tradedays) d ON substr(d.month, 1, 4) = substr(k.month, 1, 4) AND d.month <= k.month GROUP BY 1""")
+
+
 def _equity_sql(lv: str) -> str:
-    new = NEW.format(p="t.month")
-    return with_("client_sett", "tradedays", "accounts", f"org_{lv}", "deductions", f"of_{lv}", e=f"""
-  SELECT org_id, month AS period, round(sum(rights), 2) AS rights, round(coalesce(sum(CASE WHEN {new} THEN rights END), 0), 2) AS fresh,
-         round(coalesce(sum(CASE WHEN NOT ({new}) THEN rights END), 0), 2) AS stock, max(trade_days) AS days
+    return with_("client_sett", "tradedays", "accounts", f"org_{lv}", "deductions", f"of_{lv}", **_since_january(lv, "client_sett", {"rights": "rights"}), e=f"""
+  SELECT org_id, month AS period, round(sum(rights), 2) AS rights, max(trade_days) AS days
   FROM client_sett s JOIN tradedays t USING (busi_date) JOIN accounts a ON a.fund_account_id = s.fund_account_id JOIN org_{lv} o ON o.branch_id = a.branch_id GROUP BY 1, 2""", c=f"""
   SELECT org_id, period, round(sum(deduction), 2) AS cut FROM deductions JOIN of_{lv} USING (oa_branch_id) GROUP BY 1, 2""", m="""
   SELECT e.*, rights / days AS avg, rights / days - coalesce(cut, 0) AS assess FROM e LEFT JOIN c ON c.org_id = e.org_id AND c.period = e.period""") + f"""
 SELECT m.org_id, m.period, m.avg / 10000 AS avg_rights, {yoy('m.avg', 'l.avg')} AS avg_rights_yoy, m.assess / 10000 AS assess_avg_rights,
-       {yoy('m.assess', 'l.assess')} AS assess_avg_rights_yoy, m.stock / m.days / 10000 AS avg_rights_stock, {ratio('m.stock', 'm.rights', ' * 100')} AS avg_rights_stock_prop,
-       m.fresh / m.days / 10000 AS avg_rights_new, {ratio('m.fresh', 'm.rights', ' * 100')} AS avg_rights_new_prop
-FROM m LEFT JOIN m l ON l.org_id = m.org_id AND l.period = {back('m.period')}"""
+       {yoy('m.assess', 'l.assess')} AS assess_avg_rights_yoy, (y_rights - y_rights_new) / y_days / 10000 AS avg_rights_stock,
+       {ratio('(y_rights - y_rights_new)', 'y_rights', ' * 100')} AS avg_rights_stock_prop,
+       y_rights_new / y_days / 10000 AS avg_rights_new, {ratio('y_rights_new', 'y_rights', ' * 100')} AS avg_rights_new_prop
+FROM m JOIN y ON y.org_id = m.org_id AND y.period = m.period JOIN yd ON yd.period = m.period
+LEFT JOIN m l ON l.org_id = m.org_id AND l.period = {back('m.period')}"""
 
 
 def equity(spark, sf, o):
@@ -132,16 +146,14 @@ levels("equity_analysis", _equity_sql, equity)
 
 
 def _turnover_sql(lv: str) -> str:
-    new = NEW.format(p="t.month")
-    parts = ", ".join(f"round(coalesce(sum(CASE WHEN {c} THEN {v} END), 0), 2) AS {n}" for c, v, n in (
-        (new, "done_amt", "amt_new"), (f"NOT ({new})", "done_amt", "amt_stock"), (new, "done_sum", "sum_new"), (f"NOT ({new})", "done_sum", "sum_stock")))
-    cols = ", ".join(f"m.amt_{p} / 10000 AS done_amount_{p}, {ratio(f'm.amt_{p}', 'm.amt', ' * 100')} AS done_amount_{p}_prop, "
-                     f"m.sum_{p} / 10000 AS done_money_{p}, {ratio(f'm.sum_{p}', 'm.money', ' * 100')} AS done_money_{p}_prop" for p in ("stock", "new"))
-    return with_("fills", "tradedays", "accounts", f"org_{lv}", m=f"""
-  SELECT org_id, month AS period, round(sum(done_amt), 2) AS amt, round(sum(done_sum), 2) AS money, {parts}
-  FROM fills s JOIN tradedays t USING (busi_date) JOIN accounts a ON a.fund_account_id = s.fund_account_id JOIN org_{lv} o ON o.branch_id = a.branch_id GROUP BY 1, 2""") + f"""
+    share = {"stock": "(y.y_{0} - y.y_{0}_new)", "new": "y.y_{0}_new"}
+    cols = ", ".join(f"{e.format('amt')} / 10000 AS done_amount_{p}, {ratio(e.format('amt'), 'y.y_amt', ' * 100')} AS done_amount_{p}_prop, "
+                     f"{e.format('money')} / 10000 AS done_money_{p}, {ratio(e.format('money'), 'y.y_money', ' * 100')} AS done_money_{p}_prop" for p, e in share.items())
+    return with_("fills", "tradedays", "accounts", f"org_{lv}", **_since_january(lv, "fills", {"amt": "done_amt", "money": "done_sum"}), m="""
+  SELECT org_id, period, round(sum(amt), 2) AS amt, round(sum(money), 2) AS money FROM r GROUP BY 1, 2""") + f"""
 SELECT m.org_id, m.period, m.amt / 10000 AS done_amount, {yoy('m.amt', 'l.amt')} AS done_amount_yoy, m.money / 100000000 AS done_money,
-       {yoy('m.money', 'l.money')} AS done_money_yoy, {cols} FROM m LEFT JOIN m l ON l.org_id = m.org_id AND l.period = {back('m.period')}"""
+       {yoy('m.money', 'l.money')} AS done_money_yoy, {cols} FROM m JOIN y ON y.org_id = m.org_id AND y.period = m.period
+LEFT JOIN m l ON l.org_id = m.org_id AND l.period = {back('m.period')}"""
 
 
 levels("turnover_analysis", _turnover_sql, lambda spark, sf, o: A.turnover_analysis(S.fills(spark, sf), o, S.calendar(spark, sf)))
@@ -150,7 +162,9 @@ levels("client_counts", lambda lv: with_("fills", "accounts", f"org_{lv}", "mont
   SELECT o.org_id, k.month AS period, (SELECT count(*) FROM own w WHERE w.org_id = o.org_id AND strftime(open_date, '%Y%m') <= k.month) AS total,
          (SELECT count(*) FROM own w WHERE w.org_id = o.org_id AND strftime(open_date, '%Y%m') = k.month) AS opened, coalesce(t.n, 0) AS active
   FROM (SELECT DISTINCT org_id FROM own) o CROSS JOIN months k LEFT JOIN (
-    SELECT org_id, strftime(busi_date, '%Y%m') AS month, count(DISTINCT fund_account_id) AS n FROM fills JOIN own USING (fund_account_id) GROUP BY 1, 2) t
+    SELECT org_id, q.month, count(DISTINCT fund_account_id) AS n FROM months q JOIN (
+      SELECT DISTINCT org_id, fund_account_id, strftime(busi_date, '%Y%m') AS done FROM fills JOIN own USING (fund_account_id)) f
+      ON substr(f.done, 1, 4) = substr(q.month, 1, 4) AND f.done <= q.month GROUP BY 1, 2) t
     ON t.org_id = o.org_id AND t.month = k.month""") + f"""
 SELECT m.org_id, m.period, m.total AS total_client_num, {yoy('m.total', 'l.total')} AS total_client_num_yoy, m.opened AS new_client_num,
        {yoy('m.opened', 'l.opened')} AS new_client_num_yoy, m.active AS total_active_num, {yoy('m.active', 'l.active')} AS total_active_num_yoy
@@ -211,7 +225,7 @@ def side_frames(spark, sf):
     advisory = o.filter("o_orderpriority = '2-HIGH'").select("period", "oa_branch_id", kind.alias("alloca_oa_branch_type"), F.col("p").alias("invest_total_service_fee"),
                                                            F.lit(0.5).alias("kernel_total_rate"), F.lit(0.25).alias("alloca_kernel_rate"))
     options = o.filter("o_orderpriority = '5-LOW'").select("period", "oa_branch_id", F.col("p").alias("notional_principal"), cents(F.col("p") * 0.1).alias("total_absolute_royalty"),
-                                                         cents(F.col("p") * 0.02).alias("collaborative_income"), cents(F.col("p") * 0.02).alias("total_income"))
+                                                         cents(F.col("p") * 0.02).alias("collaborative_income"), cents(F.col("p") * 0.04).alias("total_income"))
     tracking = o.filter("o_orderpriority = '1-URGENT'").select("period", "oa_branch_id", F.concat(F.lit("J"), (F.col("o_custkey") % 50).cast("string")).alias("project_name"),
                                                              F.col("p").alias("ending_interest"), cents(F.col("p") * 0.03).alias("synergistic_revenue"))
     return sales, advisory, options, tracking
@@ -220,7 +234,8 @@ def side_frames(spark, sf):
 cte("side", """
 SELECT strftime(o_orderdate, '%Y%m') AS period, 'NATION_' || CAST(c_nationkey AS VARCHAR) AS oa_branch_id, CAST(o_custkey % 3 AS VARCHAR) AS kind,
        o_custkey, o_orderstatus AS st, o_orderpriority AS pri, o_totalprice AS p, floor(o_totalprice * 0.1::DOUBLE * 100) / 100 AS p10,
-       floor(o_totalprice * 0.02::DOUBLE * 100) / 100 AS p2, floor(o_totalprice * 0.03::DOUBLE * 100) / 100 AS p3 FROM orders JOIN customer ON o_custkey = c_custkey""")
+       floor(o_totalprice * 0.02::DOUBLE * 100) / 100 AS p2, floor(o_totalprice * 0.03::DOUBLE * 100) / 100 AS p3,
+       floor(o_totalprice * 0.04::DOUBLE * 100) / 100 AS p4 FROM orders JOIN customer ON o_custkey = c_custkey""")
 
 
 def brokers(spark, sf):
@@ -240,51 +255,93 @@ def side_rows(spark, sf, o, level="unit"):
 
 
 SIDE_FEE = "p * 0.5::DOUBLE * 0.25::DOUBLE"
-SIDE_PARTS = dict(sp="SELECT departmentid AS org_id, month AS period FROM units CROSS JOIN months", sm=f"""
-  SELECT oa_branch_id AS org_id, period, round(sum(CASE WHEN st = 'P' THEN p END), 2) AS held, round(sum(CASE WHEN st = 'P' AND kind IN ('0', '1') THEN p END), 6) AS bought,
+def _side_parts(lv: str) -> dict[str, str]:
+    return dict(sp=f"SELECT DISTINCT org_id, month AS period FROM of_{lv} CROSS JOIN months", so=f"""
+  SELECT org_id, side.* FROM side JOIN of_{lv} USING (oa_branch_id)""", sm=f"""
+  SELECT org_id, period, round(sum(CASE WHEN st = 'P' THEN p END), 2) AS held, round(sum(CASE WHEN st = 'P' AND kind IN ('0', '1') THEN p END), 6) AS bought,
          round(sum(CASE WHEN pri = '2-HIGH' AND kind IN ('0', '1') THEN {SIDE_FEE} END), 6) AS adv, round(sum(CASE WHEN pri = '2-HIGH' AND kind = '1' THEN {SIDE_FEE} END), 6) AS advx,
          round(sum(CASE WHEN pri = '5-LOW' THEN p END), 6) AS principal, round(sum(CASE WHEN pri = '5-LOW' THEN p10 END), 6) AS royalty, round(sum(CASE WHEN pri = '5-LOW' THEN p2 END), 6) AS otc,
          round(sum(CASE WHEN pri = '1-URGENT' THEN p3 END), 6) AS own, round(sum(CASE WHEN pri = '1-URGENT' THEN p END), 2) AS own_end,
-         CAST(count(DISTINCT CASE WHEN pri = '1-URGENT' THEN o_custkey % 50 END) AS DOUBLE) AS nums,
-         bool_or(st = 'P') AS f1, bool_or(pri = '2-HIGH') AS f2, bool_or(pri = '5-LOW') AS f3, bool_or(pri = '1-URGENT') AS f4 FROM side GROUP BY 1, 2""", sv="""
+         bool_or(st = 'P') AS f1, bool_or(pri = '2-HIGH') AS f2, bool_or(pri = '5-LOW') AS f3, bool_or(pri = '1-URGENT') AS f4 FROM so GROUP BY 1, 2""", sn="""
+  SELECT k.org_id, k.period, CAST(count(DISTINCT s.o_custkey % 50) AS DOUBLE) AS nums FROM (SELECT org_id, period FROM sm WHERE f4) k
+  JOIN so s ON s.org_id = k.org_id AND s.pri = '1-URGENT' AND substr(s.period, 1, 4) = substr(k.period, 1, 4) AND s.period <= k.period GROUP BY 1, 2""", sv="""
   SELECT org_id, period, CASE WHEN f1 THEN round(sum(held) OVER e, 2) END AS product_sales_stock, CASE WHEN f1 THEN round(sum(coalesce(bought, 0)) OVER y, 6) END AS product_sales_new,
          CASE WHEN f2 THEN round(sum(coalesce(adv, 0)) OVER y, 6) END AS trade_zx_income, CASE WHEN f2 THEN round(sum(coalesce(advx, 0)) OVER y, 6) END AS trade_zx_xc_income,
          CASE WHEN f3 THEN round(sum(principal) OVER y, 6) END AS off_site_princi, CASE WHEN f3 THEN round(sum(royalty) OVER y, 6) END AS off_site_option,
          CASE WHEN f3 THEN round(sum(otc) OVER y, 6) END AS off_site_income, CASE WHEN f4 THEN round(sum(own) OVER y, 6) END AS own_funds_income,
-         own_end AS own_funds_end_rights, nums AS own_funds_nums
+         CASE WHEN f4 THEN round(sum(own_end) OVER y, 2) END AS own_funds_end_rights
   FROM sm WINDOW e AS (PARTITION BY org_id ORDER BY period), y AS (PARTITION BY org_id, substr(period, 1, 4) ORDER BY period)""")
 
 
-@query("side_business", with_("side", "units", "months", "client_sett", "tradedays", "agreements", *I.STAFF_NEEDS, **SIDE_PARTS,
-                             **I.COOP_SUMMARY, **I.STAFF, ib="""
-  SELECT org_id, period, sum(v) AS v FROM (SELECT oa_branch_id AS org_id, month_id AS period, round(avg_rights, 6) AS v FROM staff
-    UNION ALL SELECT o.org_id, month_id, round(sum(avg_rights), 6) FROM coop c JOIN org_unit o ON o.branch_id = c.branch_id GROUP BY 1, 2) GROUP BY 1, 2""") + """
-SELECT sp.org_id, sp.period, """ + ", ".join(f"coalesce(sv.{c}, 0) / 10000 AS xt_{c}" for c in (
-    "product_sales_stock", "product_sales_new", "trade_zx_income", "trade_zx_xc_income", "off_site_princi", "off_site_option", "off_site_income",
-    "own_funds_income", "own_funds_end_rights")) + """, coalesce(own_funds_nums, 0) AS xt_own_funds_nums, coalesce(ib.v, 0) / 10000 AS xt_colla_avg_rights
-FROM sp LEFT JOIN sv ON sv.org_id = sp.org_id AND sv.period = sp.period LEFT JOIN ib ON ib.org_id = sp.org_id AND ib.period = sp.period""")
-def side_business(spark, sf):
-    return side_rows(spark, sf, org(spark, sf)).drop("xt_colla_income")
+SIDE_AMOUNTS = ("product_sales_stock", "product_sales_new", "trade_zx_income", "trade_zx_xc_income", "off_site_princi", "off_site_option",
+                "off_site_income", "own_funds_income", "own_funds_end_rights")
+
+
+def _side_sql(lv: str) -> str:
+    broker = f"JOIN org_{lv} o ON o.branch_id = c.branch_id"
+    return with_("side", "units", "months", "client_sett", "tradedays", "agreements", "branch_map", f"of_{lv}", f"org_{lv}", *I.STAFF_NEEDS,
+                 **_side_parts(lv), **I.COOP_SUMMARY, **I.STAFF, ci=SQL["cooperation_income"], ri=SQL["resident_income"], ib=f"""
+  SELECT org_id, period, sum(v) AS v FROM (
+    SELECT org_id, month_id AS period, round(sum(avg_rights), 6) AS v FROM staff JOIN of_{lv} USING (oa_branch_id) GROUP BY 1, 2
+    UNION ALL SELECT o.org_id, month_id, round(sum(avg_rights), 6) FROM coop c {broker} GROUP BY 1, 2) GROUP BY 1, 2""", ii=f"""
+  SELECT org_id, period, sum(v) AS v FROM (
+    SELECT o.org_id, month_id AS period, round(sum(xt_income), 6) AS v FROM ci c {broker} GROUP BY 1, 2
+    UNION ALL SELECT o.org_id, month_id, round(sum(zd_income), 6) FROM ri c {broker} GROUP BY 1, 2) GROUP BY 1, 2""") + """
+SELECT sp.org_id, sp.period, """ + ", ".join(f"coalesce(sv.{c}, 0) / 10000 AS xt_{c}" for c in SIDE_AMOUNTS) + """,
+       coalesce(nums, 0) AS xt_own_funds_nums, coalesce(ib.v, 0) / 10000 AS xt_colla_avg_rights, coalesce(ii.v, 0) / 1.06::DOUBLE / 10000 AS xt_colla_income
+FROM sp LEFT JOIN sv ON sv.org_id = sp.org_id AND sv.period = sp.period LEFT JOIN sn ON sn.org_id = sp.org_id AND sn.period = sp.period
+LEFT JOIN ib ON ib.org_id = sp.org_id AND ib.period = sp.period LEFT JOIN ii ON ii.org_id = sp.org_id AND ii.period = sp.period"""
+
+
+def revenue_rows(spark, sf, o):
+    products = None
+    for fof in (True, False):
+        part = income.product_income(I.values(spark, sf), I.product_accounts(spark, sf), I.products(spark, sf), I.parameters(spark, sf), S.calendar(spark, sf), fof).select(
+            "busi_month", "filing_code", "total_futu_income")
+        products = part if products is None else products.unionByName(part)
+    ours = (products.join(I.allocation(spark, sf), "filing_code")
+            .select(F.col("busi_month").alias("period"), F.col("alloca_oa_branch_id").alias("oa_branch_id"), (F.col("total_futu_income") * F.col("alloca_rate") / A.WAN).alias("v")))
+    sold = A.year_to_date(ours, F.col("v"), "product_sell_income", o, 8)
+    options = A.year_to_date(side_frames(spark, sf)[2], F.col("total_income"), "v", o).select("org_id", "period", (F.col("v") / A.WAN).alias("option_income"))
+    return A.revenue_mix(income_mix(spark, sf, o), side_rows(spark, sf, o, o.level), sold, options)
 
 
-@query("revenue_mix")
-def revenue_mix(spark, sf):
-    o = org(spark, sf)
-    sold = income.product_income(I.values(spark, sf), I.product_accounts(spark, sf), I.products(spark, sf), I.parameters(spark, sf), S.calendar(spark, sf), True)
-    ours = (sold.select("busi_month", "filing_code", "total_futu_income").join(I.allocation(spark, sf), "filing_code")
-            .select(F.col("busi_month").alias("period"), F.col("alloca_oa_branch_id").alias("oa_branch_id"), (F.col("total_futu_income") * F.col("alloca_rate") / A.WAN).alias("v")))
-    products = A.year_to_date(ours, F.col("v"), "product_sell_income", o, 8)
-    return A.revenue_mix(income_mix(spark, sf, o), side_rows(spark, sf, o), products)
+def _revenue_sql(lv: str, side: str, mix: str) -> str:
+    parts = {"future_income": "fi", "trade_zx_income": "zx", "product_xc_income": "pr", "over_option_income": "ov", "own_funds_income": "ow"}
+    total = "(" + " + ".join(parts.values()) + ")"
+    return with_("side", "allocation", f"of_{lv}", sb=SQL[side], mx=SQL[mix], ff=SQL["fund_of_funds_income"], op=SQL["ordinary_product_income"], pm=f"""
+  SELECT org_id, busi_month AS period, round(sum(total_futu_income * alloca_rate / 10000), 8) AS v
+  FROM (SELECT busi_month, filing_code, total_futu_income FROM ff UNION ALL SELECT busi_month, filing_code, total_futu_income FROM op)
+  JOIN allocation USING (filing_code) JOIN of_{lv} ON oa_branch_id = alloca_oa_branch_id GROUP BY 1, 2""", py="""
+  SELECT org_id, period, round(sum(v) OVER (PARTITION BY org_id, substr(period, 1, 4) ORDER BY period), 8) AS v FROM pm""", om=f"""
+  SELECT org_id, period, round(sum(p4), 6) AS v FROM side JOIN of_{lv} USING (oa_branch_id) WHERE pri = '5-LOW' GROUP BY 1, 2""", oy="""
+  SELECT org_id, period, round(sum(v) OVER (PARTITION BY org_id, substr(period, 1, 4) ORDER BY period), 6) AS v FROM om""", j="""
+  SELECT sb.org_id, sb.period, coalesce(mx.future_income, 0) AS fi, xt_trade_zx_income AS zx, coalesce(py.v, 0) AS pr, coalesce(oy.v, 0) / 10000 AS ov, xt_own_funds_income AS ow
+  FROM sb LEFT JOIN mx ON mx.org_id = sb.org_id AND mx.period = sb.period LEFT JOIN py ON py.org_id = sb.org_id AND py.period = sb.period
+  LEFT JOIN oy ON oy.org_id = sb.org_id AND oy.period = sb.period""") + f"""
+SELECT org_id, period, {total} AS operat_income, """ + ", ".join(f"CASE WHEN {total} <> 0 THEN {e} / {total} * 100 ELSE 0 END AS {n}_prop" for n, e in parts.items()) + " FROM j"
+
+
+FAMILIES = ("equity_analysis", "turnover_analysis", "finance_analysis", "client_counts", "income_mix", "market_share")
 
 
 def _monthly(spark, sf, o):
-    return A.monthly_operating_analysis(spots(spark, sf, o.level), [
-        equity(spark, sf, o), A.turnover_analysis(S.fills(spark, sf), o, S.calendar(spark, sf)),
-        A.finance_analysis(L.statement(spark, sf), S.books(spark, sf), o), A.client_counts(S.fills(spark, sf), o, S.calendar(spark, sf))])
+    parts = [QUERIES[f"{n}_by_{o.level}"](spark, sf) for n in FAMILIES]
+    return A.monthly_operating_analysis(spots(spark, sf, o.level), [*parts, side_rows(spark, sf, o, o.level), revenue_rows(spark, sf, o)])
+
+
+def _monthly_sql(lv: str, side: str, revenue: str) -> str:
+    names = {f"f{i}": SQL[n] for i, n in enumerate([*(f"{n}_by_{lv}" for n in FAMILIES), side, revenue])}
+    joins = " ".join(f"LEFT JOIN {f} ON {f}.org_id = b.org_id AND {f}.period = b.period" for f in names)
+    return with_("months", f"of_{lv}", b=f"SELECT DISTINCT org_id, month AS period FROM of_{lv} CROSS JOIN months", **names) + f"""
+SELECT b.*, {', '.join(f'{f}.* EXCLUDE (org_id, period)' for f in names)} FROM b {joins}"""
 
 
 for _lv in LEVELS:
-    query(f"monthly_operating_analysis_by_{_lv}")(lambda spark, sf, lv=_lv: _monthly(spark, sf, org(spark, sf, lv)))
+    _side, _rev = ("side_business", "revenue_mix") if _lv == "unit" else (f"side_business_by_{_lv}", f"revenue_mix_by_{_lv}")
+    query(_side, _side_sql(_lv))(lambda spark, sf, lv=_lv: side_rows(spark, sf, org(spark, sf, lv), lv))
+    query(_rev, _revenue_sql(_lv, _side, f"income_mix_by_{_lv}"))(lambda spark, sf, lv=_lv: revenue_rows(spark, sf, org(spark, sf, lv)))
+    query(f"monthly_operating_analysis_by_{_lv}", _monthly_sql(_lv, _side, _rev))(lambda spark, sf, lv=_lv: _monthly(spark, sf, org(spark, sf, lv)))
 
 
 # ---- clients ------------------------------------------------------------------------------------------

@@ -131,56 +131,78 @@ NEW_IN_MONTH = ("coalesce(year(open_date) = CAST(substring(period, 1, 4) AS INT)
                 "AND year(open_date) * 100 + month(open_date) <= CAST(period AS INT), false)")
 
 
+def since_january(placed: DataFrame, measures: Sequence[str], calendar: DataFrame) -> DataFrame:
+    """Sums since January per organisation and month: ``ytd_*``, ``ytd_*_new`` and the trading days of the time, ``ytd_days``.
+
+    A client is new to a month if opened in its year up to its end. A row counts as new from its own month on, or from the
+    opening month if that is later.
+    """
+    since = ("CASE WHEN year(open_date) = CAST(substring(period, 1, 4) AS INT) "
+             "THEN greatest(period, date_format(open_date, 'yyyyMM')) END AS __since")
+    parts = placed.selectExpr("org_id", "period", since, *measures).groupBy("org_id", "period", "__since").agg(*sums(measures))
+    both = parts.selectExpr("org_id", "period", *[f"{m} AS ytd_{m}" for m in measures], *[f"0D AS ytd_{m}_new" for m in measures]).unionAll(
+        parts.filter("__since IS NOT NULL").selectExpr("org_id", "__since AS period", *[f"0D AS ytd_{m}" for m in measures], *[f"{m} AS ytd_{m}_new" for m in measures]))
+    names = [f"ytd_{m}{s}" for m in measures for s in ("", "_new")]
+    year = Window.partitionBy("org_id", F.substring("period", 1, 4)).orderBy("period")  # twelve rows
+    out = both.groupBy("org_id", "period").agg(*sums(names)).select(
+        "org_id", "period", *[F.round(F.sum(n).over(year), 2).alias(n) for n in names])
+    own_year = Window.partitionBy(F.substring("period", 1, 4)).orderBy("period")
+    days = _days(calendar).select("period", "trade_days").distinct().select("period", F.sum("trade_days").over(own_year).alias("ytd_days"))
+    return out.join(days, "period", "left")
+
+
 def equity_analysis(sett: DataFrame, org: Organisation, calendar: DataFrame, deductions: DataFrame | None = None) -> DataFrame:
-    """Average equity, year on year, split by new and existing clients; net of own-fund deductions.
+    """Average equity, year on year; net of own-fund deductions; split by new and existing clients since January.
 
     ``deductions`` has ``period, oa_branch_id, deduction``.
     """
     placed = org.place(per_account(sett, ["rights"], calendar), ["open_date"])
-    new, old = NEW_IN_MONTH, f"NOT {NEW_IN_MONTH}"
-    m = placed.groupBy("org_id", "period").agg(
-        money_sum("rights").alias("rights"), *cond_sums({"new": (new, "rights"), "stock": (old, "rights")}),
-        F.max("trade_days").alias("days"))
+    m = placed.groupBy("org_id", "period").agg(money_sum("rights").alias("rights"), F.max("trade_days").alias("days"))
     if deductions is None:
         m = m.withColumn("cut", F.lit(0.0))
     else:
         cuts = org.of_unit(deductions).groupBy("org_id", "period").agg(money_sum("deduction").alias("cut"))
         m = m.join(cuts, ["org_id", "period"], "left").fillna(0.0, ["cut"])
     m = m.withColumn("avg", safe_ratio("rights", "days")).withColumn("assess", F.col("avg") - F.col("cut"))
-    y = _last_year(m, ["avg", "assess"])
+    y = (_last_year(m, ["avg", "assess"]).join(since_january(placed, ["rights"], calendar), ["org_id", "period"])
+         .withColumn("stock", F.round(F.col("ytd_rights") - F.col("ytd_rights_new"), 2)))
     return y.select("org_id", "period", (F.col("avg") / WAN).alias("avg_rights"), growth("avg", "last_avg").alias("avg_rights_yoy"),
                     (F.col("assess") / WAN).alias("assess_avg_rights"), growth("assess", "last_assess").alias("assess_avg_rights_yoy"),
-                    (safe_ratio("stock", "days") / WAN).alias("avg_rights_stock"), share_pct("stock", "rights").alias("avg_rights_stock_prop"),
-                    (safe_ratio("new", "days") / WAN).alias("avg_rights_new"), share_pct("new", "rights").alias("avg_rights_new_prop"))
+                    (safe_ratio("stock", "ytd_days") / WAN).alias("avg_rights_stock"), share_pct("stock", "ytd_rights").alias("avg_rights_stock_prop"),
+                    (safe_ratio("ytd_rights_new", "ytd_days") / WAN).alias("avg_rights_new"),
+                    share_pct("ytd_rights_new", "ytd_rights").alias("avg_rights_new_prop"))
 
 
 def turnover_analysis(trades: DataFrame, org: Organisation, calendar: DataFrame) -> DataFrame:
-    """Volume and turnover with year on year, split by new and existing clients."""
-    placed = org.place(per_account(trades, ["done_amt", "done_sum"], calendar), ["open_date"])
-    new, old = NEW_IN_MONTH, f"NOT {NEW_IN_MONTH}"
-    m = placed.groupBy("org_id", "period").agg(
-        *sums(["done_amt", "done_sum"]),
-        *cond_sums({"amt_new": (new, "done_amt"), "amt_stock": (old, "done_amt"), "sum_new": (new, "done_sum"), "sum_stock": (old, "done_sum")}))
-    y = _last_year(m, ["done_amt", "done_sum"])
+    """Volume and turnover with year on year; split by new and existing clients since January."""
+    measures = ["done_amt", "done_sum"]
+    placed = org.place(per_account(trades, measures, calendar), ["open_date"])
+    m = placed.groupBy("org_id", "period").agg(*sums(measures))
+    y = _last_year(m, measures).join(since_january(placed, measures, calendar), ["org_id", "period"]).selectExpr(
+        "*", "ytd_done_amt_new AS amt_new", "round(ytd_done_amt - ytd_done_amt_new, 2) AS amt_stock",
+        "ytd_done_sum_new AS sum_new", "round(ytd_done_sum - ytd_done_sum_new, 2) AS sum_stock")
     return y.select("org_id", "period", (F.col("done_amt") / WAN).alias("done_amount"), growth("done_amt", "last_done_amt").alias("done_amount_yoy"),
                     (F.col("done_sum") / YI).alias("done_money"), growth("done_sum", "last_done_sum").alias("done_money_yoy"),
                     *[x for part in ("stock", "new") for x in (
-                        (F.col(f"amt_{part}") / WAN).alias(f"done_amount_{part}"), share_pct(f"amt_{part}", "done_amt").alias(f"done_amount_{part}_prop"),
-                        (F.col(f"sum_{part}") / WAN).alias(f"done_money_{part}"), share_pct(f"sum_{part}", "done_sum").alias(f"done_money_{part}_prop"))])
+                        (F.col(f"amt_{part}") / WAN).alias(f"done_amount_{part}"), share_pct(f"amt_{part}", "ytd_done_amt").alias(f"done_amount_{part}_prop"),
+                        (F.col(f"sum_{part}") / WAN).alias(f"done_money_{part}"), share_pct(f"sum_{part}", "ytd_done_sum").alias(f"done_money_{part}_prop"))])
 
 
 def client_counts(trades: DataFrame, org: Organisation, calendar: DataFrame) -> DataFrame:
-    """Clients opened so far, opened in the month, and active in the month, with year on year."""
+    """Clients opened so far, opened in the month, and active since January, with year on year."""
     opened = org.place(org.accounts.select("fund_account_id"), ["open_date"])
     by_month = opened.groupBy("org_id", month_key("open_date").alias("period")).agg(F.count(F.lit(1)).alias("opened"))
     # Months of the calendar: counts are carried through months in which nobody opened.
     months = one_market(calendar).select(month_key("busi_date").alias("period")).distinct()
-    active = (org.place(trades.select("fund_account_id", month_key("busi_date").alias("period")).distinct())
-              .groupBy("org_id", "period").agg(F.count(F.lit(1)).alias("active")))
+    # An active client is counted in its first active month of a year, and carried to the year's end.
+    first = trades.select("fund_account_id", month_key("busi_date").alias("period")).groupBy(
+        "fund_account_id", F.substring("period", 1, 4).alias("year")).agg(F.min("period").alias("period"))
+    active = org.place(first.select("fund_account_id", "period")).groupBy("org_id", "period").agg(F.count(F.lit(1)).alias("active"))
     spots = scaffold(opened.select("org_id").distinct(), months)
     history = Window.partitionBy("org_id").orderBy("period")  # one row per month
     m = (spots.join(by_month, ["org_id", "period"], "left").join(active, ["org_id", "period"], "left").fillna(0, ["opened", "active"])
-         .withColumn("total", F.sum("opened").over(history)))
+         .withColumn("total", F.sum("opened").over(history))
+         .withColumn("active", F.sum("active").over(Window.partitionBy("org_id", F.substring("period", 1, 4)).orderBy("period"))))
     y = _last_year(m, ["total", "opened", "active"])
     return y.select("org_id", "period", F.col("total").alias("total_client_num"), growth("total", "last_total").alias("total_client_num_yoy"),
                     F.col("opened").alias("new_client_num"), growth("opened", "last_opened").alias("new_client_num_yoy"),
@@ -249,7 +271,7 @@ def side_business(org: Organisation, spots: DataFrame, sales: DataFrame, advisor
     """Product sales, advice, introducing brokers, over-the-counter options and own funds.
 
     All frames carry ``period`` and ``oa_branch_id``. Sales, advice, options and own funds count
-    since January (held shares since ever); introducing-broker figures are the month's own, their
+    since January, projects once a year (held shares since ever); introducing-broker figures are the month's own, their
     income without 6 % tax. Amounts in ten thousands.
     """
     ever = Window.partitionBy("org_id").orderBy("period")  # one row per month
@@ -267,29 +289,36 @@ def side_business(org: Organisation, spots: DataFrame, sales: DataFrame, advisor
         return org.of_unit(df).groupBy("org_id", "period").agg(money_sum(value, 6).alias(name))
 
     own = year_to_date(tracking, F.col("synergistic_revenue"), "own_funds_income", org)
-    projects = org.of_unit(tracking).groupBy("org_id", "period").agg(
-        F.countDistinct("project_name").cast("double").alias("own_funds_nums"), money_sum("ending_interest").alias("own_funds_end_rights"))
+    worth = year_to_date(tracking, F.col("ending_interest"), "own_funds_end_rights", org, 2)
+    # A project counts from its first month of a year on.
+    in_year = Window.partitionBy("org_id", "project_name", F.substring("period", 1, 4))
+    seen = org.of_unit(tracking).select("org_id", "project_name", "period").distinct().select(
+        "org_id", "period", (F.min("period").over(in_year) == F.col("period")).cast("double").alias("first"))
+    year = Window.partitionBy("org_id", F.substring("period", 1, 4)).orderBy("period")
+    projects = seen.groupBy("org_id", "period").agg(F.sum("first").alias("first")).select(
+        "org_id", "period", F.sum("first").over(year).alias("own_funds_nums"))
     m = merge_many(spots, [
         (held, ["product_sales_stock"]), (bought, ["product_sales_new"]), (advice, ["trade_zx_income"]), (sold_advice, ["trade_zx_xc_income"]),
         (monthly(cooperation, "avg_rights", "__c"), ["__c"]), (monthly(residents, "avg_rights", "__r"), ["__r"]),
         (monthly(coop_income, "xt_income", "__ci"), ["__ci"]), (monthly(resident_income, "zd_income", "__ri"), ["__ri"]),
         *[(p, [n]) for p, n in zip(option_parts, otc.values())], (own, ["own_funds_income"]),
-        (projects, ["own_funds_nums", "own_funds_end_rights"])], ["org_id", "period"], default=0.0)
+        (projects, ["own_funds_nums"]), (worth, ["own_funds_end_rights"])], ["org_id", "period"], default=0.0)
     amounts = ["product_sales_stock", "product_sales_new", "trade_zx_income", "trade_zx_xc_income", *otc.values(), "own_funds_income", "own_funds_end_rights"]
     return m.select("org_id", "period", *[(F.col(c) / WAN).alias(f"xt_{c}") for c in amounts], F.col("own_funds_nums").alias("xt_own_funds_nums"),
                     ((F.col("__c") + F.col("__r")) / WAN).alias("xt_colla_avg_rights"),
                     ((F.col("__ci") + F.col("__ri")) / 1.06 / WAN).alias("xt_colla_income"))
 
 
-def revenue_mix(mix: DataFrame, side: DataFrame, product_income: DataFrame) -> DataFrame:
+def revenue_mix(mix: DataFrame, side: DataFrame, product_income: DataFrame, option_income: DataFrame) -> DataFrame:
     """Operating income (ten thousands) and what brokerage, advice, products, options and own funds make of it.
 
-    ``product_income`` has ``org_id, period, product_sell_income`` in ten thousands, since January.
+    ``product_income`` has ``org_id, period, product_sell_income`` and ``option_income`` has ``org_id, period,
+    option_income``, the options' total income, both in ten thousands and since January.
     """
     j = (side.join(mix.select("org_id", "period", "future_income"), ["org_id", "period"], "left")
-         .join(product_income, ["org_id", "period"], "left").fillna(0.0))
+         .join(product_income, ["org_id", "period"], "left").join(option_income, ["org_id", "period"], "left").fillna(0.0))
     parts = {"future_income": "future_income", "trade_zx_income": "xt_trade_zx_income", "product_xc_income": "product_sell_income",
-             "over_option_income": "xt_off_site_income", "own_funds_income": "xt_own_funds_income"}
+             "over_option_income": "option_income", "own_funds_income": "xt_own_funds_income"}
     total = sum((F.col(c) for c in list(parts.values())[1:]), F.col("future_income"))
     return j.withColumn("operat_income", total).select(
         "org_id", "period", "operat_income", *[share_pct(c, "operat_income").alias(f"{n}_prop") for n, c in parts.items()])

@@ -112,6 +112,9 @@ def test_unmapped_branch_drops_out_at_every_level(spark):
 
 def test_scaffold_total_cohorts_allocation(spark):
     u = spark.createDataFrame([("a",), ("b",)], "u string")
+    for n in (0, 1, 20_000):
+        wide = J.scaffold(u, spark.range(n).selectExpr("id AS k"))
+        assert wide.schema["k"].dataType.simpleString() == "bigint" and wide.count() == n * u.count()
     assert J.scaffold(u, [("1", "x"), ("2", "y")], ["c", "n"]).count() == 4
     assert J.scaffold(u, u.withColumnRenamed("u", "v")).count() == 4 and J.scaffold(u, [], ["c"]).count() == 0
     t = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "u string, m double")

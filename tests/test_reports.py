@@ -115,3 +115,17 @@ def test_reports_accept_empty_facts(spark, calendar):
     assert settlement.daily_fund_reconciliation(none, calendar, empty_trades(spark)).count() == 0
     assert analysis.daily_operating_analysis(none, org(spark), calendar).count() == 0
     assert analysis.equity_analysis(none, org(spark), calendar).count() == 0
+
+
+def test_deliveries_are_dated_by_the_period_they_settle_in(spark, calendar):
+    from marginbook.plans import trades
+    cols = ("client_id int, branch_id int, fund_account_id int, money_type string, trade_type string, trade_prop string, security_id int, busi_date date, "
+            "sett_date date, data_source string, transfee double, market_transfee double, done_amt double, pay_amount double, margin double, market_margin double")
+    row = lambda day, settled, source: (1, 1, 1, "1", "11", "1", 1, day, settled, source, 1.0, 0.5, 1.0, 2.0, 3.0, 1.0)
+    old, new = row(date(2023, 9, 26), date(2023, 9, 27), "CTP1"), row(date(2023, 10, 11), date(2023, 10, 12), "CTP2")
+    for given, want in (([old], ["20230926"]), ([old, new], ["20230926", "20231011"])):
+        got, _ = trades.deliveries(spark.createDataFrame(given, cols), calendar, "day")
+        assert sorted(r.period for r in got.collect()) == want
+    # By month the newer source decides for the whole month it supplied.
+    got, _ = trades.deliveries(spark.createDataFrame([old, row(date(2023, 9, 28), date(2023, 10, 9), "CTP2")], cols), calendar, "month")
+    assert sorted(r.period for r in got.collect()) == ["202309", "202309"]
