@@ -35,7 +35,7 @@ from marginbook.llm.words import WordHashes, mix, windows
 #: Sets under one token up to which the token is indexed by itself.
 RARE = 32
 #: Sets in a cell of a group.
-CELL = 256
+CELL = 512
 SKETCH = 128
 #: Tokens missing in a similar set up to which combinations of two are indexed.
 COMBINED = 32
@@ -278,15 +278,16 @@ def _cell_rows(members: DataFrame, rule: Rule) -> DataFrame:
     # Groups of one poor set alone have nothing to compare.
     several = members.groupBy("grp").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("grp")
     banded = members.join(several, "grp").withColumn("band", band)
-    sizes = banded.groupBy("grp", "poor", "band").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"))
-    placed = (banded.join(sizes, ["grp", "poor", "band"])
+    sizes = banded.groupBy("grp", "poor", "band").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"),
+                                                      F.min("n").alias("low"), F.max("n").alias("high"))
+    placed = (banded.join(sizes.drop("low", "high"), ["grp", "poor", "band"])
               .withColumn("cell", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")))
-    # A cell of poor sets meets the poor cells of its band and the next one, and all others of its group in reach. Rounding
-    # could put lengths at the border of a band one band off, so a band further is met as well.
-    cells = sizes.select("grp", "poor", "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("cell"))
+    # A cell of poor sets meets the poor cells of its band and later ones, and all others, where any two lengths fit.
+    cells = sizes.select("grp", "poor", "band", "low", "high", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("cell"))
     here = cells.where("poor").drop("poor")
-    other = cells.select("grp", F.col("poor").alias("poor2"), F.col("band").alias("band2"), F.col("cell").alias("cell2"))
-    meets = (here.join(other, "grp").where("abs(band2 - band) <= 2")
+    other = cells.select("grp", *[F.col(c).alias(f"{c}2") for c in ("poor", "band", "cell", "low", "high")])
+    fit = f"100 * high >= {rule.percent} * low2 AND 100 * high2 >= {rule.percent} * low"
+    meets = (here.join(other, "grp").where(fit)
              .where("NOT poor2 OR band2 > band OR (band2 = band AND cell2 >= cell)")
              .withColumn("task", F.xxhash64("grp", "band", "cell", "poor2", "band2", "cell2")))
     left = (placed.where("poor").join(meets.select("grp", "band", "cell", "task"), ["grp", "band", "cell"])
