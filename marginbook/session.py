@@ -18,9 +18,10 @@ DEFAULTS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the library defaults to an existing session and return it."""
+    """Apply the library defaults to an existing session and return it; static ones keep the session's value."""
     for key, value in DEFAULTS.items():
-        spark.conf.set(key, value)
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 
