@@ -33,7 +33,8 @@ LEAST_TEXTS = 3
 ROWS_PER_CLASS = 2_000
 #: Most bytes of their texts; whole texts are taken in the order of the hashes until it is reached.
 BYTES_PER_CLASS = 12 << 20
-KNOWN_WORDS = 100_000
+#: Words whose n-grams are kept in a fit, and words whose evidence is kept in scoring.
+KNOWN_WORDS, SCORED_WORDS = 100_000, 500_000
 #: Bytes that are no part of a word become spaces, A-Z lower case: marks stuck to a word don't hide it.
 LETTERS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in LOWER)
 
@@ -42,14 +43,19 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(LETTERS).split()
 
 
-def grams_of(word: bytes) -> np.ndarray:
+def buckets_of(word: bytes) -> set[int]:
     """Buckets of a word: the word itself, its n-grams with marked ends, and its longer beginnings."""
-    marked = b"<" + word + b">"
-    found = {xxhash.xxh3_64_intdigest(marked)}
+    marked, digest = b"<" + word + b">", xxhash.xxh3_64_intdigest
+    size = len(marked)
+    found = {digest(marked) % BUCKETS}
     for n in GRAMS:
-        found.update(xxhash.xxh3_64_intdigest(marked[i:i + n], n) for i in range(len(marked) - n + 1))
-    found.update(xxhash.xxh3_64_intdigest(marked[:n], n) for n in STARTS if n < len(marked))
-    return np.array(sorted({h % BUCKETS for h in found}), np.int32)
+        found.update([digest(marked[i:i + n], n) % BUCKETS for i in range(size - n + 1)])
+    found.update([digest(marked[:n], n) % BUCKETS for n in STARTS if n < size])
+    return found
+
+
+def grams_of(word: bytes) -> np.ndarray:
+    return np.array(sorted(buckets_of(word)), np.int32)
 
 
 def _bag(text: bytes, known: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -151,15 +157,17 @@ class SubwordModel:
     def scorer(self):
         """A function from a text to its score; it keeps the evidence of the words met lately."""
         known: dict[bytes, float] = {}
+        evidence = self.evidence.tolist()
 
         def score(text: bytes | None) -> float:
             total, weight = 0.0, SHRINK
             for word, n in Counter(words_of(text)).items():
                 value = known.get(word)
                 if value is None:
-                    if len(known) >= KNOWN_WORDS:
+                    if len(known) >= SCORED_WORDS:
                         known.clear()
-                    value = known[word] = float(self.evidence[grams_of(word)].mean())
+                    buckets = buckets_of(word)
+                    value = known[word] = sum(map(evidence.__getitem__, buckets)) / len(buckets)
                 share = 1 + log(n)
                 total += share * value
                 weight += share
