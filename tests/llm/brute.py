@@ -2,7 +2,8 @@
 
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
+from math import log, log10
 
 
 def words(text):
@@ -96,3 +97,32 @@ def classes(docs, width, percent):
                     x, y = sorted((find(a), find(b)))
                     root[y] = x
     return {d: (len(sets[d]), find(d)) for d in sets}
+
+
+def suffix_tree(learnt, texts, depth, least, gain):
+    """The number of states, and the log10 probability of each text."""
+    def split(text):
+        w = words(lower(text))
+        return ["<s>", *("<again>" if i and w[i - 1] == x else x for i, x in enumerate(w)), "<s>"]
+    uses, ends = Counter(w for t in learnt for w in words(lower(t))), len(learnt)
+    whole = sum(uses.values()) + ends + 0.1 * (len(uses) + (ends > 0) + 2)
+    counts = defaultdict(Counter)
+    for s in map(split, learnt):
+        for i in range(1, len(s)):
+            for d in range(1, min(depth, i) + 1):
+                counts[tuple(s[i - d:i])][s[i]] += 1
+    states = {}
+
+    def chance(context, symbol):
+        while context and context not in states:
+            context = context[1:]
+        if not context:
+            return ((ends if symbol == "<s>" else 0 if symbol == "<again>" else uses[symbol]) + 0.1) / whole
+        own = states[context]
+        return (own[symbol] + len(own) * chance(context[1:], symbol)) / (sum(own.values()) + len(own))
+    for context in sorted(counts, key=len):
+        own, n = counts[context], sum(counts[context].values())
+        if n >= least and sum(c * log(c / n / chance(context[1:], x)) for x, c in own.items()) >= gain:
+            states[context] = own
+    scores = [sum(log10(chance(tuple(s[max(0, i - depth):i]), s[i])) for i in range(1, len(s))) for s in map(split, texts)]
+    return {"states": len(states), "scores": scores}

@@ -95,6 +95,21 @@ def test_rare_words_of_the_model_are_joined(spark, docs, monkeypatch):
     assert scores() == want
 
 
+def test_language_model_of_all_contexts(spark, monkeypatch):
+    """Any word may be in a state, whatever its rank, and every context that is used often enough is tested."""
+    rows = [(i, " ".join(f"{a}{(i * 7 + j * 3) % 700 if a == 'x' else (i * 7 + j * 3 - 3) % 700}" for j in range(60) for a in "xy")) for i in range(400)]
+    rows += [(1000 + i, "again again x1 x1 x1 y1") for i in range(80)] + [(2000 + i, t) for i, t in enumerate(["", None, "new x5 y2 y2", "new"])]
+    want = brute.suffix_tree([t for i, t in rows if i % 10], [t for _, t in rows], 3, 30, 20.0)
+    assert want["states"] > 900
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for most in (1_000_000, 200):  # all strings sent, and most of them joined
+        monkeypatch.setattr(suffix_model, "STRINGS_MOST", most)
+        got = {r.doc_id: r.score for r in suffix_model.score_texts(df, F.col("doc_id") % 10 != 0).collect()}
+        assert len(got) == len(rows)
+        for (doc, _), score in zip(rows, want["scores"]):
+            assert abs(got[doc] - score) < 1e-9 * max(1, abs(score)), (doc, got[doc], score)
+
+
 def test_odd_documents(spark, odd_documents):
     n = odd_documents.count()
     cut = {(r.doc_id, r.text): r for r in substrings.dedup_substrings(odd_documents).collect()}
