@@ -3,7 +3,7 @@
 import hashlib
 import re
 from collections import Counter, defaultdict
-from math import log, log10
+from math import floor, log, log10
 
 
 def words(text):
@@ -126,3 +126,88 @@ def suffix_tree(learnt, texts, depth, least, gain):
             states[context] = own
     scores = [sum(log10(chance(tuple(s[max(0, i - depth):i]), s[i])) for i in range(1, len(s))) for s in map(split, texts)]
     return {"states": len(states), "scores": scores}
+
+
+def cut_repeats(docs, width=50):
+    """doc_id to text without the words of windows that a smaller id has; None where no word is left."""
+    least = {}
+    for doc, text in docs:
+        w = words(text)
+        for i in range(len(w) - width + 1):
+            key = tuple(w[i:i + width])
+            least[key] = min(least.get(key, doc), doc)
+    out = {}
+    for doc, text in docs:
+        w, gone = words(text), set()
+        for i in range(len(w) - width + 1):
+            if least[tuple(w[i:i + width])] < doc:
+                gone.update(range(i, i + width))
+        left = [x for i, x in enumerate(w) if i not in gone]
+        out[doc] = text if not gone else " ".join(left) if left else None
+    return out
+
+
+def cut_leaks(docs, items, width=10):
+    """doc_id to text without the benchmark's passages; None where they are all its words."""
+    phrases = set()
+    for _, text in items:
+        w = item_words(text)
+        phrases.update(tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1) if w else 0))
+    lengths, out = {len(p) for p in phrases}, {}
+    for doc, text in docs:
+        found = list(re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text)))
+        w, hit = [m.group() for m in found], set()
+        for n in lengths:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i:i + n]) in phrases:
+                    hit.update(range(i, i + n))
+        if hit and len(hit) == len(w):
+            out[doc] = None
+            continue
+        parts, last = [], 0
+        for i in sorted(hit):
+            if i - 1 not in hit:
+                parts.append(text[last:found[i].start()])
+            last = found[i].end()
+        out[doc] = "".join([*parts, text[last:]]) if hit else text
+    return out
+
+
+def mix(docs, weights=(5.0, 2.0, 1.0), epochs=3, seed=17):
+    """doc_id to (size, source_size, target, repeats, taken) from (doc_id, text, source); shares over a limit are cut and
+    shared again until none is over."""
+    by_source = defaultdict(list)
+    for doc, text, source in docs:
+        by_source[(source is None, source or "")].append((hashlib.md5(f"{seed}:{doc}".encode()).hexdigest(), len(words(text)), doc))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(sorted(by_source))}
+    size = {s: sum(n for _, n, _ in rows) for s, rows in by_source.items()}
+    full = {s for s in size if not size[s]}
+    while True:
+        rest = sum(size.values()) - sum(epochs * size[s] for s in full)
+        level = rest / sum(w for s, w in weight.items() if s not in full) if len(full) < len(size) else 0
+        over = {s for s in size if s not in full and level * weight[s] > epochs * size[s]}
+        if not over:
+            break
+        full |= over
+    out = {}
+    for s, rows in by_source.items():
+        target = epochs * size[s] if s in full else level * weight[s]
+        repeats = floor(target / size[s]) if size[s] else 0
+        extra = floor(target + 0.5) - repeats * size[s]
+        for _, n, doc in sorted(rows):
+            more = max(0, min(n, extra))
+            extra -= n
+            out[doc] = (n, size[s], target, repeats, repeats * n + more)
+    return out
+
+
+def pipeline(docs, items):
+    """The rows of the pipeline from those (doc_id, text, lang, source, n_chars) its first stage keeps; ids are unique."""
+    first = {d: c for d, (_, c) in classes([r[:2] for r in docs], 5, 80).items()}
+    docs = [r for r in docs if first[r[0]] == r[0]]
+    for cut in (cut_repeats, lambda x: cut_leaks(x, items)):
+        left = cut([r[:2] for r in docs])
+        docs = [(d, left[d], lang, source, None if n is None or left[d] is None else len(left[d]))
+                for d, text, lang, source, n in docs if text is None or left[d] is not None]
+    taken = mix([(d, text, source) for d, text, _, source, _ in docs])
+    return [(*r, *taken[r[0]]) for r in docs]

@@ -1,11 +1,14 @@
 import importlib
 
-from marginbook.llm import chat, queries
+from marginbook.llm import chat, queries, toxicity
+from marginbook.llm.frames import checkpoint
 from pyspark.sql import functions as F
 from tools.check_sql import compare, connect
 
 import corpus_pipeline
 
+from . import brute
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -39,6 +42,20 @@ def test_pipeline_stages(spark):
     assert out.groupBy("doc_id").count().where("count > 1").count() == 0
 
 
+def test_pipeline_by_brute_force(spark, monkeypatch):
+    """Each document's text and words taken, from the learnt scores on."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    scored = checkpoint(toxicity.score_toxicity(docs, spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic"), column="_toxic"))
+    monkeypatch.setattr(toxicity, "score_toxicity", lambda *args, **named: scored)
+    kept = [r for r in scored.collect() if r["_toxic"] < corpus_pipeline.TOXIC]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    want = brute.pipeline([(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in kept], items)
+    got = corpus_pipeline.run(spark, SF).select(*corpus_pipeline.COLUMNS, "size", "source_size", "target", "repeats", "taken").collect()
+    target = {r.doc_id: r.target for r in got}
+    assert sorted(tuple(r[:7] + r[8:]) for r in got) == sorted(r[:7] + r[8:] for r in want)
+    assert all(abs(target[r[0]] - r[7]) < 1e-6 * max(1, r[7]) for r in want)
+
+
 def test_every_operator_has_a_query():
     names = list(importlib.import_module("__spark_entry__").queries())
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
