@@ -48,7 +48,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages that share 10 words or more, or a whole short item, with the benchmark; documents left without a word go."""
-    found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), nameless=True)
     whole = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]) >= F.col("n_words")
     left = found.where((F.size("spans") == 0) | ~whole)
     return decontaminate.cut_spans(left).select(*_counted())

@@ -125,13 +125,15 @@ class Phrases:
     shortest: int
 
     @classmethod
-    def of(cls, items: list[tuple[int, bytes]], width: int) -> Phrases:
+    def of(cls, items: list[tuple[int | None, bytes]], width: int) -> Phrases:
         vocabulary: dict[bytes, int] = {}
         found: dict[tuple[int, ...], set[int]] = {}
         for item, text in items:
             numbers = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in item_words(text)]
             for i in range(max(1, len(numbers) - width + 1) if numbers else 0):
-                found.setdefault(tuple(numbers[i:i + width]), set()).add(item)
+                owners = found.setdefault(tuple(numbers[i:i + width]), set())
+                if item is not None:
+                    owners.add(item)
         lengths = sorted({len(p) for p in found})
         by_length = []
         for n in lengths:
@@ -223,12 +225,14 @@ def _pass(phrases: Phrases, added: list[str]):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: str = "text",
-                  item_id: str = "item_id", item_text: str = "text", phrase_words: int = PHRASE_WORDS) -> DataFrame:
+                  item_id: str = "item_id", item_text: str = "text", phrase_words: int = PHRASE_WORDS,
+                  nameless: bool = False) -> DataFrame:
     """``docs`` with ``n_words``, ``spans`` (array of (start, end) in words) and ``items`` (sorted ids).
 
     A window is ``width`` consecutive words of an item; an item of fewer words is one window, an item of none has none.
     ``spans`` covers every word inside an occurrence of a window, ``items`` are the items with one. Null and empty texts
-    have no words, spans or items; items with a null id are left out; items with one id count as one. Repeated rows stay.
+    have no words, spans or items; items with one id count as one. Items with a null id are left out, or if ``nameless``, count in
+    ``spans`` and are missing in ``items`` only. Repeated rows stay.
     An empty table on either side gives no hits. Columns of ``docs`` called like the added ones are replaced.
 
     The benchmark goes to the driver and the tasks in slices of about ``phrase_words`` words by hash of the item, each
@@ -236,7 +240,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, text:
     """
     added = ["n_words", "spans", "items"]
     kept = [c for c in docs.columns if c not in added]
-    items = benchmark.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(
+    items = benchmark.where((F.col(item_id).isNotNull() | F.lit(nameless)) & F.col(item_text).isNotNull()).select(
         F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("words"))
     total = items.agg(F.sum(F.length("words"))).first()[0] or 0
     slices = max(1, -(-total // (6 * phrase_words)))

@@ -55,7 +55,7 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), nameless=True)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),

@@ -10,6 +10,8 @@ import pytest
 from marginbook.llm import decontaminate, jaccard, mixing, queries, substrings, suffix_model
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import brute
 
 SF = "/root/testdata/sf0.001"
@@ -68,6 +70,18 @@ def test_short_items_and_slices(spark):
     assert decontaminate.decontaminate(d, b.limit(0)).where("size(spans) > 0").count() == 0
 
 
+def test_items_without_id(spark, tmp_path):
+    """Their words are hit and cut, and only the list of ids leaves them out."""
+    docs = [(1, "a Bb c x d"), (2, "c x"), (3, "Bb c")]
+    spark.createDataFrame([(None, "bb c x"), (None, "d"), (7, "bb c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: tuple(r)[1:4] + (r.contaminated,) for r in queries.op5_decontamination(spark, str(tmp_path)).collect()}
+    assert got == {1: (5, 4, 1, True), 2: (2, 0, 0, False), 3: (2, 2, 1, True)}
+    left = corpus_pipeline.cut_benchmark(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert {r.doc_id: r.text for r in left.collect()} == {1: "a ", 2: "c x"}
+
+
 def test_language_model_base(spark, docs):
     counts, ends = Counter(), 0
     for doc, text in docs:
