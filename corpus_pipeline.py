@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginbook.llm import decontaminate, jaccard, mixing, substrings, toxicity
-from marginbook.llm.frames import shared_folder
+from marginbook.llm.frames import checkpoint, shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Documents scored so or higher are rejected.
@@ -29,12 +29,36 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each class of near copies; of repeated rows of it, one each.
 
-    Rows without id have no class and stay.
+    Each row without id is a document of its own, behind those with ids.
     """
-    classes = jaccard.jaccard_classes(docs, width=5, percent=80)
-    kept = classes.where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).join(kept, "doc_id", "left_semi")
-    return known.unionByName(docs.where("doc_id IS NULL")).select(*COLUMNS)
+    keyed = _keyed(docs)
+    classes = jaccard.jaccard_classes(keyed, width=5, percent=80, doc_id="_key")
+    kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.dropDuplicates(["_key", "text"]).join(kept, "_key", "left_semi").select(*COLUMNS)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_key``: the id, and for rows without one numbers above all ids (below them where none are left)."""
+    named = docs.where("doc_id IS NOT NULL").withColumn("_key", F.col("doc_id").cast("long"))
+    # Numbered before the cut, so the numbers stay.
+    nameless = checkpoint(docs.where("doc_id IS NULL").withColumn("_row", F.monotonically_increasing_id()))
+    parts = nameless.groupBy(F.shiftright("_row", 33).alias("_part")).agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()
+    if not parts:
+        return named
+    total, starts = 0, []
+    for r in parts:
+        starts.append((r["_part"], total))
+        total += r["n"]
+    ends = named.agg(F.min("_key").alias("least"), F.max("_key").alias("most")).first()
+    first = (ends["most"] if ends["most"] is not None else -1) + 1
+    if first + total > 1 << 63:
+        first = ends["least"] - total
+    if first < -(1 << 63):
+        raise ValueError("ids leave no numbers for the rows without id")
+    begin = docs.sparkSession.createDataFrame(starts, "_part long, _start long")
+    key = F.lit(first).cast("long") + F.col("_start") + F.col("_row").bitwiseAND((1 << 33) - 1)
+    numbered = nameless.withColumn("_part", F.shiftright("_row", 33)).join(begin, "_part").withColumn("_key", key)
+    return named.unionByName(numbered.select(*named.columns))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -56,6 +56,18 @@ def test_pipeline_by_brute_force(spark, monkeypatch):
     assert all(abs(target[r[0]] - r[7]) < 1e-6 * max(1, r[7]) for r in want)
 
 
+def test_rows_without_id_are_near_copies_too(spark):
+    same, other = (" ".join(f"{a}{i}" for i in range(60)) for a in "sa")
+    rows = [(5, same), (None, same), (None, same + " end"), (None, other), (None, other), (None, other + " end"), (9, "one"), (None, ""), (None, None)]
+    for top in (5, (1 << 63) - 1):
+        df = spark.createDataFrame([(top if i == 5 else i, t, "en", "s", 1) for i, t in rows],
+                                   "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+        left = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()]
+        assert len(left) == 5 and (9, "one") in left and (None, "") in left and (None, None) in left
+        assert sum((t or "").startswith("s0 ") for _, t in left) == sum((t or "").startswith("a0 ") for _, t in left) == 1
+        assert top != 5 or (5, same) in left
+
+
 def test_every_operator_has_a_query():
     names = list(importlib.import_module("__spark_entry__").queries())
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
