@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginbook.llm import chat, decontaminate, jaccard, mixing, neardup, quality, substrings, suffix_model, toxicity, urls
+from marginbook.llm import (chat, decontaminate, filter_audit, jaccard, mixing, neardup, quality, substrings, suffix_model,
+                            token_counts, toxicity, urls)
 
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
              ("block", "net/fr/"))
@@ -110,6 +111,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.length("formatted").cast("long").alias("formatted_chars")))
 
 
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 SQL["op4_source_mix"] = r"""
 WITH docs AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -149,3 +162,33 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   sum(text_chars + CASE WHEN previous = role THEN 8 ELSE 24 + role_chars END)::BIGINT AS formatted_chars
 FROM placed GROUP BY conv_id
 """
+
+SQL["op13_filter_audit"] = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY 1),
+judged AS (
+  SELECT part, (CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END)
+      || (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END)
+      || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+      || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS fails,
+    coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM texts LEFT JOIN marks USING (doc_id)),
+counted AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY 1, 2),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE b.x <> a.x AND c.x NOT IN (a.x, b.x) AND d.x NOT IN (a.x, b.x, c.x) AND e.x NOT IN (a.x, b.x, c.x, d.x)),
+steps AS (SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS earlier
+          FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+met AS (
+  SELECT part, filter_order, step, x, n, good, toxic, fails,
+         earlier <> '' AND regexp_matches(fails, '[' || earlier || '_]') AS gone, contains(fails, x) AS failing FROM counted, steps),
+walked AS (
+  SELECT part, filter_order, step, x, sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN NOT gone AND failing THEN n ELSE 0 END) AS removed, sum(CASE WHEN gone AND failing THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = x THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN NOT gone AND failing THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN NOT gone AND failing THEN toxic ELSE 0 END) AS toxic_lost FROM met GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM walked
+"""
