@@ -125,27 +125,28 @@ def audit_orders(counts: DataFrame, letters: str, losses: dict[str, str] | None
         F.array(*[total(mask == 1 << f, "n") for f in range(k)]).alias("alone"))
     reach, leave = forward_counts(k), backward_counts(k)
 
-    def weighted(f: int) -> Column:
-        edges = [(s, s | 1 << f) for s in states if not s >> f & 1]
-        return reduce(Column.__add__, [F.lit(reach[a] * leave[b]) * (F.get("keep_n", F.lit(a)) - F.get("keep_n", F.lit(b))) for a, b in edges])
-
-    sums = sums.withColumn("shares", F.array(*[weighted(f).cast("long") for f in range(k)]))
+    def lost(value: str, before: Column | int, after: Column | int) -> Column:
+        at = lambda state: F.get(f"keep_{value}", F.lit(state))
+        return at(before) - at(after)
+
+    edges = [[(s, s | 1 << f) for s in states if not s >> f & 1] for f in range(k)]
+    shares = [reduce(Column.__add__, [F.lit(reach[a] * leave[b]) * lost("n", a, b) for a, b in own]).cast("long") for own in edges]
+    every = F.array(*[F.struct(F.lit(f).alias("filter"), F.lit(a).alias("state"), F.lit(b).alias("after")) for f, own in enumerate(edges) for a, b in own])
+    removed = lost("n", F.col("state"), F.col("after"))
+    passed = (sums.withColumn("shares", F.array(*shares)).withColumn("edge", F.explode(every)).select("*", "edge.*").select(
+        "part", "filter", "state", F.get("keep_n", F.col("after")).alias("kept"), removed.alias("removed"),
+        (F.get("fails", F.col("filter")) - removed).alias("redundant"), F.get("alone", F.col("filter")).alias("unique_fails"),
+        *[lost(v, F.col("state"), F.col("after")).alias(name) for name, v in losses.items()], F.get("shares", F.col("filter")).alias("shapley")))
     steps = []
     for order in permutations(range(k)):
         state, name = 0, "".join(letters[f] for f in order)
         for number, f in enumerate(order, 1):
-            steps.append((name, number, f, state, state | 1 << f))
+            steps.append((name, number, f, state))
             state |= 1 << f
-    # k * k! rows, at most 35,280 whatever the documents.
-    walk = counts.sparkSession.createDataFrame(steps, "filter_order string, step int, filter int, before int, after int")
-
-    def lost(value: str) -> Column:
-        return F.get(f"keep_{value}", "before") - F.get(f"keep_{value}", "after")
-
-    return sums.crossJoin(F.broadcast(walk)).select(
-        "part", "filter_order", "step", F.get("keep_n", "after").alias("kept"), lost("n").alias("removed"),
-        (F.get("fails", "filter") - lost("n")).alias("redundant"), F.get("alone", "filter").alias("unique_fails"),
-        *[lost(v).alias(name) for name, v in losses.items()], F.get("shares", "filter").alias("shapley"))
+    # k * k! rows, at most 35,280 whatever the documents; each edge meets the orders that lead through it.
+    walk = counts.sparkSession.createDataFrame(steps, "filter_order string, step int, filter int, state int")
+    return passed.join(F.broadcast(walk), ["filter", "state"]).select(
+        "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", *losses, "shapley")
 
 
 def audit_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "source") -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginbook.llm import (chat, decontaminate, filter_audit, jaccard, mixing, neardup, quality, substrings, suffix_model,
-                            token_counts, toxicity, urls)
+from marginbook.llm import (chat, decontaminate, filter_audit, jaccard, mixing, neardup, quality, ranked_search, substrings,
+                            suffix_model, token_counts, toxicity, urls)
 
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
              ("block", "net/fr/"))
@@ -111,6 +111,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.length("formatted").cast("long").alias("formatted_chars")))
 
 
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked_search.rank_documents(docs, table(spark, sf_dir, "benchmark"), top=20)
+
+
 @query
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -192,3 +198,23 @@ SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed:
   unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
   (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM walked
 """
+
+SQL["op11_ranked_search"] = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+sized AS (SELECT doc_id, ws, len(ws)::BIGINT AS n FROM words WHERE len(ws) > 0),
+total AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM sized),
+asked AS (
+  SELECT item_id, term, count(*)::BIGINT AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY 1, 2),
+postings AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, n, unnest(ws) AS term FROM sized)
+             WHERE term IN (SELECT term FROM asked) GROUP BY 1, 2, 3),
+weights AS (SELECT term, floor(1000 * ln((2 * max(nn) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM postings, total GROUP BY 1),
+scored AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll))))::BIGINT AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term), total GROUP BY 1, 2)
+SELECT * FROM (SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+               FROM scored WHERE score > 0) WHERE rank <= 20
+"""
