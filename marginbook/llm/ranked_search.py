@@ -29,7 +29,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from marginbook.llm.frames import groups_of, raw, shared_folder, text_bytes
 from marginbook.llm.words import WordHashes
 
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 PIECE_BYTES = 4 << 20
 BLOCK = 64
 #: Terms of the queries searched in one pass; the table of a pass is sent to the tasks.
@@ -338,12 +338,11 @@ def search_index(index: DataFrame, items: DataFrame, path: str, top: int = 20, i
     documents, terms = index.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))).first()
     passes = -(-asked.count() // pack_terms) if documents else 0
     schema = from_arrow_schema(pa.schema([ASKED.field("item_id"), ASKED.field("item_key"), *list(FOUND)[1:]]))
-    heaps = spark.createDataFrame([], schema)
     for number in range(passes):
         own = asked.where(F.pmod(F.xxhash64("item_id", "item_key"), F.lit(passes)) == number).toPandas()
         if len(own):
-            _pass(index, own, documents, terms, top).write.mode("overwrite").parquet(f"{path}/found/{number}")
-            heaps = heaps.unionByName(spark.read.schema(schema).parquet(f"{path}/found/{number}"))
+            _pass(index, own, documents, terms, top).write.mode("overwrite").parquet(f"{path}/found/pass={number}")
+    heaps = spark.read.schema(schema).parquet(f"{path}/found") if passes else spark.createDataFrame([], schema)
     order = Window.partitionBy("item_id", "item_key").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return (heaps.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
             .select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score"))
