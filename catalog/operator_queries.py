@@ -12,7 +12,7 @@ from catalog import standins as S
 from catalog.registry import query
 from catalog.standins import table, with_
 from marginbook.functions import codes, dates as D, measures as M
-from marginbook.operators import balances, calendar as C, joins as J, merge, orgs, ranking as R, spine
+from marginbook.operators import balances, calendar as C, joins as J, merge, orgs, ranking as R, running, spine
 from marginbook.sources import schemas, sink, tables
 
 # ---- sources and sinks ----------------------------------------------------------------------
@@ -474,12 +474,12 @@ def cohort_semi_join(spark, sf):
 
 @query("entity_match", with_("accounts", sales="""
   SELECT ' ' || id_no AS id_no, client_name, round(sum(o_totalprice), 2) AS share
-  FROM orders JOIN accounts ON o_custkey = fund_account_id WHERE o_orderstatus = 'F' GROUP BY 1, 2""") + """
+  FROM orders JOIN accounts ON o_custkey = fund_account_id GROUP BY 1, 2""") + """
 SELECT branch_id, count(*) AS clients, round(sum(share), 2) AS share
 FROM sales s JOIN accounts a ON trim(s.id_no) = a.id_no AND s.client_name = a.client_name GROUP BY 1""")
 def entity_match(spark, sf):
     acc = S.accounts(spark, sf)
-    shares = table(spark, sf, "orders").filter("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("fund_account_id")).agg(
+    shares = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("fund_account_id")).agg(
         M.money_sum("o_totalprice").alias("share"))
     sales = shares.join(acc, "fund_account_id").select(F.concat(F.lit(" "), "id_no").alias("id_no"), "client_name", "share")
     return (J.entity_match(sales, acc.select("id_no", "client_name", "branch_id")).groupBy("branch_id")
@@ -491,11 +491,10 @@ SELECT cohort, count(*) AS clients, CAST(sum(k) AS BIGINT) AS key_sum FROM (
   SELECT k, CASE WHEN p = 1 AND c = 1 THEN 'kept' WHEN c = 1 THEN 'new' ELSE 'lost' END AS cohort FROM (
     SELECT o_custkey AS k, max(CASE WHEN year(o_orderdate) = 1997 THEN 1 ELSE 0 END) AS p,
            max(CASE WHEN year(o_orderdate) = 1998 THEN 1 ELSE 0 END) AS c
-    FROM orders WHERE year(o_orderdate) IN (1997, 1998) AND o_orderpriority = '1-URGENT' GROUP BY 1)) GROUP BY 1""")
+    FROM orders WHERE year(o_orderdate) IN (1997, 1998) GROUP BY 1)) GROUP BY 1""")
 def cohort_split(spark, sf):
     def of(year):
-        return (table(spark, sf, "orders").filter(F.col("o_orderdate").between(F.lit(date(year, 1, 1)), F.lit(date(year, 12, 31)))
-                                                  & (F.col("o_orderpriority") == "1-URGENT"))
+        return (table(spark, sf, "orders").filter(F.col("o_orderdate").between(F.lit(date(year, 1, 1)), F.lit(date(year, 12, 31))))
                 .select(F.col("o_custkey").alias("k")))
     return (J.cohort_split(of(1997), of(1998), ["k"]).groupBy("cohort")
             .agg(F.count(F.lit(1)).alias("clients"), F.sum("k").alias("key_sum")))
@@ -530,6 +529,34 @@ def string_aggregation(spark, sf):
             .groupBy("c_nationkey").agg(M.group_concat("c_mktsegment").alias("segments")))
 
 
+_SPOTS = """
+  SELECT c_nationkey AS nation, s_name AS unit, period FROM (SELECT DISTINCT c_nationkey FROM customer)
+  JOIN supplier ON s_nationkey = c_nationkey CROSS JOIN (SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS period FROM orders)"""
+
+
+@query("running_totals", with_(spots=_SPOTS, facts="""
+  SELECT s_name AS unit, s_nationkey AS nation, strftime(l_shipdate, '%Y%m') AS period, l_partkey, l_returnflag,
+         l_extendedprice FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""", monthly="""
+  SELECT unit, nation, period, round(sum(l_extendedprice), 2) AS v, round(sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice END), 2) AS r FROM facts GROUP BY 1, 2, 3""", sums="""
+  SELECT s.unit, s.nation, s.period, round(coalesce(sum(m.v), 0), 2) AS sold_ever, round(coalesce(sum(CASE WHEN substr(m.period, 1, 4) = substr(s.period, 1, 4) THEN m.r END), 0), 2) AS returned_this_year
+  FROM spots s LEFT JOIN monthly m ON m.unit = s.unit AND m.nation = s.nation AND m.period <= s.period GROUP BY 1, 2, 3""", seen="""
+  SELECT unit, nation, l_partkey, min(period) AS period FROM facts GROUP BY unit, nation, l_partkey, substr(period, 1, 4)""") + """
+SELECT sums.*, CAST(count(f.l_partkey) AS DOUBLE) AS parts_this_year FROM sums LEFT JOIN seen f
+  ON f.unit = sums.unit AND f.nation = sums.nation AND substr(f.period, 1, 4) = substr(sums.period, 1, 4) AND f.period <= sums.period GROUP BY ALL""")
+def running_totals(spark, sf):
+    """Suppliers' sales at every month of the orders, whether or not they sold in it."""
+    sup = table(spark, sf, "supplier").select("s_suppkey", F.col("s_name").alias("unit"), F.col("s_nationkey").alias("nation"))
+    nations = table(spark, sf, "customer").select(F.col("c_nationkey").alias("nation")).distinct()
+    months = table(spark, sf, "orders").select(D.month_key("o_orderdate").alias("period")).distinct()
+    spots = J.scaffold(sup.join(nations, "nation").select("unit", "nation"), months)
+    facts = table(spark, sf, "lineitem").join(sup, F.col("l_suppkey") == F.col("s_suppkey")).withColumn("period", D.month_key("l_shipdate"))
+    keys = ["unit", "nation"]
+    sums = running.running_totals({
+        "sold_ever": (facts, "l_extendedprice", "ever", 2),
+        "returned_this_year": (facts, F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice")), "year", 2)}, spots, keys)
+    return sums.join(running.running_distinct(facts, "l_partkey", "parts_this_year", spots, keys), [*keys, "period"])
+
+
 @query("computed_key_groups", """
 SELECT CASE WHEN l_discount >= 0.05 THEN 'high' WHEN l_tax > 0.04 THEN 'taxed' ELSE 'plain' END AS kind,
        CAST(floor(l_quantity / 10) AS BIGINT) AS size_class, count(*) AS items, round(sum(l_extendedprice), 2) AS total
@@ -670,14 +697,14 @@ def union_of_results(spark, sf):
 
 @query("merge_update", with_(src="""
   SELECT o_custkey AS k, round(sum(o_totalprice), 2) AS bal, CASE WHEN count(*) > 12 THEN 'busy' END AS seg
-  FROM orders WHERE o_orderstatus = 'F' GROUP BY 1""") + """
+  FROM orders GROUP BY 1""") + """
 SELECT c_custkey AS k, CASE WHEN s.k IS NOT NULL AND c_acctbal < s.bal THEN s.bal ELSE c_acctbal END AS bal,
        CASE WHEN s.k IS NOT NULL AND c_acctbal < s.bal THEN coalesce(s.seg, c_mktsegment) ELSE c_mktsegment END AS seg
 FROM customer LEFT JOIN src s ON s.k = c_custkey""")
 def merge_update(spark, sf):
     target = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("bal"),
                                                  F.col("c_mktsegment").alias("seg"))
-    source = table(spark, sf, "orders").filter("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("k")).agg(
+    source = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("k")).agg(
         M.money_sum("o_totalprice").alias("bal"), F.when(F.count(F.lit(1)) > 12, "busy").alias("seg"))
     return merge.merge_update(target, source, ["k"], ["bal", "seg"], cond="a.bal < b.bal")
 

@@ -98,14 +98,14 @@ NEW = "substr({p}, 1, 4) = strftime(open_date, '%Y') AND strftime(open_date, '%Y
 def deductions(spark, sf):
     """Own-fund equity taken off a unit's average: from its suppliers' balances."""
     return (table(spark, sf, "lineitem").join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-            .filter("l_returnflag = 'N'").groupBy(D.month_key("l_shipdate").alias("period"), F.concat(F.lit("NATION_"), F.col("s_nationkey").cast("string")).alias("oa_branch_id"))
+            .groupBy(D.month_key("l_shipdate").alias("period"), F.concat(F.lit("NATION_"), F.col("s_nationkey").cast("string")).alias("oa_branch_id"))
             .agg(M.money_sum(cents(F.col("l_extendedprice") * 0.01)).alias("deduction")))
 
 
 cte("deductions", """
 SELECT strftime(l_shipdate, '%Y%m') AS period, 'NATION_' || CAST(s_nationkey AS VARCHAR) AS oa_branch_id,
        round(sum(floor(l_extendedprice * 0.01::DOUBLE * 100) / 100), 2) AS deduction
-FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag = 'N' GROUP BY 1, 2""")
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2""")
 for _lv, _key in (("unit", "departmentid"), ("line", "business_line_id"), ("respons", "respons_line_id")):
     cte(f"of_{_lv}", f"SELECT departmentid AS oa_branch_id, {_key} AS org_id FROM units WHERE {_key} IS NOT NULL", "units")
 
@@ -217,25 +217,31 @@ FROM e LEFT JOIN d ON d.org_id = e.org_id AND d.period = e.period LEFT JOIN i ON
 # ---- side business ---------------------------------------------------------------------------------
 
 def side_frames(spark, sf):
-    """Unit-level side-business rows seen in orders and items: per month and nation."""
+    """Unit-level side-business rows seen in orders, per month and nation; an order's status is its trade type, its priority the type
+    of a share in advice."""
     cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("oa_branch_id"))
-    o = table(spark, sf, "orders").select(D.month_key("o_orderdate").alias("period"), "o_custkey", "o_orderstatus", "o_orderpriority", F.col("o_totalprice").alias("p")).join(cust, "o_custkey")
-    kind = (F.col("o_custkey") % 3).cast("string")
-    sales = o.filter("o_orderstatus = 'P'").select("period", "oa_branch_id", kind.alias("wh_trade_type"), F.col("p").alias("confirm_share"))
-    advisory = o.filter("o_orderpriority = '2-HIGH'").select("period", "oa_branch_id", kind.alias("alloca_oa_branch_type"), F.col("p").alias("invest_total_service_fee"),
-                                                           F.lit(0.5).alias("kernel_total_rate"), F.lit(0.25).alias("alloca_kernel_rate"))
-    options = o.filter("o_orderpriority = '5-LOW'").select("period", "oa_branch_id", F.col("p").alias("notional_principal"), cents(F.col("p") * 0.1).alias("total_absolute_royalty"),
-                                                         cents(F.col("p") * 0.02).alias("collaborative_income"), cents(F.col("p") * 0.04).alias("total_income"))
-    tracking = o.filter("o_orderpriority = '1-URGENT'").select("period", "oa_branch_id", F.concat(F.lit("J"), (F.col("o_custkey") % 50).cast("string")).alias("project_name"),
-                                                             F.col("p").alias("ending_interest"), cents(F.col("p") * 0.03).alias("synergistic_revenue"))
-    return sales, advisory, options, tracking
+    p, keys = F.col("o_totalprice"), ["period", "oa_branch_id"]
+    o = table(spark, sf, "orders").join(cust, "o_custkey").withColumn("period", D.month_key("o_orderdate"))
+    trade = F.when(F.col("o_orderstatus") == "F", "0").when(F.col("o_orderstatus") == "O", "1").otherwise("2")
+    share = F.when(F.col("o_orderpriority") == "1-URGENT", "0").when(F.col("o_orderpriority") == "2-HIGH", "1").otherwise("2")
+    sales = o.select(*keys, trade.alias("wh_trade_type"), p.alias("confirm_share"))
+    advisory = o.select(*keys, share.alias("alloca_oa_branch_type"), p.alias("invest_total_service_fee"),
+                        F.lit(0.5).alias("kernel_total_rate"), F.lit(0.25).alias("alloca_kernel_rate"))
+    options = o.select(*keys, p.alias("notional_principal"), cents(p * 0.1).alias("total_absolute_royalty"),
+                       cents(p * 0.02).alias("collaborative_income"), cents(p * 0.04).alias("total_income"))
+    tracking = o.select(*keys, F.concat(F.lit("J"), (F.col("o_custkey") % 50).cast("string")).alias("project_name"),
+                        p.alias("ending_interest"), cents(p * 0.03).alias("synergistic_revenue"))
+    discounts = o.select(*keys, cents(p * 0.05).alias("depart_real_allocation_right"))
+    return sales, advisory, options, tracking, discounts
 
 
 cte("side", """
-SELECT strftime(o_orderdate, '%Y%m') AS period, 'NATION_' || CAST(c_nationkey AS VARCHAR) AS oa_branch_id, CAST(o_custkey % 3 AS VARCHAR) AS kind,
-       o_custkey, o_orderstatus AS st, o_orderpriority AS pri, o_totalprice AS p, floor(o_totalprice * 0.1::DOUBLE * 100) / 100 AS p10,
+SELECT strftime(o_orderdate, '%Y%m') AS period, 'NATION_' || CAST(c_nationkey AS VARCHAR) AS oa_branch_id,
+       CASE o_orderstatus WHEN 'F' THEN '0' WHEN 'O' THEN '1' ELSE '2' END AS trade,
+       CASE o_orderpriority WHEN '1-URGENT' THEN '0' WHEN '2-HIGH' THEN '1' ELSE '2' END AS share,
+       o_custkey, o_totalprice AS p, floor(o_totalprice * 0.1::DOUBLE * 100) / 100 AS p10,
        floor(o_totalprice * 0.02::DOUBLE * 100) / 100 AS p2, floor(o_totalprice * 0.03::DOUBLE * 100) / 100 AS p3,
-       floor(o_totalprice * 0.04::DOUBLE * 100) / 100 AS p4 FROM orders JOIN customer ON o_custkey = c_custkey""")
+       floor(o_totalprice * 0.04::DOUBLE * 100) / 100 AS p4, floor(o_totalprice * 0.05::DOUBLE * 100) / 100 AS p5 FROM orders JOIN customer ON o_custkey = c_custkey""")
 
 
 def brokers(spark, sf):
@@ -247,34 +253,34 @@ def brokers(spark, sf):
 
 
 def side_rows(spark, sf, o, level="unit"):
-    sales, advisory, options, tracking = side_frames(spark, sf)
+    sales, advisory, options, tracking, discounts = side_frames(spark, sf)
     coop, staff, unit = brokers(spark, sf)
     ci = I.cooperation_income(spark, sf).join(unit, "branch_id").select(F.col("month_id").alias("period"), "oa_branch_id", "xt_income")
     ri = I.resident_income(spark, sf).join(unit, "branch_id").select(F.col("month_id").alias("period"), "oa_branch_id", "zd_income")
-    return A.side_business(o, spots(spark, sf, level), sales, advisory, options, coop, staff, ci, ri, tracking)
+    return A.side_business(o, spots(spark, sf, level), sales, advisory, options, coop, staff, ci, ri, tracking, discounts)
 
 
 SIDE_FEE = "p * 0.5::DOUBLE * 0.25::DOUBLE"
 def _side_parts(lv: str) -> dict[str, str]:
+    """Written from the rule: each month of each organisation looks at all rows from 1 January (or ever) to its end."""
+    ever = ("held",)
+    year = ("bought", "adv", "advx", "principal", "royalty", "otc", "own", "own_end", "discount")
+    cents_ = ("held", "own_end", "discount")
+    sums = ", ".join([f"round(coalesce(sum(m.{c}), 0), {2 if c in cents_ else 6}) AS {c}" for c in ever]
+                     + [f"round(coalesce(sum(CASE WHEN substr(m.period, 1, 4) = substr(sp.period, 1, 4) THEN m.{c} END), 0), {2 if c in cents_ else 6}) AS {c}" for c in year])
     return dict(sp=f"SELECT DISTINCT org_id, month AS period FROM of_{lv} CROSS JOIN months", so=f"""
   SELECT org_id, side.* FROM side JOIN of_{lv} USING (oa_branch_id)""", sm=f"""
-  SELECT org_id, period, round(sum(CASE WHEN st = 'P' THEN p END), 2) AS held, round(sum(CASE WHEN st = 'P' AND kind IN ('0', '1') THEN p END), 6) AS bought,
-         round(sum(CASE WHEN pri = '2-HIGH' AND kind IN ('0', '1') THEN {SIDE_FEE} END), 6) AS adv, round(sum(CASE WHEN pri = '2-HIGH' AND kind = '1' THEN {SIDE_FEE} END), 6) AS advx,
-         round(sum(CASE WHEN pri = '5-LOW' THEN p END), 6) AS principal, round(sum(CASE WHEN pri = '5-LOW' THEN p10 END), 6) AS royalty, round(sum(CASE WHEN pri = '5-LOW' THEN p2 END), 6) AS otc,
-         round(sum(CASE WHEN pri = '1-URGENT' THEN p3 END), 6) AS own, round(sum(CASE WHEN pri = '1-URGENT' THEN p END), 2) AS own_end,
-         bool_or(st = 'P') AS f1, bool_or(pri = '2-HIGH') AS f2, bool_or(pri = '5-LOW') AS f3, bool_or(pri = '1-URGENT') AS f4 FROM so GROUP BY 1, 2""", sn="""
-  SELECT k.org_id, k.period, CAST(count(DISTINCT s.o_custkey % 50) AS DOUBLE) AS nums FROM (SELECT org_id, period FROM sm WHERE f4) k
-  JOIN so s ON s.org_id = k.org_id AND s.pri = '1-URGENT' AND substr(s.period, 1, 4) = substr(k.period, 1, 4) AND s.period <= k.period GROUP BY 1, 2""", sv="""
-  SELECT org_id, period, CASE WHEN f1 THEN round(sum(held) OVER e, 2) END AS product_sales_stock, CASE WHEN f1 THEN round(sum(coalesce(bought, 0)) OVER y, 6) END AS product_sales_new,
-         CASE WHEN f2 THEN round(sum(coalesce(adv, 0)) OVER y, 6) END AS trade_zx_income, CASE WHEN f2 THEN round(sum(coalesce(advx, 0)) OVER y, 6) END AS trade_zx_xc_income,
-         CASE WHEN f3 THEN round(sum(principal) OVER y, 6) END AS off_site_princi, CASE WHEN f3 THEN round(sum(royalty) OVER y, 6) END AS off_site_option,
-         CASE WHEN f3 THEN round(sum(otc) OVER y, 6) END AS off_site_income, CASE WHEN f4 THEN round(sum(own) OVER y, 6) END AS own_funds_income,
-         CASE WHEN f4 THEN round(sum(own_end) OVER y, 2) END AS own_funds_end_rights
-  FROM sm WINDOW e AS (PARTITION BY org_id ORDER BY period), y AS (PARTITION BY org_id, substr(period, 1, 4) ORDER BY period)""")
+  SELECT org_id, period, round(sum(p), 2) AS held, round(sum(CASE WHEN trade IN ('0', '1') THEN p END), 6) AS bought,
+         round(sum(CASE WHEN share IN ('0', '1') THEN {SIDE_FEE} END), 6) AS adv, round(sum(CASE WHEN share = '1' THEN {SIDE_FEE} END), 6) AS advx,
+         round(sum(p), 6) AS principal, round(sum(p10), 6) AS royalty, round(sum(p2), 6) AS otc, round(sum(p3), 6) AS own, round(sum(p), 2) AS own_end,
+         round(sum(p5), 2) AS discount FROM so GROUP BY 1, 2""", sv=f"""
+  SELECT sp.org_id, sp.period, {sums} FROM sp LEFT JOIN sm m ON m.org_id = sp.org_id AND m.period <= sp.period GROUP BY 1, 2""", sn="""
+  SELECT sp.org_id, sp.period, CAST(count(DISTINCT s.o_custkey % 50) AS DOUBLE) AS nums FROM sp
+  JOIN so s ON s.org_id = sp.org_id AND substr(s.period, 1, 4) = substr(sp.period, 1, 4) AND s.period <= sp.period GROUP BY 1, 2""")
 
 
-SIDE_AMOUNTS = ("product_sales_stock", "product_sales_new", "trade_zx_income", "trade_zx_xc_income", "off_site_princi", "off_site_option",
-                "off_site_income", "own_funds_income", "own_funds_end_rights")
+SIDE_AMOUNTS = {"held": "product_sales_stock", "bought": "product_sales_new", "adv": "trade_zx_income", "advx": "trade_zx_xc_income", "principal": "off_site_princi",
+                "royalty": "off_site_option", "otc": "off_site_income", "own": "own_funds_income", "own_end": "own_funds_end_rights", "discount": "own_funds_discounts"}
 
 
 def _side_sql(lv: str) -> str:
@@ -287,7 +293,7 @@ def _side_sql(lv: str) -> str:
   SELECT org_id, period, sum(v) AS v FROM (
     SELECT o.org_id, month_id AS period, round(sum(xt_income), 6) AS v FROM ci c {broker} GROUP BY 1, 2
     UNION ALL SELECT o.org_id, month_id, round(sum(zd_income), 6) FROM ri c {broker} GROUP BY 1, 2) GROUP BY 1, 2""") + """
-SELECT sp.org_id, sp.period, """ + ", ".join(f"coalesce(sv.{c}, 0) / 10000 AS xt_{c}" for c in SIDE_AMOUNTS) + """,
+SELECT sp.org_id, sp.period, """ + ", ".join(f"sv.{c} / 10000 AS xt_{n}" for c, n in SIDE_AMOUNTS.items()) + """,
        coalesce(nums, 0) AS xt_own_funds_nums, coalesce(ib.v, 0) / 10000 AS xt_colla_avg_rights, coalesce(ii.v, 0) / 1.06::DOUBLE / 10000 AS xt_colla_income
 FROM sp LEFT JOIN sv ON sv.org_id = sp.org_id AND sv.period = sp.period LEFT JOIN sn ON sn.org_id = sp.org_id AND sn.period = sp.period
 LEFT JOIN ib ON ib.org_id = sp.org_id AND ib.period = sp.period LEFT JOIN ii ON ii.org_id = sp.org_id AND ii.period = sp.period"""
@@ -301,24 +307,26 @@ def revenue_rows(spark, sf, o):
         products = part if products is None else products.unionByName(part)
     ours = (products.join(I.allocation(spark, sf), "filing_code")
             .select(F.col("busi_month").alias("period"), F.col("alloca_oa_branch_id").alias("oa_branch_id"), (F.col("total_futu_income") * F.col("alloca_rate") / A.WAN).alias("v")))
-    sold = A.year_to_date(ours, F.col("v"), "product_sell_income", o, 8)
-    options = A.year_to_date(side_frames(spark, sf)[2], F.col("total_income"), "v", o).select("org_id", "period", (F.col("v") / A.WAN).alias("option_income"))
+    where = spots(spark, sf, o.level)
+    sold = A.year_to_date(ours, F.col("v"), "product_sell_income", o, where, 8)
+    options = A.year_to_date(side_frames(spark, sf)[2], F.col("total_income"), "v", o, where).select("org_id", "period", (F.col("v") / A.WAN).alias("option_income"))
     return A.revenue_mix(income_mix(spark, sf, o), side_rows(spark, sf, o, o.level), sold, options)
 
 
 def _revenue_sql(lv: str, side: str, mix: str) -> str:
     parts = {"future_income": "fi", "trade_zx_income": "zx", "product_xc_income": "pr", "over_option_income": "ov", "own_funds_income": "ow"}
     total = "(" + " + ".join(parts.values()) + ")"
+    so_far = lambda frame, scale: f"""
+  SELECT sb.org_id, sb.period, round(coalesce(sum(m.v), 0), {scale}) AS v FROM sb LEFT JOIN {frame} m
+  ON m.org_id = sb.org_id AND substr(m.period, 1, 4) = substr(sb.period, 1, 4) AND m.period <= sb.period GROUP BY 1, 2"""
     return with_("side", "allocation", f"of_{lv}", sb=SQL[side], mx=SQL[mix], ff=SQL["fund_of_funds_income"], op=SQL["ordinary_product_income"], pm=f"""
   SELECT org_id, busi_month AS period, round(sum(total_futu_income * alloca_rate / 10000), 8) AS v
   FROM (SELECT busi_month, filing_code, total_futu_income FROM ff UNION ALL SELECT busi_month, filing_code, total_futu_income FROM op)
-  JOIN allocation USING (filing_code) JOIN of_{lv} ON oa_branch_id = alloca_oa_branch_id GROUP BY 1, 2""", py="""
-  SELECT org_id, period, round(sum(v) OVER (PARTITION BY org_id, substr(period, 1, 4) ORDER BY period), 8) AS v FROM pm""", om=f"""
-  SELECT org_id, period, round(sum(p4), 6) AS v FROM side JOIN of_{lv} USING (oa_branch_id) WHERE pri = '5-LOW' GROUP BY 1, 2""", oy="""
-  SELECT org_id, period, round(sum(v) OVER (PARTITION BY org_id, substr(period, 1, 4) ORDER BY period), 6) AS v FROM om""", j="""
-  SELECT sb.org_id, sb.period, coalesce(mx.future_income, 0) AS fi, xt_trade_zx_income AS zx, coalesce(py.v, 0) AS pr, coalesce(oy.v, 0) / 10000 AS ov, xt_own_funds_income AS ow
-  FROM sb LEFT JOIN mx ON mx.org_id = sb.org_id AND mx.period = sb.period LEFT JOIN py ON py.org_id = sb.org_id AND py.period = sb.period
-  LEFT JOIN oy ON oy.org_id = sb.org_id AND oy.period = sb.period""") + f"""
+  JOIN allocation USING (filing_code) JOIN of_{lv} ON oa_branch_id = alloca_oa_branch_id GROUP BY 1, 2""", py=so_far("pm", 8), om=f"""
+  SELECT org_id, period, round(sum(p4), 6) AS v FROM side JOIN of_{lv} USING (oa_branch_id) GROUP BY 1, 2""", oy=so_far("om", 6), j="""
+  SELECT sb.org_id, sb.period, coalesce(mx.future_income, 0) AS fi, xt_trade_zx_income AS zx, py.v AS pr, oy.v / 10000 AS ov, xt_own_funds_income AS ow
+  FROM sb LEFT JOIN mx ON mx.org_id = sb.org_id AND mx.period = sb.period JOIN py ON py.org_id = sb.org_id AND py.period = sb.period
+  JOIN oy ON oy.org_id = sb.org_id AND oy.period = sb.period""") + f"""
 SELECT org_id, period, {total} AS operat_income, """ + ", ".join(f"CASE WHEN {total} <> 0 THEN {e} / {total} * 100 ELSE 0 END AS {n}_prop" for n, e in parts.items()) + " FROM j"
 
 
@@ -414,10 +422,10 @@ FROM (SELECT org_id, period, {", ".join(f"count(CASE WHEN {c} THEN 1 END) AS age
 @query("brokerage_summary", with_("statement", "books", "of_unit", "side", "units", "months", "client_sett", "tradedays", "agreements", *I.STAFF_NEEDS,
                                  **I.COOP_SUMMARY, **I.STAFF, sp="SELECT departmentid AS org_id, month AS period FROM units CROSS JOIN months", led="""
   SELECT oa_branch_id AS org_id, month_id AS period, round(sum(b6), 2) AS b6, round(sum(b8), 2) AS b8, round(sum(b7), 2) AS b7 FROM statement JOIN books USING (book_id) GROUP BY 1, 2""", sd=f"""
-  SELECT oa_branch_id AS org_id, period, round(sum(CASE WHEN pri = '2-HIGH' THEN p END), 2) AS trans_consult_income,
-         round(sum(CASE WHEN pri = '2-HIGH' AND kind = '1' THEN {SIDE_FEE} END), 6) AS sales_income, round(sum(CASE WHEN pri = '5-LOW' THEN p2 END), 2) AS out_option_income,
-         round(sum(CASE WHEN pri = '5-LOW' THEN p END), 2) AS notional_principal, round(sum(CASE WHEN pri = '5-LOW' THEN p10 END), 2) AS royalty,
-         round(sum(CASE WHEN st = 'P' THEN p END), 2) AS product_inventory, round(sum(CASE WHEN st = 'P' AND kind IN ('0', '1') THEN p END), 2) AS product_new FROM side GROUP BY 1, 2""", cl="""
+  SELECT oa_branch_id AS org_id, period, round(sum(p), 2) AS trans_consult_income,
+         round(sum(CASE WHEN share = '1' THEN {SIDE_FEE} END), 6) AS sales_income, round(sum(p4), 2) AS out_option_income,
+         round(sum(p), 2) AS notional_principal, round(sum(p10), 2) AS royalty,
+         round(sum(p), 2) AS product_inventory, round(sum(CASE WHEN trade IN ('0', '1') THEN p END), 2) AS product_new FROM side GROUP BY 1, 2""", cl="""
   SELECT org_id, month AS period, round(sum(rights), 2) AS end_rights FROM client_sett s JOIN tradedays t ON t.busi_date = s.busi_date AND t.last_trade = s.busi_date
   JOIN accounts a ON a.fund_account_id = s.fund_account_id JOIN org_unit o ON o.branch_id = a.branch_id GROUP BY 1, 2""", ib="""
   SELECT org_id, period, round(sum(e), 6) AS ib_end_rights, round(sum(v), 6) AS ib_avg_rights FROM (SELECT oa_branch_id AS org_id, month_id AS period, end_rights AS e, avg_rights AS v FROM staff
@@ -429,7 +437,7 @@ SELECT sp.org_id, sp.period, coalesce(b6, 0) AS remain_transfee_income, coalesce
        coalesce(ib_end_rights, 0) AS ib_end_rights, coalesce(ib_avg_rights, 0) AS ib_avg_rights
 FROM sp LEFT JOIN led USING (org_id, period) LEFT JOIN sd USING (org_id, period) LEFT JOIN cl USING (org_id, period) LEFT JOIN ib USING (org_id, period)""")
 def brokerage_summary(spark, sf):
-    sales, advisory, options, _ = side_frames(spark, sf)
+    sales, advisory, options, *_ = side_frames(spark, sf)
     coop, staff, _ = brokers(spark, sf)
     lines = L.statement(spark, sf).select(F.col("month_id").alias("period"), "book_id", "b6", "b7", "b8").join(S.books(spark, sf), "book_id")
     return A.brokerage_summary(spots(spark, sf), lines, advisory, options, S.client_sett(spark, sf), sales, coop, staff, org(spark, sf), S.calendar(spark, sf))

@@ -28,8 +28,9 @@ def values(spark, sf):
 
 def overrides(spark, sf):
     """Commission rows that replace the staff commission where a broker's relation is recorded."""
-    s = S.client_sett(spark, sf).filter("sett_type = 'P' AND fund_account_id % 3 = 0")
-    return s.select("busi_date", "fund_account_id", F.col("market_delivery_transfee").alias("ib_amt"), F.lit(None).cast("double").alias("staff_int_amt"))
+    recorded = F.expr("sett_type = 'P' AND fund_account_id % 3 = 0")
+    return S.client_sett(spark, sf).select(
+        "busi_date", "fund_account_id", F.when(recorded, F.col("market_delivery_transfee")).alias("ib_amt"), F.lit(None).cast("double").alias("staff_int_amt"))
 
 
 def contributions(spark, sf, period=D.year_key):
@@ -43,7 +44,7 @@ FROM client_sett GROUP BY 1, 2""", "client_sett")
 
 
 @query("net_contribution", with_("client_sett", o="""
-  SELECT busi_date, fund_account_id, sum(market_delivery_transfee) AS ib FROM client_sett WHERE sett_type = 'P' AND fund_account_id % 3 = 0 GROUP BY 1, 2""") + """
+  SELECT busi_date, fund_account_id, sum(CASE WHEN sett_type = 'P' AND fund_account_id % 3 = 0 THEN market_delivery_transfee END) AS ib FROM client_sett GROUP BY 1, 2""") + """
 SELECT fund_account_id, strftime(busi_date, '%Y%m') AS period,
        round(sum(transfee + margin + fund_in - (market_transfee + strikefee + coalesce(ib, delivery_transfee))), 2) AS jgx
 FROM client_sett LEFT JOIN o USING (busi_date, fund_account_id) GROUP BY 1, 2""")

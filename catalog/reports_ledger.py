@@ -94,13 +94,13 @@ query("profit_statement", with_("statement") + "SELECT month_id, book_id, "
 
 @query("levy_adjustment_rows", with_(kept="""
   SELECT strftime(o_orderdate, '%Y%m') AS busi_month, CAST(o_custkey % 25 AS INTEGER) AS branch_id, round(sum(o_totalprice), 2) AS adjust_value
-  FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2""", mon="SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS busi_month FROM orders") + """
+  FROM orders GROUP BY 1, 2""", mon="SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS busi_month FROM orders") + """
 SELECT m.busi_month, n_nationkey AS branch_id, k.adjust_value FROM nation CROSS JOIN mon m
 LEFT JOIN kept k ON k.busi_month = m.busi_month AND k.branch_id = n_nationkey""")
 def levy_adjustment_rows(spark, sf):
     orders = table(spark, sf, "orders")
     month = D.month_key("o_orderdate").alias("busi_month")
-    kept = orders.filter("o_orderstatus = 'F'").groupBy(month, (F.col("o_custkey") % 25).cast("int").alias("branch_id")).agg(
+    kept = orders.groupBy(month, (F.col("o_custkey") % 25).cast("int").alias("branch_id")).agg(
         F.round(F.sum("o_totalprice"), 2).alias("adjust_value"))
     return ledger.levy_adjustment_rows(kept, table(spark, sf, "nation").select(F.col("n_nationkey").alias("branch_id")),
                                        orders.select(month).distinct())

@@ -20,6 +20,7 @@ from ..operators.joins import scaffold
 from ..operators.merge import merge_many
 from ..operators.orgs import LEVELS, attach_org
 from ..operators.ranking import top_n
+from ..operators.running import running_distinct, running_totals
 from .income import retained_fee
 
 WAN, YI = 10_000, 100_000_000
@@ -258,52 +259,43 @@ def market_share(sett: DataFrame, trades: DataFrame, industry: DataFrame, org: O
                     (safe_ratio("done_amt", "all_volume") * 10000).alias("done_amount_market_rate"))
 
 
-def year_to_date(df: DataFrame, value: Column, name: str, org: Organisation, scale: int = 6) -> DataFrame:
-    """``name`` per organisation and month, summed since January; ``df`` has period and unit."""
-    m = org.of_unit(df).groupBy("org_id", "period").agg(money_sum(value, scale).alias("__v"))
-    year = Window.partitionBy("org_id", F.substring("period", 1, 4)).orderBy("period")  # twelve rows
-    return m.select("org_id", "period", F.round(F.sum("__v").over(year), scale).alias(name))
+def year_to_date(df: DataFrame, value: Column, name: str, org: Organisation, spots: DataFrame, scale: int = 6) -> DataFrame:
+    """``name`` at every organisation and month of ``spots``, summed since January; ``df`` has period and unit."""
+    return running_totals({name: (org.of_unit(df), value, "year", scale)}, spots, ["org_id"])
 
 
 def side_business(org: Organisation, spots: DataFrame, sales: DataFrame, advisory: DataFrame, options: DataFrame,
                   cooperation: DataFrame, residents: DataFrame, coop_income: DataFrame, resident_income: DataFrame,
-                  tracking: DataFrame) -> DataFrame:
+                  tracking: DataFrame, discounts: DataFrame) -> DataFrame:
     """Product sales, advice, introducing brokers, over-the-counter options and own funds.
 
     All frames carry ``period`` and ``oa_branch_id``. Sales, advice, options and own funds count
-    since January, projects once a year (held shares since ever); introducing-broker figures are the month's own, their
-    income without 6 % tax. Amounts in ten thousands.
+    since January, projects once a year (held shares since ever), also in months without any; introducing-broker figures are the
+    month's own, their income without 6 % tax. Amounts in ten thousands.
     """
-    ever = Window.partitionBy("org_id").orderBy("period")  # one row per month
-    held = (org.of_unit(sales).groupBy("org_id", "period").agg(money_sum("confirm_share").alias("v"))
-            .select("org_id", "period", F.round(F.sum("v").over(ever), 2).alias("product_sales_stock")))
-    bought = year_to_date(sales, F.when(F.col("wh_trade_type").isin("0", "1"), F.col("confirm_share")), "product_sales_new", org)
     fee = F.col("invest_total_service_fee") * F.col("kernel_total_rate") * F.col("alloca_kernel_rate")
     kind = F.col("alloca_oa_branch_type")
-    advice = year_to_date(advisory, F.when(kind.isin("0", "1"), fee), "trade_zx_income", org)
-    sold_advice = year_to_date(advisory, F.when(kind == "1", fee), "trade_zx_xc_income", org)
-    otc = {"notional_principal": "off_site_princi", "total_absolute_royalty": "off_site_option", "collaborative_income": "off_site_income"}
-    option_parts = [year_to_date(options, F.col(c), n, org) for c, n in otc.items()]
+    sold, advised, otc, own = (org.of_unit(df) for df in (sales, advisory, options, tracking))
+    totals = running_totals({
+        "product_sales_stock": (sold, "confirm_share", "ever", 2),
+        "product_sales_new": (sold, F.when(F.col("wh_trade_type").isin("0", "1"), F.col("confirm_share")), "year", 6),
+        "trade_zx_income": (advised, F.when(kind.isin("0", "1"), fee), "year", 6),
+        "trade_zx_xc_income": (advised, F.when(kind == "1", fee), "year", 6),
+        "off_site_princi": (otc, "notional_principal", "year", 6), "off_site_option": (otc, "total_absolute_royalty", "year", 6),
+        "off_site_income": (otc, "collaborative_income", "year", 6), "own_funds_income": (own, "synergistic_revenue", "year", 6),
+        "own_funds_end_rights": (own, "ending_interest", "year", 2),
+        "own_funds_discounts": (org.of_unit(discounts), "depart_real_allocation_right", "year", 2)}, spots, ["org_id"])
+    projects = running_distinct(own, "project_name", "own_funds_nums", spots, ["org_id"])
 
     def monthly(df: DataFrame, value: str, name: str) -> DataFrame:
         return org.of_unit(df).groupBy("org_id", "period").agg(money_sum(value, 6).alias(name))
 
-    own = year_to_date(tracking, F.col("synergistic_revenue"), "own_funds_income", org)
-    worth = year_to_date(tracking, F.col("ending_interest"), "own_funds_end_rights", org, 2)
-    # A project counts from its first month of a year on.
-    in_year = Window.partitionBy("org_id", "project_name", F.substring("period", 1, 4))
-    seen = org.of_unit(tracking).select("org_id", "project_name", "period").distinct().select(
-        "org_id", "period", (F.min("period").over(in_year) == F.col("period")).cast("double").alias("first"))
-    year = Window.partitionBy("org_id", F.substring("period", 1, 4)).orderBy("period")
-    projects = seen.groupBy("org_id", "period").agg(F.sum("first").alias("first")).select(
-        "org_id", "period", F.sum("first").over(year).alias("own_funds_nums"))
+    amounts = [c for c in totals.columns if c not in ("org_id", "period")]
     m = merge_many(spots, [
-        (held, ["product_sales_stock"]), (bought, ["product_sales_new"]), (advice, ["trade_zx_income"]), (sold_advice, ["trade_zx_xc_income"]),
+        (totals, amounts), (projects, ["own_funds_nums"]),
         (monthly(cooperation, "avg_rights", "__c"), ["__c"]), (monthly(residents, "avg_rights", "__r"), ["__r"]),
-        (monthly(coop_income, "xt_income", "__ci"), ["__ci"]), (monthly(resident_income, "zd_income", "__ri"), ["__ri"]),
-        *[(p, [n]) for p, n in zip(option_parts, otc.values())], (own, ["own_funds_income"]),
-        (projects, ["own_funds_nums"]), (worth, ["own_funds_end_rights"])], ["org_id", "period"], default=0.0)
-    amounts = ["product_sales_stock", "product_sales_new", "trade_zx_income", "trade_zx_xc_income", *otc.values(), "own_funds_income", "own_funds_end_rights"]
+        (monthly(coop_income, "xt_income", "__ci"), ["__ci"]), (monthly(resident_income, "zd_income", "__ri"), ["__ri"])],
+        ["org_id", "period"], default=0.0)
     return m.select("org_id", "period", *[(F.col(c) / WAN).alias(f"xt_{c}") for c in amounts], F.col("own_funds_nums").alias("xt_own_funds_nums"),
                     ((F.col("__c") + F.col("__r")) / WAN).alias("xt_colla_avg_rights"),
                     ((F.col("__ci") + F.col("__ri")) / 1.06 / WAN).alias("xt_colla_income"))
