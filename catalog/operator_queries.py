@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from catalog import standins as S
 from catalog.registry import query
-from catalog.standins import table, with_
+from catalog.standins import scratch, table, with_
 from marginbook.functions import codes, dates as D, measures as M
 from marginbook.operators import balances, calendar as C, joins as J, merge, orgs, ranking as R, running, spine
-from marginbook.sources import schemas, sink, tables
+from marginbook.sources import partitions, schemas, sink, tables
 
 # ---- sources and sinks ----------------------------------------------------------------------
 
@@ -27,14 +27,6 @@ def table_scan(spark, sf):
             .groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"), M.money_sum("o_totalprice").alias("total")))
 
 
-def _scratch(spark) -> str:
-    """A new folder in the shared area the cluster names."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base}/marginbook-{uuid.uuid4().hex}"
-
-
 @query("schema_aligned_load", """
 SELECT CAST(year(o_orderdate) AS VARCHAR) AS busi_year, CAST(quarter(o_orderdate) AS VARCHAR) AS busi_quarter,
        o_orderstatus AS status, round(sum(o_totalprice), 2) AS total, CAST(NULL AS VARCHAR) AS note
@@ -45,11 +37,74 @@ def schema_aligned_load(spark, sf):
         D.year_key("o_orderdate").alias("BUSI_YEAR"),
         D.quarter_of("o_orderdate").alias("BUSI_QUARTER"), F.col("o_orderstatus").alias("STATUS")
     ).agg(M.money_sum("o_totalprice").alias("TOTAL"), F.lit("unused").alias("SURPLUS_COLUMN"))
-    path = _scratch(spark)
+    path = scratch(spark)
     sink.load_aligned(totals, target, path, "overwrite", ["busi_year", "busi_quarter"])
     return spark.read.schema(target).parquet(path).select("busi_year", "busi_quarter", "status", "total", "note")
 
 
+_QUARTERS = """
+  SELECT CAST(year(o_orderdate) AS VARCHAR) AS busi_year, CAST(quarter(o_orderdate) AS VARCHAR) AS busi_quarter, o_orderstatus AS status,
+         round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1, 2, 3"""
+
+
+def _quarter_table(spark, sf):
+    """An empty catalog table, and the totals of all orders to load into it."""
+    target = schemas.text_and_double("status total note busi_year busi_quarter", doubles="total")
+    name, path = f"quarters_{uuid.uuid4().hex}", scratch(spark)
+    partitions.create_table(spark, name, target, ["busi_year", "busi_quarter"], path)
+    totals = table(spark, sf, "orders").groupBy(
+        D.year_key("o_orderdate").alias("BUSI_YEAR"), D.quarter_of("o_orderdate").alias("BUSI_QUARTER"),
+        F.col("o_orderstatus").alias("STATUS")).agg(M.money_sum("o_totalprice").alias("TOTAL"))
+    return name, totals
+
+
+@query("append_load", with_(q=_QUARTERS) + """
+SELECT busi_year, busi_quarter, CAST(count(*) AS BIGINT) AS rows, round(sum(total), 2) AS total, CAST(count(NULLIF(status, 'F')) AS BIGINT) AS later FROM q GROUP BY 1, 2""")
+def append_load(spark, sf):
+    """Two loads into the same partitions: the second adds to the first."""
+    name, totals = _quarter_table(spark, sf)
+    partitions.append_rows(totals.filter("STATUS = 'F'"), name)
+    partitions.append_rows(totals.filter("STATUS <> 'F'"), name)
+    return spark.table(name).groupBy("busi_year", "busi_quarter").agg(
+        F.count(F.lit(1)).alias("rows"), M.money_sum("total").alias("total"), F.count_if(F.col("status") != "F").alias("later"))
+
+
+@query("partition_overwrite", with_(q=_QUARTERS) + """
+SELECT busi_year, busi_quarter, status, CASE WHEN busi_quarter IN ('2', '4') THEN total ELSE total * 2 END AS total,
+       CASE WHEN busi_quarter IN ('2', '4') THEN 'second' ELSE 'first' END AS note FROM q""")
+def partition_overwrite(spark, sf):
+    """A second load replaces the partitions it has rows for and leaves the others."""
+    name, totals = _quarter_table(spark, sf)
+    partitions.append_rows(totals.withColumns({"TOTAL": F.col("TOTAL") * 2, "note": F.lit("first")}), name)
+    partitions.replace_partitions(totals.filter("BUSI_QUARTER IN ('2', '4')").withColumn("note", F.lit("second")), name)
+    return spark.table(name).select("busi_year", "busi_quarter", "status", "total", "note")
+
+
+@query("partition_purge", with_(q=_QUARTERS, last="SELECT max(busi_year) AS y FROM q") + """
+SELECT busi_year, busi_quarter, status, CASE WHEN busi_year = y THEN total / 2 ELSE total END AS total FROM q, last
+WHERE NOT (busi_year = y AND busi_quarter <> '1') AND busi_year <> CAST(CAST(y AS INTEGER) - 1 AS VARCHAR)""")
+def partition_purge(spark, sf):
+    """The last two years are dropped, by part of the key; then one quarter of the last year is loaded again."""
+    name, totals = _quarter_table(spark, sf)
+    partitions.append_rows(totals, name)
+    last = spark.table(name).agg(F.max("busi_year")).first()[0]
+    for year in (last, str(int(last) - 1)):
+        partitions.purge(spark, name, {"busi_year": year})
+    partitions.append_rows(totals.filter((F.col("BUSI_YEAR") == last) & (F.col("BUSI_QUARTER") == "1")).withColumn("TOTAL", F.col("TOTAL") / 2), name)
+    return spark.table(name).select("busi_year", "busi_quarter", "status", "total")
+
+
+@query("load_row_counts", with_(q=_QUARTERS) + """
+SELECT mode, partition, CAST(sum(n) AS BIGINT) AS rows FROM (
+  SELECT 'append' AS mode, CAST(NULL AS VARCHAR) AS partition, 1 AS n FROM q
+  UNION ALL SELECT 'overwrite', 'busi_year=' || busi_year || '/busi_quarter=' || busi_quarter, 1 FROM q WHERE status = 'O') GROUP BY 1, 2""")
+def load_row_counts(spark, sf):
+    """What each load reports of itself: rows counted while they were written."""
+    name, totals = _quarter_table(spark, sf)
+    appended = partitions.append_rows(totals, name)
+    return appended.unionByName(partitions.replace_partitions(totals.filter("STATUS = 'O'"), name)).select("mode", "partition", "rows")
+
+
 # ---- calendar -------------------------------------------------------------------------------
 
 @query("period_bounds", with_("daymap") + """

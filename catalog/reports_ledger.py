@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog import standins as S
 from catalog.registry import query
-from catalog.standins import cte, table, with_
+from catalog.standins import cte, scratch, table, with_
 from marginbook.functions import dates as D
 from marginbook.plans import ledger
+from marginbook.sources import partitions
 
 CODES = ("6021", "6421", "642102", "6011", "6411", "6111", "6101", "6061", "6051", "6601", "6404", "6701", "6402",
          "6301", "630101", "6711", "671101", "660143", "6403", "6801")
@@ -88,6 +92,28 @@ def ledger_account_activity(spark, sf):
 
 
 query("ledger_indicator_results", with_("results") + "SELECT * FROM results")(results)
+@query("rolling_rebuild", with_("results") + "SELECT * FROM results")
+def rolling_rebuild(spark, sf):
+    """Results built when the last four months were not final, and rebuilt for these months only when they were."""
+    final, excluded = S.ledger(spark, sf), S.excluded_books(spark, sf)
+    last = final.agg(F.max("account_period")).first()[0]
+    open_months = F.col("account_period").isin(partitions.months_back(last))
+    # Later vouchers change amounts, and book to accounts that had none.
+    early = (final.filter(~open_months | (F.col("account_code") < "66")).withColumn(
+        "local_credit_sum", F.when(open_months, F.col("local_credit_sum") * 3).otherwise(F.col("local_credit_sum"))))
+    first = ledger.indicator_results(early, indicators(spark), excluded)
+    schema = T.StructType([*[f for f in first.schema.fields if f.name != "busi_month"], first.schema["busi_month"]])
+    name = f"results_{uuid.uuid4().hex}"
+    partitions.create_table(spark, name, schema, ["busi_month"], scratch(spark))
+    partitions.append_rows(first, name)
+
+    def build(months):
+        return ledger.indicator_results(final.filter(F.col("account_period").isin(months)), indicators(spark), excluded)
+
+    partitions.rebuild_months(spark, build, name, last)
+    return spark.table(name).select(*first.columns)
+
+
 query("profit_statement", with_("statement") + "SELECT month_id, book_id, "
       + ", ".join(f"{p}{i}" for p in "bcdefg" for i in _L) + " FROM statement")(statement)
 

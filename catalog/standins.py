@@ -9,6 +9,7 @@ are cut to cents per row so that both engines add the same numbers.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 from functools import lru_cache
 
@@ -47,6 +48,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the shared area the cluster names."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{base}/marginbook-{uuid.uuid4().hex}"
+
+
 def cents(x: Column) -> Column:
     return F.floor(x * 100) / 100
 
