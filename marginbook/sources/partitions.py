@@ -52,13 +52,14 @@ def append_rows(df: DataFrame, table: str, partitions: Mapping[str, str] | None
     return spark.createDataFrame([(table, "append", None, int(seen.get["rows"]))], LOADED)
 
 
-def replace_partitions(df: DataFrame, table: str, partitions: Mapping[str, str] | None = None, staging: str | None = None) -> DataFrame:
+def replace_partitions(df: DataFrame, table: str, partitions: Mapping[str, str] | None = None, staging: str | None = None,
+                       keep_old: bool = False) -> DataFrame:
     """Replace the partitions that ``df`` has rows for, and no others. Returns one row of ``LOADED`` per replaced partition.
 
     The rows are written to a new folder under ``staging`` (by default beside the table's own) and counted there; then each partition
     is pointed at its new folder. Nothing of the table changes before all rows are written. A NULL or empty partition value is an
-    error, found before anything changes. Folders that are no longer pointed at stay until they are cleared, so readers that began
-    earlier can end.
+    error, found before anything changes. The folders of the old rows are deleted last; with ``keep_old`` they stay for readers that
+    began earlier, until the partition is purged.
     """
     spark = df.sparkSession
     keys = partition_keys(spark, table)
@@ -78,25 +79,42 @@ def replace_partitions(df: DataFrame, table: str, partitions: Mapping[str, str]
     for r in sorted(found, key=lambda r: tuple(str(r[k]) for k in keys)):
         spec, place = _spec({k: r[k] for k in keys}), _literal(unquote(r["file"]).rsplit("/", 1)[0])
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {place}")
+        old = _location(spark, table, f"PARTITION ({spec})")
         spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {place}")
+        if not keep_old and old != _location(spark, table, f"PARTITION ({spec})"):
+            _delete(spark, old)
         loaded.append((table, "overwrite", "/".join(f"{k}={r[k]}" for k in keys), r["rows"]))
     spark.catalog.refreshTable(table)
     return spark.createDataFrame(loaded, LOADED)
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").collect()
+def _location(spark: SparkSession, table: str, spec: str = "") -> str:
+    """The folder of a table, or of one partition (named first in what Spark describes)."""
+    rows = spark.sql(f"DESCRIBE FORMATTED {table} {spec}").filter("col_name = 'Location'").collect()
     return unquote(rows[0]["data_type"])
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def purge(spark: SparkSession, table: str, spec: Mapping[str, str]) -> int:
-    """Drop every partition that agrees with ``spec``, which may name some of the keys only. Returns how many there were."""
+    """Drop every partition that agrees with ``spec``, which may name some of the keys only. Returns how many there were.
+
+    The folder goes first, then the catalog's entry: rows of a table that keeps its files (an external one) would otherwise come back
+    with the next load into the same partition. A job lost in between leaves an empty partition, which the next purge drops.
+    """
     keys = partition_keys(spark, table)
     if not spec or not set(spec) <= set(keys):
         raise ValueError(f"a purge of {table} names some of its keys {keys}")
     # Catalogs differ in whether a drop takes part of a key, so every partition is named, in one statement.
     found = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table} PARTITION ({_spec(spec)})").collect()]
     named = [_spec({k: unquote(v) for k, v in (part.split("=", 1) for part in row.split("/"))}) for row in found]
+    for row, n in zip(found, named, strict=True):
+        # Where the partition lies, and where the next load of it will.
+        _delete(spark, _location(spark, table, f"PARTITION ({n})"))
+        _delete(spark, f"{_location(spark, table)}/{row}")
     if named:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(f'PARTITION ({n})' for n in named)}")
     return len(named)

@@ -71,6 +71,12 @@ def test_purge_by_part_of_the_key(spark, table):
     assert partitions.purge(spark, table, {"busi_month": "203001"}) == 0
     partitions.append_rows(frame(spark, ("d", 4.0, "202403", "it's a/b %c=1", 1)), table)
     assert partitions.purge(spark, table, {"busi_month": "202403"}) == 1 and len(content(spark, table)) == 1
+    partitions.append_rows(frame(spark, ("z", 5.0, "202401", "x", 1)), table)  # nothing purged comes back
+    assert [r[2] for r in content(spark, table)] == ["z", "c"]
+    partitions.replace_partitions(frame(spark, ("y", 6.0, "202401", "x", 1)), table, keep_old=True)
+    assert partitions.purge(spark, table, {"part": "x"}) == 2 and content(spark, table) == []
+    partitions.append_rows(frame(spark, ("z", 5.0, "202401", "x", 1)), table)
+    assert [r[2] for r in content(spark, table)] == ["z"]
     for bad in ({}, {"name": "c"}):
         with pytest.raises(ValueError):
             partitions.purge(spark, table, bad)
