@@ -12,8 +12,8 @@ from catalog import standins as S
 from catalog.registry import query
 from catalog.standins import scratch, table, with_
 from marginbook.functions import codes, dates as D, measures as M
-from marginbook.operators import balances, calendar as C, joins as J, merge, orgs, ranking as R, running, spine
-from marginbook.sources import partitions, schemas, sink, tables
+from marginbook.operators import balances, calendar as C, distinct, joins as J, merge, orgs, ranking as R, running, spine, strings
+from marginbook.sources import buckets, partitions, schemas, sink, tables
 
 # ---- sources and sinks ----------------------------------------------------------------------
 
@@ -576,12 +576,21 @@ def distinct_counts(spark, sf):
 
 
 @query("string_aggregation", """
-SELECT c_nationkey, string_agg(DISTINCT c_mktsegment, '/' ORDER BY c_mktsegment) AS segments FROM customer
-JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P') ON o_custkey = c_custkey GROUP BY 1""")
+SELECT o_orderstatus, string_agg(DISTINCT CAST(o_custkey AS VARCHAR), '/' ORDER BY CAST(o_custkey AS VARCHAR)) AS clients FROM orders GROUP BY 1""")
 def string_aggregation(spark, sf):
-    active = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select("o_custkey")
-    return (table(spark, sf, "customer").join(active, F.col("c_custkey") == F.col("o_custkey"), "left_semi")
-            .groupBy("c_nationkey").agg(M.group_concat("c_mktsegment").alias("segments")))
+    """Every client with an order of a status: groups as large as the customer table."""
+    return strings.ordered_concat(table(spark, sf, "orders"), ["o_orderstatus"], "o_custkey", "clients")
+
+
+@query("nested_distinct_counts", with_("fills", p="""
+  SELECT fund_account_id, security_id, strftime(busi_date, '%Y%m') AS m, strftime(busi_date, '%Y') || CAST(quarter(busi_date) AS VARCHAR) AS q,
+         strftime(busi_date, '%Y') AS y FROM fills""") + " UNION ALL ".join(f"""
+SELECT security_id % 10 AS class, '{g}' AS grain, {c} AS period, count(DISTINCT fund_account_id) AS clients FROM p GROUP BY 1, 2, 3"""
+    for g, c in (("month", "m"), ("quarter", "q"), ("year", "y"))))
+def nested_distinct_counts(spark, sf):
+    """Traded clients of a month, quarter and year from one scan."""
+    df = S.fills(spark, sf).select((F.col("security_id") % 10).alias("class"), "fund_account_id", "busi_date")
+    return distinct.nested_distinct(df, ["class"], "fund_account_id", "busi_date", "clients")
 
 
 _SPOTS = """
@@ -764,6 +773,24 @@ def merge_update(spark, sf):
     return merge.merge_update(target, source, ["k"], ["bal", "seg"], cond="a.bal < b.bal")
 
 
+@query("bucketed_merge", with_(a="""
+  SELECT o_custkey AS k, round(sum(o_totalprice), 2) AS bal, CASE WHEN count(*) > 6 THEN 'busy' END AS seg FROM orders WHERE year(o_orderdate) < 1997 GROUP BY 1""", b="""
+  SELECT o_custkey AS k, round(sum(o_totalprice), 2) AS bal, CASE WHEN count(*) > 9 THEN 'late' END AS seg FROM orders WHERE year(o_orderdate) >= 1997 GROUP BY 1""", first="""
+  SELECT c_custkey AS k, coalesce(a.bal, c_acctbal) AS bal, coalesce(a.seg, c_mktsegment) AS seg FROM customer LEFT JOIN a ON a.k = c_custkey""") + """
+SELECT f.k, CASE WHEN f.bal < b.bal THEN b.bal ELSE f.bal END AS bal, CASE WHEN f.bal < b.bal THEN coalesce(b.seg, f.seg) ELSE f.seg END AS seg
+FROM first f LEFT JOIN b ON b.k = f.k""")
+def bucketed_merge(spark, sf):
+    """Two updates, one after the other, of a target that is stored in buckets."""
+    target = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("bal"), F.col("c_mktsegment").alias("seg"))
+    name, folder = f"target_{uuid.uuid4().hex}", scratch(spark)
+    buckets.create_target(target, name, ["k"], 16, folder)
+    for rule, least, word, cond in ((F.year("o_orderdate") < 1997, 6, "busy", None), (F.year("o_orderdate") >= 1997, 9, "late", "a.bal < b.bal")):
+        source = table(spark, sf, "orders").filter(rule).groupBy(F.col("o_custkey").alias("k")).agg(
+            M.money_sum("o_totalprice").alias("bal"), F.when(F.count(F.lit(1)) > least, word).alias("seg"))
+        buckets.merge_into(spark, name, source, ["bal", "seg"], folder, cond)
+    return spark.table(name)
+
+
 @query("insert_missing", """
 SELECT s_suppkey AS k, s_name AS name, CAST(s_nationkey AS INTEGER) AS nation FROM supplier
 UNION ALL SELECT o_custkey, NULL, NULL FROM (SELECT DISTINCT o_custkey FROM orders) WHERE o_custkey NOT IN (SELECT s_suppkey FROM supplier)""")

@@ -2,7 +2,7 @@
 
 A plain ``rank()`` sorts a whole group in one task. `top_n` finds the few values that can
 qualify first and looks the rows up in them; `rank_within` merges repeated values before any
-shuffle and splits a group's values over many tasks.
+shuffle and splits a group's values over as many tasks as its size asks for.
 """
 
 from __future__ import annotations
@@ -54,29 +54,36 @@ def top_n(df: DataFrame, group: Sequence[str], metrics: Mapping[str, tuple[str,
 
 
 def rank_within(df: DataFrame, group: Sequence[str], value: str, name: str = "rank_no",
-                descending: bool = True, buckets: int = 64) -> DataFrame:
+                descending: bool = True, values_per_range: int = 250_000, ranges_most: int = 1024) -> DataFrame:
     """`rank()` of every row in its group, with the group's values spread over many tasks.
 
-    Values are cut into ranges at approximate quantiles; a row's rank is the number of rows in
-    better ranges plus its rank inside its own. The quantiles only balance the work: ranks are
-    exact wherever the cuts fall.
+    Values are cut into ranges at approximate quantiles, one range for every ``values_per_range`` different values that the group is
+    measured to have; a row's rank is the number of rows in better ranges plus its rank inside its own. The
+    quantiles only balance the work: ranks are exact wherever the cuts fall. Groups of one range have no cuts; beyond
+    ``ranges_most`` ranges the ranges of a group grow with it.
     """
     group = list(group)
     signed = (-F.col(value) if descending else F.col(value)).cast("double")
     values = (df.filter(F.col(value).isNotNull()).groupBy(*group, signed.alias("__v"))
               .agg(F.count(F.lit(1)).alias("__rows")))
-    steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = values.groupBy(*group).agg(F.percentile_approx("__v", steps, 1000).alias("__cuts"))
-    placed = values.join(cuts, group).withColumn(
-        "__bucket", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
+    # All cuts that the largest group may need; a smaller one takes every so-manieth of them.
+    steps = F.array(*[F.lit(i / ranges_most) for i in range(1, ranges_most)])
+    wanted = F.least(F.lit(ranges_most), F.ceil(F.col("__n") / values_per_range)).cast("int")
+    picked = F.expr(f"IF(__k < 2, array(), transform(sequence(1, __k - 1), i -> get(__all, CAST(floor(i * {ranges_most} / __k) AS INT) - 1)))")
+    cuts = (values.groupBy(*group).agg(F.percentile_approx("__v", steps, 10 * ranges_most).alias("__all"), F.count(F.lit(1)).alias("__n"))
+            .withColumn("__k", wanted).select(*group, picked.cast("array<double>").alias("__cuts")))
+    matches = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group]
+    placed = values.alias("a").join(cuts.alias("b"), matches).select(
+        *[F.col(f"a.{g}") for g in group], "__v", "__rows", F.size(F.filter("__cuts", lambda c: c < F.col("__v"))).alias("__bucket"))
     sizes = placed.groupBy(*group, "__bucket").agg(F.sum("__rows").alias("__n"))
     before = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*group, "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     inside = Window.partitionBy(*group, "__bucket").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (placed.withColumn("__in", F.coalesce(F.sum("__rows").over(inside), F.lit(0)))
-             .join(offsets, [*group, "__bucket"])
-             .select(*group, "__v", (F.col("__off") + F.col("__in") + 1).cast("int").alias(name)))
-    return (df.withColumn("__v", signed).join(ranks, [*group, "__v"], "left").drop("__v"))
+    ranks = (placed.withColumn("__in", F.coalesce(F.sum("__rows").over(inside), F.lit(0))).alias("a")
+             .join(offsets.alias("b"), [*matches, F.col("a.__bucket") == F.col("b.__bucket")])
+             .select(*[F.col(f"a.{g}") for g in group], "__v", (F.col("__off") + F.col("__in") + 1).cast("int").alias(name)))
+    return (df.withColumn("__v", signed).alias("a").join(ranks.alias("b"), [*matches, F.col("a.__v") == F.col("b.__v")], "left")
+            .select(*[F.col(f"a.{c}") for c in df.columns if c != name], F.col(f"b.{name}")))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -54,7 +54,7 @@ def test_top_n_when_everything_ties(spark):
 def test_rank_within_equals_rank_for_skewed_groups(spark):
     df = spark.range(3000).selectExpr("CASE WHEN id % 10 < 7 THEN 'hot' ELSE concat('g', id % 4) END AS g", "id AS k",
                                       "CAST(CASE WHEN id % 3 = 0 THEN 1 ELSE id * 7919 % 211 END AS DOUBLE) AS v")
-    got = R.rank_within(df, ["g"], "v", buckets=16)
+    got = R.rank_within(df, ["g"], "v", values_per_range=13, ranges_most=16)
     want = df.selectExpr("*", "rank() OVER (PARTITION BY g ORDER BY v DESC) AS r")
     both = got.join(want.select("k", "r"), "k")
     assert both.count() == 3000 and both.filter("rank_no <> r").count() == 0
