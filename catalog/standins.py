@@ -287,6 +287,15 @@ CASE WHEN o_orderstatus = 'O' THEN floor(o_totalprice * 0.004{d} * 100) / 100 EL
 CASE WHEN o_orderstatus = 'O' THEN floor(o_totalprice * 0.001{d} * 100) / 100 ELSE 0 END AS market_strikefee
 """
 
+# Further measures of the settlement table, for the reconciliation reports: each a fixed part of the total, on some rows.
+MORE_SETT = ("strikeactreceivsum strikeactpaysum fund_impawn_in fund_impawn_out lastfundmortgagein lastfundmortgageout yes_impawn_money "
+             "opt_premium_income opt_premium_pay performfee market_performfee hold_profit hold_profit_f close_profit drop_profit_f "
+             "fund_impawn_margin socrt_openfee settlementfee buy_opt_market_value sell_opt_market_value market_deposit optstrike_profit "
+             "strike_credit credit execute_transfee market_execute_transfee add_fee1 add_fee2").split()
+MORE_SETT_COLUMNS = "\n".join(
+    f"CASE WHEN o_orderkey % {i % 4 + 1} = 0 THEN floor(o_totalprice * {(i + 2) / 1000}{{d}} * 100) / 100 ELSE 0 END AS {name}"
+    for i, name in enumerate(MORE_SETT))
+
 
 def _list(listing: str, **names: str) -> list[str]:
     """Column expressions separated by line ends or bars."""
@@ -323,6 +332,34 @@ floor(l_extendedprice / l_quantity * 100) / 100 AS sett_price
 """
 
 
+@lru_cache(maxsize=64)
+def wide_sett(spark: SparkSession, sf: str) -> DataFrame:
+    """The settlement rows with all measures of the reconciliation reports."""
+    return table(spark, sf, "orders").selectExpr(
+        f"{ROLLED.format(c='o_orderdate')} AS busi_date", "o_custkey AS fund_account_id", "o_custkey AS client_id",
+        "CAST(o_custkey % 25 AS INT) AS branch_id", "'1' AS money_type", "o_orderstatus AS sett_type",
+        *_list(SETT_COLUMNS + MORE_SETT_COLUMNS, d="D"))
+
+
+cte("wide_sett", f"""SELECT {_rolled('o_orderdate')} AS busi_date, o_custkey AS fund_account_id, o_custkey AS client_id,
+       CAST(o_custkey % 25 AS INTEGER) AS branch_id, '1' AS money_type, o_orderstatus AS sett_type,
+       {", ".join(_list(SETT_COLUMNS + MORE_SETT_COLUMNS, d="::DOUBLE"))} FROM orders""")
+
+
+@lru_cache(maxsize=64)
+def fees(spark: SparkSession, sf: str) -> DataFrame:
+    """The fee table: kinds of fee, some out of force or of another level."""
+    k = F.col("s_suppkey")
+    return table(spark, sf, "supplier").select(
+        F.when(k % 2 == 0, "1003").otherwise("1002").alias("fee_type"), F.when(k % 3 == 0, "1").otherwise("0").alias("use_status"),
+        F.when(k % 5 == 0, "2").otherwise("1").alias("data_level"), (k % 40 / 4).alias("fee"))
+
+
+cte("levy", """
+SELECT coalesce(max(s_suppkey % 40 / 4) / 100000000, 5.5::DOUBLE / 100000000) AS levy FROM supplier
+WHERE s_suppkey % 2 = 0 AND s_suppkey % 3 <> 0 AND s_suppkey % 5 <> 0""")
+
+
 @lru_cache(maxsize=64)
 def fills(spark: SparkSession, sf: str) -> DataFrame:
     """Fills by client account: items, with the account of their order."""

@@ -54,7 +54,7 @@ def top_n(df: DataFrame, group: Sequence[str], metrics: Mapping[str, tuple[str,
 
 
 def rank_within(df: DataFrame, group: Sequence[str], value: str, name: str = "rank_no",
-                descending: bool = True, values_per_range: int = 250_000, ranges_most: int = 1024) -> DataFrame:
+                descending: bool = True, values_per_range: int = 500_000, ranges_most: int = 256) -> DataFrame:
     """`rank()` of every row in its group, with the group's values spread over many tasks.
 
     Values are cut into ranges at approximate quantiles, one range for every ``values_per_range`` different values that the group is

@@ -23,19 +23,28 @@ def spine_merge(frames: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Seq
     """Sum every component's measures on the union of all keys.
 
     ``frames`` maps a prefix to ``(frame, measures)``; output columns are ``prefix_measure``. The
-    frames may be rows or already summed. They are stacked and grouped once, so there is one
-    shuffle instead of a distinct and one join per component, partial sums run before it, and NULL
-    key parts match. Columns named in ``masks`` are bit masks, merged by OR.
+    frames may be rows or already summed; NULL key parts match. Columns named in ``masks`` (one per component) are bit masks, merged by OR.
+
+    Components are summed narrow and widened after: stacked with a tag and as many unnamed columns as the largest component has
+    measures, summed per key and tag with partial sums before the shuffle, and only the sums of a key, one row per component, are dealt
+    by key and spread to the named columns. Neither shuffle carries the columns of the other components.
     """
-    names = [f"{p}_{m}" for p, (_, ms) in frames.items() for m in ms]
-    stacked = None
-    for prefix, (df, measures) in frames.items():
-        mine = {f"{prefix}_{m}": m for m in measures}
-        part = df.selectExpr(*keys, *[f"CAST({mine.get(n, 'NULL')} AS {'BIGINT' if n in masks else 'DOUBLE'}) AS {n}"
-                                      for n in names])
+    own = {p: [m for m in ms if f"{p}_{m}" not in masks] for p, (_, ms) in frames.items()}
+    bits = {p: [m for m in ms if f"{p}_{m}" in masks] for p, (_, ms) in frames.items()}
+    if any(len(m) > 1 for m in bits.values()):
+        raise ValueError("a component may have one bit mask")
+    width, masked = max(map(len, own.values())), any(bits.values())
+    stacked, place = None, {}
+    for tag, (prefix, (df, measures)) in enumerate(frames.items()):
+        slots = [*own[prefix], *["NULL"] * (width - len(own[prefix]))]
+        mask = [f"CAST({bits[prefix][0] if bits[prefix] else 'NULL'} AS BIGINT) AS __bits"] if masked else []
+        part = df.selectExpr(*keys, f"{tag} AS __part", *[f"CAST({m} AS DOUBLE) AS __m{i}" for i, m in enumerate(slots)], *mask)
         stacked = part if stacked is None else stacked.unionAll(part)
-    return stacked.groupBy(*keys).agg(
-        *sums([n for n in names if n not in masks], scale), *[F.expr(f"coalesce(bit_or({n}), 0) AS {n}") for n in masks])
+        place |= {f"{prefix}_{m}": (tag, "__bits" if m in bits[prefix] else f"__m{own[prefix].index(m)}") for m in measures}
+    narrow = stacked.groupBy(*keys, "__part").agg(
+        *sums([f"__m{i}" for i in range(width)], scale), *([F.expr("coalesce(bit_or(__bits), 0) AS __bits")] if masked else []))
+    return narrow.repartition(*keys).groupBy(*keys).agg(
+        *[F.expr(f"coalesce(sum(CASE WHEN __part = {tag} THEN {slot} END), 0) AS {name}") for name, (tag, slot) in place.items()])
 
 
 def union_all(frames: Sequence[DataFrame], by_position: bool = False) -> DataFrame:

@@ -6,7 +6,7 @@ call on inputs filtered to it (`sources.tables.day_range`), which prunes the sca
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import col_or_zero, cond_sums, money_sum, nz, safe_ratio, sums
@@ -36,6 +36,11 @@ def levy_rate(fees: DataFrame) -> DataFrame:
         F.coalesce(F.max("fee") / 100_000_000, F.lit(DEFAULT_LEVY)).alias("levy"))
 
 
+def levy_column(levy: float | DataFrame) -> Column:
+    """A rate, or `levy_rate`'s frame as a scalar subquery: read with the report, by no job of its own."""
+    return levy.select("levy").scalar() if isinstance(levy, DataFrame) else F.lit(levy)
+
+
 def daily_trades(hold_balance: DataFrame) -> DataFrame:
     """Traded and same-day-closed volume and turnover per account and day."""
     return hold_balance.groupBy("busi_date", "fund_account_id", "money_type").agg(
@@ -68,7 +73,7 @@ def _fees(prefix: str):
 
 
 def daily_fund_reconciliation(sett: DataFrame, calendar: DataFrame, trades: DataFrame,
-                              fees: DataFrame | None = None, levy: float = DEFAULT_LEVY) -> DataFrame:
+                              fees: DataFrame | None = None, levy: float | DataFrame = DEFAULT_LEVY) -> DataFrame:
     """One row per account key and natural day.
 
     Non-trading days carry the balances and have no flows, except ``yes_rights``, which is
@@ -91,7 +96,7 @@ def daily_fund_reconciliation(sett: DataFrame, calendar: DataFrame, trades: Data
         F.round(F.col("fund_out") + F.col("strikeactpaysum"), 2).alias("fund_out"),
         F.round(_fees(""), 2).alias("transfee"), F.round(_fees("market_"), 2).alias("market_transfee"),
         F.round(_fees("") - _fees("market_"), 2).alias("remain_transfee"),
-        (F.col("done_money") * levy).alias("bzjj"),
+        (F.col("done_money") * levy_column(levy)).alias("bzjj"),
         safe_ratio("margin", end_rights).alias("risk_degree1"),
         safe_ratio("market_margin", end_rights).alias("risk_degree2"),
         F.round(F.col("open_pre_money") - F.col("impawn_money"), 2).alias("pre_impawn"),
@@ -121,7 +126,7 @@ OVER_PERIOD = ("opt_premium_income opt_premium_pay today_profit hold_profit hold
 
 
 def monthly_fund_reconciliation(sett: DataFrame, calendar: DataFrame, trades: DataFrame,
-                                fees: DataFrame | None = None, levy: float = DEFAULT_LEVY,
+                                fees: DataFrame | None = None, levy: float | DataFrame = DEFAULT_LEVY,
                                 grain: str = "month") -> DataFrame:
     """One row per account key and period: opening, closing, highest and average balances, flows.
 
@@ -162,7 +167,7 @@ def monthly_fund_reconciliation(sett: DataFrame, calendar: DataFrame, trades: Da
         F.round(z("transfee") - z("market_transfee"), 2).alias("remain_transfee"),
         "trade_transfee", "market_trade_transfee",
         F.round(z("trade_transfee") - z("market_trade_transfee"), 2).alias("remain_trade_transfee"),
-        (z("done_money") * levy).alias("bzjj"),
+        (z("done_money") * levy_column(levy)).alias("bzjj"),
         safe_ratio("end_margin", "end_rights").alias("risk_degree1"),
         safe_ratio("end_market_margin", "end_rights").alias("risk_degree2"),
         F.round(z("end_impawn_money") - z("begin_yes_impawn_money"), 2).alias("fund_impawn_chg"),

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import delivery_month
+from ..functions.measures import cents_sql
 from ..operators.calendar import period_calendar, trading_day_map
 from ..operators.spine import spine_merge
-from .settlement import DEFAULT_LEVY
+from .settlement import DEFAULT_LEVY, levy_column
 
 KEYS = ["period", "client_id", "branch_id", "fund_account_id", "money_type", "trade_type",
         "trade_prop", "security_id"]
@@ -24,7 +25,7 @@ def _period(df: DataFrame, calendar: DataFrame, grain: str, date_col: str = "bus
 
 
 # Each component is a projection: a row's key and what it adds to each measure. Nothing is
-# summed here; the spine sums all components in a single shuffle.
+# summed here; the spine sums the components, each on its own few measures.
 
 def _rows(df: DataFrame, measures: dict[str, str]) -> tuple[DataFrame, list[str]]:
     return df.selectExpr(*KEYS, *[f"{e} AS {n}" for n, e in measures.items()]), list(measures)
@@ -129,11 +130,11 @@ def expiries(execute: DataFrame, securities: DataFrame, calendar: DataFrame, gra
 
 def trade_statistics(hold_detail: DataFrame, hold_balance: DataFrame, done: DataFrame, delivery: DataFrame,
                      execute: DataFrame, securities: DataFrame, accounts: DataFrame, calendar: DataFrame,
-                     grain: str = "day", levy: float = DEFAULT_LEVY) -> DataFrame:
+                     grain: str = "day", levy: float | DataFrame = DEFAULT_LEVY) -> DataFrame:
     """All five components on their common key, with totals, contract month and account columns.
 
-    The components are stacked and summed in one shuffle; contracts and accounts are joined once,
-    to the sums. ``grain`` is ``day``, ``week`` or ``month``.
+    Contracts and accounts are joined once, to the sums. ``grain`` is ``day``, ``week`` or ``month``; ``levy`` is a rate or
+    the one-row frame of `settlement.levy_rate`.
     """
     if grain not in ("day", "week", "month"):
         raise ValueError("trade statistics are by day, week or month")
@@ -158,7 +159,7 @@ def trade_statistics(hold_detail: DataFrame, hold_balance: DataFrame, done: Data
 
     def xq(own: str, shared: str, name: str = "") -> str:
         """Exercise: type 21 takes the buyer's side, and the seller's where it is not performance."""
-        e = f"CASE WHEN trade_type = '21' THEN round(x_{shared}_buy + CASE WHEN {one_book} THEN x_{shared}_sell ELSE 0D END, 2) ELSE x_{own} END"
+        e = f"CASE WHEN trade_type = '21' THEN {cents_sql(f"x_{shared}_buy + CASE WHEN {one_book} THEN x_{shared}_sell ELSE 0D END")} ELSE x_{own} END"
         return f"{e} AS {name}" if name else e
 
     def ly(own: str, shared: str, name: str) -> str:
@@ -170,15 +171,15 @@ def trade_statistics(hold_detail: DataFrame, hold_balance: DataFrame, done: Data
         *same("h", "hold_amount", "hold_money", "hold_profit_bydate", "hold_profit_bytrade"),
         "round(h_amount_all / trade_days, 8) AS hold_amount_avg", "CAST(bit_count(d_days) AS DOUBLE) AS have_trade_num",
         by_kind("buy_hold_money_qq"), by_kind("sell_hold_money_qq"),
-        *[f"round(h_{n} + v_{n}, 2) AS {n}" for n in ("margin", "market_margin")],
-        *[f"round(f_{n} + v_{n}, 2) AS {n}" for n, _ in MARGINS],
+        *[f"{cents_sql(f'h_{n} + v_{n}')} AS {n}" for n in ("margin", "market_margin")],
+        *[f"{cents_sql(f'f_{n} + v_{n}')} AS {n}" for n, _ in MARGINS],
         *same("d", "transfee_pj", "market_transfee_pj", "remain_transfee_pj", "opt_premium_income",
               "opt_premium_pay", "add_fee1", "add_fee2", "done_amount_qp", "done_money_qp", "force_number"),
         "d_socrt_openfee AS jingshoufei", "d_settlementfee AS jiesuanfei",
-        "round(d_opt_premium_income - d_opt_premium_pay, 2) AS opt_premium_income_pay",
+        f"{cents_sql('d_opt_premium_income - d_opt_premium_pay')} AS opt_premium_income_pay",
         *same("f", "done_amount", "done_amount_pj", "done_money", "done_money_pj", "close_profit_bydate",
               "close_profit_bytrade", "hold_amount_buy", "hold_amount_sell", "total_profit"),
-        "round(f_hold_profit_bytrade + f_close_profit_bytrade, 2) AS float_profit",
+        f"{cents_sql('f_hold_profit_bytrade + f_close_profit_bytrade')} AS float_profit",
         *[f"v_{n} AS deliv_{n}" for n in ("transfee", "market_transfee", "remain_transfee", "margin", "market_margin")],
         *same("v", "delivery_amount", "done_amt"),
         xq("execute", "fee", "transfee_xq"), xq("market_execute", "market_fee", "market_transfee_xq"),
@@ -186,11 +187,11 @@ def trade_statistics(hold_detail: DataFrame, hold_balance: DataFrame, done: Data
         xq("qty_buy", "qty", "strike_qty_xq"), ly("qty_sell", "qty", "strike_qty_ly"),
         *same("e", "strike_qty_dq", "strike_money_dq"),
         *same("x", "optstrike_profit", "strikefrozenmargin", "exchstrikefrozenmargin"),
-        f"round({xq('execute', 'fee')} - {xq('market_execute', 'market_fee')}, 2) AS remain_transfee_xq",
+        f"{cents_sql(xq('execute', 'fee') + ' - ' + xq('market_execute', 'market_fee'))} AS remain_transfee_xq",
         "f_transfee AS trade_transfee", "f_market_transfee AS market_trade_transfee",
-        "round(f_transfee - f_market_transfee, 2) AS trade_remain_transfee",
-        f"round({fees.format('transfee')}, 2) AS total_transfee",
-        f"round({fees.format('market_transfee')}, 2) AS total_market_transfee",
-        "round(f_transfee - f_market_transfee + v_remain_transfee + x_remain_transfee, 2) AS total_remain_transfee",
-        f"f_done_money * {levy!r}D AS bzjj",
-        f"round(f_total_profit - round({fees.format('transfee')}, 2), 2) AS clear_profit"))
+        f"{cents_sql('f_transfee - f_market_transfee')} AS trade_remain_transfee",
+        f"{cents_sql(fees.format('transfee'))} AS total_transfee",
+        f"{cents_sql(fees.format('market_transfee'))} AS total_market_transfee",
+        f"{cents_sql('f_transfee - f_market_transfee + v_remain_transfee + x_remain_transfee')} AS total_remain_transfee",
+        f"{cents_sql('f_total_profit - ' + cents_sql(fees.format('transfee')))} AS clear_profit")
+            .withColumn("bzjj", F.col("done_money") * levy_column(levy)))
