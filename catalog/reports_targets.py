@@ -131,41 +131,50 @@ def indicator_actuals_by_quarter(spark, sf):
     return T.indicator_actuals(sources(spark, sf), "quarter")
 
 
-CHECK = dict(lastyear="SELECT CAST(CAST(period AS INTEGER) + 1 AS VARCHAR) AS year_id, org_id AS oa_branch_id, busi_type AS code, value FROM actuals", t1="""
+NAMES = "SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{n}')" for c, n in T.INDICATORS) + ") v(code, name)"
+CHECK = dict(names=NAMES, lastyear="SELECT CAST(CAST(period AS INTEGER) + 1 AS VARCHAR) AS year_id, org_id AS oa_branch_id, busi_type AS code, value FROM actuals", t1="""
   SELECT t.*, value AS last_year_complet_value, CASE WHEN value <> 0 THEN y / value - 1 ELSE 0 END AS growth_rate,
          max(CASE WHEN index_type = '0' THEN CASE WHEN y <> 0 THEN q1 / y ELSE 0 END END) OVER w AS p1,
          max(CASE WHEN index_type = '0' THEN CASE WHEN y <> 0 THEN q2 / y ELSE 0 END END) OVER w AS p2,
          max(CASE WHEN index_type = '0' THEN CASE WHEN y <> 0 THEN q3 / y ELSE 0 END END) OVER w AS p3,
          max(CASE WHEN index_type = '0' THEN CASE WHEN y <> 0 THEN q4 / y ELSE 0 END END) OVER w AS p4
   FROM targets t LEFT JOIN lastyear USING (year_id, oa_branch_id, code) WINDOW w AS (PARTITION BY year_id, oa_branch_id, bench)""", checked="""
-  SELECT year_id, oa_branch_id, code, n, index_type, y AS year_target_value, last_year_complet_value, growth_rate,
+  SELECT year_id, oa_branch_id, code, n, index_type, bench, y AS year_target_value, last_year_complet_value, growth_rate,
+         CASE WHEN y <> 0 THEN q1 / y ELSE 0 END AS prop_1, CASE WHEN y <> 0 THEN q2 / y ELSE 0 END AS prop_2,
+         CASE WHEN y <> 0 THEN q3 / y ELSE 0 END AS prop_3, CASE WHEN y <> 0 THEN q4 / y ELSE 0 END AS prop_4,
          CASE WHEN index_type = '1' THEN y * p1 * 4 ELSE q1 END AS quarter_target_1, CASE WHEN index_type = '1' THEN y * p2 * 4 ELSE q2 END AS quarter_target_2,
          CASE WHEN index_type = '1' THEN y * p3 * 4 ELSE q3 END AS quarter_target_3, CASE WHEN index_type = '1' THEN y * p4 * 4 ELSE q4 END AS quarter_target_4,
          CASE WHEN index_type = '0' AND round(growth_rate, 6) = 0 AND y <> 0 THEN '1'
               WHEN index_type = '1' AND round(y * p1 * 4 + y * p2 * 4 + y * p3 * 4 + y * p4 * 4, 4) = round(y, 4) THEN '1' ELSE '0' END AS check_result FROM t1""")
 
 
-def checked_targets(spark, sf):
-    return T.check_annual_targets(target_rows(spark, sf), T.indicator_actuals(sources(spark, sf), "year"))
+def checked_targets(spark, sf, base=None):
+    return T.check_annual_targets(target_rows(spark, sf), T.indicator_actuals(sources(spark, sf), "year", base))
 
 
 @query("annual_target_check", with_(*NEEDS, "targets", **actual_parts("year"), **CHECK) + """
-SELECT year_id, oa_branch_id, code AS index_id, last_year_complet_value, growth_rate, quarter_target_1, quarter_target_2, quarter_target_3,
-       quarter_target_4, check_result FROM checked""")
+SELECT year_id, oa_branch_id, code AS index_id, code AS busi_type, index_type, bench AS index_asses_benchmark, name AS index_name, year_target_value,
+       last_year_complet_value, growth_rate, quarter_target_1, quarter_target_2, quarter_target_3, quarter_target_4, prop_1 AS quarter_target_prop_1,
+       prop_2 AS quarter_target_prop_2, prop_3 AS quarter_target_prop_3, prop_4 AS quarter_target_prop_4, 0::DOUBLE AS target_growth_rate,
+       0.2::DOUBLE AS quarter_target_rate_1, 0.3::DOUBLE AS quarter_target_rate_2, 0.25::DOUBLE AS quarter_target_rate_3, 0.25::DOUBLE AS quarter_target_rate_4,
+       CASE WHEN n % 6 = 5 THEN '0' ELSE '1' END AS index_status, 0.1::DOUBLE AS weight_rate, 120::DOUBLE AS upper_limit_score, check_result FROM checked JOIN names USING (code)""")
 def annual_target_check(spark, sf):
-    return checked_targets(spark, sf).select(
-        "year_id", "oa_branch_id", "index_id", "last_year_complet_value", "growth_rate",
-        *[f"quarter_target_{i}" for i in T.QUARTERS], "check_result")
+    return checked_targets(spark, sf)
 
 
 @query("target_book", with_(*NEEDS, "targets", **actual_parts("year"), **CHECK) + """
 SELECT coalesce(b.year_id, c.year_id) AS year_id, coalesce(b.oa_branch_id, c.oa_branch_id) AS oa_branch_id, coalesce(b.code, c.code) AS index_id,
-       coalesce(c.year_target_value, b.y + 1) AS year_target_value, coalesce(c.quarter_target_1, b.q1) AS quarter_target_1
+       coalesce(c.year_target_value, b.y + 1) AS year_target_value, coalesce(c.quarter_target_1, b.q1) AS quarter_target_1, coalesce(c.quarter_target_2, b.q2) AS quarter_target_2,
+       coalesce(c.quarter_target_3, b.q3) AS quarter_target_3, coalesce(c.quarter_target_4, b.q4) AS quarter_target_4,
+       coalesce(b.index_type, c.index_type) AS index_type, coalesce(b.bench, c.bench) AS index_asses_benchmark, name AS index_name, 0::DOUBLE AS target_growth_rate,
+       0.2::DOUBLE AS quarter_target_rate_1, 0.3::DOUBLE AS quarter_target_rate_2, 0.25::DOUBLE AS quarter_target_rate_3, 0.25::DOUBLE AS quarter_target_rate_4,
+       CASE WHEN coalesce(b.n, c.n) % 6 = 5 THEN '0' ELSE '1' END AS index_status, 0.1::DOUBLE AS weight_rate, 120::DOUBLE AS upper_limit_score
 FROM (SELECT * FROM targets WHERE year_id < '1997') b
-FULL JOIN (SELECT * FROM checked WHERE check_result = '1' AND n % 6 <> 5) c ON b.year_id = c.year_id AND b.oa_branch_id = c.oa_branch_id AND b.code = c.code""")
+FULL JOIN (SELECT * FROM checked WHERE check_result = '1' AND n % 6 <> 5) c ON b.year_id = c.year_id AND b.oa_branch_id = c.oa_branch_id AND b.code = c.code
+JOIN names ON names.code = coalesce(b.code, c.code)""")
 def target_book(spark, sf):
     book = target_rows(spark, sf).filter("year_id < '1997'").withColumn("year_target_value", F.col("year_target_value") + 1)
-    return T.target_book(book, checked_targets(spark, sf)).select("year_id", "oa_branch_id", "index_id", "year_target_value", "quarter_target_1")
+    return T.target_book(book, checked_targets(spark, sf))
 
 
 PASSED = with_(*NEEDS, "targets", **actual_parts("year"), **CHECK) + """
@@ -185,8 +194,9 @@ SELECT year_id, oa_branch_id, code AS index_id, busi_month, value AS index_value
        CASE WHEN y <> 0 THEN year_value / y * 100 ELSE 0 END AS year_rate FROM k""")
 def target_completion(spark, sf):
     keys = ["year_id", "oa_branch_id", "index_id"]
-    passed = checked_targets(spark, sf).filter("check_result = '1' AND index_status = '1'").select(*keys)
-    return T.target_completion(target_rows(spark, sf).join(passed, keys, "left_semi"), T.indicator_actuals(sources(spark, sf), "month")).select(
+    base = T.stored_base(T.indicator_base(sources(spark, sf)))  # read for the year and for the months
+    passed = checked_targets(spark, sf, base).filter("check_result = '1' AND index_status = '1'").select(*keys)
+    return T.target_completion(target_rows(spark, sf).join(passed, keys, "left_semi"), T.indicator_actuals(sources(spark, sf), "month", base)).select(
         "year_id", "oa_branch_id", "index_id", "busi_month", "index_value_branch", "index_value_indust", "quarter_value", "year_value", "quarter_rate", "year_rate")
 
 
@@ -194,8 +204,8 @@ def assessed(spark, sf):
     return T.assessment(target_rows(spark, sf), T.indicator_actuals(sources(spark, sf), "quarter"))
 
 
-ASSESS = dict(lng="""
-  SELECT t.year_id, q AS quarter_id, t.oa_branch_id, t.code, CASE q WHEN '1' THEN q1 WHEN '2' THEN q2 WHEN '3' THEN q3 ELSE q4 END AS target, coalesce(a.value, 0) AS actual
+ASSESS = dict(names=NAMES, lng="""
+  SELECT t.year_id, q AS quarter_id, t.oa_branch_id, t.code, t.index_type, t.bench, CASE q WHEN '1' THEN q1 WHEN '2' THEN q2 WHEN '3' THEN q3 ELSE q4 END AS target, coalesce(a.value, 0) AS actual
   FROM targets t CROSS JOIN (SELECT unnest(['1', '2', '3', '4']) AS q) LEFT JOIN actuals a ON a.period = t.year_id || q AND a.org_id = t.oa_branch_id AND a.busi_type = t.code""", sur="""
   SELECT year_id, oa_branch_id, code, round(sum(CASE WHEN quarter_id = '1' AND actual > target THEN actual - target ELSE 0 END), 6) AS s1,
          round(sum(CASE WHEN quarter_id = '2' AND actual > target THEN actual - target ELSE 0 END), 6) AS s2,
@@ -206,13 +216,13 @@ ASSESS = dict(lng="""
 
 
 @query("target_assessment", with_(*NEEDS, "targets", **actual_parts("quarter"), **ASSESS) + """
-SELECT year_id, quarter_id, oa_branch_id, code AS index_id, target AS target_value, actual AS actual_value, adjust_1, adjust_2, adjust_3,
-       CASE WHEN adjust_1 > 0 THEN '1季度' ELSE '-' END AS adjust_quarter_1, completed, rate AS complet_achievement_rate,
-       CASE WHEN rate > 120.0::DOUBLE / 100 THEN 0.1::DOUBLE * 120 WHEN rate > 0 THEN rate * 0.1::DOUBLE * 100 ELSE 0 END AS get_score FROM scored""")
+SELECT year_id, quarter_id, oa_branch_id, code AS index_id, code AS busi_type, index_type, bench AS index_asses_benchmark, name AS index_name,
+       target AS target_value, actual AS actual_value, adjust_1, adjust_2, adjust_3, 0.1::DOUBLE AS weight_rate, 120::DOUBLE AS upper_limit_score,
+       CASE WHEN adjust_1 > 0 THEN '1季度' ELSE '-' END AS adjust_quarter_1, CASE WHEN adjust_2 > 0 THEN '2季度' ELSE '-' END AS adjust_quarter_2,
+       CASE WHEN adjust_3 > 0 THEN '3季度' ELSE '-' END AS adjust_quarter_3, completed, rate AS complet_achievement_rate,
+       CASE WHEN rate > 120.0::DOUBLE / 100 THEN 0.1::DOUBLE * 120 WHEN rate > 0 THEN rate * 0.1::DOUBLE * 100 ELSE 0 END AS get_score FROM scored JOIN names USING (code)""")
 def target_assessment(spark, sf):
-    return assessed(spark, sf).select(
-        "year_id", "quarter_id", "oa_branch_id", "index_id", "target_value", "actual_value", "adjust_1", "adjust_2", "adjust_3",
-        "adjust_quarter_1", "completed", "complet_achievement_rate", "get_score")
+    return assessed(spark, sf)
 
 
 def _completion(level: str, grain: str):

@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import indicator_code
-from ..functions.dates import quarter_of_month
+from ..functions.dates import month_key, quarter_of_month
 from ..functions.measures import cond_count, money_sum, nz, safe_ratio, share_pct, sums
 from ..operators.calendar import one_market, period_key
 from ..operators.joins import scaffold
 from ..operators.merge import insert_missing, merge_update
 from ..operators.orgs import LEVELS, attach_org
 from ..operators.scoring import capped_score, carry_over
+from ..operators.spine import spine_merge
+from ..sources.scratch import stored
 from .income import active_relations
 from .ledger import book_lines
 
@@ -55,76 +57,106 @@ def _of_month(grain: str, month: Column) -> Column:
     return {"month": month, "year": year, "quarter": F.concat(year, quarter_of_month(month))}[grain]
 
 
-def new_clients(src: TargetSources, grain: str) -> DataFrame:
+@dataclass(frozen=True)
+class IndicatorBase:
+    """All that the indicators of any month, quarter or year are made of, at month grain.
+
+    ``months`` has one row per month and unit: sums of the statement lines, equity, activity and sales, and for each of them how many
+    rows it comes from (a unit without rows of a kind has no indicator of it). ``fresh`` has accounts with the months of
+    their opening year in which they paid a fee: whether an account is new in a period can't be added up from months.
+    """
+
+    months: DataFrame
+    fresh: DataFrame
+
+
+LINES = ("f5", "f6", "f8", "f18")
+
+
+def indicator_base(src: TargetSources) -> IndicatorBase:
+    """The base of all periods in one pass over each source."""
+    days = one_market(src.calendar).filter("trade_flag = 1").select("busi_date", month_key("busi_date").alias("month"))
+    one = "1D AS n"
+
+    def per_unit(facts: DataFrame, measures: Sequence[str]) -> DataFrame:
+        # The calendar is broadcast, so the facts are shuffled once, after partial sums.
+        per_account = facts.join(days, "busi_date").groupBy("month", "fund_account_id").agg(*sums(measures))
+        return attach_org(per_account, src.accounts, src.branch_map).selectExpr("month", "org_id", *measures, one)
+
+    lines = book_lines(src.statement, src.book_units, list(LINES)).selectExpr("month_id AS month", "oa_branch_id AS org_id", *LINES, one)
+    buyers = (src.sales.filter(F.col("wh_trade_type").isin("0", "1")).groupBy("id_no", "client_name", month_key("busi_date").alias("month"))
+              .agg(money_sum("confirm_share").alias("sold")))
+    matched = buyers.join(src.accounts.select("id_no", "client_name", "branch_id"), ["id_no", "client_name"])
+    sold = attach_org(matched, None, src.branch_map).selectExpr("month", "org_id", "sold", one)
+    months = spine_merge({"l": (lines, [*LINES, "n"]), "s": (per_unit(src.sett, ["rights"]), ["rights", "n"]),
+                          "t": (per_unit(src.trades, ["done_sum", "done_amt"]), ["done_sum", "done_amt", "n"]), "p": (sold, ["sold", "n"])},
+                         ["month", "org_id"])
+    listed = one_market(src.calendar).select(F.col("busi_date").alias("open_date"))
+    opened = src.accounts.join(listed, "open_date").select("fund_account_id", "branch_id", month_key("open_date").alias("open_month"))
+    natural = one_market(src.calendar).select("busi_date", month_key("busi_date").alias("paid_month"))
+    paid = src.trades.filter(F.col("transfee") != 0).join(natural, "busi_date").select("fund_account_id", "paid_month").distinct()
+    fresh = opened.join(paid, "fund_account_id").filter("substring(open_month, 1, 4) = substring(paid_month, 1, 4)")
+    return IndicatorBase(months, attach_org(fresh, None, src.branch_map).select("fund_account_id", "org_id", "open_month", "paid_month"))
+
+
+def stored_base(base: IndicatorBase) -> IndicatorBase:
+    """The base kept in the shared folder: reports of several grains read it and not its sources."""
+    return IndicatorBase(stored(base.months), stored(base.fresh))
+
+
+def new_clients(src: TargetSources, grain: str, base: IndicatorBase | None = None) -> DataFrame:
     """Accounts opened in a period that paid a fee in it, per unit.
 
     ``direct`` counts those without a brokered relation in the period, ``free`` those without any.
     Relations count when in force, approved and overlapping the period.
     """
+    base = base or indicator_base(src)
     days = one_market(src.calendar).select("busi_date", period_key(grain).alias("period"))
     spans = days.groupBy("period").agg(F.min("busi_date").alias("b"), F.max("busi_date").alias("e"))
     keys = ["period", "fund_account_id"]
-    paid = (src.trades.filter(F.col("transfee") != 0).join(days, "busi_date").select(*keys).distinct())
-    opened = (src.accounts.join(days, F.col("open_date") == F.col("busi_date")).select(*keys, "branch_id")
-              .join(paid, keys, "left_semi"))
+    opened = (base.fresh.withColumn("period", _of_month(grain, F.col("open_month")))
+              .filter(F.col("period") == _of_month(grain, F.col("paid_month"))).select(*keys, "org_id").distinct())
     rel = active_relations(src.relations, None).select("fund_account_id", "broker_rela_typ", "st_dt", "end_dt")
     # Account by account: the range test sees one account's few relations.
-    tied = (opened.select(*keys).join(spans, "period").join(rel, "fund_account_id")
+    tied = (opened.select(*keys).distinct().join(spans, "period").join(rel, "fund_account_id")
             .filter(F.greatest("st_dt", "b") <= F.least("end_dt", "e"))
             .groupBy(*keys).agg(F.max(F.col("broker_rela_typ") == BROKERED).alias("brokered")))
-    j = opened.join(tied, keys, "left")
-    return attach_org(j, None, src.branch_map).groupBy("period", "org_id").agg(
+    return opened.join(tied, keys, "left").groupBy("period", "org_id").agg(
         cond_count("NOT coalesce(brokered, false)").cast("double").alias("direct"),
         cond_count("brokered IS NULL").cast("double").alias("free"))
 
 
-def indicator_actuals(src: TargetSources, grain: str) -> DataFrame:
+def indicator_actuals(src: TargetSources, grain: str, base: IndicatorBase | None = None) -> DataFrame:
     """``period, org_id, busi_type, value, industry`` for all twelve indicators of every unit.
 
-    The parts are stacked into one long frame; shares divide by the market's total of the period.
+    Months are rolled up to the period, one narrow shuffle for all indicators; shares divide by the market's total of the period.
     """
-    cal = one_market(src.calendar)
-    days = cal.filter("trade_flag = 1").select("busi_date", period_key(grain).alias("period"))
+    base = base or indicator_base(src)
+    days = one_market(src.calendar).filter("trade_flag = 1").select(period_key(grain).alias("period"))
     counts = days.groupBy("period").agg(F.count(F.lit(1)).alias("days"))
     market = src.industry.groupBy(_of_month(grain, F.col("busi_month")).alias("period")).agg(
         *[(money_sum(c, 6) * INDUSTRY_UNIT).alias(f"all_{c}") for c in ("fee", "rights", "turnover", "volume")])
-
-    lines = (book_lines(src.statement, src.book_units, ["f5", "f6", "f8", "f18"])
-             .groupBy(_of_month(grain, F.col("month_id")).alias("period"), F.col("oa_branch_id").alias("org_id"))
-             .agg(*[money_sum(c).alias(c) for c in ("f5", "f6", "f8", "f18")]))
-
-    def per_unit(facts: DataFrame, measures: Sequence[str]) -> DataFrame:
-        # The calendar is broadcast, so the facts are shuffled once, after partial sums.
-        per_account = facts.join(days, "busi_date").groupBy("period", "fund_account_id").agg(*sums(measures))
-        return attach_org(per_account, src.accounts, src.branch_map).groupBy("period", "org_id").agg(*sums(measures))
-
-    equity = per_unit(src.sett, ["rights"]).join(counts, "period").withColumn("avg", safe_ratio("rights", "days"))
-    activity = per_unit(src.trades, ["done_sum", "done_amt"])
-    buys = src.sales.filter(F.col("wh_trade_type").isin("0", "1"))
-    buyers = buys.groupBy("id_no", "client_name", period_key(grain).alias("period")).agg(money_sum("confirm_share").alias("value"))
-    matched = buyers.join(src.accounts.select("id_no", "client_name", "branch_id"), ["id_no", "client_name"])
-    sold = attach_org(matched, None, src.branch_map).groupBy("period", "org_id").agg(money_sum("value").alias("value"))
-
-    def long(df: DataFrame, **parts: Column) -> DataFrame:
-        """``code=(value, industry)`` pairs to rows."""
-        rows = F.array(*[F.struct(F.lit(code[1:]).alias("busi_type"), v.cast("double").alias("value"),
-                                  i.cast("double").alias("industry")) for code, (v, i) in parts.items()])
-        return df.withColumn("__r", F.explode(rows)).select("period", "org_id", "__r.*")
-
-    none, c = F.lit(None), F.col
-    fresh = new_clients(src, grain)
-    lines, equity, activity = (d.join(market, "period", "left") for d in (lines, equity, activity))
-    equity = equity.withColumn("all_avg", safe_ratio("all_rights", "days"))
+    measures = [c for c in base.months.columns if c not in ("month", "org_id")]
+    u = (base.months.groupBy(_of_month(grain, F.col("month")).alias("period"), "org_id").agg(*sums(measures))
+         .join(counts, "period", "left").join(market, "period", "left")
+         .withColumn("avg", safe_ratio("s_rights", "days")).withColumn("all_avg", safe_ratio("all_rights", "days")))
+    c, none = F.col, F.lit(None).cast("double")
     two_sided = {m: c(f"all_{m}") * 2 for m in ("turnover", "volume")}
-    return (long(lines, _001=(c("f5"), none), _005=(c("f18"), none),
-                 _002=(safe_ratio(F.round(c("f6") + c("f8"), 2), "all_fee"), c("all_fee")))
-            .unionByName(long(equity, _003=(c("avg"), none), _004=(safe_ratio("avg", "all_avg"), c("all_avg"))))
-            .unionByName(long(activity, _006=(c("done_sum"), none), _008=(c("done_amt"), none),
-                              _007=(safe_ratio("done_sum", two_sided["turnover"]), two_sided["turnover"]),
-                              _009=(safe_ratio("done_amt", two_sided["volume"]), two_sided["volume"])))
-            .unionByName(long(fresh.filter("direct > 0"), _010=(c("direct"), none)))
-            .unionByName(long(fresh.filter("free > 0"), _011=(c("free"), none)))
-            .unionByName(long(sold, _012=(c("value"), none))))
+    equity = (c("s_n") > 0) & c("days").isNotNull()
+    # Code, value, industry, and whether the unit has rows of the kind.
+    parts = [("001", c("l_f5"), none, c("l_n") > 0), ("005", c("l_f18"), none, c("l_n") > 0),
+             ("002", safe_ratio(F.round(c("l_f6") + c("l_f8"), 2), "all_fee"), c("all_fee"), c("l_n") > 0),
+             ("003", c("avg"), none, equity), ("004", safe_ratio("avg", "all_avg"), c("all_avg"), equity),
+             ("006", c("t_done_sum"), none, c("t_n") > 0), ("008", c("t_done_amt"), none, c("t_n") > 0),
+             ("007", safe_ratio("t_done_sum", two_sided["turnover"]), two_sided["turnover"], c("t_n") > 0),
+             ("009", safe_ratio("t_done_amt", two_sided["volume"]), two_sided["volume"], c("t_n") > 0), ("012", c("p_sold"), none, c("p_n") > 0)]
+    rows = F.array(*[F.when(known, F.struct(F.lit(code).alias("busi_type"), v.cast("double").alias("value"), i.cast("double").alias("industry")))
+                     for code, v, i, known in parts])
+    summed = u.select("period", "org_id", F.explode(rows).alias("__r")).filter("__r IS NOT NULL").select("period", "org_id", "__r.*")
+    fresh = new_clients(src, grain, base)
+    counted = fresh.select("period", "org_id", F.explode(F.array(*[
+        F.struct(F.lit(code).alias("busi_type"), c(n).alias("value"), none.alias("industry")) for code, n in (("010", "direct"), ("011", "free"))])).alias("__r"))
+    return summed.unionByName(counted.filter("__r.value > 0").select("period", "org_id", "__r.*"))
 
 
 QUARTERS = (1, 2, 3, 4)
