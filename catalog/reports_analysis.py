@@ -374,25 +374,38 @@ levels("client_equity_mix", lambda lv: _mix_sql(lv, "client_sett", "rights", "ri
        lambda spark, sf, o: A.client_type_mix(A.per_account(S.client_sett(spark, sf), ["rights"], S.calendar(spark, sf)), o, "rights", "rights"))
 levels("client_turnover_mix", lambda lv: _mix_sql(lv, "fills", "done_sum", "done_money"),
        lambda spark, sf, o: A.client_type_mix(A.per_account(S.fills(spark, sf), ["done_sum"], S.calendar(spark, sf)), o, "done_sum", "done_money"))
+levels("client_volume_mix", lambda lv: _mix_sql(lv, "fills", "done_amt", "done_amount"),
+       lambda spark, sf, o: A.client_type_mix(A.per_account(S.fills(spark, sf), ["done_amt"], S.calendar(spark, sf)), o, "done_amt", "done_amount"))
 
 
-@query("client_income_mix", with_(*I.BROKERAGE_NEEDS, "org_unit", **I.BROKERAGE_PARTS, g=f"""
+def _income_mix_sql(lv: str) -> str:
+    return with_(*I.BROKERAGE_NEEDS, f"org_{lv}", **I.BROKERAGE_PARTS, g=f"""
   SELECT org_id, busi_month AS period, round(sum(feature_income_total), 4) AS total, {_kind_sums('feature_income_total')}
-  FROM brokerage b JOIN accounts a ON a.fund_account_id = b.fund_account_id JOIN org_unit o ON o.branch_id = a.branch_id GROUP BY 1, 2""", m=f"""
+  FROM brokerage b JOIN accounts a ON a.fund_account_id = b.fund_account_id JOIN org_{lv} o ON o.branch_id = a.branch_id GROUP BY 1, 2""", m=f"""
   SELECT org_id, period, {", ".join(f"{ratio(f's{t}', 'total', ' * 100')} AS x{t}" for t in KINDS)} FROM g""") + f"""
 SELECT m.org_id, m.period, {", ".join(f"m.x{t} AS qh_income_{t}, {yoy(f'm.x{t}', f'l.x{t}')} AS qh_income_{t}_yoy" for t in KINDS)}
-FROM m LEFT JOIN m l ON l.org_id = m.org_id AND l.period = {back('m.period')}""")
-def client_income_mix(spark, sf):
+FROM m LEFT JOIN m l ON l.org_id = m.org_id AND l.period = {back('m.period')}"""
+
+
+def client_income_mix(spark, sf, o):
     rows = I.brokerage_rows(spark, sf).select("fund_account_id", F.col("busi_month").alias("period"), "feature_income_total")
-    return A.client_type_mix(rows, org(spark, sf), "feature_income_total", "qh_income")
+    return A.client_type_mix(rows, o, "feature_income_total", "qh_income")
 
 
-@query("new_client_equity_mix", with_("client_sett", "tradedays", "accounts", "org_unit", g=f"""
+def _new_mix_sql(lv: str) -> str:
+    return with_("client_sett", "tradedays", "accounts", f"org_{lv}", g=f"""
   SELECT org_id, month AS period, round(sum(rights), 4) AS total, {_kind_sums('rights')} FROM client_sett s JOIN tradedays t USING (busi_date)
-  JOIN accounts a ON a.fund_account_id = s.fund_account_id JOIN org_unit o ON o.branch_id = a.branch_id WHERE {NEW.format(p='month')} GROUP BY 1, 2""") + f"""
-SELECT org_id, period, {", ".join(f"{ratio(f's{t}', 'total', ' * 100')} AS new_rights_{t}" for t in KINDS)} FROM g""")
-def new_client_equity_mix(spark, sf):
-    return A.new_client_type_mix(A.per_account(S.client_sett(spark, sf), ["rights"], S.calendar(spark, sf)), org(spark, sf), "rights", "new_rights")
+  JOIN accounts a ON a.fund_account_id = s.fund_account_id JOIN org_{lv} o ON o.branch_id = a.branch_id WHERE {NEW.format(p='month')} GROUP BY 1, 2""") + f"""
+SELECT org_id, period, {", ".join(f"{ratio(f's{t}', 'total', ' * 100')} AS new_rights_{t}" for t in KINDS)} FROM g"""
+
+
+def new_client_equity_mix(spark, sf, o):
+    return A.new_client_type_mix(A.per_account(S.client_sett(spark, sf), ["rights"], S.calendar(spark, sf)), o, "rights", "new_rights")
+
+
+for _name, _sql, _fn in (("client_income_mix", _income_mix_sql, client_income_mix), ("new_client_equity_mix", _new_mix_sql, new_client_equity_mix)):
+    for _lv in LEVELS:  # the unit's report has no suffix
+        query(_name if _lv == "unit" else f"{_name}_by_{_lv}", _sql(_lv))(lambda spark, sf, lv=_lv, fn=_fn: fn(spark, sf, org(spark, sf, lv)))
 
 
 levels("equity_increment", lambda lv: with_("client_sett", "daymap", "accounts", f"org_{lv}", d="""
