@@ -34,7 +34,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     keyed = _keyed(docs)
     classes = jaccard.jaccard_classes(keyed, width=5, percent=80, doc_id="_key")
     kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.dropDuplicates(["_key", "text"]).join(kept, "_key", "left_semi").select(*COLUMNS)
+    # In this order both need the texts dealt by key, once.
+    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key", "text"]).select(*COLUMNS)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

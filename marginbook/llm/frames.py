@@ -28,9 +28,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` through the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage of ``df`` through the shared folder, and let go of the shuffles that only served to build it.
+
+    Spark removes a shuffle's files when the driver has collected the plan they belong to, by default once in half an hour. Here
+    the plan is done with as soon as its table is written, so the collection is asked for.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    cut = df.checkpoint(eager=True)
+    del df
+    spark._jvm.System.gc()
+    return cut
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
