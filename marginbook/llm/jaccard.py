@@ -24,7 +24,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -309,8 +309,8 @@ def jaccard_links(docs: DataFrame, width: int, percent: int, doc_id: str, text:
     sets = checkpoint(first.where("sketch IS NOT NULL AND doc IS NOT NULL").groupBy("sid").agg(
         F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch")))
     emitted = sets.select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
-    counts = emitted.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
-    tokens = checkpoint(emitted.join(counts, "token"))
+    # Counted where they lie: the tokens are dealt once, and those of a single set go no further. A set has a token once.
+    tokens = checkpoint(emitted.withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("sets > 1"))
     pairs = checkpoint(_rare_links(tokens, sets, rule))
     met = _cell_rows(_group_members(tokens, rule), rule).join(sets.select("sid", "n", "sketch"), "sid")
     cells = checkpoint(met.groupBy("task").applyInArrow(_cells_could(rule), "task long, side int, sid long"))

@@ -34,7 +34,7 @@ ROWS_PER_CLASS = 2_000
 #: Most bytes of their texts; whole texts are taken in the order of the hashes until it is reached.
 BYTES_PER_CLASS = 12 << 20
 #: Words whose n-grams are kept in a fit, and words whose evidence is kept in scoring.
-KNOWN_WORDS, SCORED_WORDS = 100_000, 500_000
+KNOWN_WORDS, SCORED_WORDS = 100_000, 250_000
 #: Bytes that are no part of a word become spaces, A-Z lower case: marks stuck to a word don't hide it.
 LETTERS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in LOWER)
 
