@@ -166,7 +166,7 @@ def equity_analysis(sett: DataFrame, org: Organisation, calendar: DataFrame, ded
         m = m.join(cuts, ["org_id", "period"], "left").fillna(0.0, ["cut"])
     m = m.withColumn("avg", safe_ratio("rights", "days")).withColumn("assess", F.col("avg") - F.col("cut"))
     y = (_last_year(m, ["avg", "assess"]).join(since_january(placed, ["rights"], calendar), ["org_id", "period"])
-         .withColumn("stock", F.round(F.col("ytd_rights") - F.col("ytd_rights_new"), 2)))
+         .withColumn("stock", F.col("ytd_rights") - F.col("ytd_rights_new")))
     return y.select("org_id", "period", (F.col("avg") / WAN).alias("avg_rights"), growth("avg", "last_avg").alias("avg_rights_yoy"),
                     (F.col("assess") / WAN).alias("assess_avg_rights"), growth("assess", "last_assess").alias("assess_avg_rights_yoy"),
                     (safe_ratio("stock", "ytd_days") / WAN).alias("avg_rights_stock"), share_pct("stock", "ytd_rights").alias("avg_rights_stock_prop"),
