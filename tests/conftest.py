@@ -10,8 +10,12 @@ from marginbook.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session(4, 4, "tests")
+def spark(tmp_path_factory):
+    session = local_session(4, 4, "tests")
+    if session.sparkContext.getCheckpointDir() is None:
+        # Tests have one machine, so a temporary folder may stand for the shared one.
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
+    return session
 
 
 @pytest.fixture(scope="session")
