@@ -8,9 +8,11 @@ the two share one (the shorter prefix ends first; its tokens that the other has
   fit in length are compared, first by an upper bound from small sketches, then exactly.
 * A more frequent token is not indexed by itself. Every prefix is longer than it need be, and a set with enough rare tokens
   in it drops the frequent ones: two such sets share a rare token or aren't similar. The other sets ("poor", mostly near copies
-  in large groups) index combinations of two frequent tokens of a prefix longer by one; the rest of the sets only look up
-  combinations that poor sets have. Long sets have too many combinations and use single tokens there; by length, both sides
-  of a pair always use one scheme in common.
+  in large groups) index combinations of two tokens, each with the next one of the set. A token that the other set lacks
+  breaks two of them and one that only the other has breaks one. Both together are most where as many as possible are lacking
+  (about ``2 * e``), so among one more of the first combinations of two similar sets one is shared: a prefix of combinations
+  whose size grows with the set, not with its square, at any length. The rest of the sets only look up combinations
+  that poor sets have, and only if the prefix longer by one holds two frequent tokens, as it must if no rare one is shared.
 * Poor sets whose combinations lead to one set form a group. A group is cut into cells by length and hash; cells whose lengths
   fit meet in one task, first with sketches, then with the sets that these leave, and return links that span components.
 
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marginbook.llm.components import components
-from marginbook.llm.frames import LOWER, checkpoint, raw
+from marginbook.llm.frames import LOWER, checkpoint, groups_of, raw, text_bytes
 from marginbook.llm.words import WordHashes, mix, windows
 
 #: Sets under one token up to which the token is indexed by itself.
@@ -37,8 +39,10 @@ RARE = 32
 #: Sets in a cell of a group.
 CELL = 512
 SKETCH = 128
-#: Tokens missing in a similar set up to which combinations of two are indexed.
-COMBINED = 32
+#: Parts that the sets of a large group are dealt in before they have a cell.
+DEALT = 64
+#: Bytes of text whose sets are built at a time.
+SLICE = 4 << 20
 
 
 def shingles(words: list[bytes], width: int, known: WordHashes) -> np.ndarray:
@@ -84,6 +88,19 @@ class Rule:
         need = self.spare(n) + 1
         return min(n, need + 1 + need // 2 + 4)
 
+    def broken(self, n: int) -> int:
+        """Most combinations of neighbours that a set of n can lose in a similar set."""
+        shared = n - self.spare(n)
+        return self.spare(n) + 100 * shared // self.percent - shared
+
+    def kept(self, n: int) -> int:
+        """Tokens of the kept prefix, enough for all the combinations to index."""
+        return min(n, max(self.depth(n), self.broken(n) + 2))
+
+    def combines(self) -> bool:
+        """Whether two similar sets always share a combination; below about three quarters small sets may not."""
+        return all(n >= self.broken(n) + 2 for n in range(max(2, self.least()), 400))
+
     def least(self) -> int:
         """Smallest set that can be similar to another one: n / (n + 1) must reach the similarity."""
         return -(-self.percent // (100 - self.percent))
@@ -94,14 +111,14 @@ def _first_pass(width: int, rule: Rule):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        for batch in batches:
+        for batch in (b for held in groups_of(batches, text_bytes("text"), SLICE) for b in held):
             sizes, sids, prefixes, sketches = [], [], [], []
             for text in raw(batch.column("text")):
                 tokens = shingles((text or b"").translate(LOWER).split(), width, known)
                 n = len(tokens)
                 sizes.append(n)
                 sids.append(_set_id(tokens))
-                prefixes.append(tokens[:rule.depth(n)] if n >= least else tokens[:0])
+                prefixes.append(tokens[:rule.kept(n)] if n >= least else tokens[:0])
                 sketches.append(_sketch(tokens) if n >= least else None)
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
@@ -248,47 +265,60 @@ def _rare_links(tokens: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return sketched.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_could_hold(rule), "a long, b long")
 
 
-def _group_members(tokens: DataFrame, rule: Rule) -> DataFrame:
+def _depth(rule: Rule) -> Column:
+    """``Rule.depth`` of column ``n``."""
+    return F.expr("least(n, {need} + 1 + {need} div 2 + 4)".format(need=f"(n - ({rule.percent} * n + 99) div 100 + 1)"))
+
+
+def _group_members(tokens: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """(grp, sid, n, poor): the sets to compare within each group of poor sets."""
     need = _spare(rule) + 1
-    frequent = tokens.where(F.col("sets") > RARE)
-    per_set = (frequent.groupBy("sid", "n")
-               .agg(F.count(F.lit(1)).alias("frequent"), F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("at")))
-    spare = F.expr(f"least(n, {{need}} + 1 + {{need}} div 2 + 4) - {{need}}".format(need=f"(n - ({rule.percent} * n + 99) div 100 + 1)"))
-    border = COMBINED * 100 / (100 - rule.percent)
-    picked = F.transform(F.filter("at", lambda t: t["pos"] <= need), lambda t: t["token"])
-    marked = per_set.select("sid", "n", (F.col("frequent") > spare).alias("poor"), picked.alias("at"))
-    pairs = F.flatten(F.transform("at", lambda x, i: F.transform(
-        F.slice("at", i + 2, F.size("at")), lambda y: F.xxhash64(x, y))))
-    keys = F.concat(F.when(F.col("n") < border * 100 / rule.percent, pairs).otherwise(F.array().cast("array<bigint>")),
-                    F.when(F.col("n") >= border * rule.percent / 100, F.col("at")).otherwise(F.array().cast("array<bigint>")))
-    keyed = checkpoint(marked.select("sid", "n", "poor", F.explode(F.array_distinct(keys)).alias("key")))
-    poor = keyed.where("poor").select("sid", "key")
+    early = F.count(F.when(F.col("pos") <= need, 1))
+    per_set = (tokens.where(F.col("sets") > RARE).groupBy("sid", "n")
+               .agg(F.count(F.lit(1)).alias("frequent"), early.alias("early"))
+               .where(F.col("early") >= (2 if rule.combines() else 1))
+               .select("sid", (F.col("frequent") > _depth(rule) - need).alias("poor")))
+    if rule.combines():
+        broken = F.expr(f"n - 2 * (({rule.percent} * n + 99) div 100) + 100 * (({rule.percent} * n + 99) div 100) div {rule.percent}")
+        with_next = F.slice("prefix", F.lit(1), F.least(F.col("n") - 1, broken + 1).cast("int"))
+        keys = F.transform(with_next, lambda x, i: F.xxhash64(x, F.get("prefix", i + 1)))
+    else:
+        keys = F.slice("prefix", F.lit(1), need.cast("int"))
+    keyed = checkpoint(sets.join(per_set, "sid").select("sid", "n", "poor", keys.alias("keys")))
+    poor = keyed.where("poor")
     # A key's group is the smallest set it leads to over two steps: nearly always one for a whole group of near copies,
     # and always one for all sets of the key.
-    hubs = poor.groupBy("key").agg(F.min("sid").alias("hub"))
-    reached = poor.join(hubs, "key").groupBy("sid").agg(F.min("hub").alias("hub"))
-    grouped = poor.join(reached, "sid").groupBy("key").agg(F.min("hub").alias("grp"))
-    return keyed.join(grouped, "key").groupBy("grp", "sid").agg(F.max("n").alias("n"), F.max("poor").alias("poor"))
+    poor_keys = poor.select("sid", F.explode("keys").alias("key"))
+    hubs = poor_keys.groupBy("key").agg(F.min("sid").alias("hub"))
+    reached = poor_keys.join(hubs, "key").groupBy("sid").agg(F.min("hub").alias("hub"))
+    grouped = (poor.join(reached, "sid").select("hub", F.explode("keys").alias("key"))
+               .groupBy("key").agg(F.min("hub").alias("grp")))
+    return (keyed.select("sid", "n", "poor", F.explode("keys").alias("key")).join(grouped, "key")
+            .groupBy("grp", "sid").agg(F.max("n").alias("n"), F.max("poor").alias("poor")))
 
 
 def _cell_rows(members: DataFrame, rule: Rule) -> DataFrame:
     """(task, side, sid): cells of a group that must meet."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / rule.percent)))).cast("long")
-    # Groups of one poor set alone have nothing to compare.
-    several = members.groupBy("grp").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("grp")
-    banded = members.join(several, "grp").withColumn("band", band)
-    sizes = banded.groupBy("grp", "poor", "band").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"),
-                                                      F.min("n").alias("low"), F.max("n").alias("high"))
-    placed = (banded.join(sizes.drop("low", "high"), ["grp", "poor", "band"])
-              .withColumn("cell", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")))
+    banded = members.withColumn("band", band)
+    sizes = banded.groupBy("grp", "poor", "band").agg(
+        F.count(F.lit(1)).alias("sets"), F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"),
+        F.min("n").alias("low"), F.max("n").alias("high"))
+    # The sets of a large group are dealt by hash until they have a cell; the others have one cell.
+    large = sizes.where("parts > 1").select("grp", "poor", "band", "parts", F.explode(
+        F.sequence(F.lit(0), F.lit(DEALT - 1))).alias("dealt"))
+    placed = (banded.withColumn("dealt", F.pmod(F.xxhash64("sid", F.lit(1)), F.lit(DEALT)).cast("int"))
+              .join(large, ["grp", "poor", "band", "dealt"], "left")
+              .withColumn("cell", F.pmod(F.xxhash64("sid"), F.coalesce("parts", F.lit(1))).cast("int")))
     # A cell of poor sets meets the poor cells of its band and later ones, and all others, where any two lengths fit.
-    cells = sizes.select("grp", "poor", "band", "low", "high", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("cell"))
+    cells = sizes.select("grp", "poor", "band", "sets", "low", "high",
+                         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("cell"))
     here = cells.where("poor").drop("poor")
     other = cells.select("grp", *[F.col(c).alias(f"{c}2") for c in ("poor", "band", "cell", "low", "high")])
     fit = f"100 * high >= {rule.percent} * low2 AND 100 * high2 >= {rule.percent} * low"
     meets = (here.join(other, "grp").where(fit)
              .where("NOT poor2 OR band2 > band OR (band2 = band AND cell2 >= cell)")
+             .where("sets > 1 OR NOT poor2 OR band2 > band")  # a set alone in its cell has none to meet there
              .withColumn("task", F.xxhash64("grp", "band", "cell", "poor2", "band2", "cell2")))
     left = (placed.where("poor").join(meets.select("grp", "band", "cell", "task"), ["grp", "band", "cell"])
             .select("task", F.lit(0).alias("side"), "sid"))
@@ -308,11 +338,11 @@ def jaccard_links(docs: DataFrame, width: int, percent: int, doc_id: str, text:
     # One row per distinct set; null ids never stand for a set, as their texts can't be found again by id.
     sets = checkpoint(first.where("sketch IS NOT NULL AND doc IS NOT NULL").groupBy("sid").agg(
         F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch")))
-    emitted = sets.select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
+    emitted = sets.select("sid", "n", F.posexplode(F.slice("prefix", F.lit(1), _depth(rule).cast("int"))).alias("pos", "token"))
     # Counted where they lie: the tokens are dealt once, and those of a single set go no further. A set has a token once.
     tokens = checkpoint(emitted.withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("sets > 1"))
     pairs = checkpoint(_rare_links(tokens, sets, rule))
-    met = _cell_rows(_group_members(tokens, rule), rule).join(sets.select("sid", "n", "sketch"), "sid")
+    met = _cell_rows(_group_members(tokens, sets, rule), rule).join(sets.select("sid", "n", "sketch"), "sid")
     cells = checkpoint(met.groupBy("task").applyInArrow(_cells_could(rule), "task long, side int, sid long"))
     wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(cells.select("sid")).distinct()
     chosen = sets.select("sid", "doc").join(wanted, "sid")

@@ -34,17 +34,34 @@ def near_copies():
     return out
 
 
-@pytest.mark.parametrize(("rare", "cell", "combined", "width", "percent"), [(32, 256, 32, 3, 90), (2, 4, 5, 5, 80)])
-def test_jaccard_classes(spark, docs, monkeypatch, rare, cell, combined, width, percent):
+@pytest.mark.parametrize(("rare", "cell", "width", "percent"), [(32, 256, 3, 90), (2, 4, 5, 80), (2, 8, 3, 60)])
+def test_jaccard_classes(spark, docs, monkeypatch, rare, cell, width, percent):
     monkeypatch.setattr(jaccard, "RARE", rare)
     monkeypatch.setattr(jaccard, "CELL", cell)
-    monkeypatch.setattr(jaccard, "COMBINED", combined)
     rows = docs + near_copies()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r[0]: tuple(r)[1:] for r in jaccard.jaccard_classes(df, width, percent).collect()}
     assert got == brute.classes(rows, width, percent)
 
 
+@pytest.mark.parametrize("percent", [75, 80, 90, 95])
+def test_two_similar_sets_share_a_combination(percent):
+    rng, rule = random.Random(percent), jaccard.Rule(percent)
+    assert rule.combines() and not jaccard.Rule(60).combines()
+    for _ in range(2000):
+        n = rng.randrange(rule.least(), 90)
+        universe = rng.sample(range(10_000), n + n // 3 + 1)
+        a = set(universe[:n])
+        b = set(rng.sample(sorted(a), n - rng.randrange(rule.spare(n) + 1))) | set(universe[n:n + rng.randrange(n // 3 + 1)])
+        if not rule.holds(len(a & b), len(a), len(b)):
+            continue
+        found = []
+        for one in (sorted(a), sorted(b)):
+            prefix = one[:rule.kept(len(one))]
+            found.append(set(zip(prefix, prefix[1:rule.broken(len(one)) + 2], strict=False)))
+        assert found[0] & found[1]
+
+
 def test_substrings(spark, docs):
     got = {r[0]: tuple(r)[1:] for r in queries.op8_substring_dedup(spark, SF).collect()}
     assert got == brute.substrings(docs)
