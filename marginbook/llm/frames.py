@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -41,6 +42,28 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return cut
 
 
+class Scratch:
+    """Written tables of one job, in a folder of its own under the shared folder; each is deleted once nothing reads it."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """The rows of ``df``, read back from the table ``name``; shuffles that only served to build them are let go."""
+        path, schema = f"{self.folder}/{name}", df.schema
+        df.write.parquet(path)
+        del df
+        self.spark._jvm.System.gc()
+        return self.spark.read.schema(schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables; every table made from them must be written by now."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

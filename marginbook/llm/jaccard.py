@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marginbook.llm.components import components
-from marginbook.llm.frames import LOWER, checkpoint, groups_of, raw, text_bytes
+from marginbook.llm.frames import LOWER, Scratch, groups_of, raw, text_bytes
 from marginbook.llm.words import WordHashes, mix, windows
 
 #: Sets under one token up to which the token is indexed by itself.
@@ -270,7 +270,7 @@ def _depth(rule: Rule) -> Column:
     return F.expr("least(n, {need} + 1 + {need} div 2 + 4)".format(need=f"(n - ({rule.percent} * n + 99) div 100 + 1)"))
 
 
-def _group_members(tokens: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def _group_members(tokens: DataFrame, sets: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
     """(grp, sid, n, poor): the sets to compare within each group of poor sets."""
     need = _spare(rule) + 1
     early = F.count(F.when(F.col("pos") <= need, 1))
@@ -284,7 +284,7 @@ def _group_members(tokens: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
         keys = F.transform(with_next, lambda x, i: F.xxhash64(x, F.get("prefix", i + 1)))
     else:
         keys = F.slice("prefix", F.lit(1), need.cast("int"))
-    keyed = checkpoint(sets.join(per_set, "sid").select("sid", "n", "poor", keys.alias("keys")))
+    keyed = scratch.keep("keyed", sets.join(per_set, "sid").select("sid", "n", "poor", keys.alias("keys")))
     poor = keyed.where("poor")
     # A key's group is the smallest set it leads to over two steps: nearly always one for a whole group of near copies,
     # and always one for all sets of the key.
@@ -329,31 +329,38 @@ def _cell_rows(members: DataFrame, rule: Rule) -> DataFrame:
     return left.unionByName(right)
 
 
-def jaccard_links(docs: DataFrame, width: int, percent: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """(documents: ``doc``, ``n``, ``sid``; links: ``a``, ``b`` between sids, spanning every component)."""
+def jaccard_links(docs: DataFrame, width: int, percent: int, doc_id: str, text: str,
+                  scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(documents: ``doc``, ``n``, ``sid``; links: ``a``, ``b`` between sids, spanning every component).
+
+    The links read the tables ``sets``, ``pairs``, ``cells`` and ``full`` of ``scratch``, the documents ``members``.
+    """
     rule = Rule(percent)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     schema = "doc long, n long, sid long, prefix array<bigint>, sketch binary"
-    first = checkpoint(texts.mapInArrow(_first_pass(width, rule), schema))
+    first = scratch.keep("first", texts.mapInArrow(_first_pass(width, rule), schema))
     # One row per distinct set; null ids never stand for a set, as their texts can't be found again by id.
-    sets = checkpoint(first.where("sketch IS NOT NULL AND doc IS NOT NULL").groupBy("sid").agg(
+    sets = scratch.keep("sets", first.where("sketch IS NOT NULL AND doc IS NOT NULL").groupBy("sid").agg(
         F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch")))
+    members = scratch.keep("members", first.select("doc", "n", "sid"))
+    scratch.drop("first")
     emitted = sets.select("sid", "n", F.posexplode(F.slice("prefix", F.lit(1), _depth(rule).cast("int"))).alias("pos", "token"))
     # Counted where they lie: the tokens are dealt once, and those of a single set go no further. A set has a token once.
-    tokens = checkpoint(emitted.withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("sets > 1"))
-    pairs = checkpoint(_rare_links(tokens, sets, rule))
-    met = _cell_rows(_group_members(tokens, sets, rule), rule).join(sets.select("sid", "n", "sketch"), "sid")
-    cells = checkpoint(met.groupBy("task").applyInArrow(_cells_could(rule), "task long, side int, sid long"))
+    tokens = scratch.keep("tokens", emitted.withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("sets > 1"))
+    pairs = scratch.keep("pairs", _rare_links(tokens, sets, rule))
+    met = _cell_rows(_group_members(tokens, sets, rule, scratch), rule).join(sets.select("sid", "n", "sketch"), "sid")
+    cells = scratch.keep("cells", met.groupBy("task").applyInArrow(_cells_could(rule), "task long, side int, sid long"))
+    scratch.drop("tokens", "keyed")
     wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(cells.select("sid")).distinct()
     chosen = sets.select("sid", "doc").join(wanted, "sid")
     found = (texts.join(chosen, "doc").withColumn("_key", F.xxhash64("text"))
              .dropDuplicates(["doc", "sid", "_key"]).select("sid", "text"))
-    full = checkpoint(found.mapInArrow(_full_sets(width), "sid long, tokens binary"))
+    full = scratch.keep("full", found.mapInArrow(_full_sets(width), "sid long, tokens binary"))
     compared = (pairs.join(full.select(F.col("sid").alias("a"), F.col("tokens").alias("ta")), "a")
                 .join(full.select(F.col("sid").alias("b"), F.col("tokens").alias("tb")), "b"))
     linked = compared.select("a", "b", "ta", "tb").mapInArrow(_hold(rule), "a long, b long")
     within = cells.join(full, "sid").groupBy("task").applyInArrow(_cells(rule), "a long, b long")
-    return first.select("doc", "n", "sid"), linked.union(within)
+    return members, linked.union(within)
 
 
 def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id",
@@ -366,8 +373,10 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     linked with nothing. Repeated rows are linked and both returned. A row without id gets its set size and a null
     component. An empty table gives an empty result; other columns are not read.
     """
-    members, links = jaccard_links(docs, width, percent, doc_id, text)
-    roots = components(links)
+    scratch = Scratch(docs.sparkSession)
+    members, links = jaccard_links(docs, width, percent, doc_id, text, scratch)
+    roots = components(links)  # which reads the links once, into a table of its own
+    scratch.drop("sets", "pairs", "cells", "full")
     placed = (members.join(roots.withColumnRenamed("node", "sid"), "sid", "left")
               .select("doc", "n", F.coalesce("root", "sid").alias("root")))
     least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc").alias("least"))
