@@ -29,14 +29,20 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("&#10;"), F.lit("\n")))
 
 
-def _merge(blocks: Column, turn: Column) -> Column:
-    """Add a turn to the last block if that has its role, else as a new block."""
-    last = F.element_at(blocks, -1)
-    fresh = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-    grown = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts"))
-    same = (F.size(blocks) > 0) & (F.try_element_at(blocks, F.lit(-1))["role"] == turn["role"])
-    return F.when(same, F.concat(F.slice(blocks, 1, F.size(blocks) - 1), F.array(grown))).otherwise(
-        F.concat(blocks, F.array(fresh)))
+def _starts(turns: Column) -> Column:
+    """Places of the turns that open a block: the first, and those of another role than the turn before."""
+    def opens(turn: Column, i: Column) -> Column:
+        return F.when((i == 0) | (turn["role"] != F.get(turns, i - 1)["role"]), i)
+    return F.filter(F.transform(turns, opens), lambda i: i.isNotNull())
+
+
+def _blocks(turns: Column, starts: Column) -> Column:
+    """The turns between one start and the next as a block; each turn is read once."""
+    def block(start: Column, k: Column) -> Column:
+        stop = F.coalesce(F.get(starts, k + 1), F.size(turns))
+        return F.struct(F.get(turns, start)["role"].alias("role"),
+                        F.transform(F.slice(turns, start + 1, stop - start), lambda t: t["text"]).alias("texts"))
+    return F.transform(starts, block)
 
 
 def _pieces(block: Column, learn: str) -> Column:
@@ -63,9 +69,9 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     said = turns.select(F.col(conv).alias(conv), F.struct(
         F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"),
         F.coalesce(F.col(text), F.lit("")).alias("text")).alias("said"))
-    kind = "array<struct<role:string,texts:array<string>>>"
     sorted_turns = said.groupBy(conv).agg(F.sort_array(F.collect_list("said")).alias("turns"))
-    blocks = sorted_turns.select(conv, F.aggregate("turns", F.array().cast(kind), _merge).alias("blocks"))
+    started = sorted_turns.select(conv, "turns", _starts(F.col("turns")).alias("starts"))
+    blocks = started.select(conv, _blocks(F.col("turns"), F.col("starts")).alias("blocks"))
     pieces = blocks.select(conv, F.flatten(F.transform("blocks", lambda b: _pieces(b, learn))).alias("pieces"))
     return pieces.select(conv, F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("formatted"), "pieces")
 
@@ -74,10 +80,13 @@ def read_chat(formatted: Column) -> Column:
     """The turns of a formatted conversation, an array of (role, text), read from the string alone."""
     blocks = F.filter(F.split(formatted, r"<\|im_end\|>\n"), lambda b: b != "")
 
-    def turns(block: Column) -> Column:
+    def parts(block: Column) -> Column:
         inner = F.substring(block, F.lit(len(START) + 1), F.length(block))
-        role = F.substring_index(inner, "\n", 1)
-        body = F.substring(inner, F.length(role) + 2, F.length(inner))
-        return F.transform(F.split(body, r"<\|turn\|>"), lambda t: F.struct(
-            unescape_role(role).alias("role"), unescape(t).alias("text")))
-    return F.flatten(F.transform(blocks, turns))
+        head = F.substring_index(inner, "\n", 1)
+        return F.struct(unescape_role(head).alias("role"), F.substring(inner, F.length(head) + 2, F.length(inner)).alias("body"))
+
+    def turns(part: Column) -> Column:
+        return F.transform(F.split(part["body"], r"<\|turn\|>"), lambda t: F.struct(
+            part["role"].alias("role"), unescape(t).alias("text")))
+    # A block's role is cut out once, not once per turn.
+    return F.flatten(F.transform(F.transform(blocks, parts), turns))
