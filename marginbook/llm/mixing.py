@@ -39,7 +39,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), e
     Sources in code-point order, null last, weigh ``weights`` in turn. ``size`` is a text's words (null text: 0). A
     source's documents are all taken ``repeats`` whole times; the rest of its target is filled by one more partial
     round in a seeded random order, the last document of which gives only the words still missing. So
-    the words taken of a source are its target, rounded, and no document exceeds ``epochs`` times its size. Repeated
+    the words taken of a source are its target, rounded, and no document exceeds ``epochs`` times its size. Rows without id
+    are ordered by a hash of their text. Repeated
     rows count each for itself; rows alike in id and size are told apart arbitrarily, which changes no total. A source
     whose texts are all empty gets the target 0. An empty table gives an empty result. Columns of ``docs`` called like
     the added ones are replaced.
@@ -49,7 +50,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), e
     """
     added = ("size", "source_size", "target", "repeats", "taken")
     kept = [c for c in docs.columns if c not in added]
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(doc_id).cast("string")))
+    name = F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text:"), F.md5(F.col(text))))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), name))
     rows = (docs.select(*kept)
             .withColumn("size", word_count(F.col(text)))
             .withColumn("source_key", F.coalesce(F.col(source).cast("string"), F.lit("")))

@@ -132,7 +132,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op4_source_mix"] = r"""
 WITH docs AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('17:' || doc_id::VARCHAR) AS k FROM documents),
+         md5(concat_ws(':', '17', coalesce(doc_id::VARCHAR, 'text:' || md5(text)))) AS k FROM documents),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
 weighed AS (
   SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1]::DOUBLE AS w,
