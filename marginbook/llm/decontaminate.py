@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marginbook.llm.frames import LOWER, groups_of, raw, text_bytes
+from marginbook.llm.frames import LOWER, checkpoint, groups_of, raw, text_bytes
 
 SHARD_BYTES = 8 << 20
 #: Words of benchmark text sent to the tasks at once; a larger benchmark is searched in several passes.
-PHRASE_WORDS = 2_000_000
+PHRASE_WORDS = 500_000
 #: One suffix position in so many is stored.
 SAMPLE = 8
 #: Bytes that are no part of a word become spaces, A-Z lower case.
@@ -236,7 +236,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, text:
     An empty table on either side gives no hits. Columns of ``docs`` called like the added ones are replaced.
 
     The benchmark goes to the driver and the tasks in slices of about ``phrase_words`` words by hash of the item, each
-    searched in a pass of its own over the documents; the usual benchmark is one slice.
+    searched in a pass of its own over the documents; the usual benchmark is one slice. With several, each pass is written to the
+    shared folder before the next slice is read, so one slice at a time is in memory.
     """
     added = ["n_words", "spans", "items"]
     kept = [c for c in docs.columns if c not in added]
@@ -252,6 +253,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, text:
         own = items if slices == 1 else items.where(F.pmod(F.xxhash64("item", "words"), F.lit(slices)) == k)
         phrases = Phrases.of([(r["item"], r["words"].encode()) for r in own.collect()], width)
         out = out.mapInArrow(_pass(phrases, added), schema)
+        if k + 1 < slices:
+            del phrases
+            out = checkpoint(out)
     return out.select(*kept, *added)
 
 
