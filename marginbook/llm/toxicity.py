@@ -30,7 +30,7 @@ SHRINK = 10.0
 #: Buckets in fewer training texts are not learnt from.
 LEAST_TEXTS = 3
 #: Most labelled rows of each class that a fit takes to the driver; those with the smallest hashes of the id.
-ROWS_PER_CLASS = 2_000
+ROWS_PER_CLASS = 3_000
 #: Most bytes of their texts; whole texts are taken in the order of the hashes until it is reached.
 BYTES_PER_CLASS = 12 << 20
 #: Words whose n-grams are kept in a fit, and words whose evidence is kept in scoring.
@@ -97,7 +97,7 @@ class SubwordModel:
     constant: float
 
     @classmethod
-    def fit(cls, texts: list[bytes], labels: np.ndarray, weights: np.ndarray, dim: int = 4, epochs: int = 6,
+    def fit(cls, texts: list[bytes], labels: np.ndarray, weights: np.ndarray, dim: int = 8, epochs: int = 8,
             rate: float = 0.1, penalty: float = 3e-4, batch: int = 32, scale: float = 100.0, seed: int = 11) -> SubwordModel:
         """Adagrad on the cross entropy with classes weighted alike. ``weights`` says how many rows of the population a row
         of each class stands for, for the probabilities."""
@@ -118,6 +118,7 @@ class SubwordModel:
         soft = np.array([-0.5, 0.5]) + rng.normal(0, 0.1, (dim, 2))
         bias = np.zeros(2)
         squares = [np.full(BUCKETS, 1e-4), np.full(soft.shape, 1e-2), np.full(2, 1e-2)]
+        touched, where = np.zeros(BUCKETS, bool), np.zeros(BUCKETS, np.int64)
         balance = 0.5 / np.maximum(1e-9, np.bincount(labels[own], minlength=2) / len(own))
         for _ in range(epochs):
             rng.shuffle(own)
@@ -135,7 +136,11 @@ class SubwordModel:
                 error[np.arange(len(rows)), labels[rows]] -= 1
                 error *= balance[labels[rows]][:, None] / len(rows)
                 down = error @ soft.T
-                buckets, place = np.unique(at, return_inverse=True)
+                touched[at] = True
+                buckets = np.flatnonzero(touched)
+                touched[buckets] = False
+                where[buckets] = np.arange(len(buckets))
+                place = where[at]
                 step = np.stack([np.bincount(place, down[row, k] * weight) for k in range(dim)], axis=1)
                 squares[0][buckets] += (step**2).mean(axis=1)
                 pace = rate / np.sqrt(squares[0][buckets])[:, None]
