@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginbook.llm import (chat, decontaminate, filter_audit, jaccard, mixing, neardup, quality, ranked_search, substrings,
-                            suffix_model, token_counts, toxicity, urls)
+                            suffix_model, token_counts, toxicity, url_labels, urls)
 
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
              ("block", "net/fr/"))
+#: URLs without a rule are blocked only if their score is clearly low; unknown n-grams score about 0.5.
+BLOCKED_BELOW = 0.3
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,7 +41,8 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return urls.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+    found = urls.filter_urls(pages, URL_RULES, url_labels.labelled_urls(spark), threshold=BLOCKED_BELOW)
+    return found.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
 @query

@@ -77,12 +77,12 @@ def fit_urls(labelled: DataFrame, rows: int = LABELLED_ROWS, epochs: int = 12, r
     return weights
 
 
-def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], labelled: DataFrame | None = None,
+def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], labelled: DataFrame,
                 url: str = "url", threshold: float = 0.5) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``score`` and ``verdict`` (allow or block).
 
     Where a rule fits, the longest decides. Elsewhere the score of a regression decides, which ``fit_urls`` learns from
-    ``labelled`` (host, path, label); without that table, from the pages that rules decide. A null URL, or one without
+    ``labelled`` (host, path, label): allow from ``threshold`` on. A null URL, or one without
     ``://``, has an empty host and path and is scored like any other. Repeated rows stay; columns called like the added ones
     are replaced.
     """
@@ -91,9 +91,6 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], labelled: Da
     host, path = url_parts(F.col(url))
     rule, ruled = match_rule(F.col("host"), F.col("path"), rules)
     parts = pages.select(*kept, host.alias("host"), path.alias("path"))
-    if labelled is None:
-        labelled = (parts.select("host", "path", ruled.alias("ruled")).where("ruled IS NOT NULL")
-                    .select("host", "path", (F.col("ruled") == "allow").cast("int").alias("label")))
     weights = fit_urls(labelled)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,7 @@
 
 import pytest
 
-from marginbook.llm import neardup, quality, queries, toxicity, urls
+from marginbook.llm import neardup, quality, queries, toxicity, url_labels, urls
 
 SF = "/root/testdata/sf0.01"
 
@@ -66,9 +66,9 @@ def test_url_rules_and_scores(spark):
     given = [(1, "https://WWW.Example.com/en/a?q#x"), (2, "http://example.com/en/b"), (3, "https://a.example.com/en/"), (4, "x://host.com"),
              (5, "https://b.net/es/1"), (6, "https://b.net/de/1"), (7, None), (8, "no scheme"), (9, "://"), (10, "http://com/a://b/c?d")]
     df = spark.createDataFrame(given, "page_id long, url string")
-    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.filter_urls(df, queries.URL_RULES).collect()}
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.filter_urls(df, queries.URL_RULES, url_labels.labelled_urls(spark)).collect()}
     assert got[1] == ("www.example.com", "/en/a", "www.example.com/en/", "allow")
     assert got[2] == ("example.com", "/en/b", "example.com/en/", "block") and got[3][2:] == ("example.com/en/", "block")
     assert got[4] == ("host.com", "", None, got[4][3]) and got[5][2:] == ("net/es/", "block") and got[6][2] is None
     assert got[7][:3] == got[8][:3] == got[9][:3] == ("", "", None) and got[10] == ("com", "/a://b/c", "com/", "allow")
-    assert urls.filter_urls(df.limit(0), queries.URL_RULES).count() == 0
+    assert urls.filter_urls(df.limit(0), queries.URL_RULES, url_labels.labelled_urls(spark)).count() == 0
