@@ -33,6 +33,27 @@ def test_chats_read_back(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_long_chat_with_other_columns(spark):
+    """20,000 turns in runs of one role, and given columns named like the added ones."""
+    df = spark.range(20_000).selectExpr("5L AS conv_id", "id AS turn", "if(id % 5 < 3, 'user', 'assistant') AS role",
+                                        "concat('<|', id, '&') AS text", "'f' AS formatted", "id AS pieces").repartition(4)
+    row = chat.format_chats(df).withColumn("back", chat.read_chat(F.col("formatted"))).first()
+    assert [tuple(t) for t in row.back] == [("user" if i % 5 < 3 else "assistant", f"<|{i}&") for i in range(20_000)]
+    assert row.formatted.count(chat.START) == 8_000 and "".join(p.text for p in row.pieces) == row.formatted
+
+
+def test_pipeline_of_odd_tables(spark, odd_documents, tmp_path):
+    """Null texts stay to the end, a table without labels rejects nothing, and empty tables give none."""
+    for name, docs in (("odd", odd_documents), ("none", odd_documents.limit(0))):
+        folder = f"{tmp_path}/{name}"
+        docs.withColumnRenamed("size", "n_chars").selectExpr("doc_id", "text", "lang", "source", "cast(n_chars as bigint) n_chars").write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        rows = corpus_pipeline.run(spark, folder).collect()
+        texts = [r.text for r in rows]
+        assert name == "odd" and None in texts and "" in texts and sum((t or "").startswith("same0 ") for t in texts) == 1 or not rows
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     sizes, columns = [docs.count()], docs.columns

@@ -87,6 +87,28 @@ def test_short_items_and_slices(spark):
     assert decontaminate.decontaminate(d, b.limit(0)).where("size(spans) > 0").count() == 0
 
 
+def test_leaks_with_clashing_columns(spark):
+    """Columns named like the added ones are replaced, repeated rows stay, over one slice and several."""
+    rows = [(1, "a b c", "s", "i", 9), (1, "a b c", "s", "i", 9), (None, "b c d e", None, None, None), (2, None, "", "", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans string, items string, n_words int")
+    b = spark.createDataFrame([(4, "B c"), (4, "b c"), (5, "e")], "item_id long, text string")
+    for words in (500_000, 1):
+        out = decontaminate.decontaminate(df, b, phrase_words=words)
+        got = sorted((r.doc_id or 0, r.n_words, [tuple(s) for s in r.spans], r["items"]) for r in out.collect())
+        assert out.columns == ["doc_id", "text", "n_words", "spans", "items"]
+        assert got == [(0, 4, [(0, 2), (3, 4)], [4, 5]), (1, 3, [(1, 3)], [4]), (1, 3, [(1, 3)], [4]), (2, 0, [], [])]
+
+
+def test_mix_of_rows_without_id(spark):
+    """Rows without id are ordered by their text, so reruns agree row by row and totals meet the targets."""
+    rows = [(None, f"w{i} " * (i % 7 + 1), "s" if i % 3 else None) for i in range(300)] + [(None, None, "s"), (1, "one two", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = [sorted((r.text or "", r.taken) for r in mixing.mix_sources(df.repartition(n)).collect()) for n in (2, 5)]
+    assert taken[0] == taken[1]
+    for r in mixing.mix_sources(df).groupBy("source", "target").agg(F.sum("taken").alias("taken")).collect():
+        assert r.taken == round(r.target)
+
+
 def test_items_without_id(spark, tmp_path):
     """Their words are hit and cut, and only the list of ids leaves them out."""
     docs = [(1, "a Bb c x d"), (2, "c x"), (3, "Bb c")]
