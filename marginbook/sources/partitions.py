@@ -46,9 +46,11 @@ def append_rows(df: DataFrame, table: str, partitions: Mapping[str, str] | None
     """Add the rows of ``df``, aligned to the table, to their partitions. Returns one row of ``LOADED``, counted while they were written."""
     spark = df.sparkSession
     keys = partition_keys(spark, table)
-    rows, seen = _observed(align_to_schema(df, spark.table(table).schema, partitions))
-    # Few files per partition; the rebalance splits a partition that is far larger than the rest.
-    (rows.hint("rebalance", *keys) if keys else rows).write.insertInto(table)
+    rows = align_to_schema(df, spark.table(table).schema, partitions)
+    # Few files per partition; the rebalance splits a partition that is far larger than the rest. The rows are counted above it: a
+    # shuffle that turns out empty is dropped together with the plan below it.
+    rows, seen = _observed(rows.hint("rebalance", *keys) if keys else rows)
+    rows.write.insertInto(table)
     return spark.createDataFrame([(table, "append", None, int(seen.get["rows"]))], LOADED)
 
 

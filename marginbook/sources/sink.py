@@ -37,13 +37,14 @@ def load_aligned(df: DataFrame, schema: T.StructType, path: str, mode: str = "ov
     ``observe`` collects the row count during the write itself.
     """
     out = align_to_schema(df, schema, partitions)
-    if observe is not None:
-        out = out.observe(observe, F.count(F.lit(1)).alias("rows"))
     keys = partition_by or list(partitions or {})
     varying = [k for k in keys if k not in (partitions or {})]
     if varying:
         # Few files per partition; the rebalance splits a partition that is far larger than the rest.
         out = out.hint("rebalance", *varying)
+    if observe is not None:
+        # Above the rebalance: a shuffle that turns out empty is dropped together with the plan below it.
+        out = out.observe(observe, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(*keys) if keys else writer).parquet(path)
 

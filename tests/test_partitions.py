@@ -4,9 +4,10 @@ import uuid
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from marginbook.sources import partitions, schemas
+from marginbook.sources import partitions, schemas, sink
 
 from conftest import rows
 
@@ -100,3 +101,24 @@ def test_rebuild_touches_the_window_only(spark, tmp_path):
     assert rows(spark.table(name).select("busi_month", "name"), "busi_month") == [
         ("202310", "202310"), ("202311", "202311"), ("202401", "new"), ("202402", "new")]
     assert partitions.months_back("202401") == ["202310", "202311", "202312", "202401"]
+
+
+def test_loads_of_nothing_count_nothing(spark, table, tmp_path):
+    """Rows that are all filtered out after a shuffle: the plan shrinks while it runs, and the count must outlast that."""
+    nothing = frame(spark, *FIRST).groupBy("NAME", "BUSI_MONTH", "PART").agg(F.sum("V").alias("V")).filter("V > 100")
+    assert partitions.append_rows(nothing, table).first()["rows"] == 0 and content(spark, table) == []
+    seen = Observation()
+    sink.load_aligned(nothing, TARGET, f"{tmp_path}/nothing", partition_by=["busi_month"], observe=seen)
+    assert seen.get["rows"] == 0
+
+
+def test_rebuild_of_nothing_empties_the_window(spark):
+    """A ledger whose books are all excluded has no results, before the rebuild and after."""
+    name = f"t_{uuid.uuid4().hex}"
+    schema = schemas.text_and_double("name v busi_month", doubles="v")
+    partitions.create_table(spark, name, schema, ["busi_month"], f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/{name}")
+    none = spark.createDataFrame([("a", 1.0, "202404")], schema).join(spark.createDataFrame([("a",)], "name string"), "name", "left_anti")
+    partitions.append_rows(none, name)
+    got = partitions.rebuild_months(spark, lambda months: none.filter(F.col("busi_month").isin(months)), name, "202404")
+    assert rows(got.select("mode", "partition", "rows"), "partition") == [("purge", f"busi_month=2024{m:02d}", 0) for m in range(1, 5)]
+    assert spark.table(name).count() == 0
