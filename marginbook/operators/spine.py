@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from ..functions.measures import sums
+from ..functions.measures import money_sql, sums
 
 
 def key_spine(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -19,7 +19,7 @@ def key_spine(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
 
 
 def spine_merge(frames: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Sequence[str],
-                scale: int = 2, masks: Sequence[str] = ()) -> DataFrame:
+                scale: int = 2, masks: Sequence[str] = (), fine: bool = False) -> DataFrame:
     """Sum every component's measures on the union of all keys.
 
     ``frames`` maps a prefix to ``(frame, measures)``; output columns are ``prefix_measure``. The
@@ -28,6 +28,11 @@ def spine_merge(frames: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Seq
     Components are summed narrow and widened after: stacked with a tag and as many unnamed columns as the largest component has
     measures, summed per key and tag with partial sums before the shuffle, and only the sums of a key, one row per component, are dealt
     by key and spread to the named columns. Neither shuffle carries the columns of the other components.
+
+    Where the named columns are at most twice as many as the unnamed ones, they are summed at once: one shuffle, behind partial sums.
+
+    ``fine`` is for many columns under keys nearly as fine as the rows (an account's fills of one contract and day), where sums before a
+    shuffle fill memory and save nothing: the rows go to their key as they are, in one shuffle, and are summed there.
     """
     own = {p: [m for m in ms if f"{p}_{m}" not in masks] for p, (_, ms) in frames.items()}
     bits = {p: [m for m in ms if f"{p}_{m}" in masks] for p, (_, ms) in frames.items()}
@@ -41,6 +46,12 @@ def spine_merge(frames: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Seq
         part = df.selectExpr(*keys, f"{tag} AS __part", *[f"CAST({m} AS DOUBLE) AS __m{i}" for i, m in enumerate(slots)], *mask)
         stacked = part if stacked is None else stacked.unionAll(part)
         place |= {f"{prefix}_{m}": (tag, "__bits" if m in bits[prefix] else f"__m{own[prefix].index(m)}") for m in measures}
+    if fine or len(place) <= 2 * width:
+        def total(tag: int, slot: str) -> str:
+            part = f"CASE WHEN __part = {tag} THEN {slot} END"
+            return f"coalesce({f'bit_or({part})' if slot == '__bits' else money_sql(part, scale)}, 0)"
+        dealt = stacked.repartition(*keys) if fine else stacked
+        return dealt.groupBy(*keys).agg(*[F.expr(f"{total(*at)} AS {name}") for name, at in place.items()])
     narrow = stacked.groupBy(*keys, "__part").agg(
         *sums([f"__m{i}" for i in range(width)], scale), *([F.expr("coalesce(bit_or(__bits), 0) AS __bits")] if masked else []))
     return narrow.repartition(*keys).groupBy(*keys).agg(

@@ -142,7 +142,7 @@ def trade_statistics(hold_detail: DataFrame, hold_balance: DataFrame, done: Data
         "h": open_positions(hold_detail, calendar, grain), "f": position_fees(hold_balance, calendar, grain),
         "d": fill_activity(done, calendar, grain), "v": deliveries(delivery, calendar, grain),
         "x": exercises(execute, calendar, grain), "e": expiries(execute, securities, calendar, grain)},
-        KEYS, masks=["d_days"])
+        KEYS, masks=["d_days"], fine=True)
     periods = period_calendar(calendar, grain).select("period", "trade_days").distinct()
     merged = merged.join(periods, "period")
     month = delivery_month("contract_code", "delivery_year", "delivery_month", "delivery_date", "end_delivery_date")

@@ -159,3 +159,21 @@ def test_reading_prunes_and_formats_bounds_not_columns(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert df.count() == 1 and "GreaterThanOrEqual" in plan and "b:double" not in plan.lower()
     assert tables.with_dates(df, ["busi_date"]).first()[0] == date(2023, 1, 1)
+
+
+@pytest.mark.parametrize(("more", "fine"), [(0, False), (0, True), (3, True)])
+def test_spine_is_one_shuffle_with_the_same_sums(spark, more, fine):
+    """Few columns, or many under fine keys, against the sums in two steps of the same rows with ``more`` components."""
+    a = spark.createDataFrame([("x", 1, 1.0, 3), (None, 1, 2.0, 4), ("x", 1, 2.0, 8), ("x", None, None, None)], "k string, p int, m double, b long")
+    b = spark.createDataFrame([("x", 1, 4.0), ("y", 2, 8.111)], "k string, p int, n double")
+    frames, keys = {"a": (a, ["m"]), "b": (b, ["n"]), **{f"c{i}": (b, ["n"]) for i in range(more)}}, ["k", "p"]
+    masks = []
+    if more:
+        frames["a"], masks = (a, ["m", "b"]), ["a_b"]
+    got = spine.spine_merge(frames, keys, masks=masks, fine=fine)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert got.columns[2:] == [f"{p}_{m}" for p, (_, ms) in frames.items() for m in ms]
+    assert not any(f.nullable for f in got.schema.fields[2:])
+    short = {(r.k, r.p): (r.a_m, r.b_n) for r in got.collect()}
+    assert short == {("x", 1): (3.0, 4.0), (None, 1): (2.0, 0.0), ("x", None): (0.0, 0.0), ("y", 2): (0.0, 8.11)}
+    assert not more or {(r.k, r.p): r.a_b for r in got.collect()} == {("x", 1): 11, (None, 1): 4, ("x", None): 0, ("y", 2): 0}
