@@ -145,9 +145,12 @@ def expand_natural_days(facts: DataFrame, calendar: DataFrame, flows: list[str],
                         natural: str = "n_busi_date", market: str | None = "1") -> DataFrame:
     """One fact row per natural day: stocks carried, flows zero on non-trading days.
 
-    The calendar side is small; Spark broadcasts it when its measured size allows.
+    ``follows`` says whether the calendar holds the day before, too. The calendar side is small; Spark broadcasts it when its
+    measured size allows.
     """
+    before = F.lag("busi_date").over(Window.orderBy("busi_date"))
     days = trading_day_map(calendar, 0, market).select(
-        F.col("busi_date").alias(natural), F.col("trade_date").alias(date_col), "trade_flag")
+        F.col("busi_date").alias(natural), F.col("trade_date").alias(date_col), "trade_flag",
+        F.coalesce(before == F.date_sub("busi_date", 1), F.lit(False)).alias("follows"))
     return facts.join(days, date_col).selectExpr(
-        natural, "trade_flag", date_col, *keep, *[f"{c} * trade_flag AS {c}" for c in flows], *stocks)
+        natural, "trade_flag", "follows", date_col, *keep, *[f"{c} * trade_flag AS {c}" for c in flows], *stocks)

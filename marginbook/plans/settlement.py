@@ -6,7 +6,7 @@ call on inputs filtered to it (`sources.tables.day_range`), which prunes the sca
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import col_or_zero, cond_sums, money_sum, nz, safe_ratio, sums
@@ -59,12 +59,15 @@ def net_retained_fees(values: DataFrame, day: str = "tx_dt", investor: str = "in
 def _per_day(sett: DataFrame, trades: DataFrame, fees: DataFrame | None) -> DataFrame:
     """Settlement summed to its key, with that day's trades and net fees beside it."""
     base = sett.selectExpr("busi_date", *KEYS, *[col_or_zero(sett, m) for m in [*FLOWS, *STOCKS]])
-    day = base.groupBy("busi_date", *KEYS).agg(*sums([*FLOWS, *STOCKS]))
-    day = day.join(trades, ["busi_date", "fund_account_id", "money_type"], "left")
+    # An account has about one row a day: sums before the shuffle would fill memory with wide rows and save none. Dealt by
+    # account and day, the rows are shuffled once for the sums and the join to the fees.
+    day = (base.repartition("busi_date", "fund_account_id").groupBy("busi_date", *KEYS)
+           .agg(*sums([*FLOWS, *STOCKS])))
     if fees is not None:
         day = day.join(fees, ["busi_date", "fund_account_id"], "left")
     else:
         day = day.withColumn("clear_remain_transfee", F.lit(0.0))
+    day = day.join(trades, ["busi_date", "fund_account_id", "money_type"], "left")
     return day.fillna(0.0, [*TRADES, "clear_remain_transfee"])
 
 
@@ -82,15 +85,12 @@ def daily_fund_reconciliation(sett: DataFrame, calendar: DataFrame, trades: Data
     day = _per_day(sett, trades, fees)
     days = expand_natural_days(day, calendar, [*FLOWS, *TRADES, "clear_remain_transfee"], STOCKS, KEYS)
     end_rights = F.col("rights") * F.col("trade_flag")
-    # A key has at most one row per day, so this window never holds more than the calendar.
-    history = Window.partitionBy(*KEYS).orderBy("n_busi_date")
-    yesterday = F.when(F.lag("n_busi_date").over(history) == F.date_sub("n_busi_date", 1),
-                       F.lag("rights").over(history))
     return days.select(
         "n_busi_date", "trade_flag", *KEYS,
         F.when(end_rights > 0, 0).when(end_rights == 0, 1).otherwise(2).alias("rights_flag"),
         "rights", end_rights.alias("end_rights"),
-        F.when(F.col("trade_flag") == 0, F.coalesce(yesterday, F.lit(0.0)))
+        # The day before a carried day is the trading day itself or was carried from it, so its rights are this row's.
+        F.when(F.col("trade_flag") == 0, F.when(F.col("follows"), F.col("rights")).otherwise(F.lit(0.0)))
         .otherwise(F.col("yes_rights")).alias("yes_rights"),
         F.round(F.col("fund_in") + F.col("strikeactreceivsum"), 2).alias("fund_in"),
         F.round(F.col("fund_out") + F.col("strikeactpaysum"), 2).alias("fund_out"),

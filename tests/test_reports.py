@@ -129,3 +129,19 @@ def test_deliveries_are_dated_by_the_period_they_settle_in(spark, calendar):
     # By month the newer source decides for the whole month it supplied.
     got, _ = trades.deliveries(spark.createDataFrame([old, row(date(2023, 9, 28), date(2023, 10, 9), "CTP2")], cols), calendar, "month")
     assert sorted(r.period for r in got.collect()) == ["202309", "202309"]
+
+
+def test_carried_days_need_no_window_over_the_facts(spark, calendar):
+    """A carried day's opening rights are the day's before it, read from its own row; 0 where the calendar lacks that day."""
+    from datetime import date
+    from marginbook.plans import settlement
+    sett = spark.createDataFrame([(date(2023, 9, 28), 100.0, 90.0, a) for a in ("a", None)] + [(date(2023, 10, 9), -5.0, 100.0, "a")],
+                                 "busi_date date, rights double, yes_rights double, fund_account_id string").selectExpr(
+        "*", "fund_account_id AS client_id", "1 AS branch_id", "'1' AS sett_type", "'1' AS money_type")
+    trades = spark.createDataFrame([], "busi_date date, fund_account_id string, money_type string, done_amount double, done_money double, "
+                                       "done_amount_pj double, done_money_pj double")
+    out = settlement.daily_fund_reconciliation(sett, calendar.filter("busi_date <> DATE '2023-10-01'"), trades)
+    got = {(r.fund_account_id, r.n_busi_date.isoformat()): r.yes_rights for r in out.collect()}
+    assert got["a", "2023-09-28"] == 90.0 and got["a", "2023-09-30"] == 100.0 and got[None, "2023-10-03"] == 100.0
+    assert got["a", "2023-10-02"] == 0.0 and got[None, "2023-10-02"] == 0.0 and got["a", "2023-10-14"] == -5.0
+    assert "lag(rights" not in out._jdf.queryExecution().optimizedPlan().toString()
