@@ -135,7 +135,7 @@ def test_carried_days_need_no_window_over_the_facts(spark, calendar):
     """A carried day's opening rights are the day's before it, read from its own row; 0 where the calendar lacks that day."""
     from datetime import date
     from marginbook.plans import settlement
-    sett = spark.createDataFrame([(date(2023, 9, 28), 100.0, 90.0, a) for a in ("a", None)] + [(date(2023, 10, 9), -5.0, 100.0, "a")],
+    sett = spark.createDataFrame([(date(2023, 9, 28), 100.0, 90.0, a) for a in ("a", None)] + [(date(2023, 10, 13), -5.0, 100.0, "a")],
                                  "busi_date date, rights double, yes_rights double, fund_account_id string").selectExpr(
         "*", "fund_account_id AS client_id", "1 AS branch_id", "'1' AS sett_type", "'1' AS money_type")
     trades = spark.createDataFrame([], "busi_date date, fund_account_id string, money_type string, done_amount double, done_money double, "
