@@ -12,6 +12,7 @@ from marginbook.functions import dates as D
 from marginbook.functions import measures as M
 from marginbook.operators.joins import scaffold
 from marginbook.plans import analysis as A, income
+from marginbook.sources.scratch import stored
 
 LEVELS = ("unit", "line", "respons")
 
@@ -299,7 +300,8 @@ FROM sp LEFT JOIN sv ON sv.org_id = sp.org_id AND sv.period = sp.period LEFT JOI
 LEFT JOIN ib ON ib.org_id = sp.org_id AND ib.period = sp.period LEFT JOIN ii ON ii.org_id = sp.org_id AND ii.period = sp.period"""
 
 
-def revenue_rows(spark, sf, o):
+def revenue_rows(spark, sf, o, mix=None, side=None):
+    """``mix`` and ``side`` are the income mix and the side business, where they are at hand already."""
     products = None
     for fof in (True, False):
         part = income.product_income(I.values(spark, sf), I.product_accounts(spark, sf), I.products(spark, sf), I.parameters(spark, sf), S.calendar(spark, sf), fof).select(
@@ -310,7 +312,8 @@ def revenue_rows(spark, sf, o):
     where = spots(spark, sf, o.level)
     sold = A.year_to_date(ours, F.col("v"), "product_sell_income", o, where, 8)
     options = A.year_to_date(side_frames(spark, sf)[2], F.col("total_income"), "v", o, where).select("org_id", "period", (F.col("v") / A.WAN).alias("option_income"))
-    return A.revenue_mix(income_mix(spark, sf, o), side_rows(spark, sf, o, o.level), sold, options)
+    mix = income_mix(spark, sf, o) if mix is None else mix
+    return A.revenue_mix(mix, side_rows(spark, sf, o, o.level) if side is None else side, sold, options)
 
 
 def _revenue_sql(lv: str, side: str, mix: str) -> str:
@@ -334,8 +337,10 @@ FAMILIES = ("equity_analysis", "turnover_analysis", "finance_analysis", "client_
 
 
 def _monthly(spark, sf, o):
-    parts = [QUERIES[f"{n}_by_{o.level}"](spark, sf) for n in FAMILIES]
-    return A.monthly_operating_analysis(spots(spark, sf, o.level), [*parts, side_rows(spark, sf, o, o.level), revenue_rows(spark, sf, o)])
+    # Both have one row per organisation and month, come from many scans, and are columns here and input of the revenue mix.
+    mix, side = stored(income_mix(spark, sf, o)), stored(side_rows(spark, sf, o, o.level))
+    parts = [mix if n == "income_mix" else QUERIES[f"{n}_by_{o.level}"](spark, sf) for n in FAMILIES]
+    return A.monthly_operating_analysis(spots(spark, sf, o.level), [*parts, side, revenue_rows(spark, sf, o, mix, side)])
 
 
 def _monthly_sql(lv: str, side: str, revenue: str) -> str:

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import BIRTH_EDGES, birth_from_id
-from ..functions.dates import month_key, prev_year, shift_month, year_key
+from ..functions.dates import month_key, prev_year, year_key
 from ..functions.measures import cond_count, cond_sums, growth, money_sum, nz, safe_ratio, share_pct, sums
 from ..operators.calendar import one_market, period_calendar, period_key, trading_day_map
 from ..operators.joins import scaffold
@@ -62,9 +63,14 @@ def per_account(facts: DataFrame, measures: Sequence[str], calendar: DataFrame,
 
 
 def _last_year(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("org_id",)) -> DataFrame:
-    """The frame with each month's values of a year before as ``last_*``."""
-    last = df.select(*keys, shift_month("period", 12).alias("period"), *[F.col(c).alias(f"last_{c}") for c in cols])
-    return df.join(last, [*keys, "period"], "left")
+    """The frame with each month's values of a year before as ``last_*``; a key has one row a month.
+
+    A window over one key's months: a join of the frame with itself would compute its facts twice.
+    """
+    month = F.substring("period", 1, 4).cast("int") * 12 + F.substring("period", 5, 2).cast("int")
+    ago = Window.partitionBy(*keys).orderBy(month).rangeBetween(-12, -12)
+    known = month.isNotNull() & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return df.select("*", *[F.when(known, F.max(c).over(ago)).alias(f"last_{c}") for c in cols])
 
 
 def opened_this_year(day: Column, opened: str = "open_date") -> Column:

@@ -145,3 +145,12 @@ def test_carried_days_need_no_window_over_the_facts(spark, calendar):
     assert got["a", "2023-09-28"] == 90.0 and got["a", "2023-09-30"] == 100.0 and got[None, "2023-10-03"] == 100.0
     assert got["a", "2023-10-02"] == 0.0 and got[None, "2023-10-02"] == 0.0 and got["a", "2023-10-14"] == -5.0
     assert "lag(rights" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_year_before_is_found_without_a_second_reading(spark):
+    from marginbook.plans.analysis import _last_year
+    df = spark.createDataFrame([("a", "202301", 1.0), ("a", "202312", 2.0), ("a", "202401", None), ("a", "202412", 4.0), ("a", "202501", 5.0), ("b", "202401", 6.0),
+                                (None, "202301", 7.0), (None, "202401", 8.0), ("a", None, 9.0)], "org_id string, period string, v double")
+    got = _last_year(df, ["v"])
+    assert {(r.org_id, r.period): r.last_v for r in got.collect() if r.last_v is not None} == {("a", "202401"): 1.0, ("a", "202412"): 2.0}
+    assert got.count() == 9 and "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
