@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marginbook.llm.bits import bits_of, may
 from marginbook.llm.components import components
 from marginbook.llm.frames import LOWER, Scratch, groups_of, raw, text_bytes
 from marginbook.llm.words import WordHashes, mix, windows
@@ -129,18 +130,28 @@ def _first_pass(width: int, rule: Rule):
     return run
 
 
+def _asked(wanted: np.ndarray):
+    """Keep the rows whose ``doc`` may be a wanted one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(batch.column("doc").is_valid())
+            yield batch.filter(pa.array(may(wanted, batch.column("doc").to_numpy().view(np.uint64))))
+    return run
+
+
 def _full_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            sids, packed = [], []
+            keep, packed = [], []
             for text, sid in zip(raw(batch.column("text")), batch.column("sid").to_pylist(), strict=True):
                 tokens = shingles((text or b"").translate(LOWER).split(), width, known)
-                if _set_id(tokens) == sid:  # else another text of a repeated id
-                    sids.append(sid)
+                keep.append(_set_id(tokens) == sid)  # else another text of a repeated id
+                if keep[-1]:
                     packed.append(tokens.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(packed, pa.binary())],
-                                             names=["sid", "tokens"])
+            own = batch.select(["sid", "paired", "celled"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(packed, pa.binary())],
+                                             names=["sid", "paired", "celled", "tokens"])
     return run
 
 
@@ -265,13 +276,46 @@ def _rare_links(tokens: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return sketched.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_could_hold(rule), "a long, b long")
 
 
+def _compared(pairs: DataFrame, full: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) whose sets are similar."""
+    sets = full.where("paired")
+    return (pairs.join(sets.select(F.col("sid").alias("a"), F.col("tokens").alias("ta")), "a")
+            .join(sets.select(F.col("sid").alias("b"), F.col("tokens").alias("tb")), "b")
+            .select("a", "b", "ta", "tb").mapInArrow(_hold(rule), "a long, b long"))
+
+
+def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets with 16 bits of each token."""
+    for batch in batches:
+        short = [(np.frombuffer(t, np.int64) >> 7).astype(np.uint16).tobytes() for t in batch.column("tokens").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array(short, pa.binary())], names=["sid", "short"])
+
+
+def _near(pairs: DataFrame, full: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) that 16 bits of each token allow: a set shares no more tokens than it has of the other's short ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << 16, bool)
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)
+                seen[y] = True
+                keep.append(bool(rule.holds(int(seen[x].sum()), len(x), len(y))))
+                seen[y] = False
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    short = full.where("paired").select("sid", "tokens").mapInArrow(_shorten, "sid long, short binary")
+    return (pairs.join(short.select(F.col("sid").alias("a"), F.col("short").alias("xa")), "a")
+            .join(short.select(F.col("sid").alias("b"), F.col("short").alias("xb")), "b")
+            .select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long"))
+
+
 def _depth(rule: Rule) -> Column:
     """``Rule.depth`` of column ``n``."""
     return F.expr("least(n, {need} + 1 + {need} div 2 + 4)".format(need=f"(n - ({rule.percent} * n + 99) div 100 + 1)"))
 
 
-def _group_members(tokens: DataFrame, sets: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
-    """(grp, sid, n, poor): the sets to compare within each group of poor sets."""
+def _group_keys(tokens: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """(sid, n, poor, keys): the combinations of the poor sets, and of those that look them up."""
     need = _spare(rule) + 1
     early = F.count(F.when(F.col("pos") <= need, 1))
     per_set = (tokens.where(F.col("sets") > RARE).groupBy("sid", "n")
@@ -284,7 +328,11 @@ def _group_members(tokens: DataFrame, sets: DataFrame, rule: Rule, scratch: Scra
         keys = F.transform(with_next, lambda x, i: F.xxhash64(x, F.get("prefix", i + 1)))
     else:
         keys = F.slice("prefix", F.lit(1), need.cast("int"))
-    keyed = scratch.keep("keyed", sets.join(per_set, "sid").select("sid", "n", "poor", keys.alias("keys")))
+    return sets.join(per_set, "sid").select("sid", "n", "poor", keys.alias("keys"))
+
+
+def _group_members(keyed: DataFrame) -> DataFrame:
+    """(grp, sid, n, poor): the sets to compare within each group of poor sets."""
     poor = keyed.where("poor")
     # A key's group is the smallest set it leads to over two steps: nearly always one for a whole group of near copies,
     # and always one for all sets of the key.
@@ -333,7 +381,7 @@ def jaccard_links(docs: DataFrame, width: int, percent: int, doc_id: str, text:
                   scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(documents: ``doc``, ``n``, ``sid``; links: ``a``, ``b`` between sids, spanning every component).
 
-    The links read the tables ``sets``, ``pairs``, ``cells`` and ``full`` of ``scratch``, the documents ``members``.
+    The links read the tables ``linked``, ``within`` and ``later`` of ``scratch``, the documents ``members``.
     """
     rule = Rule(percent)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
@@ -348,19 +396,40 @@ def jaccard_links(docs: DataFrame, width: int, percent: int, doc_id: str, text:
     # Counted where they lie: the tokens are dealt once, and those of a single set go no further. A set has a token once.
     tokens = scratch.keep("tokens", emitted.withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("sets > 1"))
     pairs = scratch.keep("pairs", _rare_links(tokens, sets, rule))
-    met = _cell_rows(_group_members(tokens, sets, rule, scratch), rule).join(sets.select("sid", "n", "sketch"), "sid")
-    cells = scratch.keep("cells", met.groupBy("task").applyInArrow(_cells_could(rule), "task long, side int, sid long"))
-    scratch.drop("tokens", "keyed")
-    wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(cells.select("sid")).distinct()
-    chosen = sets.select("sid", "doc").join(wanted, "sid")
-    found = (texts.join(chosen, "doc").withColumn("_key", F.xxhash64("text"))
-             .dropDuplicates(["doc", "sid", "_key"]).select("sid", "text"))
-    full = scratch.keep("full", found.mapInArrow(_full_sets(width), "sid long, tokens binary"))
-    compared = (pairs.join(full.select(F.col("sid").alias("a"), F.col("tokens").alias("ta")), "a")
-                .join(full.select(F.col("sid").alias("b"), F.col("tokens").alias("tb")), "b"))
-    linked = compared.select("a", "b", "ta", "tb").mapInArrow(_hold(rule), "a long, b long")
-    within = cells.join(full, "sid").groupBy("task").applyInArrow(_cells(rule), "a long, b long")
-    return members, linked.union(within)
+    # The prefixes, most of ``sets``, go once the keys are written.
+    slim = scratch.keep("slim", sets.select("sid", "doc", "n", "sketch"))
+    keyed = scratch.keep("keyed", _group_keys(tokens, sets, rule))
+    scratch.drop("tokens", "sets")
+    met = scratch.keep("met", _cell_rows(_group_members(keyed), rule))
+    scratch.drop("keyed")
+    cells = scratch.keep("cells", met.join(slim.select("sid", "n", "sketch"), "sid").groupBy("task")
+                         .applyInArrow(_cells_could(rule), "task long, side int, sid long"))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("sid"), F.lit(True).alias("paired"), F.lit(False).alias("celled"))
+    wanted = (ends.union(cells.select("sid", F.lit(False), F.lit(True)))
+              .groupBy("sid").agg(F.max("paired").alias("paired"), F.max("celled").alias("celled")))
+    chosen = scratch.keep("chosen", slim.select("sid", "doc").join(wanted, "sid"))
+    scratch.drop("met", "slim")
+    # Only texts that may be wanted are dealt by id, not all of them.
+    asked = texts.mapInArrow(_asked(bits_of(chosen.select("doc"))), "doc long, text string")
+    found = (asked.join(chosen, "doc").withColumn("_key", F.xxhash64("text"))
+             .dropDuplicates(["doc", "sid", "_key"]).select("sid", "paired", "celled", "text"))
+    full = scratch.keep("full", found.mapInArrow(_full_sets(width), "sid long, paired boolean, celled boolean, tokens binary"))
+    scratch.drop("chosen")
+    # A set meets the smallest of its pairs first; of the other pairs only those are compared that no link connects by then. So a
+    # group of near copies deals each of its sets a few times, not once a pair, and the sets lie in one join's shuffles at a time.
+    star = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    linked = scratch.keep("linked", _compared(star, full, rule))
+    within = scratch.keep("within", cells.join(full.where("celled").select("sid", "tokens"), "sid").groupBy("task")
+                          .applyInArrow(_cells(rule), "a long, b long"))
+    roots = components(linked.union(within))
+    rest = (pairs.join(star, ["a", "b"], "left_anti")
+            .join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
+            .join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
+            .where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b"))
+    near = scratch.keep("near", _near(scratch.keep("rest", rest), full, rule))
+    later = scratch.keep("later", _compared(near, full, rule))
+    scratch.drop("pairs", "cells", "full", "rest", "near")
+    return members, linked.union(within).union(later)
 
 
 def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id",
@@ -376,7 +445,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     scratch = Scratch(docs.sparkSession)
     members, links = jaccard_links(docs, width, percent, doc_id, text, scratch)
     roots = components(links)  # which reads the links once, into a table of its own
-    scratch.drop("sets", "pairs", "cells", "full")
+    scratch.drop("linked", "within", "later")
     placed = (members.join(roots.withColumnRenamed("node", "sid"), "sid", "left")
               .select("doc", "n", F.coalesce("root", "sid").alias("root")))
     least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc").alias("least"))

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 from math import log10
 
+import numpy as np
 import pytest
 
 from marginbook.llm import decontaminate, jaccard, mixing, queries, substrings, suffix_model
@@ -44,6 +45,54 @@ def test_jaccard_classes(spark, docs, monkeypatch, rare, cell, width, percent):
     assert got == brute.classes(rows, width, percent)
 
 
+def test_jaccard_deals_few_texts_and_pairs(spark, monkeypatch):
+    """Of a small group of near copies each set is compared a few times, not once a pair, and other texts aren't dealt."""
+    rng, dealt = random.Random(5), []
+    base = [f"b{i}" for i in range(200)]
+    copies = [(k, " ".join([*base[:90], f"x{k}", *base[91:]])) for k in range(30)]
+    rows = copies + [(100 + k, " ".join(f"{k}w{rng.randrange(9999)}" for _ in range(200))) for k in range(60)]
+    hold, full, keep = jaccard._hold, jaccard._full_sets, jaccard.Scratch.keep
+    accumulators = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def counting(run, count):
+        def counted(batches):
+            for batch in batches:
+                count.add(batch.num_rows)
+                yield from run(iter([batch]))
+        return counted
+    monkeypatch.setattr(jaccard, "_hold", lambda rule: counting(hold(rule), accumulators[0]))
+    monkeypatch.setattr(jaccard, "_full_sets", lambda width: counting(full(width), accumulators[1]))
+
+    def kept(self, name, df):
+        out = keep(self, name, df)
+        if name == "full":
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/sets")
+            dealt.append(path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path))
+        return out
+    monkeypatch.setattr(jaccard.Scratch, "keep", kept)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r[0]: tuple(r)[1:] for r in jaccard.jaccard_classes(df, 5, 80).collect()}
+    assert got == brute.classes(rows, 5, 80)
+    assert 29 <= accumulators[0].value <= 60  # 435 pairs
+    assert accumulators[1].value == 30 and dealt == [False]  # the prefixes are gone by then
+
+
+def test_short_sets_lose_no_pair(spark):
+    rng, rule = random.Random(6), jaccard.Rule(80)
+    sets, pairs = [], []
+    for k in range(60):
+        n = rng.choice((5, 40, 3000))
+        a = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(n)]
+        b = a[:n - rng.randrange(n // 3 + 1)] + [rng.randrange(-(1 << 63), 1 << 63) for _ in range(rng.randrange(n // 8 + 1))]
+        sets += [(2 * k, True, np.array(sorted(a)).tobytes()), (2 * k + 1, True, np.array(sorted(b)).tobytes())]
+        pairs += [(2 * k, 2 * k + 1), (2 * k, 2 * rng.randrange(k + 1) + 1)]
+    full = spark.createDataFrame(sets, "sid long, paired boolean, tokens binary")
+    frame = spark.createDataFrame(pairs, "a long, b long")
+    near = {tuple(r) for r in jaccard._near(frame, full, rule).collect()}
+    similar = {tuple(r) for r in jaccard._compared(frame, full, rule).collect()}
+    assert 20 < len(similar) and similar <= near and len(near) < len(set(pairs)) - 10
+
+
 @pytest.mark.parametrize("percent", [75, 80, 90, 95])
 def test_two_similar_sets_share_a_combination(percent):
     rng, rule = random.Random(percent), jaccard.Rule(percent)
