@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 ASCII_SPACE = r"\x20\x09-\x0D"
 #: Upper-case A-Z to lower case, every other byte as it is.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+#: Bytes of rows that a Python function in a task gets at a time; a longer row is a batch of its own.
+BATCH = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,6 +30,15 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let the session pass rows to Python functions in batches of ``BATCH`` bytes.
+
+    By default a batch has 10,000 rows up to 64 MB. Rows with texts or sets fill that, and a task holds a batch several times over: on
+    Spark's side, as Arrow and as Python objects. Processes keep such memory for the stages after.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` through the shared folder, and let go of the shuffles that only served to build it.
 

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from marginbook.llm.bits import bits_of, may
 from marginbook.llm.components import components
-from marginbook.llm.frames import LOWER, Scratch, groups_of, raw, text_bytes
+from marginbook.llm.frames import LOWER, Scratch, groups_of, raw, small_batches, text_bytes
 from marginbook.llm.words import WordHashes, mix, windows
 
 #: Sets under one token up to which the token is indexed by itself.
@@ -383,6 +383,7 @@ def jaccard_links(docs: DataFrame, width: int, percent: int, doc_id: str, text:
 
     The links read the tables ``linked``, ``within`` and ``later`` of ``scratch``, the documents ``members``.
     """
+    small_batches(docs.sparkSession)
     rule = Rule(percent)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     schema = "doc long, n long, sid long, prefix array<bigint>, sketch binary"

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginbook.llm.frames import LOWER, raw
+from marginbook.llm.frames import LOWER, raw, small_batches
 
 BUCKETS = 1 << 17
 #: Lengths in bytes of the n-grams anywhere in a word with its ends marked, and of those at its start only.
@@ -216,6 +216,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     class has no labelled row, or either table is empty, every score is 0. A column of ``docs`` called like the
     added one is replaced.
     """
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c != column]
     model = fit_toxicity(docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")),
                          labels.select(F.col(label_id).cast("long").alias("doc"), F.col(label).cast("int").alias("label")))

@@ -1,6 +1,8 @@
 import importlib
 
-from marginbook.llm import chat, queries, toxicity
+import pyarrow as pa
+
+from marginbook.llm import chat, jaccard, queries, toxicity
 from marginbook.llm.frames import checkpoint
 from pyspark.sql import functions as F
 from tools.check_sql import compare, connect
@@ -92,3 +94,16 @@ def test_rows_without_id_are_near_copies_too(spark):
 def test_every_operator_has_a_query():
     names = list(importlib.import_module("__spark_entry__").queries())
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+
+
+def test_python_gets_small_batches(spark, tmp_path):
+    """Tasks of the toxicity and near_copies stages hold a few megabytes of texts at a time, not 10,000 rows."""
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["size"])
+    texts = spark.range(3000).selectExpr("id AS doc_id", "repeat(cast(id AS string), 1000) AS text").coalesce(1)
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int")
+    for stage in (lambda: toxicity.score_toxicity(texts, labels), lambda: jaccard.jaccard_classes(texts.limit(3))):
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        stage()
+        assert texts.mapInArrow(sizes, "size long").agg(F.max("size")).first()[0] < 6 << 20
