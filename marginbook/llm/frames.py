@@ -60,10 +60,15 @@ class Scratch:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
 
-    def keep(self, name: str, df: DataFrame) -> DataFrame:
-        """The rows of ``df``, read back from the table ``name``; shuffles that only served to build them are let go."""
+    def keep(self, name: str, df: DataFrame, packed: bool = False) -> DataFrame:
+        """The rows of ``df``, read back from the table ``name``; shuffles that only served to build them are let go.
+
+        ``packed`` rows have values of megabytes. Parquet would put a hundred of them into a page and compress it at once, in buffers
+        outside the heap that stay; they are written as they are, and a page ends with each.
+        """
         path, schema = f"{self.folder}/{name}", df.schema
-        df.write.parquet(path)
+        how = {"compression": "none", "parquet.page.size.row.check.min": "1"} if packed else {}
+        df.write.options(**how).parquet(path)
         del df
         self.spark._jvm.System.gc()
         return self.spark.read.schema(schema).parquet(path)

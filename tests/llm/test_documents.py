@@ -6,6 +6,7 @@ from collections import Counter
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marginbook.llm import decontaminate, jaccard, mixing, queries, substrings, suffix_model
@@ -212,6 +213,43 @@ def test_language_model_of_all_contexts(spark, monkeypatch):
             assert abs(got[doc] - score) < 1e-9 * max(1, abs(score)), (doc, got[doc], score)
 
 
+def test_language_model_in_parts(spark, monkeypatch, tmp_path):
+    """The tree is grown and scored in parts and blocks, and the tables of the parts go."""
+    rows = [(i, " ".join(f"w{(i * i + j * (3 + i % 4)) % 60}" for j in range(50)) + " echo echo echo") for i in range(300)]
+    rows += [(None, "w1 w2 w2 w3"), (7, "w1 w1"), (900, ""), (901, None), (910, "new w1 new")]
+    want = brute.suffix_tree([t for i, t in rows if i is not None and i % 10], [t for _, t in rows], 3, 30, 20.0)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    folder = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    try:
+        for name, value in (("PART", 4000), ("CELL", 100)):
+            monkeypatch.setattr(suffix_model, name, value)
+        got = suffix_model.score_texts(df, F.col("doc_id") % 10 != 0).collect()
+        left = {p.name for p in tmp_path.rglob("scratch-*/*")}
+    finally:
+        spark.sparkContext.setCheckpointDir(folder)
+    order = lambda x: (x[0] is None, x[0] or 0, x[1])
+    pairs = zip(sorted(((r.doc_id, r.score) for r in got), key=order), sorted(zip([i for i, _ in rows], want["scores"]), key=order), strict=True)
+    assert all(a == b and abs(x - y) < 1e-9 * max(1, abs(y)) for (a, x), (b, y) in pairs)
+    assert {"more0", "more1", "scored"} <= left and not {n for n in left if n.startswith(("places", "chunks", "rare", "often"))}
+
+
+def test_repeats_of_words_are_dealt(monkeypatch):
+    """A word once more is no key of its own: after different words it goes to different tasks."""
+    words = [f"w{i}" for i in range(200) for _ in range(3)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [" ".join(words)], "learn": [True]})
+    packed = next(suffix_model._pack(iter([batch])))
+    packed = packed.append_column("chunk", pa.array([0]))
+    every = [np.full(1 << 21, 0xFFFFFFFF, np.uint32)] * 3
+    shared = type("Shared", (), {"value": (every, (np.empty(0, np.uint64), np.empty(0, np.int64)))})
+    dealt = {}
+    for rows in suffix_model._deal_places(shared, 0, 1, 8)(iter([packed])):
+        for bucket, n, data in zip(*(rows.column(c).to_pylist() for c in ("bucket", "n1", "data"))):
+            own = np.frombuffer(data, np.uint64, n)
+            dealt[bucket] = int((own == np.uint64(suffix_model.AGAIN)).sum())
+    assert sum(dealt.values()) == 400 and max(dealt.values()) < 300
+
+
 def test_odd_documents(spark, odd_documents):
     n = odd_documents.count()
     cut = {(r.doc_id, r.text): r for r in substrings.dedup_substrings(odd_documents).collect()}
