@@ -19,7 +19,7 @@ def key_spine(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
 
 
 def spine_merge(frames: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Sequence[str],
-                scale: int = 2, masks: Sequence[str] = (), fine: bool = False) -> DataFrame:
+                scale: int = 2, masks: Sequence[str] = (), fine: bool = False, dealt: Mapping[str, str] | None = None) -> DataFrame:
     """Sum every component's measures on the union of all keys.
 
     ``frames`` maps a prefix to ``(frame, measures)``; output columns are ``prefix_measure``. The
@@ -32,7 +32,9 @@ def spine_merge(frames: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Seq
     Where the named columns are at most twice as many as the unnamed ones, they are summed at once: one shuffle, behind partial sums.
 
     ``fine`` is for many columns under keys nearly as fine as the rows (an account's fills of one contract and day), where sums before a
-    shuffle fill memory and save nothing: the rows go to their key as they are, in one shuffle, and are summed there.
+    shuffle fill memory and save nothing: the rows go to their key as they are, in one shuffle, and are summed there. ``dealt`` names
+    what they are dealt by instead of the whole key, SQL over the keys; the result has these columns, too, and stays dealt by them, so
+    a join on them (with `spread`) moves no wide row.
     """
     own = {p: [m for m in ms if f"{p}_{m}" not in masks] for p, (_, ms) in frames.items()}
     bits = {p: [m for m in ms if f"{p}_{m}" in masks] for p, (_, ms) in frames.items()}
@@ -50,14 +52,25 @@ def spine_merge(frames: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Seq
         def total(tag: int, slot: str) -> str:
             part = f"CASE WHEN __part = {tag} THEN {slot} END"
             return f"coalesce({f'bit_or({part})' if slot == '__bits' else money_sql(part, scale)}, 0)"
-        dealt = stacked.repartition(*keys) if fine else stacked
-        return dealt.groupBy(*keys).agg(*[F.expr(f"{total(*at)} AS {name}") for name, at in place.items()])
+        by = dealt or {k: k for k in keys}
+        rows = stacked.repartition(*map(F.expr, by.values())) if fine else stacked
+        return rows.groupBy(*keys, *[F.expr(e).alias(n) for n, e in by.items() if n not in keys]).agg(
+            *[F.expr(f"{total(*at)} AS {name}") for name, at in place.items()])
     narrow = stacked.groupBy(*keys, "__part").agg(
         *sums([f"__m{i}" for i in range(width)], scale), *([F.expr("coalesce(bit_or(__bits), 0) AS __bits")] if masked else []))
     return narrow.repartition(*keys).groupBy(*keys).agg(
         *[F.expr(f"coalesce(sum(CASE WHEN __part = {tag} THEN {slot} END), 0) AS {name}") for name, (tag, slot) in place.items()])
 
 
+def spread(df: DataFrame, cell: str, cells: int) -> DataFrame:
+    """Every row once in each cell: the side of a join that is narrow, for rows dealt by a key and a cell of their other keys.
+
+    A frequent key's rows then lie in as many tasks as there are cells, and rows dealt like that are joined where they are. This
+    side is hashed, so the wide one is not sorted either.
+    """
+    return df.withColumn(cell, F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))).hint("shuffle_hash")
+
+
 def union_all(frames: Sequence[DataFrame], by_position: bool = False) -> DataFrame:
     """UNION ALL by name (case-insensitive), or by position for frames that only share arity."""
     out = frames[0]

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from ..functions.codes import delivery_month
 from ..functions.measures import cents_sql
 from ..operators.calendar import period_calendar, trading_day_map
-from ..operators.spine import spine_merge
+from ..operators.spine import spine_merge, spread
 from .settlement import DEFAULT_LEVY, levy_column
 
 KEYS = ["period", "client_id", "branch_id", "fund_account_id", "money_type", "trade_type",
         "trade_prop", "security_id"]
-OPTION_TYPES = ("12", "21")
+# Rows are dealt by contract, and those of one contract to so many cells, so that contracts are joined without a shuffle of the sums.
+CELLS = 8
+DEALT = {"security_id": "security_id", "__cell": f"pmod(hash({', '.join(k for k in KEYS if k != 'security_id')}), {CELLS})"}
 EXCHANGE_WITHOUT_PERFORMANCE = "CFFEX"
 
 
@@ -31,17 +33,17 @@ def _rows(df: DataFrame, measures: dict[str, str]) -> tuple[DataFrame, list[str]
     return df.selectExpr(*KEYS, *[f"{e} AS {n}" for n, e in measures.items()]), list(measures)
 
 
-def _when(cond: str, value: str) -> str:
-    return f"CASE WHEN {cond} THEN {value} END"
+def _when(cond: str, value: str, other: str = "NULL") -> str:
+    return f"CASE WHEN {cond} THEN {value} ELSE {other} END"
 
 
 MARGINS = (("margin_tj", "1"), ("margin_tl", "2"), ("margin_tb", "3"))
 
 
 def open_positions(hold_detail: DataFrame, calendar: DataFrame, grain: str) -> tuple[DataFrame, list[str]]:
-    """Positions at the period's last trading day, and every day's amount for the average."""
+    """Positions at the period's last trading day, and every day's amount for the average. Option values of type 12; the fees have those of 21."""
     last, money = "busi_date = last_trade", "amount * sett_price * hand_amount"
-    option = f"{last} AND trade_type IN {OPTION_TYPES}"
+    option = f"{last} AND trade_type = '12'"
     at_end = {"hold_amount": "amount", "hold_money": money, **{c: c for c in (
         "hold_profit_bydate", "hold_profit_bytrade", "margin", "market_margin")}}
     return _rows(_period(hold_detail, calendar, grain), {
@@ -52,14 +54,13 @@ def open_positions(hold_detail: DataFrame, calendar: DataFrame, grain: str) -> t
 
 def position_fees(hold_balance: DataFrame, calendar: DataFrame, grain: str) -> tuple[DataFrame, list[str]]:
     fee = "coalesce({0}transfee, 0) + coalesce({0}settfee, 0) + coalesce({0}holdmovefee, 0)"
-    option = f"trade_type IN {OPTION_TYPES}"
+    option = "trade_type = '21'"
     return _rows(_period(hold_balance, calendar, grain), {
         "transfee": fee.format(""), "market_transfee": fee.format("market_"), "total_profit": "today_profit",
         **{c: c for c in ("close_profit_bydate", "close_profit_bytrade", "hold_profit_bytrade")},
         "buy_hold_money_qq": _when(f"{option} AND bs_direction = '0'", "market_value"),
         "sell_hold_money_qq": _when(f"{option} AND bs_direction = '1'", "market_value"),
-        **{n: _when(f"trade_prop = '{p}'", "margin") for n, p in MARGINS},
-        "hold_amount_buy": _when("bs_direction = '0'", "hold_amount"),
+        "margin": "margin", "hold_amount_buy": _when("bs_direction = '0'", "hold_amount"),
         "hold_amount_sell": _when("bs_direction = '1'", "hold_amount"),
         "done_amount": "done_amt", "done_money": "done_sum", "done_amount_pj": "close_amount_today",
         "done_money_pj": "close_money_today"})
@@ -92,8 +93,7 @@ def deliveries(delivery: DataFrame, calendar: DataFrame, grain: str) -> tuple[Da
     last = "busi_date = last_trade"
     return _rows(_period(dated, calendar, grain, "__day"), {
         **{c: c for c in ("transfee", "market_transfee", "done_amt")}, "remain_transfee": "transfee - market_transfee",
-        "delivery_amount": "pay_amount", "margin": _when(last, "margin"), "market_margin": _when(last, "market_margin"),
-        **{n: _when(f"{last} AND trade_prop = '{p}'", "margin") for n, p in MARGINS}})
+        "delivery_amount": "pay_amount", "margin": _when(last, "margin"), "market_margin": _when(last, "market_margin")})
 
 
 SIDES = {"strikefee": "fee", "market_strikefee": "market_fee", "strike_qty": "qty"}
@@ -142,7 +142,7 @@ def trade_statistics(hold_detail: DataFrame, hold_balance: DataFrame, done: Data
         "h": open_positions(hold_detail, calendar, grain), "f": position_fees(hold_balance, calendar, grain),
         "d": fill_activity(done, calendar, grain), "v": deliveries(delivery, calendar, grain),
         "x": exercises(execute, calendar, grain), "e": expiries(execute, securities, calendar, grain)},
-        KEYS, masks=["d_days"], fine=True)
+        KEYS, masks=["d_days"], fine=True, dealt=DEALT)
     periods = period_calendar(calendar, grain).select("period", "trade_days").distinct()
     merged = merged.join(periods, "period")
     month = delivery_month("contract_code", "delivery_year", "delivery_month", "delivery_date", "end_delivery_date")
@@ -166,13 +166,13 @@ def trade_statistics(hold_detail: DataFrame, hold_balance: DataFrame, done: Data
         return f"CASE WHEN trade_type = '21' THEN CASE WHEN {one_book} THEN 0D ELSE x_{shared}_sell END ELSE x_{own} END AS {name}"
 
     fees = "f_{0} + v_{0} + x_{0}"
-    return (merged.join(dims, "security_id").join(own, "fund_account_id", "left").selectExpr(
+    return (merged.join(spread(dims, "__cell", CELLS), ["security_id", "__cell"]).join(own, "fund_account_id", "left").selectExpr(
         *KEYS, "market_id", "product_id", "deliv_date", "client_type", "open_date",
         *same("h", "hold_amount", "hold_money", "hold_profit_bydate", "hold_profit_bytrade"),
         "round(h_amount_all / trade_days, 8) AS hold_amount_avg", "CAST(bit_count(d_days) AS DOUBLE) AS have_trade_num",
         by_kind("buy_hold_money_qq"), by_kind("sell_hold_money_qq"),
         *[f"{cents_sql(f'h_{n} + v_{n}')} AS {n}" for n in ("margin", "market_margin")],
-        *[f"{cents_sql(f'f_{n} + v_{n}')} AS {n}" for n, _ in MARGINS],
+        *[f"{cents_sql(_when(f"trade_prop = '{p}'", 'f_margin + v_margin', '0D'))} AS {n}" for n, p in MARGINS],
         *same("d", "transfee_pj", "market_transfee_pj", "remain_transfee_pj", "opt_premium_income",
               "opt_premium_pay", "add_fee1", "add_fee2", "done_amount_qp", "done_money_qp", "force_number"),
         "d_socrt_openfee AS jingshoufei", "d_settlementfee AS jiesuanfei",

@@ -1,5 +1,7 @@
+from collections import Counter
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from marginbook.functions.dates import date_spine
@@ -154,3 +156,72 @@ def test_year_before_is_found_without_a_second_reading(spark):
     got = _last_year(df, ["v"])
     assert {(r.org_id, r.period): r.last_v for r in got.collect() if r.last_v is not None} == {("a", "202401"): 1.0, ("a", "202412"): 2.0}
     assert got.count() == 9 and "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _outputs(plan):
+    """Output names of each exchange of a physical plan."""
+    own = [{a.name() for a in _seq(plan.output())}] if "Exchange" in plan.nodeName() else []
+    return own + [names for child in _seq(plan.children()) for names in _outputs(child)]
+
+
+def _seq(scala):
+    return [scala.apply(i) for i in range(scala.size())]
+
+
+@pytest.mark.parametrize("grain", ["day", "month"])
+def test_contracts_are_joined_without_a_shuffle_of_the_sums(spark, calendar, grain):
+    """Contracts too many for a broadcast; a contract with half of the rows, one listed twice, unknown ones, and rows without account or contract."""
+    from marginbook.plans import trades
+    amounts = ("transfee market_transfee settfee holdmovefee market_settfee market_holdmovefee today_profit close_profit_bydate close_profit_bytrade "
+               "hold_profit_bydate hold_profit_bytrade market_value hold_amount done_amt done_sum close_amount_today close_money_today amount sett_price "
+               "hand_amount margin market_margin socrt_openfee settlementfee add_fee1 add_fee2 done_amount done_money pay_amount strikefee market_strikefee "
+               "execute_transfee market_execute_transfee performfee market_performfee strike_qty strike_price optstrike_profit strikefrozenmargin "
+               "exchstrikefrozenmargin").split()
+    facts = spark.range(4000).selectExpr(
+        "CASE WHEN id % 4 < 2 THEN 7 WHEN id % 97 = 0 THEN NULL WHEN id % 89 = 0 THEN 9999 ELSE id % 50 END AS security_id",
+        "CASE WHEN id % 31 <> 0 THEN id % 13 END AS fund_account_id", "id % 13 AS client_id", "CAST(id % 3 AS INT) AS branch_id", "'1' AS money_type",
+        "elt(id % 3 + 1, '11', '12', '21') AS trade_type", "CAST(id % 5 DIV 2 + 1 AS STRING) AS trade_prop", "CAST(id % 2 AS STRING) AS bs_direction",
+        "elt(id % 2 + 1, '1', '3') AS trade_order", "'0' AS force_flag", "'0' AS strike_type", "'CTP1' AS data_source",
+        "DATE '2023-09-26' + CAST(id % 3 AS INT) AS busi_date", "DATE '2023-09-26' + CAST(id % 3 AS INT) AS sett_date",
+        *[f"CAST(id % {i + 5} AS DOUBLE) + 0.25D AS {c}" for i, c in enumerate(amounts)])
+    contracts = spark.range(3001).selectExpr(
+        "CASE WHEN id = 3000 THEN 3 ELSE id END AS security_id", "elt(id % 2 + 1, 'CFFEX', 'DCE') AS market_id", "concat('p', id) AS product_id",
+        "'c1' AS contract_code", "'2024' AS delivery_year", "'05' AS delivery_month", "CAST(NULL AS STRING) AS delivery_date", "CAST(NULL AS STRING) AS end_delivery_date")
+    accounts = spark.range(10).selectExpr("id AS fund_account_id", "concat('t', id) AS client_type", "DATE '2020-01-01' AS open_date")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = trades.trade_statistics(facts, facts, facts, facts.filter("trade_prop = '3'"), facts.filter("trade_order = '3'"), contracts, accounts, calendar, grain)
+        assert not [names for names in _outputs(out._jdf.queryExecution().executedPlan()) if "h_hold_money" in names]
+        got = out.collect()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    period = (lambda d: d.strftime("%Y%m%d")) if grain == "day" else (lambda d: d.strftime("%Y%m"))
+    last = {}
+    for r in (given := facts.collect()):
+        last[period(r.busi_date)] = max(r.busi_date, last.get(period(r.busi_date), r.busi_date))
+    if grain == "month":
+        last["202309"] = date(2023, 9, 28)
+    sums, keys = Counter(), set()
+    for r in given:
+        own = (period(r.busi_date), r.client_id, r.branch_id, r.fund_account_id, r.money_type, r.trade_type, r.trade_prop, r.security_id)
+        if r.security_id not in (None, 9999):
+            at_end = r.busi_date == last[own[0]]
+            keys.add(own)
+            sums[own, "money"] += r.done_sum
+            sums[own, "tj"] += (r.trade_prop == "1") * r.margin
+            sums[own, "tb"] += (r.trade_prop == "3") * (r.margin + at_end * r.margin)
+            sums[own, "buy"] += (r.bs_direction == "0") * {"11": 0, "12": at_end * r.amount * r.sett_price * r.hand_amount, "21": r.market_value}[r.trade_type]
+    by = {}
+    for r in got:
+        by.setdefault(tuple(r)[:8], []).append(r)
+    # Exercise of type 21 is booked on the next trading day, so there are keys of such rows alone.
+    assert keys <= set(by) and all(k[5] == "21" for k in set(by) - keys)
+    for own in by:
+        first = by[own][0]
+        assert sorted(r.product_id for r in by[own]) == (["p3", "p3000"] if own[7] == 3 else [f"p{own[7]}"])
+        assert first.client_type == (f"t{own[3]}" if own[3] is not None and own[3] < 10 else None)
+        assert [first.done_money, first.margin_tj, first.margin_tb, first.buy_hold_money_qq] == [
+            pytest.approx(sums[own, n], abs=0.006) for n in ("money", "tj", "tb", "buy")]
